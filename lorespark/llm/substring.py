@@ -8,7 +8,6 @@ and only the windows around an anchor that occurs in two documents are looked at
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U, inside, member, pieces, row_of, runs, span_hashes, texts, window_hashes, word_spans
-from .exchange import ANSWER, MESSAGE, answer_arrays, by_shard, each_shard, gather, ids_of, in_rows, packed, shard_count, shared_keys, shards_of, tags
+from .exchange import ANSWER, MESSAGE, MESSAGE_SCHEMA, answer_arrays, by_shard, each_shard, gather, ids_of, known_already, numbered, packed, passed_on, per_batch, shard_count, shared_keys, shards_of, tags
 
 
 def difference_cover(v: int) -> tuple[int, ...]:
@@ -71,7 +70,7 @@ def repeated_words(docs: DataFrame, window: int = 13, period: int = 7, id_col: s
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The full windows around each shared anchor: the smallest id of the batch asks, larger ones have their answer."""
-        for batch in pieces(batches, "text"):
+        for number, batch in numbered(batches):
             ids, _ = ids_of(batch)
             _, _, first, h = _words(*texts(batch.column("text")))
             at, key, row = _anchors(first, h, v, w, cover, window)
@@ -89,7 +88,7 @@ def repeated_words(docs: DataFrame, window: int = 13, period: int = 7, id_col: s
             at = np.flatnonzero(starts[: len(ok)] & ok)
             if not len(at):
                 continue
-            yield from _ask_smallest(ids[row_of(first, len(h))[at]], window_hashes(h, window)[at], shards)
+            yield _ask_smallest(number, ids[row_of(first, len(h))[at]], window_hashes(h, window)[at], shards)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -116,48 +115,44 @@ def repeated_words(docs: DataFrame, window: int = 13, period: int = 7, id_col: s
                 ["doc_id", "text", "n_words", "removed", "kept"],
             )
 
-    anchored = d.join(gather(shared_keys(d, anchor_keys, shards)), "doc_id")
-    found = smallest_owner(anchored.mapInArrow(extend, MESSAGE), shards)
-    out = d.join(gather(found), "doc_id", "left").mapInArrow(cut, "doc_id long, text string, n_words long, removed array<int>, kept binary")
-    return out.withColumnsRenamed({"doc_id": id_col, "text": text_col})
+    # Both joins read the same shuffle of the texts; rows with null ids go past them.
+    known = d.where("doc_id is not null")
+    anchored = known.join(gather(shared_keys(known, anchor_keys, shards)), "doc_id")
+    found = gather(smallest_owner(anchored.mapInArrow(extend, MESSAGE), shards))
+    schema = "doc_id long, text string, n_words long, removed array<int>, kept binary"
+    out = known.join(found, "doc_id", "left").mapInArrow(cut, schema)
+    lost = d.where("doc_id is null").withColumn("answers", F.array().cast("array<binary>")).mapInArrow(cut, schema)
+    return out.unionByName(lost).withColumnsRenamed({"doc_id": id_col, "text": text_col})
 
 
-def _ask_smallest(doc: np.ndarray, key: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+def _ask_smallest(number: int, doc: np.ndarray, key: np.ndarray, shards: int) -> pa.RecordBatch:
     order = np.lexsort((doc, key))
     doc, key = doc[order], key[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
     doc, key = doc[new], key[new]
-    first = runs(key)
     asks = np.zeros(len(key), bool)
-    asks[first] = True
-    rows = []
-    for s, x in packed(shards_of(key[asks], shards), [(doc[asks], "docs"), (key[asks], "keys")]):
-        rows.append({"shard": s, "docs": x["docs"], "idx": b"", "keys": x["keys"], "known": b""})
-    for b in in_rows(doc[~asks], key[~asks], 1 << 17):  # a smaller id of this batch holds the key
-        for i, a in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            rows.append({"shard": -1 - i % shards, "docs": np.int64(i).tobytes(), "idx": b"", "keys": a, "known": b""})
-    yield pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), *((k, pa.binary()) for k in ("docs", "idx", "keys", "known"))]))
+    asks[runs(key)] = True
+    rows = [{"shard": s, "batch": number, **x} for s, x in packed(shards_of(key[asks], shards), [(doc[asks], "docs"), (key[asks], "keys")])]
+    rows += known_already(number, doc[~asks], key[~asks], shards)  # a smaller id of this batch holds the key
+    return pa.RecordBatch.from_pylist(rows, MESSAGE_SCHEMA)
 
 
 def smallest_owner(asked: DataFrame, shards: int) -> DataFrame:
-    """Answers (doc_id, keys) for those keys that a smaller doc_id holds too."""
+    """Answers for those keys that a smaller doc_id holds too."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in each_shard(batches):
             if shard < 0:
-                yield pa.RecordBatch.from_arrays([pa.array([int(np.frombuffer(r["docs"], np.int64)[0]) for r in rows], pa.int64()), pa.array([r["keys"] for r in rows], pa.binary())], ["doc_id", "answer"])
+                yield passed_on(rows)
                 continue
             doc = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows])
             key = np.concatenate([np.frombuffer(r["keys"], U) for r in rows])
+            blob = np.repeat(np.arange(len(rows)), [len(r["keys"]) // 8 for r in rows])
             order = np.lexsort((doc, key))
-            doc, key = doc[order], key[order]
+            doc, key, blob = doc[order], key[order], blob[order]
             first = runs(key)
-            least = np.repeat(doc[first], np.diff(np.append(first, len(key))))
-            yield from in_rows(doc[doc > least], key[doc > least])
+            late = doc > np.repeat(doc[first], np.diff(np.append(first, len(key))))
+            yield per_batch(blob[late], doc[late], key[late], [r["batch"] for r in rows])
 
     return by_shard(asked, shards).mapInArrow(meet, ANSWER)
-
-
-def removed_digest(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()

@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U, M, inside, member, mix, pieces, row_of, runs, texts
-from .exchange import ANSWER, SHARDS_PER_PARTITION, answer_arrays, each_shard, gather, ids_of, in_rows, packed, shard_count, shared_keys, shards_of, tags
+from .exchange import ANSWER, answer_arrays, by_shard, each_shard, gather, ids_of, known_already, numbered, passed_on, per_batch, shard_count, shared_keys, shards_of, tags
 
-SEGMENTS = "shard int, docs binary, lens binary, body binary, hashes binary"
+SEGMENTS = "shard int, batch long, docs binary, keys binary, lens binary, body binary"
+SEGMENT_SCHEMA = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), *((k, pa.binary()) for k in ("docs", "keys", "lens", "body"))])
 FULL = np.uint64(0xFFFFFFFF)
 
 
@@ -156,7 +157,7 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
         return mix(h[start] * U(0x9FB21C651E98DF25) + h[start + count - 1] + count.astype(U))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for number, batch in numbered(batches):
             ids, _ = ids_of(batch)
             b, off = texts(batch.column("text"))
             row, start, count, h = segments(b, off, width, k)
@@ -185,30 +186,27 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
                 p = at[i:j]
                 n = lens[p]
                 pick = np.repeat(start[p] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                rows.append({"shard": int(s[p[0]]), "docs": doc[p].tobytes(), "lens": n.astype(np.uint16).tobytes(), "body": b[pick].tobytes(), "hashes": c[p].tobytes()})
+                rows.append({"shard": int(s[p[0]]), "batch": number, "docs": doc[p].tobytes(), "keys": c[p].tobytes(), "lens": n.astype(np.uint16).tobytes(), "body": b[pick].tobytes()})
             late = np.stack([c[~asks], np.full((~asks).sum(), FULL)], 1)  # a smaller document of this batch holds it all
-            for x in in_rows(doc[~asks], late, 1 << 17):
-                for i, a in zip(x.column(0).to_pylist(), x.column(1).to_pylist()):
-                    rows.append({"shard": -1 - i % shards, "docs": np.int64(i).tobytes(), "lens": b"", "body": b"", "hashes": a})
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), *((x, pa.binary()) for x in ("docs", "lens", "body", "hashes"))]))
+            rows += known_already(number, doc[~asks], late, shards)
+            yield pa.RecordBatch.from_pylist(rows, SEGMENT_SCHEMA)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in each_shard(batches):
             if shard < 0:
-                yield pa.RecordBatch.from_arrays([pa.array([int(np.frombuffer(r["docs"], np.int64)[0]) for r in rows], pa.int64()), pa.array([r["hashes"] for r in rows], pa.binary())], ["doc_id", "answer"])
+                yield passed_on(rows)
                 continue
-            doc, lens, body, c = (np.concatenate([np.frombuffer(r[x], t) for r in rows]) for x, t in (("docs", np.int64), ("lens", np.uint16), ("body", np.uint8), ("hashes", U)))
+            doc, c, lens, body = (np.concatenate([np.frombuffer(r[x], t) for r in rows]) for x, t in (("docs", np.int64), ("keys", U), ("lens", np.uint16), ("body", np.uint8)))
+            blob = np.repeat(np.arange(len(rows)), [len(r["docs"]) // 8 for r in rows])
+            numbers = [r["batch"] for r in rows]
             lens = lens.astype(np.int64)
             at = np.cumsum(lens) - lens
             order = np.lexsort((doc, c))
-            first = order[runs(c[order])]  # of equal segments only the smallest document's goes on; the others match in full
-            later = np.ones(len(doc), bool)
-            later[first] = False
-            size = np.diff(np.append(runs(c[order]), len(c)))
+            edges = runs(c[order])
+            first = order[edges]  # of equal segments only the smallest document's goes on; the others match in full
             least = np.zeros(len(doc), np.int64)
-            least[order] = np.repeat(doc[first], size)
-            later &= doc > least
-            yield from in_rows(doc[later], np.stack([c[later], np.full(later.sum(), FULL)], 1))
+            least[order] = np.repeat(doc[first], np.diff(np.append(edges, len(c))))
+            mask = np.where(doc > least, FULL, U(0))
             first = first[np.argsort(doc[first], kind="stable")]
             n = lens[first]
             pick = np.repeat(at[first] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -216,10 +214,11 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
             count = n - width + 1
             seg = np.repeat(np.arange(len(n)), count)
             bit = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
-            mask = np.zeros(len(n), U)
-            np.bitwise_or.at(mask, seg[hit], U(1) << bit[hit].astype(U))
+            found = np.zeros(len(n), U)
+            np.bitwise_or.at(found, seg[hit], U(1) << bit[hit].astype(U))
+            mask[first] = found
             some = mask > 0
-            yield from in_rows(doc[first][some], np.stack([c[first][some], mask[some]], 1))
+            yield per_batch(blob[some], doc[some], np.stack([c[some], mask[some]], 1), numbers)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -253,9 +252,11 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(off), pa.int64()), pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
-    suspects = d.join(gather(shared_keys(d, minimisers, shards)), "doc_id")
-    asked = suspects.mapInArrow(ask, SEGMENTS)
-    dealt = asked.repartition(max(1, shards // SHARDS_PER_PARTITION), "shard").sortWithinPartitions("shard")
-    found = gather(dealt.mapInArrow(scan, ANSWER))
-    out = d.join(found, "doc_id", "left").mapInArrow(cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
-    return out.withColumnRenamed("doc_id", id_col)
+    # Both joins read the same shuffle of the texts; rows with null ids go past them.
+    known = d.where("doc_id is not null")
+    suspects = known.join(gather(shared_keys(known, minimisers, shards)), "doc_id")
+    found = gather(by_shard(suspects.mapInArrow(ask, SEGMENTS), shards).mapInArrow(scan, ANSWER), 2)
+    schema = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
+    out = known.join(found, "doc_id", "left").mapInArrow(cut, schema)
+    lost = d.where("doc_id is null").withColumn("answers", F.array().cast("array<binary>")).mapInArrow(cut, schema)
+    return out.unionByName(lost).withColumnRenamed("doc_id", id_col)
