@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, jaccard, packing, sharding, substring, suffix, tokens
+from . import ann, decontam, jaccard, packing, pii, sharding, substring, suffix, tokens, toxicity
 from .common import table
 
 
@@ -14,6 +14,22 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), hold_out=5)
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda x: x["kind"] != "term")
+    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    listed = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    return out.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.length_histogram(tokens.token_lengths(table(spark, sf_dir, "documents")))
 
@@ -38,17 +54,24 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", gone.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_toxicity": op2_toxicity,
+    "op3_pii": op3_pii,
     "op4_token_counts": op4_token_counts,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_sharding": op7_sharding,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 ORACLES: dict[str, str] = {}
