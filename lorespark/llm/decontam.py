@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from .common import shuffle_partitions
 
 BLOCK = 16
+
+
+
 EDGES = "\"'.,;:!?()[]{}<>*_-~`|/\\"
 #: Size bound of the benchmark, whose words and vectors every task holds.
 MAX_BENCHMARK_CHARS = 32 << 20
@@ -70,6 +73,12 @@ def block_sums(block: np.ndarray, count: int, rows: np.ndarray) -> np.ndarray:
     return out
 
 
+def once_per_block(block: np.ndarray, word: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each word once per block, by block: repetition adds nothing."""
+    pairs = np.unique(block * size + word)
+    return pairs // size, pairs % size
+
+
 def passage_sums(sums: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Row i: block i and, unless it ends its text, the next one."""
     out = sums.copy()
@@ -125,10 +134,10 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
-    rank: int = 64,
+    rank: int = 128,
     cosine: float = 0.35,
     least_lcs: float = 0.6,
-    least_answer: float = 0.6,
+    least_answer: float = 0.5,
     max_df: float = 0.01,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -139,7 +148,7 @@ def find_leaks(
     lcs: share of the item's words found in order within the passage and one item length around it; answer: share of
     the third of its distinct words that are rarest in the corpus. start and end are word positions of the passage with
     the best lcs. Both shares must reach their limits. Terms in more than `max_df` of all blocks don't enter the latent
-    space, unless an item would keep fewer than five; document frequencies and the space come from all passages.
+    space, except the eight rarest of each item; document frequencies and the space come from all passages.
 
     Null texts and items without words match nothing; items with null ids are left out; rows with null ids are
     searched and keep their null; repeated ids each give rows; an empty benchmark gives no rows. The benchmark must not
@@ -164,8 +173,7 @@ def find_leaks(
             w, off = ids.batch(b.column("text").to_pylist())
             block, first = blocks(off)
             keep = w >= 0
-            pairs = np.unique(block[keep] * size + w[keep])
-            total[:size] += np.bincount(pairs % size, minlength=size)
+            total[:size] += np.bincount(once_per_block(block[keep], w[keep], size)[1], minlength=size)
             total[size] += first[-1]
         return total
 
@@ -174,8 +182,8 @@ def find_leaks(
     weight = np.log((n_blocks + len(items)) / (df + 1))
     usable = df <= max_df * n_blocks
     for w in numbers:
-        if usable[np.unique(w)].sum() < 5:
-            usable[w] = True
+        distinct = np.unique(w)
+        usable[distinct[np.argsort(df[distinct], kind="stable")[:8]]] = True
     weight = np.where(usable, np.maximum(weight, 1e-3), 0).astype(np.float32)
     rare = WordIds({x: n for x, n in vocabulary.items() if usable[n]}).vocabulary
     width = min(rank + 8, size)
@@ -190,7 +198,7 @@ def find_leaks(
                 w, off = ids.batch(b.column("text").to_pylist())
                 block, first = blocks(off)
                 keep = w >= 0
-                w, block = w[keep], block[keep]
+                block, w = once_per_block(block[keep], w[keep], size)
                 y = passage_sums(block_sums(block, int(first[-1]), scaled[w]), first)
                 back = y.copy()  # a word of block i is in passages i and i - 1
                 inner = np.ones(len(y), bool)
@@ -206,7 +214,8 @@ def find_leaks(
 
         z = summed(d, partial, (size, width))
         for w in numbers:
-            np.add.at(z, w, weight[w][:, None] * scaled[w].sum(0))
+            distinct = np.unique(w)
+            z[distinct] += weight[distinct][:, None] * scaled[distinct].sum(0)
         return z
 
     g = np.random.default_rng(9).standard_normal((size, width))
@@ -214,8 +223,10 @@ def find_leaks(
     z = product(basis)
     values, vectors = np.linalg.eigh((basis.T @ z + z.T @ basis) / 2)
     top = np.argsort(values)[::-1][: min(rank, size)]
-    space = ((basis @ vectors[:, top]) * weight[:, None]).astype(np.float32)
-    latent = np.stack([space[w].sum(0) for w in numbers])
+    # Divided by the root of the singular values, frequent words' directions don't drown an item's own.
+    scale = np.maximum(values[top], 1e-9) ** -0.5
+    space = ((basis @ vectors[:, top]) * weight[:, None] * scale).astype(np.float32)
+    latent = np.stack([space[np.unique(w)].sum(0) for w in numbers])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     lengths = [len(w) for w in numbers]
     masks, answers = [], []
@@ -236,7 +247,7 @@ def find_leaks(
             w, off = ids.batch(b.column("text").to_pylist())
             block, first = blocks(off)
             keep = (w >= 0) & rare_mask[np.maximum(w, 0)]
-            at, in_block = w[keep], block[keep]
+            in_block, at = once_per_block(block[keep], w[keep], size)
             many = np.bincount(in_block, minlength=int(first[-1]))
             z = passage_sums(block_sums(in_block, int(first[-1]), space[at]), first)
             some = np.flatnonzero(passage_sums(many[:, None], first)[:, 0] >= floor)
