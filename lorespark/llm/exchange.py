@@ -21,7 +21,7 @@ from .common import shuffle_partitions
 MESSAGE = "shard int, batch long, docs binary, idx binary, keys binary, known binary"
 MESSAGE_SCHEMA = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), *((k, pa.binary()) for k in ("docs", "idx", "keys", "known"))])
 ANSWER = "batch long, docs binary, keys binary"
-SHARDS_PER_PARTITION = 4
+SHARDS_PER_PARTITION = 1
 
 
 def shard_count(df: DataFrame) -> int:
@@ -199,9 +199,9 @@ def gather(found: DataFrame, width: int = 1) -> DataFrame:
     return dealt.groupBy("doc_id").agg(F.collect_list("answer").alias("answers"))
 
 
-def answer_arrays(batch: pa.RecordBatch, dtype=U, width: int = 1) -> list[np.ndarray]:
+def answer_arrays(batch: pa.RecordBatch, dtype=U, width: int = 1, column: str = "answers") -> list[np.ndarray]:
     out = []
-    for parts in batch.column("answers").to_pylist():
+    for parts in batch.column(column).to_pylist():
         a = np.frombuffer(b"".join(parts or []), dtype)
         out.append(a.reshape(-1, width) if width > 1 else a)
     return out

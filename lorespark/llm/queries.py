@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, decontam, jaccard, packing, pii, sharding, substring, suffix, tokens, toxicity
@@ -25,7 +25,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda x: x["kind"] != "term")
-    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in ("email", "ip", "card", "phone")]
     listed = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     return out.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 

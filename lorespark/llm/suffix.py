@@ -2,10 +2,11 @@
 
 Every `width`-byte window has one minimiser: the k-byte string inside it with the smallest hash (the leftmost of equal
 ones). Equal windows have equal minimisers, so windows are dealt to shards by minimiser: windows that share a minimiser
-position travel together as one segment of text. First, minimisers that only one document holds are dropped. In each
-shard the remaining segments come in document order; each batch of them gets its own suffix array (sorted windows), is
-scanned against the existing levels for matches with smaller documents, and joins the family, where two levels of about
-equal size merge into one.
+position travel together as one segment of text. First, only hashes of segments meet: a segment that a smaller document
+holds too is removed as a whole, and segments whose minimiser has no other text are done. Of each other text, the
+smallest document with it sends the bytes. In each shard these segments come in document order; each batch of them gets
+its own suffix array (sorted windows), is scanned against the existing levels for matches with smaller documents, and
+joins the family, where two levels of about equal size merge into one.
 """
 
 from __future__ import annotations
@@ -18,11 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U, M, inside, member, mix, pieces, row_of, runs, texts
-from .exchange import ANSWER, answer_arrays, by_shard, each_shard, gather, ids_of, known_already, numbered, passed_on, per_batch, shard_count, shared_keys, shards_of, tags
+from .common import cut_lineage
+from .exchange import ANSWER, answer_arrays, by_shard, each_shard, gather, ids_of, known_already, numbered, packed, passed_on, per_batch, shard_count, shards_of
 
 SEGMENTS = "shard int, batch long, docs binary, keys binary, lens binary, body binary"
 SEGMENT_SCHEMA = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), *((k, pa.binary()) for k in ("docs", "keys", "lens", "body"))])
-FULL = np.uint64(0xFFFFFFFF)
+#: Marks in answers about a segment's key: a smaller document holds all of it; its bytes are asked for.
+WHOLE, SEND = U(1 << 63), U(1 << 62)
+KEY = U((1 << 56) - 1)
 
 
 def gram_hashes(b: np.ndarray, k: int) -> np.ndarray:
@@ -144,100 +148,140 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
     """
     if not 8 <= k <= width or width - k + 1 > 32:
         raise ValueError("k must be at least 8 and at least width - 31, and at most width")
+    if width > 2000:
+        raise ValueError("width must be at most 2000")
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     shards = shard_count(d)
 
-    def minimisers(b: np.ndarray, off: np.ndarray):
-        row, _, _, h = segments(b, off, width, k)
-        return row, h
+    def contents(b: np.ndarray, start: np.ndarray, count: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """A key for each segment's bytes: 24 bits of its minimiser's hash, and 32 of one of its first and last windows
+        (which cover it) and its length. With the shard, keys have about as many bits to spare at any corpus size."""
+        g = gram_hashes(b, width)
+        c = mix(g[start] * U(0x9FB21C651E98DF25) + g[start + count - 1] + count.astype(U))
+        return ((h & U(0xFFFFFF)) << U(32)) | (c >> U(32))
 
-    def contents(b, start, count):
-        """A 64-bit hash of each segment's bytes: from its first and last window-sized parts and its length."""
-        h = gram_hashes(b, width)
-        return mix(h[start] * U(0x9FB21C651E98DF25) + h[start + count - 1] + count.astype(U))
+    def cut_up(b: np.ndarray, off: np.ndarray):
+        row, start, count, h = segments(b, off, width, k)
+        return row, start, count, shards_of(h, shards), contents(b, start, count, h) if len(h) else h
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in numbered(batches):
             ids, _ = ids_of(batch)
-            b, off = texts(batch.column("text"))
-            row, start, count, h = segments(b, off, width, k)
-            if not len(row):
-                continue
-            tag, hit = tags(h, shards), np.zeros(len(row), bool)
-            bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            for r, found in enumerate(answer_arrays(batch)):
-                hit[bounds[r] : bounds[r + 1]] = member(tag[bounds[r] : bounds[r + 1]], np.unique(found))
-            doc, start, count, h, c = ids[row[hit]], start[hit], count[hit], h[hit], contents(b, start[hit], count[hit])
-            if not len(doc):
-                continue
-            order = np.lexsort((doc, c))
-            doc, start, count, h, c = doc[order], start[order], count[order], h[order], c[order]
-            new = np.ones(len(c), bool)
-            new[1:] = (c[1:] != c[:-1]) | (doc[1:] != doc[:-1])
-            doc, start, count, h, c = doc[new], start[new], count[new], h[new], c[new]
-            asks = np.zeros(len(c), bool)
-            asks[runs(c)] = True
+            row, _, _, shard, key = cut_up(*texts(batch.column("text")))
+            doc = ids[row]
+            order = np.lexsort((doc, key, shard))
+            doc, key, shard = doc[order], key[order], shard[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])
+            least = np.repeat(doc[new], np.diff(np.append(np.flatnonzero(new), len(key))))
+            late = doc > least
             rows = []
-            lens = count + width - 1
-            at, s = np.flatnonzero(asks), shards_of(h, shards)
-            at = at[np.argsort(s[at], kind="stable")]
-            edges = runs(s[at])
-            for i, j in zip(edges.tolist(), [*edges[1:].tolist(), len(at)]):
-                p = at[i:j]
-                n = lens[p]
-                pick = np.repeat(start[p] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                rows.append({"shard": int(s[p[0]]), "batch": number, "docs": doc[p].tobytes(), "keys": c[p].tobytes(), "lens": n.astype(np.uint16).tobytes(), "body": b[pick].tobytes()})
-            late = np.stack([c[~asks], np.full((~asks).sum(), FULL)], 1)  # a smaller document of this batch holds it all
-            rows += known_already(number, doc[~asks], late, shards)
-            yield pa.RecordBatch.from_pylist(rows, SEGMENT_SCHEMA)
+            by_doc = np.argsort(doc[new], kind="stable")
+            for s, x in packed(shard[new][by_doc], [(doc[new][by_doc], "docs"), (key[new][by_doc], "keys")]):
+                d, q = np.frombuffer(x["docs"], np.int64), np.frombuffer(x["keys"], U)
+                at = runs(d)
+                tag = (q >> U(32)).astype(np.uint32)
+                body = (tag & 0xFFFF).astype(np.uint16).tobytes() + (tag >> 16).astype(np.uint8).tobytes()
+                lens = np.diff(np.append(at, len(d))).astype(np.uint32)
+                rows.append({"shard": s, "batch": number, "docs": d[at].tobytes(), "keys": q.astype(np.uint32).tobytes(), "lens": lens.tobytes(), "body": body})
+            pairs = np.unique(np.stack([doc[late], key[late].view(np.int64)], 1), axis=0) if late.any() else np.zeros((0, 2), np.int64)
+            rows += known_already(number, pairs[:, 0].copy(), pairs[:, 1].copy().view(U) | WHOLE, shards)
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, SEGMENT_SCHEMA)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each text the smallest document; others match whole, and it is asked for if its minimiser has more texts."""
         for shard, rows in each_shard(batches):
             if shard < 0:
                 yield passed_on(rows)
                 continue
-            doc, c, lens, body = (np.concatenate([np.frombuffer(r[x], t) for r in rows]) for x, t in (("docs", np.int64), ("keys", U), ("lens", np.uint16), ("body", np.uint8)))
+            docs, keys = [], []
+            for r in rows:
+                low, n = np.frombuffer(r["keys"], np.uint32), len(r["keys"]) // 4
+                tag = np.frombuffer(r["body"][: 2 * n], np.uint16).astype(U) | (np.frombuffer(r["body"][2 * n :], np.uint8).astype(U) << U(16))
+                keys.append((tag << U(32)) | low)
+                docs.append(np.repeat(np.frombuffer(r["docs"], np.int64), np.frombuffer(r["lens"], np.uint32)))
+            blob = np.repeat(np.arange(len(rows)), [len(x) for x in keys])
+            doc, key = np.concatenate(docs), np.concatenate(keys)
+            order = np.lexsort((doc, key))
+            doc, key, blob = doc[order], key[order], blob[order]
+            first = runs(key)
+            size = np.diff(np.append(first, len(key)))
+            late = doc > np.repeat(doc[first], size)
+            tag = key[first] >> U(32)
+            edge = runs(tag)
+            texts_of = np.repeat(np.diff(np.append(edge, len(tag))), np.diff(np.append(edge, len(tag))))
+            asked = np.zeros(len(key), bool)
+            asked[first[texts_of > 1]] = True
+            some = late | asked
+            yield per_batch(blob[some], doc[some], np.where(late, key | WHOLE, key | SEND)[some], [r["batch"] for r in rows])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, batch in numbered(batches):
+            found = answer_arrays(batch)
+            if not any((a & SEND).any() for a in found):
+                continue
+            ids, _ = ids_of(batch)
+            b, off = texts(batch.column("text"))
+            row, start, count, shard, key = cut_up(b, off)
+            hit = np.zeros(len(row), bool)
+            bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            for r, a in enumerate(found):
+                i, j = bounds[r], bounds[r + 1]
+                if len(a) and i < j:
+                    hit[i:j] = member(key[i:j], np.unique(a[(a & SEND) > 0] & KEY))
+            row, start, count, shard, key = (x[hit] for x in (row, start, count, shard, key))
+            doc = ids[row]
+            order = np.lexsort((key, doc, shard))
+            doc, start, count, shard, key = (x[order] for x in (doc, start, count, shard, key))
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (shard[1:] != shard[:-1])
+            doc, start, count, shard, key = (x[new] for x in (doc, start, count, shard, key))
+            rows, lens, edges = [], count + width - 1, runs(shard)
+            for i, j in zip(edges.tolist(), [*edges[1:].tolist(), len(shard)]):
+                n = lens[i:j]
+                pick = np.repeat(start[i:j] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                rows.append({"shard": int(shard[i]), "batch": number, "docs": doc[i:j].tobytes(), "keys": key[i:j].tobytes(), "lens": n.astype(np.uint16).tobytes(), "body": b[pick].tobytes()})
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, SEGMENT_SCHEMA)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in each_shard(batches):
+            doc, key, lens, body = (np.concatenate([np.frombuffer(r[x], t) for r in rows]) for x, t in (("docs", np.int64), ("keys", U), ("lens", np.uint16), ("body", np.uint8)))
             blob = np.repeat(np.arange(len(rows)), [len(r["docs"]) // 8 for r in rows])
-            numbers = [r["batch"] for r in rows]
             lens = lens.astype(np.int64)
             at = np.cumsum(lens) - lens
-            order = np.lexsort((doc, c))
-            edges = runs(c[order])
-            first = order[edges]  # of equal segments only the smallest document's goes on; the others match in full
-            least = np.zeros(len(doc), np.int64)
-            least[order] = np.repeat(doc[first], np.diff(np.append(edges, len(c))))
-            mask = np.where(doc > least, FULL, U(0))
-            first = first[np.argsort(doc[first], kind="stable")]
-            n = lens[first]
-            pick = np.repeat(at[first] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            hit = matched_windows(body[pick], n, doc[first], width)
+            order = np.argsort(doc, kind="stable")
+            n = lens[order]
+            pick = np.repeat(at[order] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            hit = matched_windows(body[pick], n, doc[order], width)
             count = n - width + 1
             seg = np.repeat(np.arange(len(n)), count)
             bit = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
-            found = np.zeros(len(n), U)
-            np.bitwise_or.at(found, seg[hit], U(1) << bit[hit].astype(U))
-            mask[first] = found
+            mask = np.zeros(len(n), U)
+            np.bitwise_or.at(mask, seg[hit], U(1) << bit[hit].astype(U))
             some = mask > 0
-            yield per_batch(blob[some], doc[some], np.stack([c[some], mask[some]], 1), numbers)
+            yield per_batch(blob[order][some], doc[order][some], np.stack([key[order][some], mask[some]], 1), [r["batch"] for r in rows])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             b, off = texts(batch.column("text"))
             gone = np.zeros(len(b) + 1, np.int64)
-            found = answer_arrays(batch, U, 2)
-            if any(len(a) for a in found):
-                row, start, count, _ = segments(b, off, width, k)
-                c = contents(b, start, count) if len(start) else np.zeros(0, U)
+            whole, part = answer_arrays(batch), answer_arrays(batch, U, 2, "masks")
+            if any((a & WHOLE).any() for a in whole) or any(len(a) for a in part):
+                row, start, count, _, key = cut_up(b, off)
                 bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
-                for r, a in enumerate(found):
+                for r, (w, p) in enumerate(zip(whole, part)):
                     i, j = bounds[r], bounds[r + 1]
-                    if not len(a) or i == j:
+                    keys = np.concatenate([w[(w & WHOLE) > 0] & KEY, p[:, 0]])
+                    if i == j or not len(keys):
                         continue
-                    a = a[np.argsort(a[:, 0], kind="stable")]
-                    keys = runs(a[:, 0])
-                    masks = np.bitwise_or.reduceat(a[:, 1], keys)
-                    p = np.minimum(np.searchsorted(a[keys, 0], c[i:j]), len(keys) - 1)
-                    m = np.where(a[keys, 0][p] == c[i:j], masks[p], U(0))
+                    masks = np.concatenate([np.full(len(keys) - len(p), (1 << 32) - 1, U), p[:, 1]])
+                    order = np.argsort(keys, kind="stable")
+                    first = runs(keys[order])
+                    keys, masks = keys[order][first], np.bitwise_or.reduceat(masks[order], first)
+                    at = np.minimum(np.searchsorted(keys, key[i:j]), len(keys) - 1)
+                    m = np.where(keys[at] == key[i:j], masks[at], U(0))
                     for bit in range(width - k + 1):
                         s = start[i:j][((m >> U(bit)) & U(1)).astype(bool) & (count[i:j] > bit)] + bit
                         gone[s] += 1  # windows are distinct, so are their starts
@@ -252,11 +296,13 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(off), pa.int64()), pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
-    # Both joins read the same shuffle of the texts; rows with null ids go past them.
+    # The two joins read the same shuffle of the texts; rows with null ids go past them.
     known = d.where("doc_id is not null")
-    suspects = known.join(gather(shared_keys(known, minimisers, shards)), "doc_id")
-    found = gather(by_shard(suspects.mapInArrow(ask, SEGMENTS), shards).mapInArrow(scan, ANSWER), 2)
+    judged = cut_lineage(gather(by_shard(known.mapInArrow(compare, SEGMENTS), shards).mapInArrow(judge, ANSWER)))
+    found = gather(by_shard(known.join(judged, "doc_id").mapInArrow(ask, SEGMENTS), shards).mapInArrow(scan, ANSWER), 2)
     schema = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
-    out = known.join(found, "doc_id", "left").mapInArrow(cut, schema)
-    lost = d.where("doc_id is null").withColumn("answers", F.array().cast("array<binary>")).mapInArrow(cut, schema)
+    told = judged.join(found.withColumnRenamed("answers", "masks"), "doc_id", "left")
+    out = known.join(told, "doc_id", "left").mapInArrow(cut, schema)
+    nothing = F.array().cast("array<binary>")
+    lost = d.where("doc_id is null").withColumn("answers", nothing).withColumn("masks", nothing).mapInArrow(cut, schema)
     return out.unionByName(lost).withColumnRenamed("doc_id", id_col)
