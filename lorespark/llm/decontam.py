@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval, checked by longest common subsequence and answer terms.
 
 Documents are read as passages: two neighbouring blocks of BLOCK words, so that passages overlap by half. With A the
-TF-IDF matrix of all passages over the benchmark's words, a randomised range finder computes A^T (A G) for a random G,
-one partial product per partition, and a power step sharpens it; the leading right singular vectors span the latent
+TF-IDF matrix of all passages over the benchmark's words, a randomised SVD takes one pass: A^T (A G) for a random G, one
+partial product per partition, gives the leading right singular vectors by Nystrom's formula; they span the latent
 space. Passages whose latent vector points the way of an item's are candidates. A candidate counts if enough of the
 item's words follow each other in the passage's surroundings and enough of its most telling words (the answer) occur.
 """
@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .arrays import binary_rows
+from .common import cut_lineage, shuffle_partitions
 
 BLOCK = 16
 
@@ -97,18 +98,19 @@ def summed(df: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], np.ndarr
         from pyspark import TaskContext
 
         a = partial(batches)
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([a.tobytes()], pa.binary())], ["k", "a"])
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % fan], pa.int64()), pa.array([a.tobytes()], pa.binary())], ["k", "a"])
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(shape)
+        total = None
         for b in batches:
             for x in b.column("a"):
-                total += np.frombuffer(x.as_buffer(), np.float64).reshape(shape)
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["k", "a"])
+                total = (0 if total is None else total) + np.frombuffer(x.as_buffer(), np.float64).reshape(shape)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["k", "a"])
 
     schema = "k long, a binary"
-    parts = df.mapInArrow(first, schema)
     fan = max(1, int(shuffle_partitions(df.sparkSession) ** 0.5))
+    parts = df.mapInArrow(first, schema)
     rows = parts.repartition(fan, "k").mapInArrow(again, schema).repartition(1).mapInArrow(again, schema).collect()
     return sum((np.frombuffer(r["a"], np.float64).reshape(shape) for r in rows), np.zeros(shape))
 
@@ -131,6 +133,31 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.slice(i, 512)
 
 
+def numbered_words(d: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """(doc_id, words): each text's word numbers, packed, in the checkpoint folder, so that texts are cut up once."""
+    kind = number_type(len(vocabulary))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = WordIds(vocabulary)
+        for b in slices(batches):
+            w, off = ids.batch(b.column("text").to_pylist())
+            packed = binary_rows(np.where(w < 0, np.iinfo(kind).max, w).astype(kind), np.diff(off))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), packed], ["doc_id", "words"])
+
+    return cut_lineage(d.mapInArrow(run, "doc_id long, words binary"))
+
+
+def number_type(size: int) -> type:
+    return np.uint16 if size < (1 << 16) - 1 else np.uint32
+
+
+def unpacked(b: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers (`size` for words outside the vocabulary) of a slice of `numbered_words`, and offsets."""
+    parts = [np.frombuffer(x.as_buffer(), number_type(size)) for x in b.column("words")]
+    w = np.concatenate(parts).astype(np.int64)
+    return np.minimum(w, size), np.append(0, np.cumsum([len(p) for p in parts])).astype(np.int64)
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -167,17 +194,19 @@ def find_leaks(
     size = len(vocabulary)
     numbers = [np.array([vocabulary[w] for w in ws]) for _, ws in items]
 
+    texts = numbered_words(d, vocabulary)
+
     def frequencies(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        ids, total = WordIds(vocabulary), np.zeros(size + 1)
+        total = np.zeros(size + 1)
         for b in slices(batches):
-            w, off = ids.batch(b.column("text").to_pylist())
+            w, off = unpacked(b, size)
             block, first = blocks(off)
-            keep = w >= 0
+            keep = w < size
             total[:size] += np.bincount(once_per_block(block[keep], w[keep], size)[1], minlength=size)
             total[size] += first[-1]
         return total
 
-    counts = summed(d, frequencies, (size + 1,))
+    counts = summed(texts, frequencies, (size + 1,))
     df, n_blocks = counts[:size], counts[size]
     weight = np.log((n_blocks + len(items)) / (df + 1))
     usable = df <= max_df * n_blocks
@@ -185,7 +214,7 @@ def find_leaks(
         distinct = np.unique(w)
         usable[distinct[np.argsort(df[distinct], kind="stable")[:8]]] = True
     weight = np.where(usable, np.maximum(weight, 1e-3), 0).astype(np.float32)
-    rare = WordIds({x: n for x, n in vocabulary.items() if usable[n]}).vocabulary
+    rare = np.append(usable, False)
     width = min(rank + 8, size)
 
     def product(basis: np.ndarray) -> np.ndarray:
@@ -193,11 +222,11 @@ def find_leaks(
         scaled = (basis * weight[:, None]).astype(np.float32)
 
         def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-            ids, total = WordIds(rare), np.zeros((size, width))
+            total = np.zeros((size, width))
             for b in slices(batches):
-                w, off = ids.batch(b.column("text").to_pylist())
+                w, off = unpacked(b, size)
                 block, first = blocks(off)
-                keep = w >= 0
+                keep = rare[w]
                 block, w = once_per_block(block[keep], w[keep], size)
                 y = passage_sums(block_sums(block, int(first[-1]), scaled[w]), first)
                 back = y.copy()  # a word of block i is in passages i and i - 1
@@ -212,20 +241,23 @@ def find_leaks(
                     total[w[at]] += np.add.reduceat(back[block[order]], at, axis=0)
             return total * weight[:, None]
 
-        z = summed(d, partial, (size, width))
+        z = summed(texts, partial, (size, width))
         for w in numbers:
             distinct = np.unique(w)
             z[distinct] += weight[distinct][:, None] * scaled[distinct].sum(0)
         return z
 
-    g = np.random.default_rng(9).standard_normal((size, width))
-    basis = np.linalg.qr(product(g))[0]
-    z = product(basis)
-    values, vectors = np.linalg.eigh((basis.T @ z + z.T @ basis) / 2)
-    top = np.argsort(values)[::-1][: min(rank, size)]
+    g = np.linalg.qr(np.random.default_rng(9).standard_normal((size, width)))[0]
+    y = product(g)
+    nudge = 1e-7 * max(np.linalg.norm(y), 1e-12)
+    y += nudge * g
+    core = g.T @ y
+    root = np.linalg.cholesky((core + core.T) / 2 + nudge * np.eye(width))
+    vectors, singular, _ = np.linalg.svd(np.linalg.solve(root, y.T).T, full_matrices=False)
+    vectors, values = vectors[:, :rank], np.maximum(singular[:rank] ** 2 - nudge, 0)
     # Divided by the root of the singular values, frequent words' directions don't drown an item's own.
-    scale = np.maximum(values[top], 1e-9) ** -0.5
-    space = ((basis @ vectors[:, top]) * weight[:, None] * scale).astype(np.float32)
+    scale = np.maximum(values, 1e-6 * max(values[0], 1e-12)) ** -0.5
+    space = (vectors * weight[:, None] * scale).astype(np.float32)
     latent = np.stack([space[np.unique(w)].sum(0) for w in numbers])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     lengths = [len(w) for w in numbers]
@@ -238,20 +270,17 @@ def find_leaks(
         distinct = sorted(m, key=lambda c: (df[c], c))
         answers.append(set(distinct[: max(1, len(distinct) // 3)]))
     # A passage that holds an item to `least_lcs`, in halves at worst, has at least this many of its usable words.
-    floor = max(1, int(min(usable[w].sum() for w in numbers) * least_lcs / 4))
-    rare_mask = usable
+    floor = max(1, int(min(usable[np.unique(w)].sum() for w in numbers) * least_lcs / 2))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(vocabulary)
         for b in slices(batches):
-            w, off = ids.batch(b.column("text").to_pylist())
+            w, off = unpacked(b, size)
             block, first = blocks(off)
-            keep = (w >= 0) & rare_mask[np.maximum(w, 0)]
+            keep = rare[w]
             in_block, at = once_per_block(block[keep], w[keep], size)
             many = np.bincount(in_block, minlength=int(first[-1]))
-            z = passage_sums(block_sums(in_block, int(first[-1]), space[at]), first)
             some = np.flatnonzero(passage_sums(many[:, None], first)[:, 0] >= floor)
-            z = z[some]
+            z = passage_sums(block_sums(in_block, int(first[-1]), space[at]), first)[some]
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
             rows = []
             if len(some):
@@ -274,4 +303,4 @@ def find_leaks(
             types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["doc_id", "item_id", "cosine", "lcs", "answer", "start", "end"])
 
-    return d.mapInArrow(search, schema).withColumnRenamed("doc_id", id_col)
+    return texts.mapInArrow(search, schema).withColumnRenamed("doc_id", id_col)
