@@ -29,29 +29,32 @@ class CollisionIndex:
         self.m, self.half_width, self.needed, self.growth = m, half_width, needed, growth
         self.axes = np.random.default_rng(seed).standard_normal((vectors.shape[1], m))
         p = vectors @ self.axes
-        self.order = np.argsort(p, axis=0).T.copy()
-        self.sorted = np.take_along_axis(p, self.order.T, 0).T.copy()
+        order = np.argsort(p, axis=0)
+        # One sorted array per projection, all in one, each projection on a stretch of its own.
+        self.stretch = 4 * (float(np.abs(p).max(initial=0.0)) + 1)
+        self.shift = np.arange(m) * self.stretch
+        self.sorted = (np.take_along_axis(p, order, 0) + self.shift).T.ravel()
+        self.order = order.T.ravel().copy()
 
     def search(self, q: np.ndarray, own: int, k: int) -> list[tuple[float, int]]:
         """The k nearest found, as (distance, id), nearest first, ties to the smaller id; `own` is left out."""
-        n = len(self.ids)
-        centre = q @ self.axes
-        at = np.array([np.searchsorted(row, c) for row, c in zip(self.sorted, centre)])
-        reach = np.minimum(at + k, n - 1)
-        spread = np.abs(self.sorted[np.arange(self.m), reach] - centre)
-        radius = max(float(np.median(spread)) / self.half_width, 1e-12)
-        lo, hi, count = at.copy(), at.copy(), np.zeros(n, np.int32)
+        n, first = len(self.ids), np.arange(self.m) * len(self.ids)
+        # A query far outside the block's range stands at its edge; what lies beyond has no entries.
+        centre = np.clip(q @ self.axes, -self.stretch / 4, self.stretch / 4)
+        at = np.clip(np.searchsorted(self.sorted, centre + self.shift), first, first + n - 1)
+        # Fewer than `needed` collisions are likely until windows hold a good share of the entries: begin there.
+        far = np.maximum(np.abs(self.sorted[np.minimum(at + n // 8 + k, first + n - 1)] - self.shift - centre), np.abs(self.sorted[np.maximum(at - n // 8 - k, first)] - self.shift - centre))
+        radius = max(float(np.median(far)) / self.half_width, 1e-12)
+        lo, hi, count = at.copy(), at.copy(), np.zeros(n, np.int64)
         seen = np.zeros(n, bool)
         found_d, found_i = np.zeros(0), np.zeros(0, np.int64)
         while True:
-            new = []
-            for j in range(self.m):
-                row = self.sorted[j]
-                a, b = np.searchsorted(row, centre[j] - self.half_width * radius), np.searchsorted(row, centre[j] + self.half_width * radius, "right")
-                a, b = min(a, lo[j]), max(b, hi[j])
-                new += [self.order[j, a : lo[j]], self.order[j, hi[j] : b]]
-                lo[j], hi[j] = a, b
-            count += np.bincount(np.concatenate(new), minlength=n).astype(np.int32)
+            reach = min(self.half_width * radius, self.stretch / 2.001)
+            a = np.minimum(np.maximum(np.searchsorted(self.sorted, centre + self.shift - reach), first), lo)
+            b = np.maximum(np.minimum(np.searchsorted(self.sorted, centre + self.shift + reach, "right"), first + n), hi)
+            new = [self.order[x:y] for x, y in zip(a.tolist(), lo.tolist())] + [self.order[x:y] for x, y in zip(hi.tolist(), b.tolist())]
+            lo, hi = a, b
+            count += np.bincount(np.concatenate(new), minlength=n)
             fresh = np.flatnonzero((count >= self.needed) & ~seen)
             if len(fresh):
                 seen[fresh] = True
