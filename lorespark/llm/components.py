@@ -11,19 +11,22 @@ from .common import cut_lineage
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest id reachable over `edges` (a, b: long), for every node that has an edge.
 
-    Each round lets every node point to its smallest neighbour, shortens the pointers, and contracts the edges to those
-    between different targets. Nodes at least halve, stars vanish in one round; edges never come to the driver. Nulls,
-    loops and repeated edges have no effect; no edges give no rows.
+    Each round lets every node point to its smallest neighbour, doubles the pointers until they end at nodes that point
+    to themselves, and contracts the edges to those between different ends. Ends are at most half of the nodes, and a
+    chain of n pointers takes log n doublings; edges never come to the driver. Nulls, loops and repeated edges have no
+    effect; no edges give no rows.
     """
     e = cut_lineage(edges.select("a", "b").where("a <> b").distinct())
     labels = None
     while not e.isEmpty():
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        for _ in range(2):
-            step = cut_lineage(step)
-            step = step.join(step.select(F.col("a").alias("m"), F.col("m").alias("mm")), "m").select("a", F.col("mm").alias("m"))
         step = cut_lineage(step)
+        while True:
+            far = cut_lineage(step.join(step.select(F.col("a").alias("m"), F.col("m").alias("mm")), "m").select("a", "m", "mm"))
+            step = far.select("a", F.col("mm").alias("m"))
+            if far.where("m <> mm").isEmpty():
+                break
         to = step.select(F.col("a").alias("b"), F.col("m").alias("mb"))
         e = cut_lineage(e.join(step, "a").join(to, "b").select(F.col("m").alias("a"), F.col("mb").alias("b")).where("a <> b").distinct())
         if labels is None:
