@@ -94,16 +94,23 @@ def features(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner[at], code[at], value / norms(units)[owner[at]]
 
 
-def kernel(units: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised kernel values of all units with all landmarks."""
+def kernel(units: list[str], landmarks: list[str], block: int = 128) -> np.ndarray:
+    """Normalised kernel values of all units with all landmarks, in blocks of units so that temporaries stay small."""
     lo, lc, lv = features(landmarks)
     first = runs(lc)
-    table = np.zeros((len(first), len(landmarks)))
+    codes = lc[first]
+    table = np.zeros((len(first), len(landmarks)), np.float32)
     table[np.repeat(np.arange(len(first)), np.diff(np.append(first, len(lc)))), lo] = lv
     out = np.zeros((len(units), len(landmarks)))
-    uo, uc, uv = features(units)
-    hit = member(uc, lc[first])
-    np.add.at(out, uo[hit], uv[hit][:, None] * table[np.searchsorted(lc[first], uc[hit])])
+    for i in range(0, len(units), block):
+        uo, uc, uv = features(units[i : i + block])
+        hit = member(uc, codes)
+        order = np.argsort(uo[hit], kind="stable")
+        uo, uc, uv = uo[hit][order], uc[hit][order], uv[hit][order]
+        at = runs(uo)
+        if len(at):
+            rows = table[np.searchsorted(codes, uc)] * uv[:, None].astype(np.float32)
+            out[i + uo[at]] = np.add.reduceat(rows, at, axis=0)
     return out
 
 
