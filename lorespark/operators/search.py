@@ -79,7 +79,7 @@ def bm25_topk(docs: DataFrame, query: str, k: int) -> DataFrame:
         idf = F.log((F.col("n") - df + 0.5) / (df + 0.5) + 1.0)
         score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     scored = d.join(F.broadcast(stats)).select("id", score.alias("score"))  # one row of statistics
-    return scored.orderBy(F.desc("score"), "id").limit(k)
+    return scored.orderBy(F.round("score", 9).desc(), "id").limit(k)
 
 
 def hybrid_rank(candidates: DataFrame, queries: DataFrame) -> DataFrame:

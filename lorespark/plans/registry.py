@@ -83,7 +83,7 @@ bm25 AS (SELECT d.query_id, d.id, coalesce(s, 0.0) AS bm25 FROM d LEFT JOIN sc O
 
 
 @query(f"""WITH c AS (SELECT 0 AS query_id, doc_id AS id, text AS document FROM documents), q AS (SELECT 0 AS query_id, '{QUERY}' AS query),
-{_bm25_sql('c', 'q')} SELECT id, round(bm25, 6) AS score FROM bm25 ORDER BY bm25 DESC, id LIMIT 10""")
+{_bm25_sql('c', 'q')} SELECT id, round(bm25, 6) AS score FROM bm25 ORDER BY round(bm25, 9) DESC, id LIMIT 10""")
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.bm25_topk(chunk_table(spark, sf_dir), QUERY, 10).select("id", F.round("score", 6).alias("score"))
 
@@ -123,8 +123,8 @@ def near_duplicates(spark, sf_dir):
 
 def _hybrid(spark, sf_dir, n=10):
     v = _vectors(spark, sf_dir)
-    q = v.where("id % 100 = 1").select(F.col("id").alias("query_id"), "embedding")
     docs = chunk_table(spark, sf_dir)
+    q = v.where("id % 100 = 1").join(docs.select("id"), "id", "left_semi").select(F.col("id").alias("query_id"), "embedding")
     hits = search.vector_topk(v.join(docs.select("id"), "id", "left_semi"), q, 3 * n).select("query_id", "id", "distance")
     cand = hits.join(docs.select("id", "document"), "id")
     queries = q.join(docs, F.col("query_id") == docs.id).select("query_id", F.substring("document", 1, 80).alias("query"))
@@ -167,7 +167,7 @@ def closet_boost(spark, sf_dir):
 
 @query(f"""WITH c AS (SELECT 1 AS query_id, doc_id AS id, text AS document FROM documents), q AS (SELECT 1 AS query_id, '{QUERY}' AS query), {_bm25_sql('c', 'q')},
 v AS (SELECT e.vec_id AS id, greatest(0.0, 1 - {COS.format('e.embedding', 'p.embedding')}) AS distance FROM embeddings e JOIN documents ON e.vec_id = doc_id, embeddings p WHERE p.vec_id = 1 ORDER BY distance, id LIMIT 10),
-k AS (SELECT id FROM bm25 ORDER BY bm25 DESC, id LIMIT 30)
+k AS (SELECT id FROM bm25 ORDER BY round(bm25, 9) DESC, id LIMIT 30)
 SELECT id, round(distance, 5) AS distance FROM v UNION ALL SELECT id, NULL FROM k WHERE id NOT IN (SELECT id FROM v)""")
 def candidate_union(spark, sf_dir):
     c = chunk_table(spark, sf_dir)
@@ -288,9 +288,6 @@ def contradictions(spark, sf_dir):
     return facts.contradictions(claims, tr, "1997-01-01")
 
 
-NAMES = "split_part(p_name, ' ', 1)"
-
-
 @query(f"""WITH w AS (SELECT DISTINCT word FROM (SELECT unnest(string_split(lower(r_name || ' ' || n_name), ' ')) AS word FROM nation JOIN region ON n_regionkey = r_regionkey)),
 a AS (SELECT word FROM w WHERE length(word) % 2 = 0), b AS (SELECT word FROM w WHERE length(word) % 2 = 1)
 SELECT a.word AS a, b.word AS b, CAST(levenshtein(a.word, b.word) AS INTEGER) AS distance FROM a, b WHERE levenshtein(a.word, b.word) BETWEEN 1 AND 2""")
