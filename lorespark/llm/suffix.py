@@ -26,7 +26,9 @@ SEGMENTS = "shard int, batch long, docs binary, keys binary, lens binary, body b
 SEGMENT_SCHEMA = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), *((k, pa.binary()) for k in ("docs", "keys", "lens", "body"))])
 #: Marks in answers about a segment's key: a smaller document holds all of it; its bytes are asked for.
 WHOLE, SEND = U(1 << 63), U(1 << 62)
-KEY = U((1 << 56) - 1)
+#: In answers a segment is named by the other bits of its content hash; they only tell a document's own segments apart.
+KEY = U((1 << 62) - 1)
+TAG = U(0xFFFFFF)
 
 
 def gram_hashes(b: np.ndarray, k: int) -> np.ndarray:
@@ -153,38 +155,36 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     shards = shard_count(d)
 
-    def contents(b: np.ndarray, start: np.ndarray, count: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """A key for each segment's bytes: 24 bits of its minimiser's hash, and 32 of one of its first and last windows
-        (which cover it) and its length. With the shard, keys have about as many bits to spare at any corpus size."""
+    def contents(b: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """64 bits of hash of each segment's first and last windows (which cover it) and its length, whatever its
+        minimiser, so that the many texts around one minimiser are told apart by all of them."""
         g = gram_hashes(b, width)
-        c = mix(g[start] * U(0x9FB21C651E98DF25) + g[start + count - 1] + count.astype(U))
-        return ((h & U(0xFFFFFF)) << U(32)) | (c >> U(32))
+        return mix(g[start] * U(0x9FB21C651E98DF25) + g[start + count - 1] + count.astype(U))
 
     def cut_up(b: np.ndarray, off: np.ndarray):
         row, start, count, h = segments(b, off, width, k)
-        return row, start, count, shards_of(h, shards), contents(b, start, count, h) if len(h) else h
+        return row, start, count, shards_of(h, shards), h & TAG, contents(b, start, count) if len(h) else h
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in numbered(batches):
             ids, _ = ids_of(batch)
-            row, _, _, shard, key = cut_up(*texts(batch.column("text")))
+            row, _, _, shard, tag, key = cut_up(*texts(batch.column("text")))
             doc = ids[row]
             order = np.lexsort((doc, key, shard))
-            doc, key, shard = doc[order], key[order], shard[order]
+            doc, key, shard, tag = doc[order], key[order], shard[order], tag[order]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])
             least = np.repeat(doc[new], np.diff(np.append(np.flatnonzero(new), len(key))))
             late = doc > least
             rows = []
             by_doc = np.argsort(doc[new], kind="stable")
-            for s, x in packed(shard[new][by_doc], [(doc[new][by_doc], "docs"), (key[new][by_doc], "keys")]):
-                d, q = np.frombuffer(x["docs"], np.int64), np.frombuffer(x["keys"], U)
+            for s, x in packed(shard[new][by_doc], [(doc[new][by_doc], "docs"), (key[new][by_doc], "keys"), (tag[new][by_doc].astype(np.uint32), "tags")]):
+                d, m = np.frombuffer(x["docs"], np.int64), np.frombuffer(x["tags"], np.uint32)
                 at = runs(d)
-                tag = (q >> U(32)).astype(np.uint32)
-                body = (tag & 0xFFFF).astype(np.uint16).tobytes() + (tag >> 16).astype(np.uint8).tobytes()
+                body = (m & 0xFFFF).astype(np.uint16).tobytes() + (m >> 16).astype(np.uint8).tobytes()
                 lens = np.diff(np.append(at, len(d))).astype(np.uint32)
-                rows.append({"shard": s, "batch": number, "docs": d[at].tobytes(), "keys": q.astype(np.uint32).tobytes(), "lens": lens.tobytes(), "body": body})
-            pairs = np.unique(np.stack([doc[late], key[late].view(np.int64)], 1), axis=0) if late.any() else np.zeros((0, 2), np.int64)
+                rows.append({"shard": s, "batch": number, "docs": d[at].tobytes(), "keys": x["keys"], "lens": lens.tobytes(), "body": body})
+            pairs = np.unique(np.stack([doc[late], (key[late] & KEY).view(np.int64)], 1), axis=0) if late.any() else np.zeros((0, 2), np.int64)
             rows += known_already(number, pairs[:, 0].copy(), pairs[:, 1].copy().view(U) | WHOLE, shards)
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, SEGMENT_SCHEMA)
@@ -195,24 +195,27 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
             if shard < 0:
                 yield passed_on(rows)
                 continue
-            docs, keys = [], []
+            docs, keys, minimisers = [], [], []
             for r in rows:
-                low, n = np.frombuffer(r["keys"], np.uint32), len(r["keys"]) // 4
-                tag = np.frombuffer(r["body"][: 2 * n], np.uint16).astype(U) | (np.frombuffer(r["body"][2 * n :], np.uint8).astype(U) << U(16))
-                keys.append((tag << U(32)) | low)
+                n = len(r["keys"]) // 8
+                keys.append(np.frombuffer(r["keys"], U))
+                minimisers.append(np.frombuffer(r["body"][: 2 * n], np.uint16).astype(np.uint32) | (np.frombuffer(r["body"][2 * n :], np.uint8).astype(np.uint32) << np.uint32(16)))
                 docs.append(np.repeat(np.frombuffer(r["docs"], np.int64), np.frombuffer(r["lens"], np.uint32)))
             blob = np.repeat(np.arange(len(rows)), [len(x) for x in keys])
-            doc, key = np.concatenate(docs), np.concatenate(keys)
-            order = np.lexsort((doc, key))
-            doc, key, blob = doc[order], key[order], blob[order]
-            first = runs(key)
+            doc, key, tag = np.concatenate(docs), np.concatenate(keys), np.concatenate(minimisers)
+            order = np.lexsort((doc, key, tag))
+            doc, key, tag, blob = doc[order], key[order], tag[order], blob[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (tag[1:] != tag[:-1])
+            first = np.flatnonzero(new)
             size = np.diff(np.append(first, len(key)))
             late = doc > np.repeat(doc[first], size)
-            tag = key[first] >> U(32)
+            tag = tag[first]
             edge = runs(tag)
             texts_of = np.repeat(np.diff(np.append(edge, len(tag))), np.diff(np.append(edge, len(tag))))
             asked = np.zeros(len(key), bool)
             asked[first[texts_of > 1]] = True
+            key &= KEY
             some = late | asked
             yield per_batch(blob[some], doc[some], np.where(late, key | WHOLE, key | SEND)[some], [r["batch"] for r in rows])
 
@@ -223,7 +226,8 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
                 continue
             ids, _ = ids_of(batch)
             b, off = texts(batch.column("text"))
-            row, start, count, shard, key = cut_up(b, off)
+            row, start, count, shard, _, key = cut_up(b, off)
+            key &= KEY
             hit = np.zeros(len(row), bool)
             bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
             for r, a in enumerate(found):
@@ -269,7 +273,8 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
             gone = np.zeros(len(b) + 1, np.int64)
             whole, part = answer_arrays(batch), answer_arrays(batch, U, 2, "masks")
             if any((a & WHOLE).any() for a in whole) or any(len(a) for a in part):
-                row, start, count, _, key = cut_up(b, off)
+                row, start, count, _, _, key = cut_up(b, off)
+                key &= KEY
                 bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
                 for r, (w, p) in enumerate(zip(whole, part)):
                     i, j = bounds[r], bounds[r + 1]

@@ -41,6 +41,16 @@ def test_repeated_bytes_equal_brute_force(docs, rows, width, k):
     assert key(tuple(r) for r in got) == key(brute.repeated_bytes(rows, width))
 
 
+def test_many_texts_around_one_minimiser_stay_apart(spark):
+    """With 32 bits to tell contexts apart, about ten of these documents would lose all their text."""
+    grams = np.random.default_rng(0).integers(97, 123, (1 << 20, 24)).astype(np.uint8)
+    h = suffix.gram_hashes(grams.ravel(), 24)[::24]
+    passage = grams[int(h.argmin())].tobytes().decode()  # the minimiser of nearly all windows that hold it
+    n = 300_000
+    texts = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.substring(F.sha2(F.col("id").cast("string").cast("binary"), 256), 1, 26), F.lit(passage)).alias("text"))
+    assert suffix.repeated_bytes(texts).where(F.octet_length("kept") < F.col("n_bytes")).count() == 0
+
+
 def test_logarithmic_family_levels_shrink():
     family = suffix.LogarithmicFamily(4)
     rng, seen = np.random.default_rng(0), set()
