@@ -3,7 +3,8 @@
 Documents are read as passages: two neighbouring blocks of BLOCK words, so that passages overlap by half. With A the
 TF-IDF matrix of all passages over the benchmark's words, a randomised SVD takes one pass: A^T (A G) for a random G, one
 partial product per partition, gives the leading right singular vectors by Nystrom's formula; they span the latent
-space. Passages whose latent vector points the way of an item's are candidates. A candidate counts if enough of the
+space. Items longer than a passage are cut into overlapping parts of a passage's size. Passages whose latent vector
+points the way of an item's or of one of its parts' are candidates. A candidate counts if enough of the
 item's words follow each other in the passage's surroundings and enough of its most telling words (the answer) occur.
 """
 
@@ -115,6 +116,23 @@ def summed(df: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], np.ndarr
     return sum((np.frombuffer(r["a"], np.float64).reshape(shape) for r in rows), np.zeros(shape))
 
 
+def parts_of(words: np.ndarray) -> list[np.ndarray]:
+    """An item as a whole and, if it is longer than a passage, in parts of a passage's size that overlap by half."""
+    most = 2 * BLOCK
+    if len(words) <= most:
+        return [words]
+    return [words, *(words[i : i + most] for i in [*range(0, len(words) - most, BLOCK), len(words) - most])]
+
+
+def near_enough(w: np.ndarray, off: np.ndarray, first: np.ndarray, wanted: np.ndarray, reach: int, least: int) -> np.ndarray:
+    """Which passages have at least `least` wanted words within themselves and `reach` words around."""
+    total = np.append(0, np.cumsum(wanted[w]))
+    n = np.diff(first)
+    start = np.repeat(off[:-1], n) + (np.arange(first[-1]) - np.repeat(first[:-1], n)) * BLOCK
+    lo, hi = np.maximum(np.repeat(off[:-1], n), start - reach), np.minimum(np.repeat(off[1:], n), start + 2 * BLOCK + reach)
+    return total[hi] - total[lo] >= least
+
+
 def lcs(masks: dict[int, int], length: int, sequence: list[int]) -> int:
     """Length of the longest common subsequence with an item, given where each word stands in it, bit by bit."""
     full = (1 << length) - 1
@@ -175,7 +193,7 @@ def find_leaks(
     lcs: share of the item's words found in order within the passage and one item length around it; answer: share of
     the third of its distinct words that are rarest in the corpus. start and end are word positions of the passage with
     the best lcs. Both shares must reach their limits. Terms in more than `max_df` of all blocks don't enter the latent
-    space, except the eight rarest of each item; document frequencies and the space come from all passages.
+    space, except the eight rarest of each item and of parts without any; document frequencies and the space come from all passages.
 
     Null texts and items without words match nothing; items with null ids are left out; rows with null ids are
     searched and keep their null; repeated ids each give rows; an empty benchmark gives no rows. The benchmark must not
@@ -210,9 +228,14 @@ def find_leaks(
     df, n_blocks = counts[:size], counts[size]
     weight = np.log((n_blocks + len(items)) / (df + 1))
     usable = df <= max_df * n_blocks
+    pieces = [(i, part) for i, w in enumerate(numbers) for part in parts_of(w)]
     for w in numbers:
         distinct = np.unique(w)
         usable[distinct[np.argsort(df[distinct], kind="stable")[:8]]] = True
+    for _, w in pieces:
+        distinct = np.unique(w)
+        if not usable[distinct].any():
+            usable[distinct[np.argsort(df[distinct], kind="stable")[:8]]] = True
     weight = np.where(usable, np.maximum(weight, 1e-3), 0).astype(np.float32)
     rare = np.append(usable, False)
     width = min(rank + 8, size)
@@ -258,7 +281,8 @@ def find_leaks(
     # Divided by the root of the singular values, frequent words' directions don't drown an item's own.
     scale = np.maximum(values, 1e-6 * max(values[0], 1e-12)) ** -0.5
     space = (vectors * weight[:, None] * scale).astype(np.float32)
-    latent = np.stack([space[np.unique(w)].sum(0) for w in numbers])
+    latent = np.stack([space[np.unique(w)].sum(0) for _, w in pieces])
+    item_starts = np.flatnonzero(np.diff([i for i, _ in pieces], prepend=-1))
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     lengths = [len(w) for w in numbers]
     masks, answers = [], []
@@ -269,8 +293,12 @@ def find_leaks(
         masks.append(m)
         distinct = sorted(m, key=lambda c: (df[c], c))
         answers.append(set(distinct[: max(1, len(distinct) // 3)]))
-    # A passage that holds an item to `least_lcs`, in halves at worst, has at least this many of its usable words.
-    floor = max(1, int(min(usable[np.unique(w)].sum() for w in numbers) * least_lcs / 2))
+    # Whatever the item, a match needs so many of its words and of its answer's around the passage; fewer rule it out.
+    reach = max(lengths)
+    known, telling = np.append(np.ones(size, bool), False), np.zeros(size + 1, bool)
+    telling[list(set().union(*answers))] = True
+    least_known = min(int(np.ceil(least_lcs * n - 1e-9)) for n in lengths)
+    least_telling = min(int(np.ceil(least_answer * len(a) - 1e-9)) for a in answers)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -279,12 +307,14 @@ def find_leaks(
             keep = rare[w]
             in_block, at = once_per_block(block[keep], w[keep], size)
             many = np.bincount(in_block, minlength=int(first[-1]))
-            some = np.flatnonzero(passage_sums(many[:, None], first)[:, 0] >= floor)
+            possible = passage_sums(many[:, None], first)[:, 0] > 0  # a passage without usable words has no direction
+            possible &= near_enough(w, off, first, known, reach, least_known) & near_enough(w, off, first, telling, reach, least_telling)
+            some = np.flatnonzero(possible)
             z = passage_sums(block_sums(in_block, int(first[-1]), space[at]), first)[some]
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
             rows = []
             if len(some):
-                cos = z @ latent.T
+                cos = np.maximum.reduceat(z @ latent.T, item_starts, axis=1)
                 p, i = np.nonzero(cos >= cosine)
                 doc = np.searchsorted(first, some[p], "right") - 1
                 best: dict[tuple[int, int], tuple] = {}

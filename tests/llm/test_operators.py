@@ -270,6 +270,23 @@ def test_leaks_are_found_and_clean_text_is_not(spark):
     assert got == want | {(902, 3), (None, 4)}
 
 
+def test_leaks_of_long_items(spark):
+    """Items of 100 to 500 words, copied in full or with a quarter of the words changed."""
+    rng = np.random.default_rng(16)
+    words = ["".join(rng.choice(list("abcdefghilmnoprstu"), rng.integers(3, 9))) for _ in range(6000)]
+    items = [(i, " ".join(rng.choice(words, n))) for i, n in enumerate([100, 150, 220, 300, 400, 500])]
+    docs, want = [], set()
+    for i in range(120):
+        w = list(rng.choice(words, rng.integers(30, 300)))
+        if i % 5 == 0:
+            item = items[i // 5 % 6]
+            w[10:10] = [f"other{j}" if i % 2 and rng.random() < 0.25 else x for j, x in enumerate(item[1].split())]
+            want.add((i, item[0]))
+        docs.append((i, " ".join(w)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(frame(spark, docs), bench).collect()} == want
+
+
 def test_lcs_bits():
     rng = np.random.default_rng(8)
     for _ in range(200):
