@@ -491,10 +491,18 @@ def greedy_dedup(spark, sf_dir):
 g AS (SELECT DISTINCT a.id AS x, b.id AS y FROM l a JOIN l b USING (k) WHERE a.id // 24 = b.id // 24),
 w AS (SELECT id AS x, id AS y FROM p WHERE id < 240 UNION SELECT w.x, g.y FROM w JOIN g ON w.y = g.x) SELECT x AS id, min(y) AS person FROM w GROUP BY x""")
 def identity_components(spark, sf_dir):
+    return neardup.identities(_people(t(spark, sf_dir, "customer").where("c_custkey < 240")))
+
+
+@query()
+def identity_components_all(spark, sf_dir):
+    return neardup.identities(_people(t(spark, sf_dir, "customer")))
+
+
+def _people(customers: DataFrame) -> DataFrame:
     i = F.col("c_custkey")
     block = F.floor(i / 24).cast("string")
-    p = t(spark, sf_dir, "customer").where("c_custkey < 240").select(i.alias("id"), F.concat_ws(".", block, F.floor(i / 3).cast("string")).alias("name"), F.concat_ws(".", block, F.floor((i + 1) / 4).cast("string")).alias("email"))
-    return neardup.identities(p)
+    return customers.select(i.alias("id"), F.concat_ws(".", block, F.floor(i / 3).cast("string")).alias("name"), F.concat_ws(".", block, F.floor((i + 1) / 4).cast("string")).alias("email"))
 
 
 # --- evaluation --------------------------------------------------------------------------------------------------------
