@@ -121,13 +121,13 @@ def near_duplicates(spark, sf_dir):
     return search.duplicates(v, probe, threshold=0.3).select("id", "similarity")
 
 
-def _hybrid(spark, sf_dir, n=10):
+def _hybrid(spark, sf_dir, n=10, asked="id % 100 = 1", query_text="substring(document, 1, 80)"):
     v = _vectors(spark, sf_dir)
     docs = chunk_table(spark, sf_dir)
-    q = v.where("id % 100 = 1").join(docs.select("id"), "id", "left_semi").select(F.col("id").alias("query_id"), "embedding")
+    q = v.where(asked).join(docs.select("id"), "id", "left_semi").select(F.col("id").alias("query_id"), "embedding")
     hits = search.vector_topk(v.join(docs.select("id"), "id", "left_semi"), q, 3 * n).select("query_id", "id", "distance")
     cand = hits.join(docs.select("id", "document"), "id")
-    queries = q.join(docs, F.col("query_id") == docs.id).select("query_id", F.substring("document", 1, 80).alias("query"))
+    queries = q.join(docs, F.col("query_id") == docs.id).select("query_id", F.expr(query_text).alias("query"))
     return search.hybrid_rank(cand, queries).where(F.col("rank") <= n)
 
 
@@ -144,7 +144,16 @@ SELECT query_id, rank, id, round(bm25, 5) AS bm25, round(score, 5) AS score FROM
 
 @query(HYBRID)
 def hybrid_rank(spark, sf_dir):
-    return _hybrid(spark, sf_dir).select("query_id", F.col("rank").cast("long").alias("rank"), "id", F.round("bm25", 5).alias("bm25"), F.round("score", 5).alias("score"))
+    return _listed(_hybrid(spark, sf_dir))
+
+
+@query()
+def hybrid_rank_all(spark, sf_dir):
+    return _listed(_hybrid(spark, sf_dir, asked="id % 50 = 0", query_text="document"))
+
+
+def _listed(ranked: DataFrame) -> DataFrame:
+    return ranked.select("query_id", F.col("rank").cast("long").alias("rank"), "id", F.round("bm25", 5).alias("bm25"), F.round("score", 5).alias("score"))
 
 
 @query(f"""WITH q AS (SELECT vec_id AS query_id, embedding FROM embeddings WHERE vec_id % 100 = 2),
@@ -156,9 +165,18 @@ first AS (SELECT query_id, source_file, min(r) AS r, arg_min(distance, r) AS cd
 b AS (SELECT h.query_id, h.id, h.distance, coalesce(CASE WHEN f.r <= 5 AND cd <= 1.5 THEN [0.40,0.25,0.15,0.08,0.04][f.r] END, 0) AS boost FROM hits h LEFT JOIN first f USING (query_id, source_file))
 SELECT query_id, id, round(CAST(boost AS DOUBLE), 2) AS boost, round(greatest(0.0, least(2.0, distance - CAST(boost AS DOUBLE))), 5) AS effective FROM b""")
 def closet_boost(spark, sf_dir):
+    return _closet_boost(spark, sf_dir, "id % 100 = 2")
+
+
+@query()
+def closet_boost_all(spark, sf_dir):
+    return _closet_boost(spark, sf_dir, "id % 50 = 0")
+
+
+def _closet_boost(spark, sf_dir, asked):
     d = t(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("source_file"))
     v = _vectors(spark, sf_dir).join(d, "id")
-    q = _vectors(spark, sf_dir).where("id % 100 = 2").select(F.col("id").alias("query_id"), "embedding")
+    q = _vectors(spark, sf_dir).where(asked).select(F.col("id").alias("query_id"), "embedding")
     files = v.select("id", "source_file")
     hits = search.vector_topk(v.where("id % 10 <> 0"), q, 15).select("query_id", "id", "distance").join(files, "id")
     closets = search.vector_topk(v.where("id % 10 = 0"), q, 10).join(files, "id")
@@ -283,8 +301,17 @@ def facts_add(spark, sf_dir):
 SELECT DISTINCT 'relationship_mismatch' AS kind, subject, predicate, object, known FROM m WHERE known <> predicate AND valid_to IS NULL
 UNION ALL SELECT DISTINCT 'stale_fact', subject, predicate, object, known FROM m WHERE known = predicate AND valid_to < '1997-01-01'""")
 def contradictions(spark, sf_dir):
+    return _contradictions(spark, sf_dir, "id % 50 = 1")
+
+
+@query()
+def contradictions_all(spark, sf_dir):
+    return _contradictions(spark, sf_dir, "true")
+
+
+def _contradictions(spark, sf_dir, claimed):
     tr, _ = fact_tables(spark, sf_dir)
-    claims = tr.where("id % 50 = 1").select("subject", F.lit("f").alias("predicate"), "object").distinct()
+    claims = tr.where(claimed).select("subject", F.lit("f").alias("predicate"), "object").distinct()
     return facts.contradictions(claims, tr, "1997-01-01")
 
 
@@ -346,7 +373,16 @@ def traverse_hops(spark, sf_dir):
 @query("""WITH tt AS (SELECT DISTINCT lang AS wing, lower(trim(source)) AS key, trim(source) AS topic FROM documents WHERE doc_id % 3 = 0 OR lang = 'en'), m AS (SELECT a.wing AS wing_a, b.wing AS wing_b, 'topic:' || a.topic AS room FROM tt a JOIN tt b USING (key) WHERE a.wing < b.wing)
 SELECT wing_a, wing_b, room, count(*) OVER (PARTITION BY wing_a, wing_b) AS shared FROM m""")
 def topic_tunnels(spark, sf_dir):
-    d = t(spark, sf_dir, "documents").where("doc_id % 3 = 0 or lang = 'en'").select(F.col("lang").alias("wing"), F.col("source").alias("topic")).distinct()
+    return _topic_tunnels(t(spark, sf_dir, "documents").where("doc_id % 3 = 0 or lang = 'en'"))
+
+
+@query()
+def topic_tunnels_all(spark, sf_dir):
+    return _topic_tunnels(t(spark, sf_dir, "documents"))
+
+
+def _topic_tunnels(docs):
+    d = docs.select(F.col("lang").alias("wing"), F.col("source").alias("topic")).distinct()
     return graph.topic_tunnels(d)
 
 
@@ -520,9 +556,18 @@ def _ranked(spark, sf_dir):
 @query(f"""WITH {TOP}, rel AS (SELECT q.vec_id AS query_id, e.vec_id AS id FROM embeddings q JOIN embeddings e ON e.label = q.label AND e.vec_id % 25 = 0 WHERE q.vec_id % 50 = 0),
 h AS (SELECT rel.query_id, CASE WHEN top.id IS NULL THEN 0 ELSE 1 END AS hit FROM rel LEFT JOIN top ON top.query_id = rel.query_id AND top.id = rel.id) SELECT query_id, max(hit) > 0 AS any_hit, min(hit) > 0 AS all_hit, round(avg(hit), 6) AS share FROM h GROUP BY 1""")
 def recall_at_k(spark, sf_dir):
+    return _recall_at_k(spark, sf_dir, "vec_id % 25 = 0")
+
+
+@query()
+def recall_at_k_all(spark, sf_dir):
+    return _recall_at_k(spark, sf_dir, "true")
+
+
+def _recall_at_k(spark, sf_dir, counted):
     e = t(spark, sf_dir, "embeddings").select("vec_id", "label")
     q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "label")
-    relevant = q.join(e.where("vec_id % 25 = 0").withColumnRenamed("vec_id", "id"), "label").select("query_id", "id")
+    relevant = q.join(e.where(counted).withColumnRenamed("vec_id", "id"), "label").select("query_id", "id")
     return evaluate.recall_at_k(_ranked(spark, sf_dir), relevant, 10).withColumn("share", F.round("share", 6))
 
 
