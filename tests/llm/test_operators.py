@@ -330,6 +330,29 @@ def test_neighbours_recall_ties_and_odd_vectors(spark, monkeypatch):
     assert got[2600] == [(1, 2700, 0.5)] and got[2700] == [(1, 2600, 0.5)]
 
 
+def test_neighbours_keep_rows_that_share_an_id_or_a_vector(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [4.0, 0.0]), (5, [1.0, 0.0]), (6, [1.0, 3.0])]
+    got = sorted((r.query_id, r.score, r["rank"], r.vec_id) for r in ann.nearest(vectors(spark, rows), k=10).collect())
+    first = [(0, 0.0, 1, 0), (0, 0.0, 2, 5), (0, 3.0, 3, 0), (0, 3.0, 4, 6)]
+    second = [(0, 3.0, 1, 0), (0, 3.0, 2, 0), (0, 3.0, 3, 5), (0, 18**0.5, 4, 6)]
+    assert got == sorted(first + second)
+
+
+@pytest.mark.parametrize("unit", [True, False])
+def test_collisions_spare_most_exact_distances(unit):
+    """Unclustered vectors are the hardest case: the tenth neighbour is hardly nearer than the rest."""
+    x = np.random.default_rng(12).standard_normal((4096, 64))
+    if unit:
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index, hit = ann.CollisionIndex(np.arange(4096), x), 0
+    for q in range(0, 4096, 100):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        hit += len(set(np.argsort(d)[:10].tolist()) & {i for _, i in index.search(x[q], q, 10)})
+    assert hit >= 0.9 * 410
+    assert index.verified < 0.1 * 41 * 4096
+
+
 def test_empty_tables(spark, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     lengths = tokens.token_lengths(empty)
