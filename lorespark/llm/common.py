@@ -21,15 +21,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the reliable checkpoint directory and go on from there.
 
-    A cluster names a shared folder in `spark.checkpoint.dir`; where it is unset (tests), a temporary one is set.
+    A cluster names a shared folder in `spark.checkpoint.dir`. Where it is unset, a local session takes a temporary
+    folder; a session with executors elsewhere is refused, since they could not recover from one.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "lorespark-checkpoints"))
     return df.checkpoint(eager=True)
 
 
+def unused(names: list[str], wish: str) -> str:
+    """`wish`, lengthened until no column has that name in any case."""
+    taken = {n.lower() for n in names}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """Just these columns, so that extra ones never clash with an operator's own names."""
     return df.select(*[F.col(f"`{n}`") for n in names])

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import cut_lineage, shuffle_partitions
 from .tokens import crc32_of, default_vocabulary, encoded
 
 END_ID = 1
@@ -71,8 +71,9 @@ def pack(
     """Pack every document, ended by id 1, into sequences of at most `sequence_length` ids.
 
     A document is cut at multiples of `sequence_length`; whole pieces fill a sequence each, and the rest is packed
-    first-fit decreasing inside random groups of `group_pieces` pieces. Groups come from a hash of (id, seed, checksum,
-    start), so copies and neighbours spread; a task holds one group at a time and tasks are independent.
+    first-fit decreasing inside random groups of about `group_pieces` pieces. The pieces are written once, so that their
+    number, and with it the number of groups, is known whatever Spark's settings; each then draws its group, so copies
+    and neighbours spread. A task holds one group at a time and groups are independent.
 
     payload: "ids" returns the pieces' ids (array<int>), "crc32" only their checksum, made before the shuffle.
     Null text counts as empty: one piece with the end id alone. Repeated rows are packed as often as they occur; null
@@ -96,39 +97,37 @@ def pack(
             columns = [pa.array(x, pa.int64()) for x in (doc, start, length, crc, total)] + [pa.array(body, pa.binary())] * raw
             yield pa.RecordBatch.from_arrays(columns, ["id", "start", "length", "crc", "total", *["body"] * raw])
 
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
-        held, n = [], 0
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+        held: list[pa.RecordBatch] = []
         for b in batches:
-            while b.num_rows:
-                part = b.slice(0, group_pieces - n)
-                b = b.slice(part.num_rows)
-                held.append(part)
-                n += part.num_rows
-                if n == group_pieces:
-                    yield held
-                    held, n = [], 0
+            g = b.column("g").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(g)) + 1).tolist(), b.num_rows] if b.num_rows else []
+            for i, j in zip(cuts, cuts[1:]):
+                if held and held[-1].column("g")[0].as_py() != int(g[i]):
+                    yield held[-1].column("g")[0].as_py(), pa.Table.from_batches(held)
+                    held = []
+                held.append(b.slice(i, j - i))
         if held:
-            yield held
+            yield held[-1].column("g")[0].as_py(), pa.Table.from_batches(held)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        sequence = TaskContext.get().partitionId() << 40
-        for held in groups(batches):
-            t = pa.Table.from_batches(held).combine_chunks()
+        for g, t in groups(batches):
             lengths = t.column("length").to_numpy()
             bins, offsets = first_fit_decreasing(lengths, sequence_length)
             used = np.bincount(bins, weights=lengths).astype(np.int64)
             out = [t.column(c) for c in ("id", "start", "length")] + [t.column("body" if raw else "crc")]
-            out += [t.column("total"), pa.array(bins + sequence), pa.array(offsets), pa.array(used[bins])]
-            sequence += len(used)
+            out += [t.column("total"), pa.array(bins + (g << 32)), pa.array(offsets), pa.array(used[bins])]
             yield from pa.table(out, ["id", "start", "length", "load", "doc_tokens", "sequence_id", "offset", "sequence_tokens"]).to_batches(2048)
 
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     pieces = d.mapInArrow(cut, "id long, start long, length long, crc long, total long" + ", body binary" * raw)
-    order = ["r", "id", "start", "crc", "total"]
-    pieces = pieces.withColumn("r", F.xxhash64("id", "start", "crc", F.lit(seed)))
-    pieces = pieces.repartition(shuffle_partitions(docs.sparkSession), *order[:4]).sortWithinPartitions(*order).drop("r")
+    pieces = cut_lineage(pieces)
+    partial = pieces.where(F.col("length") < sequence_length)
+    n_groups = max(1, -(-partial.count() // group_pieces))
+    tasks = max(1, min(n_groups, max(shuffle_partitions(docs.sparkSession), -(-n_groups // 64))))
+    # Drawn on the written pieces, the group of a row stays the same when its task runs again.
+    dealt = pieces.withColumn("g", F.floor(F.rand(seed) * n_groups))
+    pieces = dealt.repartition(tasks, "g").sortWithinPartitions("g", "id", "start", "crc", "total")
     load = "binary" if raw else "long"
     placed = pieces.mapInArrow(place, f"id long, start long, length long, load {load}, doc_tokens long, sequence_id long, offset long, sequence_tokens long")
     if raw:
