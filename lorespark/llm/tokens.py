@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut_lineage
+
 #: The vocabulary's only special token; the reference encoder recognises its string in a text.
 SPECIAL = "<|endoftext|>"
 #: A run without a space longer than this goes to the encoder whose merges stay near-linear.
@@ -75,19 +77,20 @@ def token_lengths(docs: DataFrame, vocabulary: str | None = None, id_col: str =
     return d.mapInArrow(run, "id long, n_tokens long").withColumnRenamed("id", id_col)
 
 
-def length_histogram(lengths: DataFrame, block: int = 1024) -> DataFrame:
+def length_histogram(lengths: DataFrame, block: int = 128) -> DataFrame:
     """The exact histogram of `n_tokens`, with suffix sums that answer every context limit.
 
     One row per distinct length n (nulls are left out; an empty table gives no rows): n_docs and n_tokens_sum of that
     length; docs_at_least and tokens_at_least (suffix sums); truncated_total: tokens kept when every document is cut at
     n, which is the sum of those shorter plus n for each one at least as long; quantile: share of documents of at most
-    n tokens. Answers between two lengths follow by linear interpolation of truncated_total, so the table is complete.
+    n tokens. `at_limits` answers any other limit from this table.
 
-    The counts are combined before the only data-sized shuffle. Suffix sums run in two levels, over blocks of `block`
+    The corpus is read and encoded once: the counts are combined before the only data-sized shuffle, and what comes of
+    it (a row per distinct length) is written before both levels of sums read it. Suffix sums run in two levels, over blocks of `block`
     lengths and inside each block, so no task sees more than `block` rows or one row per block.
     """
     h = lengths.where(F.col("n_tokens").isNotNull()).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
-    h = h.withColumn("blk", F.expr(f"n_tokens div {int(block)}")).withColumn("n_tokens_sum", F.col("n_tokens") * F.col("n_docs"))
+    h = cut_lineage(h).withColumn("blk", F.expr(f"n_tokens div {int(block)}")).withColumn("n_tokens_sum", F.col("n_tokens") * F.col("n_docs"))
     blocks = h.groupBy("blk").agg(F.sum("n_docs").alias("bd"), F.sum("n_tokens_sum").alias("bt"))
     after = Window.orderBy(F.col("blk").desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -107,6 +110,28 @@ def length_histogram(lengths: DataFrame, block: int = 1024) -> DataFrame:
     )
 
 
+def at_limits(histogram: DataFrame, limits: list[int]) -> DataFrame:
+    """For each context limit, from `length_histogram`: n_docs and n_tokens_sum (of all documents), docs_over (longer
+    than the limit), truncated_total (tokens left when every document is cut there) and lost (tokens cut off).
+
+    One pass over the histogram, with one sum per limit; repeated limits give one row each, no limits no rows, and an
+    empty histogram zeros. Limits must be at least 0.
+    """
+    if any(x < 0 for x in limits):
+        raise ValueError("limits must be at least 0")
+    spark = histogram.sparkSession
+    if not limits:
+        return spark.createDataFrame([], "context_limit long, n_docs long, n_tokens_sum long, docs_over long, truncated_total long, lost long")
+    n, docs = F.col("n_tokens"), F.col("n_docs")
+
+    def total(x):
+        return F.coalesce(F.sum(x), F.lit(0))
+
+    answers = [F.struct(F.lit(x).cast("long").alias("context_limit"), total(F.when(n > x, docs)).alias("docs_over"), total(F.least(n, F.lit(x)) * docs).alias("truncated_total")) for x in limits]
+    one = histogram.agg(total(docs).alias("n_docs"), total(F.col("n_tokens_sum")).alias("n_tokens_sum"), F.array(*answers).alias("a"))
+    return one.select("n_docs", "n_tokens_sum", F.explode("a").alias("a")).select("a.context_limit", "n_docs", "n_tokens_sum", "a.docs_over", "a.truncated_total", (F.col("n_tokens_sum") - F.col("a.truncated_total")).alias("lost"))
+
+
 def crc32_of(ids: np.ndarray) -> int:
     import zlib
 
