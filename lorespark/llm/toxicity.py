@@ -2,8 +2,10 @@
 
 The kernel counts the subsequences of ORDER characters that two strings share, gaps included: an occurrence with g
 skipped characters counts decay**g, up to MAX_GAP. So an insult with a character put in, doubled or left out still
-shares most of its subsequences. A text is toxic if one fragment of one sentence is: its score is that of its best
-fragment (a word, or letters spelled out one by one), so length does not dilute it.
+shares most of its subsequences. Labels are given to documents and so to their sentences, but most sentences of a toxic
+document are clean: a sentence is a bag of fragments (words, letters spelled out one by one, and telling pairs of words)
+and is as toxic as its worst fragment, a document as its worst sentence. The machine is trained on such bags: in turns,
+each bag names the fragment that witnesses for it, and the machine is fitted on the witnesses.
 """
 
 from __future__ import annotations
@@ -30,13 +32,19 @@ LONGEST = 24
 SENTENCE = re.compile(r"[.!?\n]+")
 EDGES = "\"'.,;:!?()[]{}<>*_-~`|/\\"
 CACHE = 400_000
+#: Odd multiplier of the 64-bit code of a subsequence, whatever its characters.
+CODE = U(0x9E3779B97F4A7C15)
 
 
-def fragments(text: str) -> set[str]:
+def fragments(text: str, heads: frozenset[str] | None = frozenset()) -> set[str]:
     """Lower-case fragments of a text: words without outer punctuation, the same without inner punctuation, runs of at
-    least three single characters as one word; long ones as overlapping parts of at most LONGEST characters."""
+    least three single characters as one word, and neighbouring words whose first one is in `heads` (None: all
+    neighbouring words); long ones as overlapping parts of at most LONGEST characters."""
     tokens = text.lower().split()
     out = set()
+    if heads is None or heads:
+        plain = [t.strip(EDGES) for t in tokens]
+        out.update(f"{a} {b}" for a, b in zip(plain, plain[1:]) if a and b and (heads is None or a in heads))
     for t in set(tokens):
         t = t.strip(EDGES)
         if len(t) > 1:
@@ -58,19 +66,17 @@ def fragments(text: str) -> set[str]:
 
 def occurrences(units: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """(unit, subsequence code, weight) for each pattern of gaps; units are marked at both ends."""
-    c = np.frombuffer("\0".join(f"^{u}$" for u in units).encode("utf-32-le", "surrogatepass"), np.uint32)
-    owner = np.cumsum(c == 0)
-    c16 = (c & 0xFFFF).astype(U)
+    c = np.frombuffer("".join(f"^{u}$" for u in units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U)
+    owner = np.repeat(np.arange(len(units)), [len(u) + 2 for u in units])
     for span in range(ORDER, ORDER + 1 + MAX_GAP):
         n = len(c) - span + 1
         if n <= 0:
             continue
         ok = np.flatnonzero(owner[:n] == owner[span - 1 :][:n])
-        ok = ok[c[ok] != 0]
         for inner in combinations(range(1, span - 1), ORDER - 2):
-            code = c16[ok]
+            code = c[ok]
             for step in (*inner, span - 1):
-                code = (code << U(16)) | c16[ok + step]
+                code = code * CODE + c[ok + step]
             yield owner[ok], code, DECAY ** (span - ORDER)
 
 
@@ -148,6 +154,7 @@ class ToxicityModel:
     slope: float = 1.0
     shift: float = 0.0
     landmarks: list[str] = field(default_factory=list)
+    heads: frozenset[str] = frozenset()
 
     def units(self, units: list[str]) -> np.ndarray:
         """Margins of fragments."""
@@ -163,7 +170,7 @@ class ToxicityModel:
 
     def texts(self, texts: list[str | None], known: dict[str, float]) -> np.ndarray:
         """Margin of each text's best fragment; one without fragments has the margin of one that shares nothing."""
-        sets = [fragments(t or "") for t in texts]
+        sets = [fragments(t or "", self.heads) for t in texts]
         new = list(set().union(*sets).difference(known)) if sets else []
         if len(known) + len(new) > CACHE:
             known.clear()
@@ -172,6 +179,11 @@ class ToxicityModel:
             known.update(zip(new[i : i + 50_000], self.units(new[i : i + 50_000]).tolist()))
         return np.array([max(map(known.__getitem__, s), default=self.bias) for s in sets])
 
+    def witnesses(self, sentences: list[str], known: dict[str, float]) -> list[tuple[float, str]]:
+        """(margin, fragment) of each sentence's worst fragment; (bias, "") for one without fragments."""
+        self.texts(sentences, known)
+        return [max(((known[f], f) for f in fragments(s, self.heads)), default=(self.bias, "")) for s in sentences]
+
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -50, 50)))
 
@@ -192,14 +204,19 @@ def _calibrate(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[f
     return float(b[0]), float(b[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, clean_label: int = 8000, landmarks: int = 256, mined: int = 1500, hold_out: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, clean_label: int = 8000, landmarks: int = 256, per_round: int = 4000, rounds: int = 3, hold_out: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Fit the machine on labelled sentences of at most `per_label` toxic and `clean_label` other documents.
 
     Documents whose crc32(id as text) is divisible by `hold_out` are never used (0: all may be). The sample is the ids
-    with the smallest hashes. Sentences inherit their document's label; fragments that toxic sentences favour are the
-    positive examples, together with disguised forms, and the most frequent and some random fragments of clean
-    sentences the negative ones. Landmarks are chosen among both. Rows with null ids or labels are left out; a document
-    labelled twice counts as toxic if one label says so. Without labels of both kinds every score is that share.
+    with the smallest hashes; what follows is bounded by it. Sentences inherit their document's label. The first
+    witnesses are the fragments that toxic sentences favour beyond chance, and the most frequent and some random
+    fragments of clean sentences; landmarks are chosen among both. Then, in each round, every toxic document names the
+    worst fragment of its worst sentence (dropped if the machine finds it clean: labels may be wrong) and every clean
+    sentence its worst fragment, and the machine is fitted again, on disguised forms of the toxic witnesses too. Of each
+    kind of clean witness the `per_round` heaviest are kept, a bound on labelled rows as `clean_label` is.
+
+    Rows with null ids or labels are left out; a document labelled twice counts as toxic if one label says so. Without
+    labels of both kinds, or without sentences under them, every score is the share of toxic labels.
     """
     key = F.col(f"`{id_col}`").cast("long")
     known = labels.select(key.alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("y")).where("doc_id is not null and y is not null")
@@ -223,38 +240,44 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, clean_label
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(y, u) for y, s in zip(b.column("y").to_pylist(), b.column("s").to_pylist()) for u in fragments(s)]
+            rows = [(y, u) for y, s in zip(b.column("y").to_pylist(), b.column("s").to_pylist()) for u in fragments(s, None)]
             yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in rows], pa.int64()), pa.array([u for _, u in rows], pa.string())], ["y", "unit"])
 
+    prior = ToxicityModel(slope=0.0, shift=float(np.log(n1 / (n - n1))))
     # Each sentence counts once, so that copies of a document don't vouch for its rare words.
     labelled = sample.select("y", "text").mapInArrow(sentences, "y long, s string").groupBy("s").agg(F.min("y").alias("y"))
     counts = cut_lineage(labelled.select("y", "s").mapInArrow(units, "y long, unit string").groupBy("unit").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")))
     distinct, a1, b1 = counts.agg(F.count(F.lit(1)), F.sum("a"), F.sum("b")).first()
+    if not distinct or not a1 or not b1:
+        return prior
     share1 = min(max(a1 / (a1 + b1), 1e-6), 1 - 1e-6)
     both, q = F.col("a") + F.col("b"), F.col("a") / (F.col("a") + F.col("b"))
     divergence = q * F.log(q / share1) + F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - share1))).otherwise(0.0)
     rate = q / share1
     # So unlikely by chance that less than one of all fragments would be.
     telling = counts.where(q > share1).where(both * divergence > float(np.log(distinct) + 2)).where(q > 0.8)
-    positive = [(r["unit"], r["a"]) for r in telling.where(F.length("unit") > 2).orderBy(F.desc("a"), "unit").limit(mined).collect()]
-    clean = counts.where(F.col("b") > 0).where(rate < 1.5)
-    negative = {r["unit"]: r["b"] for r in clean.orderBy(F.desc("b"), "unit").limit(mined).collect()}
-    negative |= {r["unit"]: r["b"] for r in clean.orderBy(F.xxhash64("unit"), "unit").limit(2 * mined).collect()}
-    if not positive or not negative:
-        return ToxicityModel(slope=0.0, shift=float(np.log(n1 / (n - n1))))
-    marks = [u for u, _ in positive[: 3 * landmarks // 4]]
+    told = {r["unit"]: r["a"] for r in telling.where(F.length("unit") > 2).orderBy(F.desc("a"), "unit").collect()}
+    # A pair says nothing new if one of its words tells as much.
+    first = {u: c for u, c in told.items() if " " not in u or not any(w in told for w in u.split())}
+    clean = counts.where(F.col("b") > 0).where(rate < 1.5).where(~F.contains("unit", F.lit(" ")))
+    negative = {r["unit"]: r["b"] for r in clean.orderBy(F.desc("b"), "unit").limit(per_round).collect()}
+    negative |= {r["unit"]: r["b"] for r in clean.orderBy(F.xxhash64("unit"), "unit").limit(per_round).collect()}
+    if not first or not negative:
+        return prior
+    marks = list(first)[: 3 * landmarks // 4]
     marks += list(negative)[: landmarks // 8] + list(negative)[-(landmarks // 8) :]
     marks = list(dict.fromkeys(marks))
+    heads = frozenset(u.split()[0] for u in first if " " in u)
     gram = kernel(marks, marks)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     keep = values > 1e-6 * values[-1]
     whiten = vectors[:, keep] / np.sqrt(values[keep])  # features of x: k(x, landmarks) @ whiten
     lo, lc, lv = features(marks)
-    first = runs(lc)
+    at = runs(lc)
 
-    def fit() -> ToxicityModel:
+    def fit(positive: dict[str, float]) -> ToxicityModel:
         xs, ys, ws = [], [], []
-        for u, c in positive:
+        for u, c in positive.items():
             for v in (u, *(disguised(u, 1) if len(u) > 3 else ())):
                 xs.append(v), ys.append(1.0), ws.append(np.sqrt(c))
         for u, c in negative.items():
@@ -263,18 +286,28 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, clean_label
         w = np.where(y > 0, w / w[y > 0].sum(), 2 * w / w[y < 0].sum())
         theta, bias = svm(kernel(xs, marks) @ whiten, y, w)
         beta = whiten @ theta
-        return ToxicityModel(lc[first], np.add.reduceat(lv * beta[lo], first), bias, landmarks=marks)
+        return ToxicityModel(lc[at], np.add.reduceat(lv * beta[lo], at), bias, landmarks=marks, heads=heads)
 
-    model = fit()
-    for _ in range(2):  # the clean fragments that look worst become negative examples too
+    model = fit(first)
+    for _ in range(rounds):
 
-        def rate_units(batches: Iterator[pa.RecordBatch], m: ToxicityModel = model) -> Iterator[pa.RecordBatch]:
+        def testify(batches: Iterator[pa.RecordBatch], m: ToxicityModel = model) -> Iterator[pa.RecordBatch]:
+            known: dict[str, float] = {}
             for b in batches:
-                yield pa.RecordBatch.from_arrays([b.column("unit"), b.column("b"), pa.array(m.units(b.column("unit").to_pylist()))], ["unit", "b", "m"])
-
-        worst = clean.select("unit", "b").mapInArrow(rate_units, "unit string, b long, m double").orderBy(F.desc("m"), "unit").limit(mined).collect()
-        negative |= {r["unit"]: 4 * r["b"] for r in worst if r["m"] > -1}
-        model = fit()
+                rows = []
+                for y, t in zip(b.column("y").to_pylist(), b.column("text").to_pylist()):
+                    named = m.witnesses([s for s in SENTENCE.split(t or "") if s.strip()], known)
+                    rows += [(y, u, x) for x, u in ([max(named)] if y and named else named) if u]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.float64()))], ["y", "unit", "m"])
+
+        said = sample.select(F.col("y").cast("long").alias("y"), "text").mapInArrow(testify, "y long, unit string, m double")
+        said = cut_lineage(said.groupBy("y", "unit").agg(F.count(F.lit(1)).alias("c"), F.max("m").alias("m")))
+        # At most a witness per toxic document, of which there are at most `per_label`.
+        toxic = said.where("y = 1 and m > 0").join(counts.select("unit", "b"), "unit", "left").where("c > coalesce(b, 0)")
+        positive = first | {r["unit"]: r["c"] for r in toxic.collect()}
+        worst = said.where("y = 0 and m > -1").orderBy(F.desc("m"), "unit").limit(per_round).collect()
+        negative |= {r["unit"]: 4 * r["c"] for r in worst if r["unit"] not in positive}
+        model = fit(positive)
 
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, float] = {}

@@ -134,6 +134,20 @@ def test_packing_is_an_exact_round_trip(docs, rows):
     assert sorted((r.doc_id or 0, r.start, r.ids_crc32) for r in digest) == sorted((r.doc_id or 0, r.start, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in got)
 
 
+def test_groups_do_not_depend_on_shuffle_partitions(spark):
+    third = F.col("id") % 3 == 0  # a third of all rows are one repeated row
+    text = F.when(third, "the same hot row").otherwise(F.repeat(F.lit("word "), (F.col("id") * 7919 % 90 + 2).cast("int")))
+    rows = spark.range(12_000).select(F.when(third, -1).otherwise(F.col("id")).alias("doc_id"), text.alias("text"))
+    had = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("8", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            used = packing.pack(rows, sequence_length=128, payload="crc32", group_pieces=4000).groupBy("sequence_id").agg(F.first("sequence_tokens").alias("t")).agg(F.count("t"), F.sum("t")).first()
+            assert 1 - used[1] / (used[0] * 128) < 0.02, n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", had)
+
+
 def test_tournament_tree_is_first_fit():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 101, 400)
@@ -163,6 +177,12 @@ def test_length_histogram(spark, docs, rows):
     for x, r in got.items():
         assert (r.n_docs, r.docs_at_least, r.tokens_at_least) == (n.count(x), sum(y >= x for y in n), sum(y for y in n if y >= x))
         assert r.truncated_total == sum(min(x, y) for y in n) and r.quantile == pytest.approx(sum(y <= x for y in n) / len(n))
+    limits = [0, 1, 7, 100, 10**6, 7]
+    asked = tokens.at_limits(tokens.length_histogram(lengths), limits).collect()
+    want = sorted((x, len(n), sum(n), sum(y > x for y in n), sum(min(x, y) for y in n), sum(max(0, y - x) for y in n)) for x in limits)
+    assert sorted(map(tuple, asked)) == want
+    nothing = tokens.length_histogram(lengths.limit(0))
+    assert tuple(tokens.at_limits(nothing, [5]).first()) == (5, 0, 0, 0, 0, 0) and tokens.at_limits(nothing, []).count() == 0
 
 
 def plain_spans(text):
@@ -235,6 +255,44 @@ def test_toxicity_learns_and_tolerates_disguise(spark):
     assert all(got[i] >= 0.5 for i in (1002, 1003, 1004, 1006)) and all(got[i] < 0.5 for i in (1000, 1001, 1005))
 
 
+def test_toxicity_of_pairs_and_odd_characters(spark):
+    """Two words that are harmless alone, a NUL inside words, characters beyond 16 bits."""
+    rows, labels, good = toxic_sample(spark)
+    rng = np.random.default_rng(14)
+    pair = ("velmar", "tonspik")
+    extra, told = [], []
+    for i in range(2000, 2400):
+        w = list(rng.choice(good, 30))
+        if i % 4 == 0:
+            w[9:9] = pair
+        else:
+            w.insert(3, pair[0]), w.insert(20, pair[1])
+        extra.append((i, " ".join(w))), told.append((i, 1, int(i % 4 == 0)))
+    model = toxicity.train(frame(spark, rows + extra), spark.createDataFrame(labels + told, "doc_id long, quality int, toxic int"))
+    probes = [(0, "see velmar tonspik here"), (1, "tonspik and then velmar"), (2, "a\0b grublok c\0\0d"), (3, "\0"), (4, "\U0001f600\U0001f600\U0001f600\U0001f600 " + good[0])]
+    got = {r.doc_id: r.toxicity >= 0.5 for r in toxicity.score(frame(spark, probes), model).collect()}
+    assert got == {0: True, 1: False, 2: True, 3: False, 4: False}
+    a, b = toxicity.features(["\U00010041\U00010042\U00010043\U00010044"])[1], toxicity.features(["ABCD"])[1]
+    assert not set(a.tolist()) & set(b.tolist())
+
+
+def test_toxicity_of_no_texts(spark, empty):
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    for d in (empty, frame(spark, [(1, None), (2, None)]), frame(spark, [(1, ""), (2, " ")]), frame(spark, [(1, None), (2, "only clean text")])):
+        model = toxicity.train(d, labels, hold_out=0)
+        assert {round(r.toxicity, 6) for r in toxicity.score(frame(spark, [(5, None), (6, "x")]), model).collect()} == {0.5}
+
+
+def test_toxicity_held_out_on_the_real_table(spark):
+    """Some labels are wrong, so perfection can't be had; one insult word list would do no better."""
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, labels)).join(labels, "doc_id").where("toxic is not null").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+    rows = scored.select("toxic", "toxicity").collect()
+    bad, good = [r.toxicity for r in rows if r.toxic], [r.toxicity for r in rows if not r.toxic]
+    assert sum((x > y) + 0.5 * (x == y) for x in bad for y in good) / (len(bad) * len(good)) > 0.8
+
+
 def test_toxicity_without_labels(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.train(docs, none)
