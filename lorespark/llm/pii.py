@@ -1,22 +1,28 @@
 """Personal data: detection by pattern, and information-theoretic sanitisation of the terms that give it away.
 
-A detected value (an e-mail address, a number ...) is a protected entity e. Over the whole corpus, a term t that stands
-near e tells about it PMI(e, t) = log(n(e, t) N / (n(e) n(t))) of the IC(e) = log(N / n(e)) there is to know, where n
-counts documents. Terms that tell at least `disclose` of it, in at least `support` different contexts, are generalised
-in the documents that hold e, and those that tell at least `remove` of it are removed.
+A detected value (an e-mail address, a number ...) is a protected entity e. Over the whole corpus, a term t tells about
+it PMI(e, t) = log(n(e, t) N / (n(e) n(t))) of the IC(e) = log(N / n(e)) there is to know, where n counts the documents
+that hold e, t or both, wherever they stand. Terms that stood near e in at least `support` different contexts are judged;
+those that tell at least `disclose` of it are generalised in every document that holds e: to the class of all terms with
+their first three letters, else to that of their first letter, whichever tells less than `disclose` whatever documents
+hold both. Where no class is that vague, the term is removed.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+
+from .common import cut_lineage, unused
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # The contract's patterns, written without backtracking.
@@ -26,8 +32,12 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TERM = re.compile(r"[^\W\d_]{3,}")
+#: Longer runs of letters are no words.
+LONGEST = 64
 NEAR = 5
 BITS = 1 << 20
+#: Letters that the classes of the generalisation hierarchy keep, from the narrowest class to the widest.
+KEPT = (3, 1)
 
 
 def luhn(digits: str) -> bool:
@@ -85,43 +95,59 @@ def entity(kind: int, value: str) -> str:
     return f"{KINDS[kind]}:{value.lower() if kind < 2 else digits_of(value)}"
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, set[str]]]:
-    """For each span: its entity, a hash of the words around it, and the terms among them (outside any span)."""
-    inside = [(s, e) for s, _, e in spans]
+def free_terms(text: str, spans: list[tuple[int, int, int]]) -> Iterator[re.Match]:
+    """The words of a text that overlap no span; spans are sorted by start. One sweep over both."""
+    at, covered, last = 0, -1, len(spans)
+    for m in TERM.finditer(text):
+        while at < last and spans[at][0] < m.end():
+            covered = max(covered, spans[at][2])
+            at += 1
+        if covered <= m.start() and m.end() - m.start() <= LONGEST:
+            yield m
+
+
+def contexts(text: str, spans: list[tuple[int, int, int]]) -> tuple[set[tuple[str, int, str]], list[str]]:
+    """(entity, hash of the words around it, one of these words) for each span, with "" where there is none; and all
+    distinct words outside spans."""
+    found = list(free_terms(text, spans))
+    starts, terms = [m.start() for m in found], [m[0].lower() for m in found]
+    hashes = [zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in terms]
+    out = set()
     for s, kind, e in spans:
-        lo = hi = 0
-        left = [m for m in TERM.finditer(text, max(0, s - 400), s)][-NEAR:]
-        right = []
-        for m in TERM.finditer(text, e, min(len(text), e + 400)):
-            right.append(m)
-            if len(right) == NEAR:
-                break
-        lo, hi = (left[0].start() if left else s), (right[-1].end() if right else e)
-        terms = {m[0].lower() for m in left + right if not any(a < m.end() and m.start() < b for a, b in inside)}
-        yield entity(kind, text[s:e]), zlib.crc32((text[lo:s] + "\0" + text[e:hi]).encode("utf-8", "surrogatepass")), terms
+        i = bisect_left(starts, s)
+        j = i if e == s else bisect_left(starts, e)
+        lo, hi = max(0, i - NEAR), min(len(terms), j + NEAR)
+        name, context = entity(kind, text[s:e]), zlib.crc32(repr((hashes[lo:i], hashes[j:hi])).encode())
+        out.update((name, context, t) for t in set(terms[lo:i] + terms[j:hi]) or ("",))
+    return out, list(dict.fromkeys(terms))
 
 
 def revealing_terms(docs: DataFrame, disclose: float = 0.8, support: int = 2) -> tuple[DataFrame, DataFrame]:
-    """From (doc_id, text): (entity, term, degree) of the terms beyond the threshold, and (doc_id, entity, term) of
-    where terms stand near entities. Degree is PMI / IC, 1 if every document with the term holds the entity.
+    """From (doc_id, text): (entity, term, degree, class) of the terms beyond the threshold, and (doc_id, entity, term)
+    of the documents that hold both. Degree is PMI / IC, 1 if every document with the term holds the entity; class is
+    null where even the widest one tells too much.
 
     Copies count as documents, but not as further contexts. A corpus whose every document holds e has IC(e) = 0; no
-    term tells more about such an e.
+    term tells more about such an e. Documents and terms meet term by term, so a frequent entity brings only terms
+    that its documents hold.
     """
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair = pa.struct([("entity", pa.string()), ("context", pa.int64()), ("term", pa.string())])
         for b in batches:
             rows = []
             for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                if text and (spans := base_spans(text)):
-                    for e, c, terms in contexts(text, spans):
-                        rows += [(i, e, c, t) for t in terms or {""}]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.int64(), pa.string()))], ["doc_id", "entity", "context", "term"])
-
-    seen = cut_lineage_of(docs.mapInArrow(near, "doc_id long, entity string, context long, term string").distinct())
-    owners = seen.select("entity", "doc_id").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    together = seen.where("term <> ''").groupBy("entity", "term", "context").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
-    candidates = cut_lineage_of(together.where(F.col("contexts") >= support))
+                if i is not None and text and (spans := base_spans(text)):
+                    around, terms = contexts(text, spans)
+                    rows.append((i, [{"entity": e, "context": c, "term": t} for e, c, t in around], terms))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.list_(pair), pa.list_(pa.string())))], ["doc_id", "near", "words"])
+
+    seen = cut_lineage(docs.mapInArrow(near, "doc_id long, near array<struct<entity:string,context:long,term:string>>, words array<string>"))
+    around = seen.select("doc_id", F.explode("near").alias("x")).select("doc_id", "x.*")
+    holders = around.select("doc_id", "entity").distinct()
+    owners = holders.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    together = around.where("term <> ''").select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
+    candidates = cut_lineage(together.where(F.col("contexts") >= support))
     # A bit per hash of a candidate, at most BITS: what passes it is counted, and what passes by chance is dropped after.
     word_bits = np.zeros(BITS, bool)
     hashes = candidates.select((F.crc32(F.col("term").cast("binary")) % BITS).cast("int").alias("h")).distinct().collect()
@@ -134,13 +160,16 @@ def revealing_terms(docs: DataFrame, disclose: float = 0.8, support: int = 2) ->
             docs_here += b.num_rows
             if word_bits.any():
                 for text in b.column("text").to_pylist():
-                    for w in set(TERM.findall((text or "").lower())):
+                    here = {w.lower() for w in TERM.findall(text) if len(w) <= LONGEST} if text else ()
+                    for w in here:
                         if w not in wanted:
                             if len(wanted) > 500_000:
                                 wanted.clear()
                             wanted[w] = bool(word_bits[zlib.crc32(w.encode("utf-8", "surrogatepass")) % BITS])
                         if wanted[w]:
                             words[w] += 1
+                    for kept in KEPT:
+                        words.update({f"{w[:kept]}*" for w in here})
             if len(words) > 200_000:
                 yield counted(words)
                 words = Counter()
@@ -150,70 +179,84 @@ def revealing_terms(docs: DataFrame, disclose: float = 0.8, support: int = 2) ->
     def counted(words: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["term", "n_t"])
 
-    totals = cut_lineage_of(docs.select("text").mapInArrow(count, "term string, n_t long").groupBy("term").agg(F.sum("n_t").alias("n_t")))
-    n = (totals.where("term = ''").first() or {"n_t": 0})["n_t"]
-    pairs = seen.where("term <> ''").select("entity", "term", "doc_id").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    told = candidates.join(pairs, ["entity", "term"]).join(owners, "entity").join(totals, "term").where(F.col("n_e") < n)
-    degree = F.log(F.col("n_et") * float(n) / (F.col("n_e") * F.col("n_t"))) / F.log(float(n) / F.col("n_e"))
-    told = told.select("entity", "term", degree.alias("degree")).where(F.col("degree") >= disclose)
-    return told, seen.where("term <> ''").select("doc_id", "entity", "term")
-
-
-def cut_lineage_of(df: DataFrame) -> DataFrame:
-    from .common import cut_lineage
-
-    return cut_lineage(df)
-
-
-def sanitise(docs: DataFrame, disclose: float = 0.8, remove: float = 0.95, support: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every column of `docs`, with `spans` (array<struct<kind,start,end,degree>>, code points, by start then kind) and
-    `sanitised`: the text with e-mail addresses, IP addresses, card and phone numbers replaced by <KIND>, and revealing
-    terms replaced by <TERM> or removed, in the documents that hold what they reveal.
-
-    Null text counts as empty (and stays null in `sanitised`); rows with null ids are searched by pattern alone;
-    repeated ids share their revealing terms; existing columns spans and sanitised are replaced. A pattern's matches
-    that fail its check are dropped and not tried again. Terms that overlap a pattern's span are left to it.
+    totals = cut_lineage(docs.select("text").mapInArrow(count, "term string, n_t long").groupBy("term").agg(F.sum("n_t").alias("n_t")))
+    n = float((totals.where("term = ''").first() or {"n_t": 0})["n_t"])
+
+    def degree(common: Column) -> Column:
+        return F.log(common * n / (F.col("n_e") * F.col("n_t"))) / F.log(n / F.col("n_e"))
+
+    # No more than all documents of the rarer of the two can hold both.
+    candidates = candidates.join(owners, "entity").join(totals, "term").where(F.col("n_e") < n)
+    candidates = cut_lineage(candidates.where(degree(F.least("n_e", "n_t")) >= disclose).select("entity", "term", "n_e", "n_t"))
+    held = seen.select("doc_id", F.explode("words").alias("term")).join(candidates.select("term", "entity"), "term").join(holders, ["doc_id", "entity"])
+    held = cut_lineage(held.select("doc_id", "entity", "term").distinct())
+    pairs = held.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
+    told = candidates.join(pairs, ["entity", "term"]).withColumn("degree", degree(F.col("n_et"))).where(F.col("degree") >= disclose)
+    classes = totals.where(F.col("term").endswith("*")).select(F.col("term").alias("class"), F.col("n_t").alias("n_c"))
+    safe = []
+    for kept in KEPT:
+        name = f"class_{kept}"
+        told = told.withColumn("class", F.concat(F.substring("term", 1, kept), F.lit("*"))).join(classes, "class", "left")
+        # Even if all documents of the entity held a word of the class, it would tell no more than this.
+        vague = F.log(n / F.col("n_c")) / F.log(n / F.col("n_e")) < disclose
+        told = told.withColumn(name, F.when(vague, F.col("class"))).drop("class", "n_c")
+        safe.append(F.col(name))
+    return told.select("entity", "term", "degree", F.coalesce(*safe).alias("class")), held
+
+
+def sanitise(docs: DataFrame, disclose: float = 0.8, support: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every column of `docs`, with `spans` (array<struct<kind,start,end,degree,replacement>>, code points, by start then
+    kind) and `sanitised`: the text with e-mail addresses, IP addresses, card and phone numbers replaced by <KIND>, and
+    revealing terms generalised (replacement: their class, such as abc*) or removed (replacement: empty), in all places,
+    in the documents that hold what they reveal.
+
+    Null text counts as empty (and stays null in `sanitised`); rows with null ids are searched by pattern alone; rows
+    that share an id share their revealing terms; existing columns spans and sanitised are replaced, and no other name
+    clashes. A pattern's matches that fail its check are dropped and not tried again. Terms that overlap a pattern's span
+    are left to it; runs of more than LONGEST letters are no terms. A term that reveals several entities of a document
+    takes the vaguest of its classes.
     """
     own = ("spans", "sanitised")
     d = docs.drop(*[c for c in docs.columns if c.lower() in own])
     names = d.columns
-    key, body = names.index(id_col), names.index(text_col)
+    body = names.index(text_col)
     plain = d.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    told, near = revealing_terms(plain, disclose, support)
-    flagged = near.where("doc_id is not null").join(told, ["entity", "term"]).groupBy("doc_id", "term").agg(F.max("degree").alias("degree"))
-    flagged = flagged.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "degree"))).alias("told"))
-    extra = "told_terms__"
-    joined = d.join(flagged.select(F.col("doc_id").alias("told_doc__"), F.col("told").alias(extra)), d[id_col].cast("long") == F.col("told_doc__"), "left").drop("told_doc__")
+    told, held = revealing_terms(plain, disclose, support)
+    # The vaguest: removal (null), then the shortest class.
+    vague = F.when(F.col("class").isNull(), 0).otherwise(-F.length("class"))
+    flagged = held.join(told, ["entity", "term"]).groupBy("doc_id", "term").agg(F.max("degree").alias("degree"), F.max_by("class", vague).alias("class"))
+    terms, owner = unused(names, "told_terms"), unused(names, "told_doc")
+    flagged = flagged.groupBy(F.col("doc_id").alias(owner)).agg(F.map_from_entries(F.collect_list(F.struct("term", F.struct("degree", F.coalesce("class", F.lit("")).alias("class"))))).alias(terms))
+    joined = d.join(flagged, d[f"`{id_col}`"].cast("long") == flagged[owner], "left").drop(owner)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("degree", pa.float64()), ("replacement", pa.string())])
         for whole in batches:
             for i in range(0, whole.num_rows, 512):
                 b = whole.slice(i, 512)
                 spans, clean = [], []
                 for text, told in zip(b.column(body).to_pylist(), b.column(len(names)).to_pylist()):
-                    found = [(s, k, e, 1.0) for s, k, e in base_spans(text or "")]
-                    if told:
-                        terms, inside = dict(told), [(s, e) for s, _, e, _ in found]
-                        for m in TERM.finditer(text):
-                            if (g := terms.get(m[0].lower())) is not None and not any(x < m.end() and m.start() < y for x, y in inside):
-                                found.append((m.start(), 4, m.end(), g))
-                    found.sort()
-                    spans.append([{"kind": KINDS[k], "start": s, "end": e, "degree": g} for s, k, e, g in found])
-                    clean.append(None if text is None else masked(text, found, remove))
-                kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("degree", pa.float64())])
+                    base = base_spans(text) if text else []
+                    found = [(s, k, e, 1.0, f"<{KINDS[k].upper()}>") for s, k, e in base]
+                    if told and text:
+                        known = dict(told)
+                        for m in free_terms(text, base):
+                            if (t := known.get(m[0].lower())) is not None:
+                                found.append((m.start(), 4, m.end(), t["degree"], t["class"]))
+                        found.sort()
+                    spans.append([{"kind": KINDS[k], "start": s, "end": e, "degree": g, "replacement": r} for s, k, e, g, r in found])
+                    clean.append(None if text is None else masked(text, found))
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(spans, pa.list_(kind)), pa.array(clean, pa.string())], [*names, *own])
 
-    from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
-
-    span = StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("degree", DoubleType())])
+    span = StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("degree", DoubleType()), StructField("replacement", StringType())])
     return joined.mapInArrow(run, StructType([*d.schema.fields, StructField("spans", ArrayType(span)), StructField("sanitised", StringType())]))
 
 
-def masked(text: str, found: list[tuple[int, int, int, float]], remove: float) -> str:
+def masked(text: str, found: list[tuple[int, int, int, float, str]]) -> str:
     """Spans may overlap across kinds; overlapping ones are masked as one, by the kind of the first."""
     out, at = [], 0
-    for s, k, e, g in found:
+    for s, _, e, _, replacement in found:
         if s >= at:
-            out += [text[at:s], "" if k == 4 and g >= remove else f"<{KINDS[k].upper()}>"]
+            out += [text[at:s], replacement]
         at = max(at, e)
     return "".join(out) + text[at:]

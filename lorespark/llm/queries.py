@@ -29,9 +29,12 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def number(kind: str) -> Column:
         return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
+    def terms(removed: bool) -> Column:
+        return F.size(F.filter("spans", lambda x: (x["kind"] == "term") & ((x["replacement"] == "") == removed))).cast("long")
+
     counts = [number(kind) for kind in ("email", "ip", "card", "phone")]
     listed = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
-    return out.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    return out.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), terms(False).alias("n_generalised"), terms(True).alias("n_term_removed"))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -226,6 +226,85 @@ def test_pii_masks_and_reveals(spark):
     assert "<PHONE>" in dict((i, c) for i, _, c in got)[3]
 
 
+def plain_terms(rows, disclose=0.8, support=2):
+    """{row: {term: class or ""}} by counting everything in dictionaries."""
+    import math
+
+    held, words, contexts = {}, [], defaultdict(set)
+    for i, t in rows:
+        t = t or ""
+        spans = plain_spans(t)
+        free = [m for m in re.finditer(r"[^\W\d_]{3,}", t) if m.end() - m.start() <= 64 and not any(s < m.end() and m.start() < e for s, _, e in spans)]
+        for s, k, e in spans if i is not None else ():
+            name = pii.entity(k, t[s:e])
+            held.setdefault(i, (set(), set()))[0].add(name)
+            held[i][1].update(m[0].lower() for m in free)
+            left, right = [m[0].lower() for m in free if m.start() < s][-5:], [m[0].lower() for m in free if m.start() >= e][:5]
+            for w in left + right:
+                contexts[name, w].add((tuple(left), tuple(right)))
+        words.append({m.lower() for m in re.findall(r"[^\W\d_]{3,}", t) if len(m) <= 64})
+    n, out = len(rows), defaultdict(dict)
+    for (e, w), c in contexts.items():
+        n_e, both = sum(e in x for x, _ in held.values()), sum(e in x and w in y for x, y in held.values())
+        n_t = sum(w in x for x in words)
+        if len(c) < support or n_e >= n or not both or math.log(both * n / (n_e * n_t)) / math.log(n / n_e) < disclose - 1e-12:
+            continue
+        best = ""
+        for kept in (3, 1):
+            n_c = sum(any(x[:kept] == w[:kept] for x in d) for d in words)
+            if math.log(n / n_c) / math.log(n / n_e) < disclose:
+                best = w[:kept] + "*"
+                break
+        for i, (x, y) in held.items():
+            if e in x and w in y:
+                had = out[i].get(w)
+                out[i][w] = best if had is None else min(had, best, key=len)
+    return out
+
+
+def test_revealing_terms_equal_counting(spark):
+    rng = np.random.default_rng(20)
+    vocabulary = ["".join(rng.choice(list("abcdeilmnorst"), rng.integers(3, 7))) for _ in range(150)]
+    people = [(f"zach{x}", f"{"jqpv"[i]}{x}uill", f"z{i}@ex.org") for i, x in enumerate("abcd")] + [(f"marelda{x}", f"u{x}ndertow", f"+44 20 7946 0{i:03d}") for i, x in enumerate("abcd")]
+    rows = []
+    for i in range(260):
+        w = [str(x) for x in rng.choice(vocabulary, rng.integers(4, 60))]
+        if i % 3 == 0:
+            a, b, value = people[i // 3 % len(people)]
+            at = int(rng.integers(len(w)))
+            w[at:at] = [a, value] if i % 2 else [a, b, value]
+            if i % 9 == 0:
+                w += ["filler"] * 12 + [b]  # far from the value
+        rows.append((i, " ".join(w)))
+    rows += [(0, None), (3, None), (None, "who z0@ex.org quillfeather"), (7, "x" * 200 + " z1@ex.org " + "x" * 200), (8, ""), (9, rows[9][1])]
+    want, spans = plain_terms(rows), 0
+    for r in pii.sanitise(frame(spark, rows)).collect():
+        told = {}
+        for s in r.spans:
+            if s.kind == "term":
+                told[r.text[s.start : s.end].lower()] = s.replacement
+                spans += 1
+        here = {w: c for w, c in want[r.doc_id].items() if w in re.findall(r"[^\W\d_]{3,}", (r.text or "").lower())} if r.doc_id is not None else {}
+        assert told == here, r.doc_id
+    kinds = {c for x in want.values() for c in x.values()}
+    assert spans and "" in kinds and any(c.endswith("*") for c in kinds)
+
+
+def test_pii_is_linear_in_spans_and_takes_any_text():
+    import time
+
+    took = []
+    for n in (4_000, 16_000):
+        text = "".join(f"user{i}@mail{i}.example.org, " for i in range(n)) + "x" * 100_000
+        began = time.time()
+        spans = pii.base_spans(text)
+        around, words = pii.contexts(text, spans)
+        took.append(time.time() - began)
+        assert len(spans) == n and len({e for e, _, _ in around}) == n
+    assert took[1] < 12 * took[0] + 0.5
+    assert pii.contexts("+49 30 1234567 \ud800 a\0b", pii.base_spans("+49 30 1234567 \ud800 a\0b"))[1] == []
+
+
 def toxic_sample(spark):
     rng = np.random.default_rng(4)
     good = ["".join(rng.choice(list("aeiounrstl"), rng.integers(2, 8))) for _ in range(400)]
