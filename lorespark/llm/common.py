@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,21 +19,34 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint directory and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that driver and executors share.
 
-    A cluster names a shared folder in `spark.checkpoint.dir`. Where it is unset, a local session takes a temporary
-    folder; a session with executors elsewhere is refused, since they could not recover from one.
+    A cluster names it in `spark.checkpoint.dir`. Where it is unset, a local session takes a temporary folder; a session
+    with executors elsewhere is refused, since they could not recover from one.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "lorespark-checkpoints"))
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write `df` to the reliable checkpoint directory and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def reread(df: DataFrame) -> DataFrame:
+    """Write `df` as Parquet in the shared folder and read it back."""
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def unused(names: list[str], wish: str) -> str:
     """`wish`, lengthened until no column has that name in any case."""
     taken = {n.lower() for n in names}
