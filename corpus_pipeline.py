@@ -6,33 +6,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorespark.llm import decontam, jaccard, packing, pii, toxicity
-from lorespark.llm.common import cut_lineage, table
+from lorespark.llm.common import cut_lineage, reread, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+ROW = "pipeline_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a number for each row, written once: ids may be null or shared, decisions are on rows."""
+    return cut_lineage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias(ROW)))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below 0.5 stay. The machine learns from the labels of the raw documents."""
+    """Rows scored below 0.5 stay. The machine learns from the labels of the documents that reach this stage."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs.select(*COLUMNS), model).where("toxicity < 0.5").select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id stays; rows with null ids stay."""
-    joined = jaccard.jaccard_join(docs)
-    gone = joined.where("doc_id <> group_id").select(F.col("doc_id").alias("gone"))
-    return docs.select(*COLUMNS).join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    """Of each group of similar rows one stays: the one with the smallest id (a null id counts as the largest), and of
+    several rows with that id the first one. Rows without words are one group; repeated rows are copies of each other."""
+    rows = numbered(docs)
+    joined = cut_lineage(jaccard.jaccard_join(rows, id_col=ROW).select(ROW, "group_id"))
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))
+    kept = rows.select("doc_id", ROW).join(joined, ROW).groupBy("group_id").agg(best.alias("best")).select(F.col(f"best.{ROW}").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    leaks = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("gone")).where("gone is not null").distinct()
-    return docs.select(*COLUMNS).join(leaks, F.col("doc_id") == F.col("gone"), "left_anti")
+    """Rows that hold a benchmark item go, whatever their id; other rows of the same id stay."""
+    rows = numbered(docs)
+    leaks = decontam.find_leaks(rows, table(spark, sf_dir, "benchmark"), id_col=ROW).select(ROW).distinct()
+    return rows.join(leaks, ROW, "left_anti").select(*COLUMNS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays, with its text sanitised."""
-    out = pii.sanitise(docs.select(*COLUMNS)).withColumn("text", F.col("sanitised"))
+    """Every row stays, with its text sanitised by what it holds itself."""
+    out = pii.sanitise(numbered(docs), id_col=ROW).withColumn("text", F.col("sanitised"))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
@@ -54,10 +64,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; between stages the rows are written to the checkpoint folder and reread."""
+    """All stages over the documents table; between stages the rows are written as Parquet, in the shared folder that
+    `spark.checkpoint.dir` names, and reread."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
-            docs = cut_lineage(docs)
+            docs = reread(docs)
     return docs
