@@ -44,3 +44,25 @@ def test_whole_pipeline(spark, tmp_path):
         got[r.doc_id] = got.get(r.doc_id, 0) + r.length
     assert got == want and all(0 <= r.ids_crc32 < 1 << 32 for r in packed)
     assert zlib.crc32(b"\x01\x00\x00\x00") in {r.ids_crc32 for r in packed if r.doc_id == 704}
+
+
+def test_decisions_are_on_rows_not_ids(spark, tmp_path):
+    words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "lmnrs"]
+    one, two, other, item = " ".join(words[:40]), " ".join(words[40:80]), " ".join(words[80:120]), " ".join(words[::3])
+    rows = [(1, one), (1, one), (3, one), (3, two), (None, one), (None, two), (None, other), (7, None), (7, ""), (None, None)]
+    docs = frame(spark, rows).select(*pipeline.COLUMNS)
+    kept = sorted(((r.doc_id, r.text or "") for r in pipeline.drop_near_copies(spark, docs, str(tmp_path)).collect()), key=str)
+    assert kept == sorted([(1, one), (3, two), (None, other), (7, "")], key=str)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    leaky = frame(spark, [(1, one), (1, item), (None, item + " tail"), (None, other), (2, None)]).select(*pipeline.COLUMNS)
+    kept = sorted(((r.doc_id, r.text) for r in pipeline.drop_leaks(spark, leaky, str(tmp_path)).collect()), key=str)
+    assert kept == sorted([(1, one), (None, other), (2, None)], key=str)
+    masked = pipeline.mask_personal_data(spark, frame(spark, [(1, "a@b.cd x"), (1, "plain"), (None, "a@b.cd y"), (None, None)]).select(*pipeline.COLUMNS), str(tmp_path))
+    assert sorted((r.text for r in masked.collect()), key=str) == ["<EMAIL> x", "<EMAIL> y", None, "plain"]
+
+
+def test_stages_on_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    frame(spark, []).select(*pipeline.COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert pipeline.run(spark, str(tmp_path)).count() == 0
