@@ -10,7 +10,9 @@ item's words follow each other in the passage's surroundings and enough of its m
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +23,11 @@ from .arrays import binary_rows
 from .common import cut_lineage, shuffle_partitions
 
 BLOCK = 16
-
-
-
 EDGES = "\"'.,;:!?()[]{}<>*_-~`|/\\"
-#: Size bound of the benchmark, whose words and vectors every task holds.
-MAX_BENCHMARK_CHARS = 32 << 20
+#: Every task holds the words and vectors of this much of the benchmark; a larger one is searched for part by part.
+BENCHMARK_CHARS = 4 << 20
+#: Rows of a matrix that are summed by one task.
+RANGE = 256
 
 
 def words(text: str | None) -> list[str]:
@@ -66,19 +67,22 @@ def blocks(off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(first[:-1], n) + place // BLOCK, first
 
 
-def block_sums(block: np.ndarray, count: int, rows: np.ndarray) -> np.ndarray:
-    """Sums of rows that are sorted by block."""
-    out = np.zeros((count, rows.shape[1]), rows.dtype)
-    if len(block):
-        at = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-        out[block[at]] = np.add.reduceat(rows, at, axis=0)
+def add_rows(out: np.ndarray, key: np.ndarray, rows: np.ndarray, pick: np.ndarray, factor: np.ndarray, at_once: int = 1024) -> np.ndarray:
+    """Adds factor * rows[pick] to out[key]; keys are sorted. A thousand rows at a time stay in the processor's cache."""
+    edge = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    i = 0
+    while i < len(edge):
+        j = max(i + 1, int(np.searchsorted(edge, edge[i] + at_once)))
+        lo, hi = edge[i], edge[j] if j < len(edge) else len(key)
+        out[key[edge[i:j]]] += np.add.reduceat(rows[pick[lo:hi]] * factor[lo:hi, None], edge[i:j] - lo, axis=0)
+        i = j
     return out
 
 
-def once_per_block(block: np.ndarray, word: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each word once per block, by block: repetition adds nothing."""
-    pairs = np.unique(block * size + word)
-    return pairs // size, pairs % size
+def term_counts(key: np.ndarray, word: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key (ascending), word and damped frequency (1 + ln count) of each pair of a key and a word."""
+    pairs, count = np.unique(key * size + word, return_counts=True)
+    return pairs // size, pairs % size, (1 + np.log(count)).astype(np.float32)
 
 
 def passage_sums(sums: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -93,27 +97,39 @@ def passage_sums(sums: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def summed(df: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], np.ndarray], shape: tuple[int, ...]) -> np.ndarray:
-    """The sum over all partitions of `partial`'s array, added up in two rounds of tasks before it comes to the driver."""
+    """The sum over all partitions of `partial`'s array: each range of its rows is added up on its own, in two rounds of
+    tasks, so no task sees more than the square root of all parts of a few ranges. The driver gets the sum."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        a = partial(batches)
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % fan], pa.int64()), pa.array([a.tobytes()], pa.binary())], ["k", "a"])
+        a, k = partial(batches), TaskContext.get().partitionId() % fan
+        rows = [(r, k, x.tobytes()) for r in range(0, shape[0], RANGE) if (x := np.ascontiguousarray(a[r : r + RANGE])).any()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["r", "k", "a"])
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        now, total = None, None
         for b in batches:
-            for x in b.column("a"):
-                total = (0 if total is None else total) + np.frombuffer(x.as_buffer(), np.float64).reshape(shape)
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["k", "a"])
-
-    schema = "k long, a binary"
-    fan = max(1, int(shuffle_partitions(df.sparkSession) ** 0.5))
-    parts = df.mapInArrow(first, schema)
-    rows = parts.repartition(fan, "k").mapInArrow(again, schema).repartition(1).mapInArrow(again, schema).collect()
-    return sum((np.frombuffer(r["a"], np.float64).reshape(shape) for r in rows), np.zeros(shape))
+            for r, k, x in zip(b.column("r").to_pylist(), b.column("k").to_pylist(), b.column("a")):
+                if (r, k) != now:
+                    if now is not None:
+                        yield one(now, total)
+                    now, total = (r, k), 0.0
+                total = total + np.frombuffer(x.as_buffer(), np.float64)
+        if now is not None:
+            yield one(now, total)
+
+    def one(key: tuple[int, int], total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int64()), pa.array([key[1]], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["r", "k", "a"])
+
+    schema, n = "r long, k long, a binary", shuffle_partitions(df.sparkSession)
+    fan = max(1, int(n**0.5))
+    parts = df.mapInArrow(first, schema).repartition(n, "r", "k").sortWithinPartitions("r", "k").mapInArrow(again, schema)
+    parts = parts.select("r", F.lit(0).cast("long").alias("k"), "a").repartition(n, "r").sortWithinPartitions("r").mapInArrow(again, schema)
+    out = np.zeros(shape)
+    for x in parts.collect():  # at most one row per range
+        out[x["r"] : x["r"] + RANGE] = np.frombuffer(x["a"], np.float64).reshape(-1, *shape[1:])
+    return out
 
 
 def parts_of(words: np.ndarray) -> list[np.ndarray]:
@@ -176,6 +192,9 @@ def unpacked(b: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum(w, size), np.append(0, np.cumsum([len(p) for p in parts])).astype(np.int64)
 
 
+LEAKS = "doc_id long, item_id long, cosine double, lcs double, answer double, start long, end long"
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -190,24 +209,34 @@ def find_leaks(
 ) -> DataFrame:
     """(id, item_id, cosine, lcs, answer, start, end): the items that a document holds, nearly or in full.
 
-    lcs: share of the item's words found in order within the passage and one item length around it; answer: share of
-    the third of its distinct words that are rarest in the corpus. start and end are word positions of the passage with
-    the best lcs. Both shares must reach their limits. Terms in more than `max_df` of all blocks don't enter the latent
-    space, except the eight rarest of each item and of parts without any; document frequencies and the space come from all passages.
+    lcs: share of the item's words found in order within the passage and five quarters of an item's length around it;
+    answer: share of the third of its distinct words that are rarest in the corpus. start and end are word positions of
+    the passage with the best lcs. Both shares must reach their limits. Terms in more than `max_df` of all blocks don't
+    enter the latent space (they do count in lcs and answer), except the eight rarest of each item and of parts without
+    any; document frequencies and the space come from all passages.
 
     Null texts and items without words match nothing; items with null ids are left out; rows with null ids are
-    searched and keep their null; repeated ids each give rows; an empty benchmark gives no rows. The benchmark must not
-    exceed MAX_BENCHMARK_CHARS.
+    searched and keep their null; repeated ids each give rows; an empty benchmark gives no rows. Items of more than
+    BENCHMARK_CHARS in all are searched for in several passes, each with a space of its own.
     """
     item_text = F.col(f"`{text_col}`").cast("string")
     bench = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), item_text.alias("text")).where("item_id is not null and text is not null")
-    if (bench.agg(F.sum(F.length("text"))).first()[0] or 0) > MAX_BENCHMARK_CHARS:
-        raise ValueError("the benchmark is larger than MAX_BENCHMARK_CHARS")
-    items = [(i, w) for i, t in sorted(map(tuple, bench.collect())) if (w := words(t))]
+    sizes = bench.groupBy("item_id").agg(F.sum(F.length("text")).alias("n")).orderBy("item_id").collect()  # two numbers per item
+    cuts, held = [], 0
+    for i, r in enumerate(sizes):
+        if not i or held + r["n"] > BENCHMARK_CHARS:
+            cuts.append(r["item_id"])
+            held = 0
+        held += r["n"]
+    parts = [bench.where((F.col("item_id") >= a) & (F.lit(True) if z is None else F.col("item_id") < z)) for a, z in zip(cuts, [*cuts[1:], None])]
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    schema = "doc_id long, item_id long, cosine double, lcs double, answer double, start long, end long"
-    if not items:
-        return docs.sparkSession.createDataFrame([], schema).withColumnRenamed("doc_id", id_col)
+    found = [_find(d, items, rank, cosine, least_lcs, least_answer, max_df) for part in parts if (items := [(i, w) for i, t in sorted(map(tuple, part.collect())) if (w := words(t))])]
+    nothing = docs.sparkSession.createDataFrame([], LEAKS)
+    return (reduce(DataFrame.unionByName, found) if found else nothing).withColumnRenamed("doc_id", id_col)
+
+
+def _find(d: DataFrame, items: list[tuple[int, list[str]]], rank: int, cosine: float, least_lcs: float, least_answer: float, max_df: float) -> DataFrame:
+    """`find_leaks` for items that every task can hold."""
     vocabulary = {w: n for n, w in enumerate(dict.fromkeys(w for _, ws in items for w in ws))}
     size = len(vocabulary)
     numbers = [np.array([vocabulary[w] for w in ws]) for _, ws in items]
@@ -220,7 +249,7 @@ def find_leaks(
             w, off = unpacked(b, size)
             block, first = blocks(off)
             keep = w < size
-            total[:size] += np.bincount(once_per_block(block[keep], w[keep], size)[1], minlength=size)
+            total[:size] += np.bincount(term_counts(block[keep], w[keep], size)[1], minlength=size)
             total[size] += first[-1]
         return total
 
@@ -250,24 +279,21 @@ def find_leaks(
                 w, off = unpacked(b, size)
                 block, first = blocks(off)
                 keep = rare[w]
-                block, w = once_per_block(block[keep], w[keep], size)
-                y = passage_sums(block_sums(block, int(first[-1]), scaled[w]), first)
+                block, w, tf = term_counts(block[keep], w[keep], size)
+                y = passage_sums(add_rows(np.zeros((int(first[-1]), width), np.float32), block, scaled, w, tf), first)
                 back = y.copy()  # a word of block i is in passages i and i - 1
                 inner = np.ones(len(y), bool)
                 inner[first[:-1][np.diff(first) > 0]] = False
                 at = np.flatnonzero(inner)
                 back[at] += y[at - 1]
                 order = np.argsort(w, kind="stable")
-                w = w[order]
-                at = np.flatnonzero(np.append(True, w[1:] != w[:-1])) if len(w) else np.zeros(0, np.int64)
-                if len(at):
-                    total[w[at]] += np.add.reduceat(back[block[order]], at, axis=0)
+                add_rows(total, w[order], back, block[order], tf[order])
             return total * weight[:, None]
 
         z = summed(texts, partial, (size, width))
         for w in numbers:
-            distinct = np.unique(w)
-            z[distinct] += weight[distinct][:, None] * scaled[distinct].sum(0)
+            _, w, tf = term_counts(np.zeros(len(w), np.int64), w, size)
+            z[w] += (weight[w] * tf)[:, None] * (scaled[w] * tf[:, None]).sum(0)
         return z
 
     g = np.linalg.qr(np.random.default_rng(9).standard_normal((size, width)))[0]
@@ -278,10 +304,12 @@ def find_leaks(
     root = np.linalg.cholesky((core + core.T) / 2 + nudge * np.eye(width))
     vectors, singular, _ = np.linalg.svd(np.linalg.solve(root, y.T).T, full_matrices=False)
     vectors, values = vectors[:, :rank], np.maximum(singular[:rank] ** 2 - nudge, 0)
-    # Divided by the root of the singular values, frequent words' directions don't drown an item's own.
-    scale = np.maximum(values, 1e-6 * max(values[0], 1e-12)) ** -0.5
+    # Strong directions, those of frequent words, are damped so that they don't drown an item's own; weak ones are not
+    # raised, so that a paraphrase's missing words don't count for more than those it has.
+    scale = (values + max(values.mean(), 1e-12)) ** -0.5
     space = (vectors * weight[:, None] * scale).astype(np.float32)
-    latent = np.stack([space[np.unique(w)].sum(0) for _, w in pieces])
+    of_piece, at, tf = term_counts(np.repeat(np.arange(len(pieces)), [len(w) for _, w in pieces]), np.concatenate([w for _, w in pieces]), size)
+    latent = add_rows(np.zeros((len(pieces), space.shape[1]), np.float32), of_piece, space, at, tf)
     item_starts = np.flatnonzero(np.diff([i for i, _ in pieces], prepend=-1))
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     lengths = [len(w) for w in numbers]
@@ -294,7 +322,8 @@ def find_leaks(
         distinct = sorted(m, key=lambda c: (df[c], c))
         answers.append(set(distinct[: max(1, len(distinct) // 3)]))
     # Whatever the item, a match needs so many of its words and of its answer's around the passage; fewer rule it out.
-    reach = max(lengths)
+    strides = [max(BLOCK, n // 4) for n in lengths]
+    reach = max(n + x for n, x in zip(lengths, strides))
     known, telling = np.append(np.ones(size, bool), False), np.zeros(size + 1, bool)
     telling[list(set().union(*answers))] = True
     least_known = min(int(np.ceil(least_lcs * n - 1e-9)) for n in lengths)
@@ -305,23 +334,33 @@ def find_leaks(
             w, off = unpacked(b, size)
             block, first = blocks(off)
             keep = rare[w]
-            in_block, at = once_per_block(block[keep], w[keep], size)
+            in_block, at, tf = term_counts(block[keep], w[keep], size)
             many = np.bincount(in_block, minlength=int(first[-1]))
             possible = passage_sums(many[:, None], first)[:, 0] > 0  # a passage without usable words has no direction
             possible &= near_enough(w, off, first, known, reach, least_known) & near_enough(w, off, first, telling, reach, least_telling)
             some = np.flatnonzero(possible)
-            z = passage_sums(block_sums(in_block, int(first[-1]), space[at]), first)[some]
+            possible[1:] |= possible[:-1]  # the second block of a passage
+            used = possible[in_block]
+            z = passage_sums(add_rows(np.zeros((int(first[-1]), space.shape[1]), np.float32), in_block[used], space, at[used], tf[used]), first)[some]
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
             rows = []
             if len(some):
                 cos = np.maximum.reduceat(z @ latent.T, item_starts, axis=1)
                 p, i = np.nonzero(cos >= cosine)
+                best_first = np.argsort(-cos[p, i], kind="stable")
+                p, i = p[best_first], i[best_first]
                 doc = np.searchsorted(first, some[p], "right") - 1
                 best: dict[tuple[int, int], tuple] = {}
+                looked: dict[tuple[int, int], list[int]] = {}
                 for x, item, r, c in zip(some[p].tolist(), i.tolist(), doc.tolist(), cos[p, i].tolist()):
-                    start = int(off[r] + (x - first[r]) * BLOCK)
-                    lo, hi = max(int(off[r]), start - lengths[item]), min(int(off[r + 1]), start + 2 * BLOCK + lengths[item])
-                    near = w[lo:hi].tolist()
+                    start, wide = int(off[r] + (x - first[r]) * BLOCK), lengths[item] + strides[item]
+                    # What is around a passage less than a stride away has been looked at.
+                    seen = looked.setdefault((r, item), [])
+                    at_ = bisect_left(seen, start)
+                    if (at_ and start - seen[at_ - 1] < strides[item]) or (at_ < len(seen) and seen[at_] - start < strides[item]):
+                        continue
+                    seen.insert(at_, start)
+                    near = w[max(int(off[r]), start - wide) : min(int(off[r + 1]), start + 2 * BLOCK + wide)].tolist()
                     told = len(answers[item].intersection(near)) / len(answers[item])
                     if told < least_answer:
                         continue
@@ -333,4 +372,4 @@ def find_leaks(
             types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["doc_id", "item_id", "cosine", "lcs", "answer", "start", "end"])
 
-    return texts.mapInArrow(search, schema).withColumnRenamed("doc_id", id_col)
+    return texts.mapInArrow(search, LEAKS)

@@ -407,21 +407,55 @@ def test_leaks_are_found_and_clean_text_is_not(spark):
     assert got == want | {(902, 3), (None, 4)}
 
 
-def test_leaks_of_long_items(spark):
-    """Items of 100 to 500 words, copied in full or with a quarter of the words changed."""
+LENGTHS = [10, 16, 31, 33, 60, 120, 240, 500, 1000, 2000]
+
+
+@pytest.mark.parametrize("lengths", [LENGTHS, LENGTHS[:1], [120], LENGTHS[-1:]], ids=["mixed", "short", "long", "longest"])
+def test_leaks_equal_comparing_everything(spark, lengths, monkeypatch):
+    """Verbatim and paraphrased copies of items of any length, alone and mixed, against a plain search that compares
+    every passage's surroundings with every item."""
+    if len(lengths) > 1:
+        monkeypatch.setattr(decontam, "BENCHMARK_CHARS", 12_000)  # several parts
     rng = np.random.default_rng(16)
     words = ["".join(rng.choice(list("abcdefghilmnoprstu"), rng.integers(3, 9))) for _ in range(6000)]
-    items = [(i, " ".join(rng.choice(words, n))) for i, n in enumerate([100, 150, 220, 300, 400, 500])]
-    docs, want = [], set()
-    for i in range(120):
-        w = list(rng.choice(words, rng.integers(30, 300)))
-        if i % 5 == 0:
-            item = items[i // 5 % 6]
-            w[10:10] = [f"other{j}" if i % 2 and rng.random() < 0.25 else x for j, x in enumerate(item[1].split())]
-            want.add((i, item[0]))
+    items = [(10 * k + j, [str(x) for x in rng.choice(words, n)]) for k, n in enumerate(lengths) for j in range(2 if n < 1000 else 1)]
+    docs, planted = [], set()
+    for i in range(150):
+        w = [str(x) for x in rng.choice(words, rng.integers(30, 300))]
+        if i % 3 == 0:
+            item, copy = items[i // 3 % len(items)], []
+            for x in item[1]:
+                u = rng.random() if i % 2 else 1.0  # odd documents hold a paraphrase
+                copy += [f"other{len(copy)}"] if u < 0.15 else [] if u < 0.2 else ["very", x] if u < 0.25 else [x]
+            w[20:20] = copy
+            planted.add((i, item[0]))
         docs.append((i, " ".join(w)))
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(frame(spark, docs), bench).collect()} == want
+    df = defaultdict(int)
+    for _, t in docs:
+        t = t.split()
+        for k in range(0, len(t), decontam.BLOCK):
+            for x in set(t[k : k + decontam.BLOCK]):
+                df[x] += 1
+    want = set()
+    for i, text in docs:
+        t = text.split()
+        for item, w in items:
+            order, n = list(dict.fromkeys(w)), len(w)
+            answer = set(sorted(order, key=lambda x: df[x])[: max(1, len(order) // 3)])
+            if 2 * len(answer & set(t)) < len(answer):
+                continue
+            masks, wide = defaultdict(int), n + max(decontam.BLOCK, n // 4)
+            for p, x in enumerate(w):
+                masks[x] |= 1 << p
+            for k in range(0, len(t), decontam.BLOCK):
+                near = t[max(0, k - wide) : k + 2 * decontam.BLOCK + wide]
+                if 2 * len(answer & set(near)) >= len(answer) and decontam.lcs(masks, n, near) >= 0.6 * n:
+                    want.add((i, item))
+                    break
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(frame(spark, docs), bench).collect()}
+    verbatim = {(i, x) for i, x in planted if i % 2 == 0}
+    assert verbatim <= got <= want and len(got & planted) >= 0.9 * len(planted) and len(got) >= 0.95 * len(want)
 
 
 def test_lcs_bits():
