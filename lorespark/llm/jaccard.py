@@ -14,9 +14,12 @@ from .arrays import U, binary_rows, inside, mix, pieces, row_of, runs, span_hash
 from .common import cut_lineage
 from .components import components
 
-#: Buckets of more classes than this are verified as whole groups, in blocks, instead of as single pairs.
+#: Buckets of more classes than this are verified in blocks instead of as single pairs. That changes the plan, not the
+#: result: either way a link is a pair that shares a band and is similar enough.
 LARGE_BUCKET = 16
 BLOCK = 512
+#: Ways that the rows of one group are dealt to tasks where each needs a figure of its group.
+SALTS = 16
 
 
 def choose_bands(threshold: float, recall: float, most: int = 128) -> tuple[int, int]:
@@ -103,17 +106,33 @@ def common_counts(a: list[np.ndarray], b: list[np.ndarray], columns: int = 1 <<
     return out
 
 
-def block_links(block: np.ndarray, rep: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], threshold: float):
+def share_a_band(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which rows of `a` and `b` (band values by column) agree in some column."""
+    out = np.zeros((len(a), len(b)), bool)
+    for j in range(a.shape[1]):
+        out |= a[:, j][:, None] == b[:, j][None, :]
+    return out
+
+
+def with_group_figures(rows: DataFrame, figures: DataFrame) -> DataFrame:
+    """`rows` (node, component ...) with the columns of `figures` (one row per component). A hot component's rows are
+    dealt to SALTS tasks."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    return salted.join(figures.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["component", "salt"]).drop("salt")
+
+
+def block_links(block: np.ndarray, rep: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], bands: np.ndarray, threshold: float):
     """(rep, linked documents) and a spanning forest of the links of one pair of blocks (or one block with itself)."""
     order = np.lexsort((rep, block))
-    block, rep, copies, sets = block[order], rep[order], copies[order], [sets[i] for i in order]
+    block, rep, copies, bands, sets = block[order], rep[order], copies[order], bands[order], [sets[i] for i in order]
     cut = int(np.searchsorted(block, block[0], "right"))
     if block[-1] != block[0]:
         one, two, same = slice(0, cut), slice(cut, None), False
     else:
         one, two, same = slice(None), slice(None), True
     n = np.array([len(s) for s in sets], np.float64)
-    link = similar_enough(common_counts(sets[one], sets[two]), n[one][:, None], n[two][None, :], threshold)
+    link = share_a_band(bands[one], bands[two])
+    link &= similar_enough(common_counts(sets[one], sets[two]), n[one][:, None], n[two][None, :], threshold)
     if same:
         np.fill_diagonal(link, False)
     total = np.zeros(len(rep), np.int64)
@@ -143,7 +162,7 @@ def jaccard_join(
     docs: DataFrame,
     threshold: float = 0.8,
     n: int = 5,
-    recall: float = 0.999,
+    recall: float = 0.9999,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -151,12 +170,14 @@ def jaccard_join(
 
     Returns one row per input row: the id; class_id, the smallest id with the same n-gram set; group_id, the smallest
     id that links lead to, over any number of them; n_ngrams; n_links, the number of other rows (copies included) at
-    least that similar. No pairs are returned, so a group of copies costs one row per member.
+    least that similar and found by a shared band, as all but one in 1 / (1 - recall) are at the threshold and more
+    above it. No pairs are returned, so a group of copies costs one row per member.
 
     1. Rows with equal sets form a class; only one set per class goes on.
     2. Bands of MinHash values, their number chosen for `recall` at the threshold, deal classes into buckets.
     3. Classes of small buckets are paired and each pair is verified once on the full sets. Classes that large buckets
-       connect form groups; each group is verified in blocks of about 512 x 512 sets, all pairs counted in place.
+       connect form groups; each group is verified in blocks of about 512 x 512 sets, with pairs counted in place. A
+       group of m different texts that are all alike has m squared / 2 links to count, and takes as much work.
 
     Words are runs of bytes other than space and tab to carriage return, unchanged. A text of fewer than n words counts
     as one gram; texts without words (and null texts) are one class and link to each other alone. Rows with null ids
@@ -223,6 +244,7 @@ def jaccard_join(
     sets = d.join(wanted, d.doc_id == wanted.class_id).select("text", "node", "s1", "s2").mapInArrow(full_sets, "node long, grams binary")
     sets = cut_lineage(sets.dropDuplicates(["node"]))
     copies = nodes.select("node", "copies")
+    signed_nodes = nodes.select("node", "copies", "bands")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,16 +265,18 @@ def jaccard_join(
     verified = cut_lineage(verified)
 
     sized = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = groups.join(sized, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    placed = placed.join(copies, "node").select("node", "component", "block", "copies", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
-    placed = placed.select("node", "component", "block", "copies", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
+    placed = with_group_figures(groups, sized).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.join(signed_nodes, "node").select("node", "component", "block", "copies", "bands", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+    placed = placed.select("node", "component", "block", "copies", "bands", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
 
     def verify(t: pa.Table) -> pa.Table:
-        total, rep, edges = block_links(t.column("block").to_numpy(), t.column("node").to_numpy(), t.column("copies").to_numpy(), [np.frombuffer(x, U) for x in t.column("grams").to_pylist()], threshold)
+        sets = [np.frombuffer(x, U) for x in t.column("grams").to_pylist()]
+        values = np.array(t.column("bands").to_pylist(), np.int64)
+        total, rep, edges = block_links(t.column("block").to_numpy(), t.column("node").to_numpy(), t.column("copies").to_numpy(), sets, values, threshold)
         a = [*rep.tolist(), *[e[0] for e in edges]]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array([None] * len(rep) + [e[1] for e in edges], pa.int64()), "links": pa.array([*total.tolist(), *[0] * len(edges)], pa.int64())})
 
-    in_groups = cut_lineage(placed.join(sets, "node").select("component", "i", "j", "block", "node", "copies", "grams").groupBy("component", "i", "j").applyInArrow(verify, "a long, b long, links long"))
+    in_groups = cut_lineage(placed.join(sets, "node").select("component", "i", "j", "block", "node", "copies", "bands", "grams").groupBy("component", "i", "j").applyInArrow(verify, "a long, b long, links long"))
 
     forest = verified.unionByName(in_groups.where("b is not null").select("a", "b"))
     linked = components(forest)
@@ -260,9 +284,12 @@ def jaccard_join(
     single = verified.unionByName(verified.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(weights, "b").select("a", F.col("copies").alias("links"))
     links = single.unionByName(in_groups.where("b is null").select("a", "links")).groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
 
-    labelled = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = labelled.groupBy("component").agg(F.min("class_id").alias("group_id"))
-    result = labelled.join(least, "component").join(links, "node", "left").select(*same, "class_id", "group_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    # Only linked classes have a group of more than themselves.
+    linked = linked.join(nodes.select("node", "class_id"), "node")
+    least = linked.groupBy("component").agg(F.min("class_id").alias("group_id"))
+    grouped = with_group_figures(linked, least).select("node", "group_id")
+    result = nodes.join(grouped, "node", "left").join(links, "node", "left")
+    result = result.select(*same, "class_id", F.coalesce("group_id", "class_id").alias("group_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     out = ids.select("doc_id", *same).join(result, same).select("doc_id", "class_id", "group_id", "n_ngrams", "n_links")
     lost = signed.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("group_id"), "n_ngrams", F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(lost).withColumnRenamed("doc_id", id_col)

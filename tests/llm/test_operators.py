@@ -69,9 +69,11 @@ def test_jaccard_equals_brute_force(docs, rows):
     assert key(tuple(r) for r in got) == key(brute.jaccard(rows))
 
 
-def test_jaccard_blocks_count_every_link(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "LARGE_BUCKET", 3)
-    monkeypatch.setattr(jaccard, "BLOCK", 4)
+@pytest.mark.parametrize("large,block", [(3, 4), (16, 512), (1000, 512)])
+def test_jaccard_blocks_count_every_link(spark, monkeypatch, large, block):
+    """The size from which buckets are verified in blocks doesn't change the result."""
+    monkeypatch.setattr(jaccard, "LARGE_BUCKET", large)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     base = [f"w{i}" for i in range(60)]
     rows = []
     for i in range(30):
