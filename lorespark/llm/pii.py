@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from .common import cut_lineage, unused
+from .common import reread, unused
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # The contract's patterns, written without backtracking.
@@ -142,12 +142,12 @@ def revealing_terms(docs: DataFrame, disclose: float = 0.8, support: int = 2) ->
                     rows.append((i, [{"entity": e, "context": c, "term": t} for e, c, t in around], terms))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.list_(pair), pa.list_(pa.string())))], ["doc_id", "near", "words"])
 
-    seen = cut_lineage(docs.mapInArrow(near, "doc_id long, near array<struct<entity:string,context:long,term:string>>, words array<string>"))
+    seen = reread(docs.mapInArrow(near, "doc_id long, near array<struct<entity:string,context:long,term:string>>, words array<string>"))
     around = seen.select("doc_id", F.explode("near").alias("x")).select("doc_id", "x.*")
     holders = around.select("doc_id", "entity").distinct()
     owners = holders.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     together = around.where("term <> ''").select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
-    candidates = cut_lineage(together.where(F.col("contexts") >= support))
+    candidates = reread(together.where(F.col("contexts") >= support))
     # A bit per hash of a candidate, at most BITS: what passes it is counted, and what passes by chance is dropped after.
     word_bits = np.zeros(BITS, bool)
     hashes = candidates.select((F.crc32(F.col("term").cast("binary")) % BITS).cast("int").alias("h")).distinct().collect()
@@ -179,7 +179,7 @@ def revealing_terms(docs: DataFrame, disclose: float = 0.8, support: int = 2) ->
     def counted(words: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["term", "n_t"])
 
-    totals = cut_lineage(docs.select("text").mapInArrow(count, "term string, n_t long").groupBy("term").agg(F.sum("n_t").alias("n_t")))
+    totals = reread(docs.select("text").mapInArrow(count, "term string, n_t long").groupBy("term").agg(F.sum("n_t").alias("n_t")))
     n = float((totals.where("term = ''").first() or {"n_t": 0})["n_t"])
 
     def degree(common: Column) -> Column:
@@ -187,9 +187,9 @@ def revealing_terms(docs: DataFrame, disclose: float = 0.8, support: int = 2) ->
 
     # No more than all documents of the rarer of the two can hold both.
     candidates = candidates.join(owners, "entity").join(totals, "term").where(F.col("n_e") < n)
-    candidates = cut_lineage(candidates.where(degree(F.least("n_e", "n_t")) >= disclose).select("entity", "term", "n_e", "n_t"))
+    candidates = reread(candidates.where(degree(F.least("n_e", "n_t")) >= disclose).select("entity", "term", "n_e", "n_t"))
     held = seen.select("doc_id", F.explode("words").alias("term")).join(candidates.select("term", "entity"), "term").join(holders, ["doc_id", "entity"])
-    held = cut_lineage(held.select("doc_id", "entity", "term").distinct())
+    held = reread(held.select("doc_id", "entity", "term").distinct())
     pairs = held.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
     told = candidates.join(pairs, ["entity", "term"]).withColumn("degree", degree(F.col("n_et"))).where(F.col("degree") >= disclose)
     classes = totals.where(F.col("term").endswith("*")).select(F.col("term").alias("class"), F.col("n_t").alias("n_c"))
