@@ -6,7 +6,8 @@ position travel together as one segment of text. First, only hashes of segments
 holds too is removed as a whole, and segments whose minimiser has no other text are done. Of each other text, the
 smallest document with it sends the bytes. In each shard these segments come in document order; each batch of them gets
 its own suffix array (sorted windows), is scanned against the existing levels for matches with smaller documents, and
-joins the family, where two levels of about equal size merge into one.
+joins the family, where two levels of about equal size merge into one. `SuffixIndex` keeps such a family on disk and takes
+new batches of documents against all earlier ones.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrays import U, M, inside, member, mix, pieces, row_of, runs, texts
-from .common import cut_lineage
+from .common import cut_lineage, reread, shuffle_partitions
 from .exchange import ANSWER, answer_arrays, by_shard, each_shard, gather, ids_of, known_already, numbered, packed, passed_on, per_batch, shard_count, shards_of
 
 SEGMENTS = "shard int, batch long, docs binary, keys binary, lens binary, body binary"
@@ -82,44 +83,65 @@ def segments(b: np.ndarray, off: np.ndarray, width: int, k: int):
     return row[w[first]], w[first], count, h[at[w[first]]]
 
 
+class Level:
+    """A suffix array cut at `width`: distinct windows of a text, as their places in it in the order of their bytes."""
+
+    def __init__(self, body: np.ndarray, at: np.ndarray, width: int, keys: np.ndarray | None = None):
+        self.body, self.at, self.width = body, at, width
+        self.keys = keys if keys is not None else windows(body, at, width)
+
+    def __len__(self) -> int:
+        return len(self.at)
+
+    def merged(self, other: Level) -> Level:
+        """One level of both, which share no window."""
+        body, at = np.concatenate([self.body, other.body]), np.concatenate([self.at, other.at + len(self.body)])
+        keys = np.concatenate([self.keys, other.keys])
+        order = np.argsort(keys, kind="stable")  # two sorted runs
+        return Level(body, at[order], self.width, keys[order])
+
+
+def windows(body: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """The strings of `width` bytes at these places."""
+    if not len(at):
+        return np.zeros(0, f"S{width}")
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(body, width)[at]).view(f"S{width}").ravel()
+
+
 class LogarithmicFamily:
-    """Sorted fixed-width strings in levels of geometric sizes, each level one sorted array."""
+    """Levels of geometric sizes that share no window."""
 
-    def __init__(self, width: int):
-        self.width, self.levels = width, []
+    def __init__(self, width: int, levels: list[Level] | None = None):
+        self.width, self.levels = width, list(levels or [])
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         """Which keys (sorted) some level holds."""
         hit = np.zeros(len(keys), bool)
         for level in self.levels:
-            hit |= member(keys, level)
+            hit |= member(keys, level.keys)
         return hit
 
-    def add(self, keys: np.ndarray) -> None:
-        """Add sorted keys that no level holds as a new level; merge while the last two are about equal in size."""
-        if not len(keys):
+    def add(self, level: Level) -> None:
+        """Add a level of windows that no other holds; merge while the last two are about equal in size."""
+        if not len(level):
             return
-        self.levels.append(keys)
+        self.levels.append(level)
         while len(self.levels) > 1 and 2 * len(self.levels[-1]) > len(self.levels[-2]):
             b, a = self.levels.pop(), self.levels.pop()
-            both = np.concatenate([a, b])
-            both.sort(kind="stable")  # two sorted runs
-            self.levels.append(both)
+            self.levels.append(a.merged(b))
 
 
-def matched_windows(body: np.ndarray, lens: np.ndarray, docs: np.ndarray, width: int, batch_windows: int = 1 << 16) -> np.ndarray:
-    """For each window of each segment (in order), whether a segment of a smaller document holds the same bytes.
-
-    Segments are in document order; batches end between documents.
+def matched_windows(body: np.ndarray, lens: np.ndarray, docs: np.ndarray, width: int, batch_windows: int = 1 << 16, family: LogarithmicFamily | None = None) -> np.ndarray:
+    """For each window of each segment (in order), whether the family or a segment of a smaller document holds the same
+    bytes. Segments are in document order; batches end between documents, and join the family one after the other.
     """
     ends = np.cumsum(lens)
     starts = ends - lens
     count = lens - width + 1
     total = np.cumsum(count)
     out = np.zeros(int(total[-1]), bool)
-    view = np.lib.stride_tricks.sliding_window_view(body, width)
     new_doc = np.append(runs(docs), len(docs))
-    family, i = LogarithmicFamily(width), 0
+    family, i = family or LogarithmicFamily(width), 0
     while i < len(new_doc) - 1:
         a = new_doc[i]
         base = total[a] - count[a]
@@ -127,7 +149,7 @@ def matched_windows(body: np.ndarray, lens: np.ndarray, docs: np.ndarray, width:
         z = new_doc[j]
         n = count[a:z]
         offsets = np.repeat(starts[a:z] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        keys = np.ascontiguousarray(view[offsets]).view(f"S{width}").ravel()
+        keys = windows(body, offsets, width)
         owner = np.repeat(docs[a:z], n)
         order = np.argsort(keys, kind="stable")  # the batch's suffix array; equal strings stay in document order
         k, o = keys[order], owner[order]
@@ -135,11 +157,36 @@ def matched_windows(body: np.ndarray, lens: np.ndarray, docs: np.ndarray, width:
         size = np.diff(np.append(first, len(k)))
         old = family.holds(k[first])
         out[base : base + len(k)][order] = np.repeat(old, size) | (o > np.repeat(o[first], size))
-        family.add(k[first][~old])
+        fresh, lo = first[~old], starts[a]
+        family.add(Level(body[lo : ends[z - 1]], offsets[order][fresh] - lo, width, k[fresh]))
         i = j
     return out
 
 
+def masks_of(hit: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The hits among each segment's windows as bits, lowest first."""
+    seg = np.repeat(np.arange(len(count)), count)
+    bit = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
+    mask = np.zeros(len(count), U)
+    np.bitwise_or.at(mask, seg[hit], U(1) << bit[hit].astype(U))
+    return mask
+
+
+def spans_of(gone: np.ndarray, off: np.ndarray) -> list[list[dict]]:
+    """Per row, the maximal runs of marked bytes."""
+    out = []
+    for i, j in zip(off[:-1].tolist(), off[1:].tolist()):
+        edge = np.flatnonzero(np.diff(gone[i:j].astype(np.int8), prepend=0, append=0))
+        out.append([{"start": x, "end": y} for x, y in edge.reshape(-1, 2).tolist()])
+    return out
+
+
+#: Rows of a shard: segments of new documents (level null), answers to them, or a level of the index.
+SHARD = "shard int, level long, batch long, docs binary, keys binary, lens binary, body binary"
+SHARD_SCHEMA = pa.schema([("shard", pa.int32()), ("level", pa.int64()), ("batch", pa.int64()), *((k, pa.binary()) for k in ("docs", "keys", "lens", "body"))])
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
 def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row, the byte spans covered by a `width`-byte string that also starts in a smaller id.
 
@@ -148,8 +195,8 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
     shorter than `width` lose nothing.
     Returns the id, n_bytes (long), spans (array<struct<start,end>>, maximal removed runs) and kept (binary).
     """
-    if not 8 <= k <= width or width - k + 1 > 32:
-        raise ValueError("k must be at least 8 and at least width - 31, and at most width")
+    if not 8 <= k <= width or width - k + 1 > 62:
+        raise ValueError("k must be at least 8 and at least width - 61, and at most width")
     if width > 2000:
         raise ValueError("width must be at most 2000")
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -259,11 +306,7 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
             n = lens[order]
             pick = np.repeat(at[order] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
             hit = matched_windows(body[pick], n, doc[order], width)
-            count = n - width + 1
-            seg = np.repeat(np.arange(len(n)), count)
-            bit = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
-            mask = np.zeros(len(n), U)
-            np.bitwise_or.at(mask, seg[hit], U(1) << bit[hit].astype(U))
+            mask = masks_of(hit, n - width + 1)
             some = mask > 0
             yield per_batch(blob[order][some], doc[order][some], np.stack([key[order][some], mask[some]], 1), [r["batch"] for r in rows])
 
@@ -281,7 +324,7 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
                     keys = np.concatenate([w[(w & WHOLE) > 0] & KEY, p[:, 0]])
                     if i == j or not len(keys):
                         continue
-                    masks = np.concatenate([np.full(len(keys) - len(p), (1 << 32) - 1, U), p[:, 1]])
+                    masks = np.concatenate([np.full(len(keys) - len(p), (1 << (width - k + 1)) - 1, U), p[:, 1]])
                     order = np.argsort(keys, kind="stable")
                     first = runs(keys[order])
                     keys, masks = keys[order][first], np.bitwise_or.reduceat(masks[order], first)
@@ -292,14 +335,8 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
                         gone[s] += 1  # windows are distinct, so are their starts
                         gone[s + width] -= 1
             gone = np.cumsum(gone)[:-1] > 0
-            spans, kept = [], []
-            for i, j in zip(off[:-1].tolist(), off[1:].tolist()):
-                g = gone[i:j]
-                edge = np.flatnonzero(np.diff(g.astype(np.int8), prepend=0, append=0))
-                spans.append([{"start": x, "end": y} for x, y in edge.reshape(-1, 2).tolist()])
-                kept.append(b[i:j][~g].tobytes())
-            span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(off), pa.int64()), pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+            kept = [b[i:j][~gone[i:j]].tobytes() for i, j in zip(off[:-1].tolist(), off[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(off), pa.int64()), pa.array(spans_of(gone, off), SPANS), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
     # The two joins read the same shuffle of the texts; rows with null ids go past them.
     known = d.where("doc_id is not null")
@@ -311,3 +348,143 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str =
     nothing = F.array().cast("array<binary>")
     lost = d.where("doc_id is null").withColumn("answers", nothing).withColumn("masks", nothing).mapInArrow(cut, schema)
     return out.unionByName(lost).withColumnRenamed("doc_id", id_col)
+
+
+class SuffixIndex:
+    """A logarithmic index family on disk, for corpora that grow batch by batch.
+
+    `folder` (shared, such as one under spark.checkpoint.dir) holds one Parquet table per level and a small list of the
+    levels in use; an index that is there already is opened. Windows are dealt to `shards` by minimiser, as in
+    `repeated_bytes`; a level holds, per shard, the text of its segments and their suffix array. `add_batch` brings new
+    documents: in each shard they get suffix arrays, are merge-scanned against all levels, and become a level, which
+    takes in the last levels as long as those are less than twice its size. So a window is rewritten a logarithmic
+    number of times. Sizes are bytes of documents. All comparisons are of bytes.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, width: int = 50, k: int = 20, shards: int | None = None):
+        self.spark, self.folder, self.width, self.k = spark, folder.rstrip("/"), width, k
+        self.shards, self.levels, self.steps = shards or shuffle_partitions(spark), [], 0
+        held = self._path("steps")
+        if self._exists(held):
+            rows = spark.read.parquet(held)
+            self.steps = rows.agg(F.max("step")).first()[0]
+            now = rows.where(F.col("step") == self.steps).orderBy("place").collect()  # one row per level
+            self.width, self.k, self.shards = (now[0][x] for x in ("width", "k", "shards"))
+            self.levels = [(r["level"], r["size"]) for r in now]
+
+    def _path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def _exists(self, path: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
+    def add_batch(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """Index these documents; returns per row the id, n_bytes and spans (array<struct<start,end>>): the bytes covered
+        by a `width`-byte string that an earlier batch holds, or a smaller id of this one.
+
+        Null text is empty; null ids neither match nor are indexed; rows that share an id are one document; an empty
+        batch adds nothing. A batch that fails before its end leaves the index as it was and may be added again.
+        """
+        d = cut_lineage(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")))
+        known, width, k, shards = d.where("doc_id is not null"), self.width, self.k, self.shards
+        size = known.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        spans = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>"
+        merge, total = set(), size
+        for level, n in reversed(self.levels):
+            if n >= 2 * total:
+                break
+            merge.add(level)
+            total += n
+        new = self.steps
+
+        def cut(b: np.ndarray, off: np.ndarray):
+            row, start, count, h = segments(b, off, width, k)
+            if not len(row):
+                return row, start, count, row, h
+            g = gram_hashes(b, width)  # names a segment within its document
+            return row, start, count, shards_of(h, shards), mix(g[start] * U(0x9FB21C651E98DF25) + g[start + count - 1] + count.astype(U))
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for number, batch in numbered(batches):
+                ids, _ = ids_of(batch)
+                b, off = texts(batch.column("text"))
+                row, start, count, shard, key = cut(b, off)
+                order = np.lexsort((ids[row], shard))
+                doc, start, lens, shard, key = ids[row][order], start[order], count[order] + width - 1, shard[order], key[order]
+                edges, rows = runs(shard), []
+                for i, j in zip(edges.tolist(), [*edges[1:].tolist(), len(shard)]):
+                    n = lens[i:j]
+                    pick = np.repeat(start[i:j] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                    rows.append({"shard": int(shard[i]), "batch": number, "docs": doc[i:j].tobytes(), "keys": key[i:j].tobytes(), "lens": n.astype(np.uint16).tobytes(), "body": b[pick].tobytes()})
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, SHARD_SCHEMA)
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Of each shard, its levels and the batch's segments: answers, and the new level."""
+            for shard, rows in each_shard(batches):
+                old = {r["level"]: Level(np.frombuffer(r["body"], np.uint8), np.frombuffer(r["keys"], np.int64), width) for r in rows if r["level"] is not None}
+                rows = [r for r in rows if r["level"] is None]
+                level = Level(np.zeros(0, np.uint8), np.zeros(0, np.int64), width)
+                if rows:
+                    doc, key, lens, body = (np.concatenate([np.frombuffer(r[x], t) for r in rows]) for x, t in (("docs", np.int64), ("keys", U), ("lens", np.uint16), ("body", np.uint8)))
+                    blob = np.repeat(np.arange(len(rows)), [len(r["docs"]) // 8 for r in rows])
+                    lens = lens.astype(np.int64)
+                    at, order = np.cumsum(lens) - lens, np.argsort(doc, kind="stable")
+                    n = lens[order]
+                    body = body[np.repeat(at[order] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+                    family = LogarithmicFamily(width)
+                    late = matched_windows(body, n, doc[order], width, family=family)  # within the batch
+                    for x in family.levels:
+                        level = level.merged(x)
+                    count = n - width + 1
+                    place = np.repeat(np.cumsum(n) - n - (np.cumsum(count) - count), count) + np.arange(len(late))
+                    known = LogarithmicFamily(width, list(old.values())).holds(level.keys)
+                    # The windows that a level holds, in every document of the batch that has them.
+                    late |= member(windows(body, place, width), level.keys[known])
+                    mask = masks_of(late, count)
+                    some = mask > 0
+                    told = per_batch(blob[order][some], doc[order][some], np.stack([key[order][some], mask[some]], 1), [r["batch"] for r in rows])
+                    yield from pa.Table.from_pylist([{"shard": shard, **x} for x in told.to_pylist()], SHARD_SCHEMA).to_batches()
+                    level = Level(level.body, level.at[~known], width, level.keys[~known])
+                for name in merge & set(old):
+                    level = old[name].merged(level)
+                if len(level):
+                    yield pa.RecordBatch.from_pylist([{"shard": shard, "level": new, "keys": level.at.tobytes(), "body": level.body.tobytes()}], SHARD_SCHEMA)
+
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches, "text"):
+                b, off = texts(batch.column("text"))
+                row, start, count, _, key = cut(b, off)
+                gone, bounds = np.zeros(len(b) + 1, np.int64), np.searchsorted(row, np.arange(batch.num_rows + 1))
+                for r, told in enumerate(answer_arrays(batch, U, 2)):
+                    i, j = bounds[r], bounds[r + 1]
+                    if not len(told) or i == j:
+                        continue
+                    order = np.argsort(told[:, 0], kind="stable")
+                    first = runs(told[order, 0])
+                    keys, masks = told[order, 0][first], np.bitwise_or.reduceat(told[order, 1], first)
+                    at = np.minimum(np.searchsorted(keys, key[i:j]), len(keys) - 1)
+                    m = np.where(keys[at] == key[i:j], masks[at], U(0))
+                    for bit in range(width - k + 1):
+                        s = start[i:j][((m >> U(bit)) & U(1)).astype(bool) & (count[i:j] > bit)] + bit
+                        gone[s] += 1
+                        gone[s + width] -= 1
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(off), pa.int64()), pa.array(spans_of(np.cumsum(gone)[:-1] > 0, off), SPANS)], ["doc_id", "n_bytes", "spans"])
+
+        brought = known.mapInArrow(deal, SHARD)
+        for level, _ in self.levels:
+            brought = brought.unionByName(self.spark.read.schema(SHARD).parquet(self._path(f"level-{level}")))
+        got = reread(by_shard(brought, shards).mapInArrow(scan, SHARD))
+        answered = gather(got.where("level is null").select("batch", "docs", "keys"), 2)
+        out = known.join(answered, "doc_id", "left").mapInArrow(mark, spans)
+        lost = d.where("doc_id is null").withColumn("answers", F.array().cast("array<binary>")).mapInArrow(mark, spans)
+        out = reread(out.unionByName(lost).withColumnRenamed("doc_id", id_col))
+        # The level first, then the list that names it: whoever reads the list finds whole levels.
+        got.where("level is not null").write.mode("overwrite").parquet(self._path(f"level-{new}"))
+        self.levels = [x for x in self.levels if x[0] not in merge] + ([(new, total)] if total else [])
+        self.steps += 1
+        rows = [(self.steps, i, level, n, width, k, shards) for i, (level, n) in enumerate(self.levels)]
+        if rows:
+            self.spark.createDataFrame(rows, "step long, place int, level long, size long, width int, k int, shards int").coalesce(1).write.mode("append").parquet(self._path("steps"))
+        return out

@@ -55,13 +55,57 @@ def test_logarithmic_family_levels_shrink():
     family = suffix.LogarithmicFamily(4)
     rng, seen = np.random.default_rng(0), set()
     for _ in range(40):
-        keys = np.unique(rng.integers(0, 500, 30).astype("S4"))
+        body = rng.integers(97, 103, 60).astype(np.uint8)
+        keys, at = np.unique(suffix.windows(body, np.arange(57), 4), return_index=True)
         old = family.holds(keys)
         assert old.tolist() == [k in seen for k in keys.tolist()]
-        family.add(keys[~old])
+        family.add(suffix.Level(body, at[~old], 4))
         seen |= set(keys.tolist())
         sizes = [len(x) for x in family.levels]
         assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:]))
+        assert all((x.keys[1:] > x.keys[:-1]).all() and (suffix.windows(x.body, x.at, 4) == x.keys).all() for x in family.levels)
+
+
+@pytest.mark.parametrize("batch_windows", [1, 40, 1 << 16])
+def test_matched_windows_scan_several_levels(batch_windows):
+    rng, width = np.random.default_rng(1), 6
+    texts = [bytes(rng.integers(97, 100, rng.integers(6, 30)).astype(np.uint8)) for _ in range(60)]
+    lens, docs = np.array([len(t) for t in texts]), np.sort(rng.integers(0, 40, 60))
+    family = suffix.LogarithmicFamily(width)
+    got = suffix.matched_windows(np.frombuffer(b"".join(texts), np.uint8), lens, docs, width, batch_windows, family)
+    least = {}
+    for t, d in zip(texts, docs.tolist()):
+        for i in range(len(t) - width + 1):
+            least[t[i : i + width]] = min(least.get(t[i : i + width], d), d)
+    assert got.tolist() == [least[t[i : i + width]] < d for t, d in zip(texts, docs.tolist()) for i in range(len(t) - width + 1)]
+    assert sum(map(len, family.levels)) == len(least)
+
+
+def test_index_takes_batches_against_all_levels(spark, rows, tmp_path):
+    folder, width = f"{tmp_path}/index", 20
+    batches = [rows[:30], rows[30:34], [], rows[34:36], rows[36:60], rows[60:], [(5000, rows[12][1]), (5001, "a short one")]]
+    held, levels = set(), []
+    for n, part in enumerate(batches):
+        index = suffix.SuffixIndex(spark, folder, width=width, k=8, shards=3)  # opened again each time
+        got = sorted(((r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans)) for r in index.add_batch(frame(spark, part)).collect()), key=str)
+        least = {}
+        for i, t in part:
+            b = (t or "").encode()
+            for s in range(len(b) - width + 1) if i is not None else ():
+                least[b[s : s + width]] = min(least.get(b[s : s + width], i), i)
+        want = []
+        for i, t in part:
+            b = (t or "").encode()
+            gone = bytearray(len(b))
+            for s in range(len(b) - width + 1) if i is not None else ():
+                if b[s : s + width] in held or least[b[s : s + width]] < i:
+                    gone[s : s + width] = b"\1" * width
+            want.append((i, len(b), sum(gone), len(re.findall(rb"\x01+", bytes(gone)))))
+        assert got == sorted(want, key=str), n
+        held |= set(least)
+        levels.append(len(index.levels))
+        assert all(a >= 2 * b for (_, a), (_, b) in zip(index.levels, index.levels[1:]))
+    assert max(levels) > 1
 
 
 def test_jaccard_equals_brute_force(docs, rows):
