@@ -9,23 +9,22 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-#: Odd multipliers of the polynomial hashes, and the first's inverse modulo 2**64.
+#: Odd multipliers of the polynomial hashes; the second serves where two independent hashes are wanted.
 M = 0x9E3779B97F4A7C15 | 1
-M_INV = pow(M, -1, 1 << 64)
+M2 = 0xC2B2AE3D27D4EB4F
 Q = 0xD6E8FEB86659FD93
-_POWERS: dict[str, np.ndarray] = {}
+_POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """M**i and M**-i modulo 2**64 for i < n; kept per worker for the usual batch size."""
-    have = _POWERS.get("up")
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        for key, base in (("up", M), ("down", M_INV)):
-            p = np.full(size, base, U)
-            p[0] = 1
-            _POWERS[key] = np.cumprod(p, dtype=U)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i < n; kept per worker for the usual batch size."""
+    have = _POWERS.get(base)
+    if have is None or have.shape[1] < n:
+        p = np.empty((2, max(n, 1 << 16)), U)
+        p[0], p[1] = base, pow(base, -1, 1 << 64)
+        p[:, 0] = 1
+        have = _POWERS[base] = np.cumprod(p, axis=1, dtype=U)
+    return have[0, :n], have[1, :n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -78,11 +77,11 @@ def word_spans(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return s, e, np.searchsorted(s, off)
 
 
-def span_hashes(b: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span b[s:e], the same wherever the span stands."""
+def span_hashes(b: np.ndarray, s: np.ndarray, e: np.ndarray, base: int = M) -> np.ndarray:
+    """A 64-bit hash of each byte span b[s:e], the same wherever the span stands; another one for another base."""
     if not len(s):
         return np.zeros(0, U)
-    up, down = _powers(len(b))
+    up, down = _powers(len(b), base)
     c = np.zeros(len(b) + 1, U)
     np.cumsum((b.astype(U) + U(1)) * up, out=c[1:])
     return mix((c[e] - c[s]) * down[s] + (e - s).astype(U))

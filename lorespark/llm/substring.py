@@ -3,7 +3,7 @@
 A difference cover D modulo v has, for any residues a and b, a shift d < v with a + d and b + d both in D. Two equal
 runs of at least w + v - 1 words, wherever they stand, therefore both have an anchor (a window of w words that starts
 at a position in D modulo v) at the same distance from their start. So only anchors are compared over the whole corpus,
-and only the windows around an anchor that occurs in two documents are looked at in full.
+and only the windows around an anchor that occurs in two documents are looked at in full: by 128 bits, two independent hashes of their words.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U, inside, member, pieces, row_of, runs, span_hashes, texts, window_hashes, word_spans
+from .arrays import M2, U, inside, member, pieces, row_of, runs, span_hashes, texts, window_hashes, word_spans
 from .exchange import ANSWER, MESSAGE, MESSAGE_SCHEMA, answer_arrays, by_shard, each_shard, gather, ids_of, known_already, numbered, packed, passed_on, per_batch, shard_count, shared_keys, shards_of, tags
 
 
@@ -72,7 +72,8 @@ def repeated_words(docs: DataFrame, window: int = 13, period: int = 7, id_col: s
         """The full windows around each shared anchor: the smallest id of the batch asks, larger ones have their answer."""
         for number, batch in numbered(batches):
             ids, _ = ids_of(batch)
-            _, _, first, h = _words(*texts(batch.column("text")))
+            b, off = texts(batch.column("text"))
+            s, e, first, h = _words(b, off)
             at, key, row = _anchors(first, h, v, w, cover, window)
             if not len(at):
                 continue
@@ -88,7 +89,8 @@ def repeated_words(docs: DataFrame, window: int = 13, period: int = 7, id_col: s
             at = np.flatnonzero(starts[: len(ok)] & ok)
             if not len(at):
                 continue
-            yield _ask_smallest(number, ids[row_of(first, len(h))[at]], window_hashes(h, window)[at], shards)
+            second = window_hashes(span_hashes(b, s, e, M2), window)
+            yield _ask_smallest(number, ids[row_of(first, len(h))[at]], window_hashes(h, window)[at], second[at], shards)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -125,33 +127,41 @@ def repeated_words(docs: DataFrame, window: int = 13, period: int = 7, id_col: s
     return out.unionByName(lost).withColumnsRenamed({"doc_id": id_col, "text": text_col})
 
 
-def _ask_smallest(number: int, doc: np.ndarray, key: np.ndarray, shards: int) -> pa.RecordBatch:
-    order = np.lexsort((doc, key))
-    doc, key = doc[order], key[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-    doc, key = doc[new], key[new]
-    asks = np.zeros(len(key), bool)
-    asks[runs(key)] = True
-    rows = [{"shard": s, "batch": number, **x} for s, x in packed(shards_of(key[asks], shards), [(doc[asks], "docs"), (key[asks], "keys")])]
-    rows += known_already(number, doc[~asks], key[~asks], shards)  # a smaller id of this batch holds the key
+def _ask_smallest(number: int, doc: np.ndarray, key: np.ndarray, second: np.ndarray, shards: int) -> pa.RecordBatch:
+    """Each window once per document, under two hashes; answers name it by the first, which only has to tell a
+    document's own windows apart."""
+    order = np.lexsort((doc, second, key))
+    doc, key, second = doc[order], key[order], second[order]
+    change = np.ones(len(key), bool)
+    change[1:] = (key[1:] != key[:-1]) | (second[1:] != second[:-1])
+    new = change.copy()
+    new[1:] |= doc[1:] != doc[:-1]
+    doc, key, second, asks = doc[new], key[new], second[new], change[new]
+    rows = []
+    for s, x in packed(shards_of(key[asks], shards), [(doc[asks], "docs"), (key[asks], "keys"), (second[asks], "known")]):
+        names, idx = np.unique(np.frombuffer(x["docs"], np.int64), return_inverse=True)
+        x["docs"], x["idx"] = names.tobytes(), idx.astype(np.uint16 if len(names) < 1 << 16 else np.uint32).tobytes()
+        rows.append({"shard": s, "batch": number, **x})
+    rows += known_already(number, doc[~asks], key[~asks], shards)  # a smaller id of this batch holds the window
     return pa.RecordBatch.from_pylist(rows, MESSAGE_SCHEMA)
 
 
 def smallest_owner(asked: DataFrame, shards: int) -> DataFrame:
-    """Answers for those keys that a smaller doc_id holds too."""
+    """Answers for those windows that a smaller doc_id holds too."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in each_shard(batches):
             if shard < 0:
                 yield passed_on(rows)
                 continue
-            doc = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows])
-            key = np.concatenate([np.frombuffer(r["keys"], U) for r in rows])
+            key, second = (np.concatenate([np.frombuffer(r[x], U) for r in rows]) for x in ("keys", "known"))
             blob = np.repeat(np.arange(len(rows)), [len(r["keys"]) // 8 for r in rows])
-            order = np.lexsort((doc, key))
-            doc, key, blob = doc[order], key[order], blob[order]
-            first = runs(key)
+            doc = np.concatenate([np.frombuffer(r["docs"], np.int64)[np.frombuffer(r["idx"], np.uint16 if 4 * len(r["idx"]) == len(r["keys"]) else np.uint32)] for r in rows])
+            order = np.lexsort((doc, second, key))
+            doc, key, second, blob = doc[order], key[order], second[order], blob[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (second[1:] != second[:-1])
+            first = np.flatnonzero(new)
             late = doc > np.repeat(doc[first], np.diff(np.append(first, len(key))))
             yield per_batch(blob[late], doc[late], key[late], [r["batch"] for r in rows])
 

@@ -28,6 +28,31 @@ def test_repeated_words_any_cover(docs, rows, window, period):
     assert key(tuple(r) for r in got) == key(brute.repeated_words(rows, window))
 
 
+def test_windows_whose_first_hashes_collide_stay_apart(spark, tmp_path):
+    """A first hash that is the same for all words: all windows meet, and the second hash tells them apart."""
+    import lorespark.llm.substring as module
+
+    real = module.span_hashes
+    module.span_hashes = lambda b, s, e, base=arrays.M: real(b, s, e, base) if base != arrays.M else real(b, s, e) * arrays.U(0)
+    try:
+        rng = np.random.default_rng(3)
+        texts = [" ".join(str(x) for x in rng.integers(0, 10**6, 14)) for _ in range(400)]
+        texts += texts[:20]
+        b, off = arrays.texts(__import__("pyarrow").array(texts))
+        s, e, first, h = module._words(b, off)
+        at = np.flatnonzero(arrays.inside(first, len(h), 13))
+        one, two = arrays.window_hashes(h, 13)[at], arrays.window_hashes(real(b, s, e, arrays.M2), 13)[at]
+        doc = arrays.row_of(first, len(h))[at].astype(np.int64)
+        asked = [module._ask_smallest(i, doc[part], one[part], two[part], 2) for i, part in enumerate(np.array_split(np.arange(len(at)), 3))]
+        rows = [r for batch in asked for r in batch.to_pylist()]
+        got = set()
+        for r in module.smallest_owner(spark.createDataFrame(rows, module.MESSAGE), 2).collect():
+            got |= set(np.frombuffer(r.docs, np.int64).tolist())
+        assert len(set(one.tolist())) == 1 and len(set(two.tolist())) == 800 and got == set(range(400, 420))
+    finally:
+        module.span_hashes = real
+
+
 def test_difference_covers():
     for v in range(1, 14):
         d = substring.difference_cover(v)
