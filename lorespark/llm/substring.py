@@ -3,7 +3,7 @@
 A difference cover D modulo v has, for any residues a and b, a shift d < v with a + d and b + d both in D. Two equal
 runs of at least w + v - 1 words, wherever they stand, therefore both have an anchor (a window of w words that starts
 at a position in D modulo v) at the same distance from their start. So only anchors are compared over the whole corpus,
-and only the windows around an anchor that occurs in two documents are looked at in full: by 128 bits, two independent hashes of their words.
+and only the windows around an anchor that occurs in two documents are looked at in full: by 96 bits, of two independent hashes of their words.
 """
 
 from __future__ import annotations
@@ -89,7 +89,7 @@ def repeated_words(docs: DataFrame, window: int = 13, period: int = 7, id_col: s
             at = np.flatnonzero(starts[: len(ok)] & ok)
             if not len(at):
                 continue
-            second = window_hashes(span_hashes(b, s, e, M2), window)
+            second = (window_hashes(span_hashes(b, s, e, M2), window) >> U(32)).astype(np.uint32)
             yield _ask_smallest(number, ids[row_of(first, len(h))[at]], window_hashes(h, window)[at], second[at], shards)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +154,7 @@ def smallest_owner(asked: DataFrame, shards: int) -> DataFrame:
             if shard < 0:
                 yield passed_on(rows)
                 continue
-            key, second = (np.concatenate([np.frombuffer(r[x], U) for r in rows]) for x in ("keys", "known"))
+            key, second = (np.concatenate([np.frombuffer(r[x], t) for r in rows]) for x, t in (("keys", U), ("known", np.uint32)))
             blob = np.repeat(np.arange(len(rows)), [len(r["keys"]) // 8 for r in rows])
             doc = np.concatenate([np.frombuffer(r["docs"], np.int64)[np.frombuffer(r["idx"], np.uint16 if 4 * len(r["idx"]) == len(r["keys"]) else np.uint32)] for r in rows])
             order = np.lexsort((doc, second, key))
