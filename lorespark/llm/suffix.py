@@ -187,7 +187,7 @@ SHARD_SCHEMA = pa.schema([("shard", pa.int32()), ("level", pa.int64()), ("batch"
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row, the byte spans covered by a `width`-byte string that also starts in a smaller id.
 
     Texts are UTF-8 bytes; strings never cross documents and are judged on the input. Null text is empty; null ids
