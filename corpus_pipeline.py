@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorespark.llm import decontam, jaccard, packing, pii, toxicity
-from lorespark.llm.common import cut_lineage, reread, table
+from lorespark.llm.common import reread, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ROW = "pipeline_row"
@@ -14,7 +14,7 @@ ROW = "pipeline_row"
 
 def numbered(docs: DataFrame) -> DataFrame:
     """The documents with a number for each row, written once: ids may be null or shared, decisions are on rows."""
-    return cut_lineage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias(ROW)))
+    return reread(docs.select(*COLUMNS, F.monotonically_increasing_id().alias(ROW)))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of similar rows one stays: the one with the smallest id (a null id counts as the largest), and of
     several rows with that id the first one. Rows without words are one group; repeated rows are copies of each other."""
     rows = numbered(docs)
-    joined = cut_lineage(jaccard.jaccard_join(rows, id_col=ROW).select(ROW, "group_id"))
+    joined = reread(jaccard.jaccard_join(rows, id_col=ROW).select(ROW, "group_id"))
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))
     kept = rows.select("doc_id", ROW).join(joined, ROW).groupBy("group_id").agg(best.alias("best")).select(F.col(f"best.{ROW}").alias(ROW))
     return rows.join(kept, ROW, "left_semi").select(*COLUMNS)
