@@ -19,8 +19,69 @@ def count_by(chunks: DataFrame, column: str) -> DataFrame:
 
 
 def taxonomy(chunks: DataFrame) -> DataFrame:
-    """Counts by wing and room, with wing totals and the grand total (nulls)."""
-    return chunks.rollup("wing", "room").agg(F.count(F.lit(1)).alias("n"))
+    """Counts by wing and room, with wing totals and the grand total (nulls); missing names count as `unknown`."""
+    d = chunks.select(F.coalesce("wing", F.lit("unknown")).alias("wing"), F.coalesce("room", F.lit("unknown")).alias("room"))
+    return d.rollup("wing", "room").agg(F.count(F.lit(1)).alias("n"))
+
+
+def listing(chunks: DataFrame) -> DataFrame:
+    """(wing, room, n, place): the rooms of each wing, most chunks first, then by name; missing names show as `?`."""
+    d = chunks.groupBy(F.coalesce("wing", F.lit("?")).alias("wing"), F.coalesce("room", F.lit("?")).alias("room")).agg(F.count(F.lit(1)).alias("n"))
+    return d.withColumn("place", F.row_number().over(Window.partitionBy("wing").orderBy(F.desc("n"), "room")))
+
+
+def named_counts(chunks: DataFrame, column: str) -> DataFrame:
+    """Counts by a column, rows without a value left out."""
+    return chunks.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+
+
+def export_index(chunks: DataFrame) -> DataFrame:
+    """(wing, rooms, chunks): what an export holds of each wing."""
+    return chunks.groupBy(F.coalesce("wing", F.lit("unknown")).alias("wing")).agg(F.countDistinct(F.coalesce("room", F.lit("general"))).alias("rooms"), F.count(F.lit(1)).alias("chunks"))
+
+
+def page_with_total(chunks: DataFrame, limit: int, offset: int) -> DataFrame:
+    """`page`, with the table's size beside each row."""
+    total = chunks.agg(F.count(F.lit(1)).alias("total"))
+    return page(chunks, limit, offset).join(F.broadcast(total))  # one row
+
+
+def recall(chunks: DataFrame, limit: int = 10, length: int = 300) -> DataFrame:
+    """The first chunks of a scope by id, as snippets."""
+    return chunks.orderBy("id").limit(limit).select("id", "wing", "room", snippet(F.regexp_replace("document", r"\s+", " "), length).alias("snippet"))
+
+
+def percentiles(timings: DataFrame) -> DataFrame:
+    """Count, median and 95th percentile of `ms` by step."""
+    return timings.groupBy("step").agg(F.count(F.lit(1)).alias("n"), F.percentile("ms", 0.5).alias("p50"), F.percentile("ms", 0.95).alias("p95"))
+
+
+def recent_messages(turns: DataFrame, n: int = 5, length: int = 200) -> DataFrame:
+    """The last n user messages of each conversation, newest first, cut at `length`: (conv_id, place, text)."""
+    w = Window.partitionBy("conv_id").orderBy(F.desc("turn"))
+    t = turns.where("role = 'user' and text is not null").withColumn("place", F.row_number().over(w)).where(F.col("place") <= n)
+    return t.select("conv_id", "place", F.substring("text", 1, length).alias("text"))
+
+
+def checkpoint_entry(turns: DataFrame, n: int = 5, length: int = 200) -> DataFrame:
+    """(conv_id, document): the last n user messages of each conversation in order, joined by `|`."""
+    g = recent_messages(turns, n, length).groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("place")).alias("p"), "text"))).alias("s"))
+    return g.select("conv_id", F.array_join(F.transform("s", lambda x: x["text"]), "|").alias("document"))
+
+
+def human_messages(turns: DataFrame) -> DataFrame:
+    """(conv_id, n): user messages that are not commands."""
+    said = (F.col("role") == "user") & F.col("text").rlike(r"\S") & ~F.col("text").contains("<command-message>")
+    return turns.groupBy("conv_id").agg(F.count_if(F.coalesce(said, F.lit(False))).alias("n"))
+
+
+def theme_words(turns: DataFrame, stop: tuple[str, ...], n: int = 3) -> DataFrame:
+    """(conv_id, place, word, n): the most frequent words of at least four letters in user messages, ties by word."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), 0)
+    d = turns.where("role = 'user'").select("conv_id", F.explode(words).alias("word")).where(~F.col("word").isin(*stop))
+    g = d.groupBy("conv_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("conv_id").orderBy(F.desc("n"), "word")
+    return g.withColumn("place", F.row_number().over(w)).where(F.col("place") <= n).select("conv_id", "place", "word", "n")
 
 
 def page(chunks: DataFrame, limit: int, offset: int) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,29 +24,44 @@ def candidates(docs: DataFrame, least: int = 3, stop: tuple[str, ...] = ()) -> D
     return words.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
 
 
-def frequent_names(text: Column, least: int = 2, most: int = 5) -> Column:
-    """The names that occur at least `least` times in a text, most frequent first, then by name."""
-    found = names_in(text)
-    counted = F.transform(F.array_distinct(found), lambda w: F.named_struct(F.lit("c"), -F.size(F.filter(found, lambda x: x == w)), F.lit("w"), w))
+#: Capitalised words that name nobody, and verbs that begin an action phrase.
+NO_NAMES = (
+    "The", "This", "That", "These", "Those", "When", "Where", "What", "Why", "Who", "Which", "How", "After", "Before", "Then", "Now",
+    "Here", "There", "And", "But", "Or", "Yet", "So", "If", "Else", "Yes", "No", "Maybe", "Okay", "User", "Assistant", "System", "Tool",
+    "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday", "January", "February", "March", "April", "May", "June",
+    "July", "August", "September", "October", "November", "December",
+)
+ACTIONS = ("built", "fixed", "wrote", "added", "pushed", "tested", "created", "decided", "migrated", "reviewed", "deployed", "configured", "removed", "updated")
+
+
+def frequent_names(found: Column, least: int = 2, most: int = 5, stop: tuple[str, ...] = NO_NAMES) -> Column:
+    """The names (from `names_in`, as a column of its own) that occur at least `least` times, most frequent first, then
+    first seen first."""
+    kept = F.filter(F.array_distinct(found), lambda w: ~w.isin(*stop)) if stop else F.array_distinct(found)
+    counted = F.transform(kept, lambda w, i: F.named_struct(F.lit("c"), -F.size(F.filter(found, lambda x: x == w)), F.lit("i"), i, F.lit("w"), w))
     return F.transform(F.slice(F.array_sort(F.filter(counted, lambda s: s["c"] <= -least)), 1, most), lambda s: s["w"])
 
 
-def index_lines(chunks: DataFrame, window: int = 5000, topics: int = 12, quotes: int = 3, actions: tuple[str, ...] = ()) -> DataFrame:
-    """Pointer lines of each chunk (id, wing, room, source_file, document): `topic|names|→id`.
+def index_lines(sources: DataFrame, window: int = 5000, topics: int = 12, quotes: int = 3, actions: tuple[str, ...] = ACTIONS) -> DataFrame:
+    """Pointer lines of each source (id or ids, wing, room, source_file, document): `topic|names|→ids`, with its first
+    three ids.
 
     Topics are action phrases and headers, then quotes; without any, one line points to the scope and file.
     """
+    ids = F.slice("ids", 1, 3) if "ids" in sources.columns else F.array("id")
     text = F.substring("document", 1, window)
-    heads = F.regexp_extract_all(text, F.lit(r"(?m)^#{1,3}\s+(.{5,60})$"), 1)
-    done = F.regexp_extract_all(text, F.lit(r"(?i)((?:%s)\s+[\w\s]{3,40})" % "|".join(actions)), 1) if actions else F.array().cast("array<string>")
-    topic = F.slice(F.array_distinct(F.transform(F.concat(done, heads), lambda t: F.lower(F.trim(t)))), 1, topics)
-    said = F.transform(F.slice(F.regexp_extract_all(text, F.lit('"([^"]{15,150})"'), 1), 1, quotes), lambda q: F.concat(F.lit('"'), q, F.lit('"')))
-    both = F.concat(topic, said)
+    d = sources.select("*", text.alias("text_here"), names_in(text).alias("found_here"))
+    heads = F.regexp_extract_all("text_here", F.lit(r"(?m)^#{1,3}\s+(.{5,60})$"), 1)
+    done = F.regexp_extract_all("text_here", F.lit(r"(?i)((?:%s)\s+[\p{L}\p{N}_\s]{3,40})" % "|".join(actions)), 1) if actions else F.array().cast("array<string>")
+    topic = F.slice(F.array_distinct(F.transform(F.concat(done, heads), lambda t: F.lower(F.regexp_replace(t, r"^\s+|\s+$", "")))), 1, topics)
+    said = F.transform(F.slice(F.regexp_extract_all("text_here", F.lit('"([^"]{15,150})"'), 1), 1, quotes), lambda q: F.concat(F.lit('"'), q, F.lit('"')))
     file = F.substring(F.regexp_replace(F.element_at(F.split("source_file", "/"), -1), r"\.[^.]+$", ""), 1, 40)
-    lines = F.when(F.size(both) > 0, both).otherwise(F.array(F.concat_ws("/", "wing", "room", file)))
-    names = F.array_join(frequent_names(text), ";")
-    out = chunks.select("id", "source_file", names.alias("names"), F.posexplode(lines).alias("line_no", "topic"))
-    return out.withColumn("line", F.concat(F.col("topic"), F.lit("|"), F.col("names"), F.lit("|→"), F.col("id").cast("string")))
+    names = F.array_join(frequent_names(F.col("found_here")), ";")
+    key = "ids" if "ids" in sources.columns else "id"
+    d = d.select(key, "source_file", F.concat_ws("/", "wing", "room", file).alias("place"), F.concat(topic, said).alias("both"), names.alias("names"), F.array_join(F.transform(ids, lambda i: i.cast("string")), ",").alias("refs"))
+    lines = F.when(F.size("both") > 0, F.col("both")).otherwise(F.array("place"))
+    out = d.select(key, "source_file", "names", "refs", F.posexplode(lines).alias("line_no", "topic"))
+    return out.withColumn("line", F.concat(F.col("topic"), F.lit("|"), F.col("names"), F.lit("|→"), F.col("refs"))).drop("refs")
 
 
 def packed_lines(lines: Column, most: int = 1500) -> Column:
@@ -72,13 +90,227 @@ def claims(docs: DataFrame, roles: tuple[str, ...]) -> DataFrame:
     return get(a).unionByName(get(b))
 
 
-def compression(docs: DataFrame) -> DataFrame:
-    """Per document: words, the token estimate max(1, floor(1.3 words)), and the three most frequent long words."""
-    words = F.filter(F.split(F.lower("document"), r"\s+"), lambda w: w != "")
-    d = docs.select("id", words.alias("ws"))
-    counted = d.select("id", F.explode("ws").alias("w")).where(F.length("w") >= 4).groupBy("id", "w").agg(F.count(F.lit(1)).alias("c"))
-    nth = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("c"), "w"))
-    top = counted.withColumn("nth", nth).where("nth <= 3").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("nth", "w"))).alias("top"))
-    n = F.size("ws")
-    topics = F.coalesce(F.array_join(F.transform("top", lambda s: s["w"]), ";"), F.lit(""))
-    return d.join(top, "id", "left").select("id", n.cast("long").alias("words"), F.greatest(F.lit(1), F.floor(n * 1.3)).cast("long").alias("tokens"), topics.alias("topics"))
+def _ranked_words(texts: pd.Series, stop: frozenset[str], most: int) -> list[str]:
+    """The most telling words of each text: a point for each time a word occurs, two more if it is capitalised, two more
+    if it has an inner capital, an underscore or a hyphen; first seen first among equals."""
+    out = []
+    for text in texts:
+        points: dict[str, int] = {}
+        for w in TOPIC.findall(text or ""):
+            low = w.lower()
+            if low not in stop:
+                points[low] = points.get(low, 0) + 1 + 2 * w[0].isupper() + 2 * ("_" in w or "-" in w or w[1:] != w[1:].lower())
+        out.append("_".join(sorted(points, key=lambda w: -points[w])[:most]))
+    return out
+
+
+TOPIC = re.compile(r"[a-zA-Z][a-zA-Z_-]{2,}")
+
+
+def topics(text: Column, stop: tuple[str, ...] = (), most: int = 3) -> Column:
+    """The `most` most telling words of a text, joined by `_`. One pass over each text; nothing is shuffled."""
+    no = frozenset(stop)
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(_ranked_words(texts, no, most))
+
+    return run(text)
+
+
+def compression(docs: DataFrame, stop: tuple[str, ...] = ()) -> DataFrame:
+    """Per document: words, the token estimate max(1, floor(1.3 words)), and its topics."""
+    n = F.size(F.filter(F.split("document", r"\s+"), lambda w: w != ""))
+    return docs.select("id", n.cast("long").alias("words"), F.greatest(F.lit(1), F.floor(n * 1.3)).cast("long").alias("tokens"), topics(F.col("document"), stop).alias("topics"))
+
+
+def compression_totals(pairs: DataFrame) -> DataFrame:
+    """Characters before and after, and their ratio, of (document, compressed)."""
+    d = pairs.agg(F.sum(F.length("document")).alias("before"), F.sum(F.length("compressed")).alias("after"))
+    return d.withColumn("ratio", F.col("before") / F.greatest(F.col("after"), F.lit(1)))
+
+
+def signals(text: Column, table: dict[str, str], most: int = 3) -> Column:
+    """The first `most` different codes, in the table's order, whose keyword occurs in the text."""
+    low = F.lower(text)
+    hit = F.filter(F.array(*[F.when(F.contains(low, F.lit(k)), F.lit(c)) for k, c in table.items()]), lambda x: x.isNotNull())
+    return F.slice(F.array_distinct(hit), 1, most)
+
+
+#: Words that mark a decision or an insight.
+WEIGHTY = ("decided", "because", "instead", "prefer", "switched", "chose", "realized", "important", "key", "critical", "discovered", "learned", "conclusion", "solution", "reason", "why", "breakthrough", "insight")
+
+
+def key_sentence(text: Column, longest: int = 55) -> Column:
+    """The sentence of more than ten characters with most weighty words, short ones preferred, the first of equals; cut
+    at `longest`. Empty if there is none."""
+    parts = F.filter(F.transform(F.split(text, r"[.!?\n]+"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: F.length(x) > 10)
+
+    def score(x: Column) -> Column:
+        low = F.lower(x)
+        words = sum((F.when(F.contains(low, F.lit(w)), 2).otherwise(0) for w in WEIGHTY), F.lit(0))
+        return words + F.when(F.length(x) < 80, 1).otherwise(0) + F.when(F.length(x) < 40, 1).otherwise(0) - F.when(F.length(x) > 150, 2).otherwise(0)
+
+    best = F.array_max(F.transform(parts, lambda x, i: F.struct(score(x).alias("s"), (-i).alias("i"), x.alias("x"))))["x"]
+    return F.coalesce(F.when(F.length(best) > longest, F.concat(F.substring(best, 1, longest - 3), F.lit("..."))).otherwise(best), F.lit(""))
+
+
+def entity_code(name: Column, known: dict[str, str] | None = None) -> Column:
+    """The known code of a name, else its first three letters in capitals."""
+    code = F.upper(F.substring(name, 1, 3))
+    if not known:
+        return code
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in known.items() for x in (kv[0].lower(), kv[1])])[F.lower(name)], code)
+
+
+def name_codes(text: Column, stop: tuple[str, ...], most: int = 3) -> Column:
+    """Codes of the capitalised words of a text that don't begin it, each once, in order."""
+    words = F.transform(F.filter(F.split(text, r"\s+"), lambda w: w != ""), lambda w: F.regexp_replace(w, "[^a-zA-Z]", ""))
+    later = F.filter(F.slice(words, 2, 1 << 30), lambda w: w.rlike("^[A-Z][a-z]+$") & ~F.lower(w).isin(*stop))
+    return F.slice(F.array_distinct(F.transform(later, lambda w: F.upper(F.substring(w, 1, 3)))), 1, most)
+
+
+def shorthand(docs: DataFrame, emotions: dict[str, str], flags: dict[str, str], stop: tuple[str, ...] = ("the",)) -> DataFrame:
+    """(id, line): each document as `0:NAMES|topics|"key sentence"|emotions|flags`, lossy; parts that are empty are left
+    out."""
+    d = docs.select("id", F.coalesce("document", F.lit("")).alias("document"))
+    d = d.select("id", name_codes(F.col("document"), stop).alias("n"), topics(F.col("document"), stop).alias("t"), key_sentence(F.col("document")).alias("q"), signals(F.col("document"), emotions).alias("e"), signals(F.col("document"), flags).alias("f"))
+    some = lambda c: F.when(F.size(c) > 0, F.array_join(c, "+"))
+    names = F.concat(F.lit("0:"), F.coalesce(some("n"), F.lit("???")))
+    topic = F.when(F.col("t") == "", "misc").otherwise(F.col("t"))
+    quote = F.when(F.col("q") != "", F.concat(F.lit('"'), F.col("q"), F.lit('"')))
+    return d.select("id", F.concat_ws("|", names, topic, quote, some("e"), some("f")).alias("line"))
+
+
+def decoded(lines: DataFrame) -> DataFrame:
+    """(id, names, topics, quote) back from `shorthand` lines."""
+    parts = F.split("line", r"\|")
+    quote = F.regexp_extract("line", r'\|"(.*)"', 1)
+    return lines.select("id", F.split(F.regexp_replace(parts[0], "^0:", ""), r"\+").alias("names"), F.split(parts[1], "_").alias("topics"), quote.alias("quote"))
+
+
+def metadata_names(text: Column, found: Column, known: tuple[str, ...] = (), most: int = 25) -> Column:
+    """Known names that stand in the text as words, and its own that occur twice and are longer than two letters; sorted,
+    at most `most`, joined by `;`. found: `names_in` of the text."""
+    there = [F.when(text.rlike(r"(?<![\p{L}\p{N}_])" + re.escape(n) + r"(?![\p{L}\p{N}_])"), F.lit(n)) for n in known]
+    seen = F.filter(F.array(*there), lambda x: x.isNotNull()) if there else F.array().cast("array<string>")
+    own = F.filter(frequent_names(found, 2, 1 << 30), lambda w: F.length(w) > 2)
+    return F.array_join(F.slice(F.array_sort(F.array_union(seen, own)), 1, most), ";")
+
+
+#: Weights of the signs that a name is a person's or a project's, and words that make them.
+PERSON_VERBS = ("said", "asked", "told", "replied", "laughed", "smiled", "cried", "felt", "thinks?", "wants?", "loves?", "hates?", "knows?", "decided", "pushed", "wrote")
+PROJECT_VERBS = ("building", "built", "ship(?:ping|ped)?", "launch(?:ing|ed)?", "deploy(?:ing|ed)?", "install(?:ing|ed)?")
+PRONOUNS = ("she", "her", "hers", "he", "him", "his", "they", "them", "their")
+
+
+def scored_names(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """(name, n, person, project, kinds, pronouns): points of each candidate name (name) over the lines of (id, document).
+
+    Dialogue (`> Name`, `Name:`, `"Name said`) counts 3, an address (`hey Name`) 4, a person's verb after it 2, a pronoun
+    within two lines 2; a project's verb before it 2, a version 3, a code file 3. Lines are cut once; they meet the names
+    they hold by equality of words, not by comparison of all pairs.
+    """
+    lines = docs.select("id", F.posexplode(F.split(F.coalesce("document", F.lit("")), "\n")).alias("pos", "line"))
+    near = Window.partitionBy("id").orderBy("pos").rowsBetween(-2, 2)
+    said = F.lower("line").rlike(r"\b(?:%s)\b" % "|".join(PRONOUNS)).cast("int")
+    lines = lines.withColumn("pronoun", F.max(said).over(near))
+    words = F.array_distinct(F.regexp_extract_all("line", F.lit(WORD), 0))
+    met = lines.select("id", "pos", "line", "pronoun", F.explode(words).alias("name")).join(names.select("name").distinct(), "name")
+    low, n = F.lower("line"), F.lower("name")
+
+    def times(pattern: list) -> Column:
+        return F.regexp_count(low, F.concat(*[F.lit(x) if isinstance(x, str) else x for x in pattern]))
+
+    dialogue = times([r"(?m)(?:^>\s*|^\[?)", n, r"\b\]?[:\s]|\"", n, r"\s+said"])
+    address = times([r"\b(?:hey|thanks?|hi|dear)\s+", n, r"\b"])
+    verb = times([r"\b", n, r"\s+(?:%s)\b" % "|".join(PERSON_VERBS)])
+    made = times([r"\b(?:%s)\s+(?:the\s+)?" % "|".join(PROJECT_VERBS), n, r"\b"])
+    version = times([r"\b", n, r"[\s-]v?\d+(?:\.\d+)*\b"])
+    code = times([r"\b", n, r"\.(?:py|js|ts|yaml|yml|json|sh)\b"])
+    g = met.groupBy("name").agg(
+        F.sum(F.regexp_count(F.col("line"), F.concat(F.lit(r"\b"), F.col("name"), F.lit(r"\b")))).alias("n"),
+        F.sum(dialogue).alias("d"), F.sum(address).alias("a"), F.sum(verb).alias("v"), F.sum("pronoun").alias("p"),
+        F.sum(made).alias("m"), F.sum(version).alias("r"), F.sum(code).alias("c"),
+    )
+    kinds = sum((F.when(F.col(x) > 0, 1).otherwise(0) for x in "davp"), F.lit(0))
+    return g.select("name", "n", (3 * F.col("d") + 4 * F.col("a") + 2 * F.col("v") + 2 * F.col("p")).alias("person"), (2 * F.col("m") + 3 * F.col("r") + 3 * F.col("c")).alias("project"), kinds.alias("kinds"), F.col("p").alias("pronouns"))
+
+
+def classified(scores: DataFrame) -> DataFrame:
+    """`scored_names` with type: person if at least 0.7 of the points say so, by two kinds of signs and five points;
+    project if at most 0.3; else uncertain, as are names without points."""
+    total = F.col("person") + F.col("project")
+    ratio = F.col("person") / F.nullif(total, F.lit(0))
+    sure = (F.col("kinds") >= 2) & (F.col("person") >= 5)
+    kind = F.when(total == 0, "uncertain").when((ratio >= 0.7) & sure, "person").when(ratio <= 0.3, "project").otherwise("uncertain")
+    return scores.withColumn("type", kind)
+
+
+def detected(docs: DataFrame, least: int = 3, caps: tuple[int, int, int] = (15, 10, 8)) -> DataFrame:
+    """Candidates of (id, document), scored and classified, the most frequent of each type up to its cap (people,
+    projects, uncertain)."""
+    c = classified(scored_names(docs, candidates(docs, least, tuple(x.lower() for x in NO_NAMES))))
+    cap = F.when(F.col("type") == "person", caps[0]).when(F.col("type") == "project", caps[1]).otherwise(caps[2])
+    nth = F.row_number().over(Window.partitionBy("type").orderBy(F.desc("n"), "name"))
+    return c.withColumn("place", nth).where(F.col("place") <= cap)
+
+
+def looked_up(words: DataFrame, people: DataFrame, projects: DataFrame, confirmed: DataFrame) -> DataFrame:
+    """(word, type): each word against people and their aliases, then projects, then confirmed findings, without case;
+    else unknown. people: name, aliases (array<string>); projects: name; confirmed: name, type."""
+    w = words.select("word", F.lower("word").alias("k"))
+    p = people.select(F.explode(F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("x")).select(F.lower("x").alias("k"), F.lit("person").alias("person")).distinct()
+    j = projects.select(F.lower("name").alias("k"), F.lit("project").alias("project")).distinct()
+    c = confirmed.groupBy(F.lower("name").alias("k")).agg(F.min("type").alias("found"))
+    out = w.join(p, "k", "left").join(j, "k", "left").join(c, "k", "left")
+    return out.select("word", F.coalesce("person", "project", "found", F.lit("unknown")).alias("type"))
+
+
+def learned(found: DataFrame, people: DataFrame, least: float = 0.75) -> DataFrame:
+    """Names of `classified` people that are not known yet, with at least that share of a person's points."""
+    share = F.col("person") / F.nullif(F.col("person") + F.col("project"), F.lit(0))
+    new = found.where((F.col("type") == "person") & (share >= least)).withColumn("k", F.lower("name"))
+    return new.join(people.select(F.lower("name").alias("k")), "k", "left_anti").select("name", share.alias("share"))
+
+
+def reclassified(found: DataFrame, personas: DataFrame) -> DataFrame:
+    """People and uncertain names that are personas of the dialogue's software (name) become `persona`."""
+    p = personas.select(F.lower("name").alias("k"), F.lit(True).alias("is_persona")).distinct()
+    moved = F.col("is_persona") & F.col("type").isin("person", "uncertain")
+    return found.withColumn("k", F.lower("name")).join(p, "k", "left").withColumn("type", F.when(moved, "persona").otherwise(F.col("type"))).drop("k", "is_persona")
+
+
+def people_in(queries: DataFrame, people: DataFrame) -> DataFrame:
+    """(query_id, name): the people whose name or alias stands in a query as a word, without case."""
+    w = queries.select("query_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("query"), F.lit(WORD), 0))).alias("k"))
+    p = people.select("name", F.explode(F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("x")).select("name", F.lower("x").alias("k"))
+    return w.join(p, "k").select("query_id", "name").distinct()
+
+
+def unknown_words(queries: DataFrame, known: DataFrame) -> DataFrame:
+    """(query_id, word): capitalised words of queries that are no known name (name)."""
+    w = queries.select("query_id", F.explode(F.array_distinct(names_in(F.col("query")))).alias("word")).where(~F.col("word").isin(*NO_NAMES))
+    return w.withColumn("k", F.lower("word")).join(known.select(F.lower("name").alias("k")), "k", "left_anti").select("query_id", "word")
+
+
+def registry_union(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(category, name) of both, each once without case, the first table's spelling before the second's, then the
+    smaller."""
+    both = first.select("category", "name", F.lit(0).alias("o")).unionByName(second.select("category", "name", F.lit(1).alias("o")))
+    return both.groupBy("category", F.lower("name").alias("k")).agg(F.min(F.struct("o", "name")).alias("x")).select("category", F.col("x.name").alias("name"))
+
+
+def merged(primary: DataFrame, secondary: DataFrame) -> DataFrame:
+    """Detected names (name, type) of both; where both have one, without case, the primary's type stays."""
+    k = secondary.withColumn("k", F.lower("name")).join(primary.select(F.lower("name").alias("k")), "k", "left_anti").drop("k")
+    return primary.select("name", "type").unionByName(k.select("name", "type"))
+
+
+def context_lines(docs: DataFrame, names: DataFrame, most: int = 3) -> DataFrame:
+    """(name, place, line): the first `most` different lines, by document and position, that hold each name as a word."""
+    lines = docs.select("id", F.posexplode(F.split("document", "\n")).alias("pos", "line")).withColumn("line", F.trim("line"))
+    met = lines.select("id", "pos", "line", F.explode(F.array_distinct(F.regexp_extract_all("line", F.lit(WORD), 0))).alias("name")).join(names.select("name").distinct(), "name")
+    once = met.groupBy("name", "line").agg(F.min(F.struct("id", "pos")).alias("at"))
+    w = Window.partitionBy("name").orderBy("at")
+    return once.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most).select("name", "place", "line")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.temporal import check_temporal, end_key, start_key, valid_at
-from ..functions.text import entity_id
+from ..functions.text import entity_id, hex_id
 
 
 def named(triples: DataFrame, entities: DataFrame, column: str, alias: str) -> DataFrame:
@@ -108,3 +108,51 @@ def name_confusion(mentioned: DataFrame, known: DataFrame) -> DataFrame:
     met = variants(a, "a").join(variants(b, "b"), "variant").select("a", "b").distinct()
     met = met.withColumn("distance", F.levenshtein(F.lower("a"), F.lower("b"), 2)).where("distance between 1 and 2")
     return met.select("a", "b", "distance")
+
+
+def entities_upserted(entities: DataFrame, new: DataFrame) -> DataFrame:
+    """The entity table after new ones (name, type, properties): one row per id, of new ones of the same id the last name
+    in order, and they replace what was there. Null types are `unknown`, null properties `{}`."""
+    n = new.select(entity_id(F.col("name")).alias("id"), "name", F.coalesce("type", F.lit("unknown")).alias("type"), F.coalesce("properties", F.lit("{}")).alias("properties"))
+    n = n.groupBy("id").agg(F.max(F.struct("name", "type", "properties")).alias("x")).select("id", "x.*")
+    return entities.join(n.select("id"), "id", "left_anti").select("id", "name", "type", "properties").unionByName(n)
+
+
+def predicate_id(c):
+    """Predicates in lower case, with underscores for spaces."""
+    return F.replace(F.lower(c), F.lit(" "), F.lit("_"))
+
+
+def normalised(raw: DataFrame) -> DataFrame:
+    """Facts (subject, predicate, object as named, valid_from, valid_to, ordinal) with ids in place of names, and an id of
+    their own made of them."""
+    s, p, o = entity_id(F.col("subject")), predicate_id(F.col("predicate")), entity_id(F.col("object"))
+    start = F.coalesce("valid_from", F.lit(""))
+    key = F.concat(F.lit("t_"), s, F.lit("_"), p, F.lit("_"), o, F.lit("_"), hex_id(F.concat_ws("|", s, p, o, start, F.col("ordinal").cast("string")), 12))
+    return raw.select(key.alias("id"), s.alias("subject"), p.alias("predicate"), o.alias("object"), "valid_from", "valid_to", "ordinal")
+
+
+def entities_of(raw: DataFrame, entities: DataFrame) -> DataFrame:
+    """The entities (id, name, type) that facts name and the store doesn't hold: of spellings of one id the first by
+    ordinal, subjects before objects."""
+    named = raw.select(F.col("subject").alias("name"), F.struct("ordinal", F.lit(0).alias("o")).alias("at")).unionByName(raw.select(F.col("object").alias("name"), F.struct("ordinal", F.lit(1).alias("o")).alias("at")))
+    first = named.groupBy(entity_id(F.col("name")).alias("id")).agg(F.min_by("name", "at").alias("name"))
+    return first.join(entities.select("id"), "id", "left_anti").select("id", "name", F.lit("unknown").alias("type"))
+
+
+#: What a relationship says, and which column names the other end.
+RELATIONSHIPS = {"daughter": ("is_child_of", "parent"), "husband": ("is_partner_of", "partner"), "brother": ("is_sibling_of", "sibling"), "dog": ("is_pet_of", "owner")}
+
+
+def seeded(people: DataFrame, interests_since: str = "2025-01-01") -> DataFrame:
+    """(subject, predicate, object, valid_from) of known people (name, birthday, relationship, parent, partner, sibling,
+    owner, interests): child_of, married_to, what the relationship says (of oneself where the other end is missing), and
+    loves for each interest. Empty strings count as missing."""
+    told = lambda c: F.initcap(F.nullif(F.col(c), F.lit("")))
+    kinds = [F.struct(F.lit("child_of").alias("p"), told("parent").alias("o"), F.col("birthday").alias("f")), F.struct(F.lit("married_to").alias("p"), told("partner").alias("o"), F.lit(None).cast("string").alias("f"))]
+    for kind, (p, c) in RELATIONSHIPS.items():
+        start = F.col("birthday") if kind == "daughter" else F.lit(None).cast("string")
+        kinds.append(F.struct(F.lit(p).alias("p"), F.when(F.col("relationship") == kind, F.coalesce(told(c), F.col("name"))).alias("o"), start.alias("f")))
+    loves = F.transform(F.coalesce("interests", F.array().cast("array<string>")), lambda x: F.struct(F.lit("loves").alias("p"), F.initcap(x).alias("o"), F.lit(interests_since).alias("f")))
+    d = people.select("name", F.explode(F.concat(F.array(*kinds), loves)).alias("x")).where("x.o is not null")
+    return d.select(F.col("name").alias("subject"), F.col("x.p").alias("predicate"), F.col("x.o").alias("object"), F.nullif(F.col("x.f"), F.lit("")).alias("valid_from"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import scope_slug
+
 
 def nodes(chunks: DataFrame) -> DataFrame:
     """Per room (not `general`, not of a blank wing): wings, halls, count and the last five dates."""
@@ -79,3 +81,63 @@ def tunnel_id(a_wing: str, a_room: str, b_wing: str, b_room: str):
     """The symmetric id of a link between two wing/room ends, as a Column over the named columns."""
     a, b = F.concat_ws("/", a_wing, a_room), F.concat_ws("/", b_wing, b_room)
     return F.substring(F.sha2(F.concat(F.least(a, b), F.lit("↔"), F.greatest(a, b)), 256), 1, 16)
+
+
+def tunnels_upserted(tunnels: DataFrame, new: DataFrame) -> DataFrame:
+    """Links after the new ones (source_wing, source_room, target_wing, target_room, label, source_drawer, target_drawer,
+    at): a pair of ends has one link, whatever their order; a new one keeps the time the first was made. Of new ones of
+    the same ends the latest counts. Returns id, both ends, label, drawers, created_at, updated_at."""
+    ends = ["source_wing", "source_room", "target_wing", "target_room", "label", "source_drawer", "target_drawer"]
+    n = new.withColumn("id", tunnel_id("source_wing", "source_room", "target_wing", "target_room"))
+    n = n.groupBy("id").agg(F.max_by(F.struct(*ends), "at").alias("x"), F.min("at").alias("first"), F.max("at").alias("last"))
+    n = n.join(tunnels.select("id", F.col("created_at").alias("had")), "id", "left")
+    changed = F.col("had").isNotNull() | (F.col("first") != F.col("last"))
+    fresh = n.select("id", *[F.col(f"x.{c}").alias(c) for c in ends], F.coalesce("had", "first").alias("created_at"), F.when(changed, F.col("last")).alias("updated_at"))
+    return tunnels.join(n.select("id"), "id", "left_anti").select(fresh.columns).unionByName(fresh)
+
+
+def _wing(c: str):
+    return scope_slug(F.trim(F.col(c)))
+
+
+def tunnels_of(tunnels: DataFrame, wing: str | None = None) -> DataFrame:
+    """All links, or those with an end in a wing, names compared as slugs."""
+    if not wing:
+        return tunnels
+    w = scope_slug(F.lit(wing.strip()))
+    return tunnels.where((_wing("source_wing") == w) | (_wing("target_wing") == w))
+
+
+def tunnels_without(tunnels: DataFrame, ids: list[str]) -> DataFrame:
+    return tunnels.where(~F.col("id").isin(*ids))
+
+
+def followed(tunnels: DataFrame, wing: str, room: str, chunks: DataFrame, length: int = 300) -> DataFrame:
+    """(tunnel_id, direction, connected_wing, connected_room, label, drawer_id, preview): where the links of a room lead,
+    outgoing if it is their source, with the beginning of the chunk (id, document) at the other end."""
+    w = scope_slug(F.lit(wing.strip()))
+    out = (_wing("source_wing") == w) & (F.col("source_room") == room)
+    back = ~F.coalesce(out, F.lit(False)) & (_wing("target_wing") == w) & (F.col("target_room") == room)
+    a = tunnels.where(out).select(F.col("id").alias("tunnel_id"), F.lit("outgoing").alias("direction"), F.col("target_wing").alias("connected_wing"), F.col("target_room").alias("connected_room"), "label", F.col("target_drawer").alias("drawer_id"))
+    b = tunnels.where(back).select(F.col("id").alias("tunnel_id"), F.lit("incoming").alias("direction"), F.col("source_wing").alias("connected_wing"), F.col("source_room").alias("connected_room"), "label", F.col("source_drawer").alias("drawer_id"))
+    c = chunks.select(F.col("id").alias("drawer_id"), F.substring("document", 1, length).alias("preview"))
+    return a.unionByName(b).join(c, "drawer_id", "left")
+
+
+def topic_tunnels_for(topics: DataFrame, wing: str, least: int = 1) -> DataFrame:
+    """`topic_tunnels` with one wing at an end: only its topics meet the others'."""
+    key = F.lower(F.trim("topic"))
+    mine = topics.where(F.col("wing") == wing).select(key.alias("k")).distinct()
+    near = topics.withColumn("k", key).join(mine, "k", "left_semi").drop("k")
+    return topic_tunnels(near, least).where((F.col("wing_a") == wing) | (F.col("wing_b") == wing))
+
+
+def rooms_per_wing(node: DataFrame) -> DataFrame:
+    """(wing, rooms) of nodes (room, wings)."""
+    return node.select("room", F.explode("wings").alias("wing")).groupBy("wing").agg(F.count(F.lit(1)).alias("rooms"))
+
+
+def top_tunnels(node: DataFrame, n: int = 10) -> DataFrame:
+    """The rooms of at least two wings with most wings, then by name: room, wings, count."""
+    d = node.where(F.size("wings") >= 2).select("room", F.array_join(F.array_sort("wings"), ",").alias("wings"), F.size("wings").alias("n_wings"), "count")
+    return d.orderBy(F.desc("n_wings"), "room").limit(n)

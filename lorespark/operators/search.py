@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..functions.text import tokens
+from ..functions.sanitize import clean_query
+from ..functions.text import basename, tokens
 
 # BM25 and ranking constants.
 K1, B = 1.5, 0.75
@@ -23,55 +32,128 @@ def cosine_distance(a: Column, b: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(2.0), 1.0 - dot(a, b) / F.nullif(norm, F.lit(0.0))))
 
 
-def vector_topk(rows: DataFrame, queries: DataFrame, k: int, query_block: int = 4096) -> DataFrame:
+#: Most bytes of packed query vectors that travel to every task; more queries meet the rows in pairs of blocks.
+SMALL_QUERIES = 32 << 20
+ROW_BLOCK, QUERY_BLOCK = 8192, 1024
+
+
+def _nearest_of(x: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query number, row number, distance) of the k nearest rows of each query; NaN for zero or missing vectors."""
+    with np.errstate(invalid="ignore", divide="ignore"):
+        d = np.clip(1.0 - (q @ x.T) / (np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None, :]), 0.0, 2.0)
+    if len(x) > k:
+        worst = np.partition(np.where(np.isnan(d), np.inf, d), k - 1, axis=1)[:, k - 1]
+        keep = (d <= worst[:, None]) | (np.isnan(d) & np.isinf(worst)[:, None])
+    else:
+        keep = np.ones_like(d, bool)
+    i, j = np.nonzero(keep)
+    return i, j, d[i, j]
+
+
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """A list column as rows of a matrix; null vectors and those of another length as NaN."""
+    n = len(column)
+    size = pc.fill_null(pc.list_value_length(column), -1).to_numpy(zero_copy_only=False)
+    if n and (size == dim).all():
+        return pc.cast(column.flatten(), pa.float64()).to_numpy(zero_copy_only=False).reshape(n, dim)
+    out = np.full((n, dim), np.nan)
+    for i in np.flatnonzero(size == dim).tolist():
+        out[i] = np.array(column[i].as_py(), np.float64)
+    return out
+
+
+def vector_topk(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k nearest rows (id, embedding) of each query (query_id, embedding): query_id, rank, id, distance.
 
-    Queries go round in blocks: each row meets the packed block, computes its distances in one expression, and the
-    per-query top-k is taken before the shuffle as well as after it. Ties go to the smaller id.
+    Exact, by matrix products. A bounded number of query vectors (SMALL_QUERIES bytes, counted first) goes to the tasks
+    that read the rows; more of them meet the rows in pairs of blocks, dealt by both blocks' numbers, so nothing that
+    grows is broadcast. Each task passes on the k nearest of what it saw. Ties go to the smaller id; rows and queries
+    without a direction have a null distance and come last.
     """
-    unit = lambda c: F.transform(c, lambda x: x.cast("double"))
-    q = queries.select("query_id", unit(F.col("embedding")).alias("q"))
-    q = q.withColumn("q_norm", F.sqrt(dot(F.col("q"), F.col("q"))))
-    blocks = q.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-queries.count() // query_block)))).alias("block")).agg(F.collect_list(F.struct("query_id", "q", "q_norm")).alias("qs"))
-    r = rows.select("id", unit(F.col("embedding")).alias("v")).withColumn("v_norm", F.sqrt(dot(F.col("v"), F.col("v"))))
-    met = r.join(F.broadcast(blocks.select("qs"))).select("id", "v", "v_norm", F.explode("qs").alias("x"))
-    distance = 1.0 - dot(F.col("v"), F.col("x.q")) / F.nullif(F.col("v_norm") * F.col("x.q_norm"), F.lit(0.0))
-    scored = met.select(F.col("x.query_id").alias("query_id"), "id", F.greatest(F.lit(0.0), F.least(F.lit(2.0), distance)).alias("distance"))
-    w = Window.partitionBy("query_id").orderBy(F.col("distance").asc_nulls_last(), "id")
+    kinds = {f.name: f.dataType for f in [*queries.select("query_id").schema, *rows.select("id").schema]}
+    out = StructType([StructField("query_id", kinds["query_id"]), StructField("id", kinds["id"]), StructField("distance", DoubleType())])
+    q_kind, id_kind = to_arrow_type(kinds["query_id"]), to_arrow_type(kinds["id"])
+    q = queries.select("query_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
+    size = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+    r = rows.select("id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
+    n, dim = size["n"], max(size["dim"] or 1, 1)
+
+    def found(x: np.ndarray, ids: pa.Array, v: np.ndarray, names: pa.Array) -> pa.RecordBatch:
+        i, j, d = _nearest_of(x, v, k)
+        return pa.RecordBatch.from_arrays([names.take(pa.array(i)).cast(q_kind), ids.take(pa.array(j)).cast(id_kind), pa.array(d, pa.float64(), from_pandas=True)], ["query_id", "id", "distance"])
+
+    if n * dim * 8 <= SMALL_QUERIES:
+        got = q.toArrow().combine_chunks()  # bounded by SMALL_QUERIES
+        names, v = got.column("query_id").combine_chunks() if n else pa.array([], q_kind), _matrix(got.column("embedding").combine_chunks(), dim) if n else np.zeros((0, dim))
+
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for at in range(0, b.num_rows, ROW_BLOCK):
+                    c = b.slice(at, ROW_BLOCK)
+                    for first in range(0, len(v), QUERY_BLOCK):
+                        yield found(_matrix(c.column("embedding"), dim), c.column("id"), v[first : first + QUERY_BLOCK], names.slice(first, QUERY_BLOCK))
+
+        scored = r.mapInArrow(near, out)
+    else:
+        row_blocks, query_blocks = max(1, -(-rows.count() // ROW_BLOCK)), -(-n // QUERY_BLOCK)
+
+        def dealt(d: DataFrame, name: str, key: str, blocks: int, other: str, others: int) -> DataFrame:
+            packed = d.groupBy(F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias(name)).agg(F.collect_list(F.struct(key, "embedding")).alias(f"of_{name}"))
+            return packed.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+        met = dealt(r, "rb", "id", row_blocks, "qb", query_blocks).join(dealt(q, "qb", "query_id", query_blocks, "rb", row_blocks), ["rb", "qb"]).select("of_rb", "of_qb")
+
+        def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i in range(b.num_rows):
+                    x, y = b.column("of_rb")[i].values, b.column("of_qb")[i].values
+                    yield found(_matrix(x.field("embedding"), dim), x.field("id"), _matrix(y.field("embedding"), dim), y.field("query_id"))
+
+        scored = met.mapInArrow(visit, out)
+    w = Window.partitionBy("query_id").orderBy(F.round("distance", 12).asc_nulls_last(), "id")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
     """Scores of candidates (query_id, id, document) for queries (query_id, query); idf and average length are taken
-    over each query's own candidates, empty ones included. Query terms count once. Returns query_id, id, score."""
-    terms = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
-    d = docs.select("query_id", "id", tokens(F.col("document")).alias("ts"))
-    stats = d.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("ts")).alias("avgdl"))
-    tf = d.select("query_id", "id", F.size("ts").alias("dl"), F.explode("ts").alias("term")).join(terms, ["query_id", "term"], "left_semi")
-    tf = tf.groupBy("query_id", "id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0)
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    scored = tf.join(df, ["query_id", "term"]).join(stats, "query_id").groupBy("query_id", "id").agg(F.sum(part).alias("score"))
-    return d.select("query_id", "id").join(scored, ["query_id", "id"], "left").select("query_id", "id", F.coalesce("score", F.lit(0.0)).alias("score"))
+    over each query's own candidates, empty ones included. Query terms count once. Returns query_id, id, score.
+
+    Each document is cut into words once: what remains is its length and its counts of the query's terms, dealt once by
+    query; statistics and scores both read that.
+    """
+    terms = queries.select("query_id", F.array_sort(F.array_distinct(tokens(F.col("query")))).alias("terms"))
+    d = docs.select("query_id", "id", tokens(F.col("document")).alias("ts")).join(terms, "query_id", "left")
+    counts = F.transform(F.coalesce("terms", F.array().cast("array<string>")), lambda t: F.size(F.filter("ts", lambda x: x == t)))
+    d = d.select("query_id", "id", F.size("ts").alias("dl"), counts.alias("tf")).repartition("query_id")
+    stats = d.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
+    df = d.select("query_id", F.posexplode("tf").alias("t", "c")).groupBy("query_id", "t").agg(F.count_if(F.col("c") > 0).alias("df"))
+    df = df.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("t", "df"))), lambda x: x["df"]).alias("dfs"))
+    s = d.join(stats, "query_id").join(df, "query_id", "left")
+    idf = lambda x: F.log((F.col("n") - x["dfs"] + 0.5) / (x["dfs"] + 0.5) + 1.0)
+    part = lambda x: idf(x) * x["tf"] * (K1 + 1) / (x["tf"] + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+    score = F.aggregate(F.filter(F.arrays_zip("tf", "dfs"), lambda x: x["tf"] > 0), F.lit(0.0), lambda a, x: a + part(x))
+    return s.select("query_id", "id", F.coalesce(score, F.lit(0.0)).alias("score"))
+
+
+def query_terms(query: str) -> list[str]:
+    """The distinct tokens of a query text, in order."""
+    return list(dict.fromkeys(re.findall(r"\w{2,}", query.lower())))
 
 
 def bm25_topk(docs: DataFrame, query: str, k: int) -> DataFrame:
     """The k best documents (id, document) for one query text, over the whole table as candidates.
 
-    One query: the term list is part of the plan, document frequencies are one aggregate row, and nothing but the top k
-    is shuffled.
+    One query: the term list is part of the plan, document frequencies are one aggregate row, and only lengths and
+    counts of the query's terms are kept of each document; statistics and scores both read their one exchange.
     """
-    from pyspark.sql import SparkSession
-
-    terms = [r[0] for r in SparkSession.active().range(1).select(F.explode(F.array_distinct(tokens(F.lit(query))))).collect()]
+    terms = query_terms(query)
     d = docs.select("id", tokens(F.col("document")).alias("ts"))
 
     def count(term: str) -> Column:
         return F.size(F.filter("ts", lambda t: t == term))
 
     counts = [count(term).alias(f"tf{i}") for i, term in enumerate(terms)]
-    d = d.select("id", F.size("ts").alias("dl"), *counts)
+    d = d.select("id", F.size("ts").alias("dl"), *counts).repartition("id")
     stats = d.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
     score = F.lit(0.0)
     for i in range(len(terms)):
@@ -91,7 +173,7 @@ def hybrid_rank(candidates: DataFrame, queries: DataFrame) -> DataFrame:
     keyword = F.when(best > 0, F.col("bm25") / best).otherwise(0.0)
     scored = scored.withColumn("score", VECTOR_WEIGHT * vector + KEYWORD_WEIGHT * keyword)
     w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "id")
-    return scored.withColumn("rank", F.row_number().over(w))
+    return scored.withColumn("rank", F.row_number().over(w)).withColumn("bm25", F.round("bm25", 3))
 
 
 def index_boost(chunks: DataFrame, closets: DataFrame) -> DataFrame:
@@ -106,11 +188,105 @@ def index_boost(chunks: DataFrame, closets: DataFrame) -> DataFrame:
     return out.withColumn("effective", F.greatest(F.lit(0.0), F.least(F.lit(2.0), F.col("distance") - F.col("boost"))))
 
 
-def union_candidates(vector: DataFrame, keyword: DataFrame) -> DataFrame:
-    """Vector hits plus those keyword hits whose (query_id, source_file, chunk_index) isn't among them, with null distance."""
-    key = ["query_id", "source_file", "chunk_index"]
-    extra = keyword.join(vector, key, "left_anti").withColumn("distance", F.lit(None).cast("double"))
-    return vector.unionByName(extra, allowMissingColumns=True)
+def union_candidates(vector: DataFrame, keyword: DataFrame, max_distance: float = 0.0) -> DataFrame:
+    """Vector hits plus those keyword hits whose (query_id, source_file, chunk_index), or file name where there is no
+    index, isn't among them, with null distance. A distance limit admits no hits without a distance."""
+    if max_distance > 0.0:
+        return vector
+    place = F.when(F.col("chunk_index").isNotNull(), F.concat_ws("\u0000", "source_file", "chunk_index")).otherwise(basename(F.col("source_file")))
+    have = vector.select("query_id", place.alias("place")).distinct()
+    extra = keyword.withColumn("place", place).where("place is not null and place <> ''").join(have, ["query_id", "place"], "left_anti").drop("place")
+    return vector.unionByName(extra.withColumn("distance", F.lit(None).cast("double")), allowMissingColumns=True)
+
+
+STRATEGIES = ("vector", "union")
+
+
+def keyword_hits(chunks: DataFrame, queries: DataFrame, n: int, most: int = 500) -> DataFrame:
+    """(query_id, id, source_file, chunk_index, document, score, rank): the n best chunks by words alone.
+
+    Candidates hold a query word of at least three letters as a substring, at most `most` per query by id; a query
+    without such words takes the last `most` chunks by id; one whose words occur nowhere finds nothing.
+    """
+    words = F.filter(F.array_distinct(tokens(F.col("query"))), lambda t: F.length(t) >= 3)
+    q = queries.select("query_id", "query", words.alias("ws"))
+    asked = q.where(F.size("ws") > 0).select("query_id", F.explode("ws").alias("w"))
+    every = asked.select("w").distinct().agg(F.collect_set("w").alias("all_words"))  # words of the queries: one row
+    low = chunks.select("id", F.lower(F.coalesce("document", F.lit(""))).alias("low")).join(F.broadcast(every))
+    held = low.select("id", F.explode(F.filter("all_words", lambda w: F.contains("low", w))).alias("w")).join(asked, "w").select("query_id", "id").distinct()
+    first = F.row_number().over(Window.partitionBy("query_id").orderBy("id"))
+    held = held.withColumn("n", first).where(F.col("n") <= most).select("query_id", "id")
+    bare = q.where(F.size("ws") == 0).select("query_id")
+    recent = chunks.select("id").orderBy(F.desc("id")).limit(most)
+    held = held.unionByName(bare.join(F.broadcast(recent)).select("query_id", "id"))  # at most `most` rows
+    met = held.join(chunks.select("id", "source_file", "chunk_index", "document"), "id")
+    scored = met.join(bm25(met.select("query_id", "id", "document"), queries), ["query_id", "id"])
+    w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "id")
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def hydrated(hits: DataFrame, chunks: DataFrame, queries: DataFrame, most: int = 10_000) -> DataFrame:
+    """Hits (query_id, id, source_file ...) whose source has several chunks, with `expanded`: of that source the first
+    chunk that holds most of the query's words as substrings, with its neighbours, cut at `most` characters."""
+    asked = hits.select("query_id", "source_file").distinct().join(queries.select("query_id", F.array_distinct(tokens(F.col("query"))).alias("ws")), "query_id")
+    c = asked.join(chunks.select("source_file", "chunk_index", "document", F.col("id").alias("cid")), "source_file")
+    order = Window.partitionBy("query_id", "source_file").orderBy("chunk_index", "cid")
+    score = F.size(F.filter("ws", lambda t: F.contains(F.lower("document"), t)))
+    c = c.withColumn("at", F.row_number().over(order) - 1).withColumn("score", score)
+    near = F.array_join(F.collect_list("document").over(order.rowsBetween(-1, 1)), "\n\n")
+    c = c.withColumn("near", near)
+    g = c.groupBy("query_id", "source_file").agg(F.max(F.struct("score", (-F.col("at")).alias("first"), "near")).alias("x"), F.count(F.lit(1)).alias("total")).where("total > 1")
+    text = F.when(F.length("x.near") > most, F.concat(F.substring("x.near", 1, most), F.format_string("\n\n[...truncated. %d chunks in all.]", "total"))).otherwise(F.col("x.near"))
+    return hits.join(g.select("query_id", "source_file", text.alias("expanded"), (-F.col("x.first")).alias("best_chunk"), "total"), ["query_id", "source_file"], "left")
+
+
+def search_chunks(chunks: DataFrame, closets: DataFrame, queries: DataFrame, n: int = 5, max_distance: float = 0.0, strategy: str = "vector") -> DataFrame:
+    """Hybrid search: query_id, rank, id, distance, effective, boost, similarity, bm25, score, document.
+
+    chunks: id, source_file, chunk_index, document, embedding. closets: id, source_file, embedding. queries: query_id,
+    query, embedding. The 3n nearest chunks of each query, within `max_distance` (0: any), are drawn nearer by the index
+    hits of their sources and cut to n; boosted ones read the best chunk of their source; strategy `union` adds the 3n
+    best chunks by words; then vector share and BM25 rank them, and n remain.
+    """
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy is one of {STRATEGIES}")
+    files = chunks.select("id", "source_file", "chunk_index", "document")
+    hits = vector_topk(chunks, queries, 3 * n).drop("rank").join(files, "id")
+    if max_distance > 0.0:
+        hits = hits.where(F.col("distance") <= max_distance)
+    index = vector_topk(closets, queries, 2 * n).join(closets.select("id", "source_file"), "id")
+    hits = index_boost(hits, index)
+    w = Window.partitionBy("query_id").orderBy(F.round("effective", 12), "id")
+    hits = hits.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= n).drop("nth")
+    boosted = hydrated(hits.where("boost > 0"), chunks, queries)
+    plain = hits.where("boost = 0")
+    hits = plain.unionByName(boosted.withColumn("document", F.coalesce("expanded", "document")).select(*plain.columns))
+    if strategy == "union":
+        extra = keyword_hits(chunks, queries, 3 * n).select("query_id", "id", "source_file", "chunk_index", "document")
+        hits = union_candidates(hits, extra, max_distance)
+    hits = hits.withColumn("distance", F.round("distance", 4)).withColumn("boost", F.coalesce("boost", F.lit(0.0)))
+    ranked = hybrid_rank(hits, queries).where(F.col("rank") <= n)
+    return ranked.select("query_id", "rank", "id", "distance", F.round("effective", 4).alias("effective"), "boost", F.round(F.greatest(F.lit(0.0), 1 - F.col("effective")), 3).alias("similarity"), "bm25", "score", "document")
+
+
+def plain_search(chunks: DataFrame, queries: DataFrame, n: int = 5) -> DataFrame:
+    """The n nearest chunks of each query, reordered by `hybrid_rank`; no index, no more candidates than n."""
+    hits = vector_topk(chunks, queries, n).drop("rank").join(chunks.select("id", "document"), "id")
+    return hybrid_rank(hits.select("query_id", "id", "document", "distance"), queries)
+
+
+def deep_search(chunks: DataFrame, queries: DataFrame, n: int = 5) -> DataFrame:
+    """The n nearest chunks with their similarity 1 - distance, which may be negative, to three digits."""
+    return vector_topk(chunks, queries, n).withColumn("similarity", F.round(1.0 - F.col("distance"), 3))
+
+
+def search_tool(chunks: DataFrame, closets: DataFrame, queries: DataFrame, limit: int = 5, max_distance: float = 1.5, min_similarity: float | None = None, strategy: str = "vector") -> DataFrame:
+    """`search_chunks` with its limit held to 1 to 100, a least similarity taken as a distance, and queries cleaned of
+    prompt text."""
+    if min_similarity is not None:
+        max_distance = 1.0 - min_similarity
+    clean = queries.withColumn("query", clean_query(F.col("query"))["clean_query"])
+    return search_chunks(chunks, closets, clean, max(1, min(100, limit)), max_distance, strategy)
 
 
 def neighbours(chunks: DataFrame, radius: int = 1) -> DataFrame:

@@ -139,7 +139,7 @@ c AS (SELECT query_id, id, distance, text AS document FROM hits JOIN documents O
 s AS (SELECT c.query_id, c.id, bm25, 0.6 * greatest(0.0, 1 - distance) + CASE WHEN max(bm25) OVER (PARTITION BY c.query_id) > 0 THEN 0.4 * bm25 / max(bm25) OVER (PARTITION BY c.query_id) ELSE 0 END AS score
   FROM c JOIN bm25 ON c.query_id = bm25.query_id AND c.id = bm25.id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM s)
-SELECT query_id, rank, id, round(bm25, 5) AS bm25, round(score, 5) AS score FROM ranked WHERE rank <= 10"""
+SELECT query_id, rank, id, round(bm25, 3) AS bm25, round(score, 5) AS score FROM ranked WHERE rank <= 10"""
 
 
 @query(HYBRID)
@@ -153,7 +153,7 @@ def hybrid_rank_all(spark, sf_dir):
 
 
 def _listed(ranked: DataFrame) -> DataFrame:
-    return ranked.select("query_id", F.col("rank").cast("long").alias("rank"), "id", F.round("bm25", 5).alias("bm25"), F.round("score", 5).alias("score"))
+    return ranked.select("query_id", F.col("rank").cast("long").alias("rank"), "id", "bm25", F.round("score", 5).alias("score"))
 
 
 @query(f"""WITH q AS (SELECT vec_id AS query_id, embedding FROM embeddings WHERE vec_id % 100 = 2),
@@ -215,7 +215,7 @@ def list_rooms(spark, sf_dir):
     return catalog.count_by(chunk_table(spark, sf_dir).where(scope(wing="en")), "room")
 
 
-@query("SELECT lang AS wing, source AS room, count(*) AS n FROM documents GROUP BY ROLLUP (lang, source)")
+@query("SELECT wing, room, count(*) AS n FROM (SELECT coalesce(lang, 'unknown') AS wing, coalesce(source, 'unknown') AS room FROM documents) GROUP BY ROLLUP (wing, room)")
 def taxonomy(spark, sf_dir):
     return catalog.taxonomy(chunk_table(spark, sf_dir))
 
@@ -418,11 +418,12 @@ def neighbor_expand(spark, sf_dir):
 
 
 @query("""WITH x AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS ex FROM conversations),
-g AS (SELECT conv_id, ex, arg_min(text, turn) AS u, string_agg(text, ' ' ORDER BY turn) FILTER (role <> 'user') AS r FROM x WHERE ex > 0 GROUP BY 1, 2), d AS (SELECT conv_id, CAST(ex AS BIGINT) AS exchange, CASE WHEN r IS NULL THEN '> ' || u ELSE '> ' || u || chr(10) || r END AS document FROM g)
-SELECT conv_id, exchange, length(document) AS chars, md5(document) AS digest FROM d WHERE length(trim(document)) > 30""")
+g AS (SELECT conv_id, ex, arg_min(text, turn) AS u, string_agg(text, ' ' ORDER BY turn) FILTER (role <> 'user') AS r FROM x WHERE ex > 0 GROUP BY 1, 2), d AS (SELECT conv_id, CAST(ex AS BIGINT) AS exchange, CASE WHEN r IS NULL THEN '> ' || u ELSE '> ' || u || chr(10) || r END AS document FROM g),
+k AS (SELECT conv_id, exchange, document, unnest(generate_series(0, CAST(ceil(length(document) / 800.0) AS BIGINT) - 1)) AS i FROM d WHERE length(trim(document)) > 30)
+SELECT conv_id, exchange, CAST(i AS INTEGER) AS slice, length(substr(document, i * 800 + 1, 800)) AS chars, md5(substr(document, i * 800 + 1, 800)) AS digest FROM k""")
 def exchange_chunks(spark, sf_dir):
     e = chunks.exchanges(t(spark, sf_dir, "conversations"))
-    return e.select("conv_id", "exchange", F.length("document").cast("long").alias("chars"), F.md5("document").alias("digest"))
+    return e.select("conv_id", "exchange", "slice", F.length("document").cast("long").alias("chars"), F.md5("document").alias("digest"))
 
 
 LISTS = {"first": ["tion", "ment"], "second": ["und", "ich"], "third": ["heon", "ered", "than"]}
@@ -447,10 +448,17 @@ def entity_candidates(spark, sf_dir):
     return entities.candidates(chunk_table(spark, sf_dir))
 
 
-@query(r"""WITH u AS (SELECT doc_id AS id, unnest(regexp_extract_all(substr(text, 1, 5000), '[\p{L}\p{N}_]+')) AS w FROM documents), k AS (SELECT id, w, count(*) AS c FROM u WHERE regexp_full_match(w, '\p{Lu}\p{Ll}{2,}') GROUP BY 1, 2 HAVING count(*) >= 2),
-n AS (SELECT id, string_agg(w, ';' ORDER BY c DESC, w) AS names FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY c DESC, w) AS r FROM k) WHERE r <= 5 GROUP BY id),
-q AS (SELECT doc_id, regexp_extract_all(substr(text, 1, 5000), '"([^"]{15,150})"', 1) AS qs FROM documents),
-l AS (SELECT doc_id, CASE WHEN len(qs) > 0 THEN list_transform(list_slice(qs, 1, 3), lambda x: '"' || x || '"') ELSE [lang || '/' || source || '/' || CAST(doc_id AS VARCHAR)] END AS ts FROM q JOIN documents USING (doc_id))
+_STOP = ", ".join(f"'{w}'" for w in entities.NO_NAMES)
+
+
+@query(rf"""WITH w AS (SELECT doc_id AS id, regexp_extract_all(substr(text, 1, 5000), '[\p{{L}}\p{{N}}_]+') AS ws FROM documents), u AS (SELECT id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w),
+k AS (SELECT id, w, count(*) AS c, min(i) AS first FROM u WHERE regexp_full_match(w, '\p{{Lu}}\p{{Ll}}{{2,}}') AND w NOT IN ({_STOP}) GROUP BY 1, 2 HAVING count(*) >= 2),
+n AS (SELECT id, string_agg(w, ';' ORDER BY c DESC, first) AS names FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY c DESC, first) AS r FROM k) WHERE r <= 5 GROUP BY id),
+q AS (SELECT doc_id, list_concat(regexp_extract_all(substr(text, 1, 5000), '(?i)((?:{'|'.join(entities.ACTIONS)})\s+[\p{{L}}\p{{N}}_\s]{{3,40}})', 1), regexp_extract_all(substr(text, 1, 5000), '(?m)^#{{1,3}}\s+(.{{5,60}})$', 1)) AS tops,
+  regexp_extract_all(substr(text, 1, 5000), '"([^"]{{15,150}})"', 1) AS qs FROM documents),
+x AS (SELECT doc_id, list_transform(tops, lambda x: lower(regexp_replace(x, '^\s+|\s+$', '', 'g'))) AS tops, qs FROM q),
+y AS (SELECT doc_id, list_slice(list_filter(tops, lambda x, i: list_position(tops, x) = i), 1, 12) AS tops, list_transform(list_slice(qs, 1, 3), lambda x: '"' || x || '"') AS qs FROM x),
+l AS (SELECT doc_id, CASE WHEN len(tops) + len(qs) > 0 THEN list_concat(tops, qs) ELSE [lang || '/' || source || '/' || CAST(doc_id AS VARCHAR)] END AS ts FROM y JOIN documents USING (doc_id))
 SELECT doc_id AS id, topic || '|' || coalesce(names, '') || '|→' || CAST(doc_id AS VARCHAR) AS line FROM (SELECT doc_id, unnest(ts) AS topic FROM l) LEFT JOIN n ON n.id = doc_id""")
 def closet_lines(spark, sf_dir):
     lines = entities.index_lines(chunk_table(spark, sf_dir))
@@ -472,11 +480,12 @@ def claims(spark, sf_dir):
     return entities.claims(c.select(F.col("c_custkey").alias("id"), said.alias("document")), ("brother", "boss"))
 
 
-@query(r"""WITH w AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS ws FROM documents),
-u AS (SELECT id, unnest(ws) AS w FROM w), k AS (SELECT id, w, count(*) AS c FROM u WHERE length(w) >= 4 GROUP BY 1, 2), r AS (SELECT id, w, row_number() OVER (PARTITION BY id ORDER BY c DESC, w) AS rn FROM k)
-SELECT w.id, len(ws) AS words, greatest(1, CAST(floor(len(ws) * 1.3) AS BIGINT)) AS tokens, coalesce((SELECT string_agg(r.w, ';' ORDER BY rn) FROM r WHERE r.id = w.id AND rn <= 3), '') AS topics FROM w""")
+@query(r"""WITH w AS (SELECT doc_id AS id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS n, regexp_extract_all(text, '[a-zA-Z][a-zA-Z_-]{2,}') AS ws FROM documents),
+u AS (SELECT id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w), k AS (SELECT id, lower(w) AS w, min(i) AS first, sum(1 + CASE WHEN regexp_matches(w, '^[A-Z]') THEN 2 ELSE 0 END + CASE WHEN regexp_matches(w, '[_-]') OR regexp_matches(substr(w, 2), '[A-Z]') THEN 2 ELSE 0 END) AS c FROM u WHERE lower(w) NOT IN ('the', 'and', 'der', 'que') GROUP BY 1, 2),
+r AS (SELECT id, string_agg(w, '_' ORDER BY c DESC, first) AS topics FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY c DESC, first) AS rn FROM k) WHERE rn <= 3 GROUP BY id)
+SELECT w.id, n AS words, greatest(1, CAST(floor(n * 1.3) AS BIGINT)) AS tokens, coalesce(topics, '') AS topics FROM w LEFT JOIN r USING (id)""")
 def dialect_stats(spark, sf_dir):
-    return entities.compression(chunk_table(spark, sf_dir))
+    return entities.compression(chunk_table(spark, sf_dir), ("the", "and", "der", "que"))
 
 
 # --- ingest ------------------------------------------------------------------------------------------------------------
@@ -514,7 +523,8 @@ def sweep_report(spark, sf_dir):
 
 @query("SELECT conv_id AS session_id, max(turn) AS cursor FROM conversations WHERE role IN ('user','assistant') GROUP BY 1")
 def session_cursor(spark, sf_dir):
-    return t(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant")).groupBy(F.col("conv_id").alias("session_id")).agg(F.max("turn").alias("cursor"))
+    c = t(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant"))
+    return mutate.cursors(c.select(F.col("conv_id").alias("session_id"), F.col("turn").alias("timestamp")))
 
 
 @query()
@@ -576,13 +586,22 @@ def ndcg_at_k(spark, sf_dir):
     return evaluate.ndcg_at_k(_ranked(spark, sf_dir), 10).withColumn("ndcg", F.round("ndcg", 6))
 
 
-@query(r"""WITH p AS (SELECT item_id AS pair_id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[^\p{L}\p{N}\s]', '', 'g'), '\s+'), lambda x: x <> '' AND x NOT IN ('a','an','the')) AS t,
-list_filter(regexp_split_to_array(regexp_replace(lower(substr(text, 1, 60) || ' the the of'), '[^\p{L}\p{N}\s]', '', 'g'), '\s+'), lambda x: x <> '' AND x NOT IN ('a','an','the')) AS p FROM benchmark),
-a AS (SELECT pair_id, w, count(*) AS c FROM (SELECT pair_id, unnest(p) AS w FROM p) GROUP BY 1, 2), b AS (SELECT pair_id, w, count(*) AS c FROM (SELECT pair_id, unnest(t) AS w FROM p) GROUP BY 1, 2),
-m AS (SELECT a.pair_id, sum(least(a.c, b.c)) AS c FROM a JOIN b USING (pair_id, w) GROUP BY 1) SELECT p.pair_id, round(CAST(coalesce(2 * c / (len(p) + len(t)), 0) AS DOUBLE), 6) AS f1 FROM p LEFT JOIN m USING (pair_id)""")
+def _answer_sql(c: str) -> str:
+    """Articles are words of their own among letters, digits and underscores."""
+    parts = rf"list_transform(regexp_extract_all(replace({c}, ',', ''), '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]'), lambda x: CASE WHEN x IN ('a','an','the','and') THEN ' ' ELSE x END)"
+    return rf"list_filter(regexp_split_to_array(lower(regexp_replace(array_to_string({parts}, ''), '[!-/:-@\[-`{{-~]', '', 'g')), '\s+'), lambda x: x <> '')"
+
+
+@query(rf"""WITH b AS (SELECT item_id AS pair_id, text AS t, CASE item_id % 5 WHEN 0 THEN '' ELSE substr(text, 1, 60) || ' the and of, the A' END AS p FROM benchmark UNION ALL SELECT -1, 'cats and dogs', 'cats dogs' UNION ALL SELECT -2, '', 'the' UNION ALL SELECT -3, 'The end.', 'the end'),
+p AS (SELECT pair_id, {_answer_sql('t')} AS t, {_answer_sql('p')} AS p FROM b),
+a AS (SELECT pair_id, w, count(*) AS c FROM (SELECT pair_id, unnest(p) AS w FROM p) GROUP BY 1, 2), d AS (SELECT pair_id, w, count(*) AS c FROM (SELECT pair_id, unnest(t) AS w FROM p) GROUP BY 1, 2),
+m AS (SELECT a.pair_id, sum(least(a.c, d.c)) AS c FROM a JOIN d USING (pair_id, w) GROUP BY 1) SELECT p.pair_id, round(CAST(CASE WHEN len(p) + len(t) = 0 THEN 1 ELSE coalesce(2 * c / (len(p) + len(t)), 0) END AS DOUBLE), 6) AS f1 FROM p LEFT JOIN m USING (pair_id)""")
 def token_f1(spark, sf_dir):
-    b = t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("pair_id"), F.concat(F.substring("text", 1, 60), F.lit(" the the of")).alias("prediction"), F.col("text").alias("truth"))
-    return evaluate.token_f1(b).withColumn("f1", F.round("f1", 6))
+    b = t(spark, sf_dir, "benchmark")
+    said = F.when(F.col("item_id") % 5 == 0, "").otherwise(F.concat(F.substring("text", 1, 60), F.lit(" the and of, the A")))
+    given = spark.createDataFrame([(-1, "cats dogs", "cats and dogs"), (-2, "the", ""), (-3, "the end", "The end.")], "pair_id long, prediction string, truth string")
+    pairs = b.select(F.col("item_id").cast("long").alias("pair_id"), said.alias("prediction"), F.col("text").alias("truth")).unionByName(given)
+    return evaluate.token_f1(pairs).withColumn("f1", F.round("f1", 6))
 
 
 @query(f"""SELECT e.vec_id AS id, round((1 - {COS.format('e.embedding', 'q.embedding')}) * (1 - 0.30 * (CAST(contains(lower(text), 'heon') AS INTEGER) + CAST(contains(lower(text), 'ered') AS INTEGER) + CAST(contains(lower(text), 'und') AS INTEGER)) / 3.0), 5) AS distance
