@@ -69,3 +69,62 @@ def best_label(c: Column, lists: dict[str, list[str]], default: str) -> Column:
     scored = F.array(*[F.struct(keyword_hits(c, ks).alias("s"), F.lit(-i).alias("p"), F.lit(name).alias("n")) for i, (name, ks) in enumerate(lists.items())])
     top = F.array_max(scored)
     return F.when(top["s"] > 0, top["n"]).otherwise(F.lit(default))
+
+
+# --- reserved transforms: what a source may declare that it does to a text, by name -------------------------------------
+
+
+def _lines(c: Column, f) -> Column:
+    return F.array_join(F.transform(F.split(c, "\n"), f), "\n")
+
+
+def collapsed_blank_lines(c: Column) -> Column:
+    """Runs of three or more blank lines become two; lines of blanks count as blank."""
+    bare = _lines(c, lambda x: F.when(x.rlike(r"\S"), x).otherwise(F.lit("")))
+    return F.regexp_replace(bare, r"\n{4,}", "\n\n\n")
+
+
+def joined_lines(c: Column) -> Column:
+    """The lines of each paragraph, stripped, joined by spaces."""
+    parts = F.split(c, r"\n[ \t]*\n")
+    return F.array_join(F.transform(parts, lambda p: F.array_join(F.filter(F.transform(F.split(p, "\n"), strip), lambda x: x != ""), " ")), "\n\n")
+
+
+def without_blank_lines(c: Column) -> Column:
+    return F.array_join(F.filter(F.split(c, "\n"), lambda x: x.rlike(r"\S")), "\n")
+
+
+def decoded(c: Column) -> Column:
+    """Bytes as UTF-8 text, with the replacement character for what isn't."""
+    return F.decode(F.coalesce(F.try_validate_utf8(c.cast("string")).cast("binary"), F.make_valid_utf8(c.cast("string")).cast("binary")), "UTF-8")
+
+
+def _same(c: Column) -> Column:
+    return c
+
+
+#: By name; those that depend on a format leave the text as it is unless a source brings its own.
+TRANSFORMS = {
+    "utf8_replace_invalid": decoded,
+    "newline_normalize": normal_newlines,
+    "whitespace_trim": strip,
+    "whitespace_collapse_internal": collapsed_blank_lines,
+    "line_trim": lambda c: _lines(c, strip),
+    "line_join_spaces": joined_lines,
+    "blank_line_drop": without_blank_lines,
+    "strip_tool_chrome": _same,
+    "tool_result_truncate": _same,
+    "tool_result_omitted": _same,
+    "spellcheck_user": _same,
+    "synthesized_marker": _same,
+    "speaker_role_assignment": _same,
+}
+
+
+def transformed(c: Column, names: list[str]) -> Column:
+    """The transforms of these names, in order; an unknown name is an error."""
+    for name in names:
+        if name not in TRANSFORMS:
+            raise ValueError(f"no transform is called {name}")
+        c = TRANSFORMS[name](c)
+    return c

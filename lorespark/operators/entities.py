@@ -186,7 +186,7 @@ def decoded(lines: DataFrame) -> DataFrame:
     """(id, names, topics, quote) back from `shorthand` lines."""
     parts = F.split("line", r"\|")
     quote = F.regexp_extract("line", r'\|"(.*)"', 1)
-    return lines.select("id", F.split(F.regexp_replace(parts[0], "^0:", ""), r"\+").alias("names"), F.split(parts[1], "_").alias("topics"), quote.alias("quote"))
+    return lines.select("id", F.split(F.regexp_replace(F.get(parts, F.lit(0)), "^0:", ""), r"\+").alias("names"), F.split(F.get(parts, F.lit(1)), "_").alias("topics"), quote.alias("quote"))
 
 
 def metadata_names(text: Column, found: Column, known: tuple[str, ...] = (), most: int = 25) -> Column:

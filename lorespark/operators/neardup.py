@@ -7,28 +7,62 @@ import tempfile
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def near_pairs(rows: DataFrame, threshold: float, block: int = 2048) -> DataFrame:
+    """(a, b): rows of one source (source_file, place, v) closer than `threshold` in cosine distance, a before b by place.
+    A source is cut in blocks of consecutive places, and pairs of blocks meet; none is larger than `block` rows."""
+    size = rows.groupBy("source_file").agg((F.floor((F.max("place") - 1) / block) + 1).cast("int").alias("blocks"))
+    r = rows.withColumn("blk", F.floor((F.col("place") - 1) / block).cast("int")).join(size, "source_file")
+    r = r.select("source_file", "place", "v", "blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+    r = r.select("source_file", "place", "v", "blk", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"))
+
+    def close(f: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(f["v"].to_numpy())
+        x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+        one, two = np.flatnonzero(f["blk"] == f["i"].iloc[0]), np.flatnonzero(f["blk"] == f["j"].iloc[0])
+        i, j = np.nonzero(1 - x[one] @ x[two].T < threshold)
+        a, b = f["place"].to_numpy()[one[i]], f["place"].to_numpy()[two[j]]
+        return pd.DataFrame({"source_file": f["source_file"].iloc[0], "a": a[a < b], "b": b[a < b]})
+
+    return r.groupBy("source_file", "i", "j").applyInPandas(close, "source_file string, a int, b int")
+
+
 def greedy_dedup(chunks: DataFrame, threshold: float = 0.15, least_length: int = 20) -> DataFrame:
     """(id, source_file, kept): in each source, longest first (then by id), a chunk goes if one kept before it is closer
     than `threshold` in cosine distance, or if it is shorter than `least_length`. chunks: id, source_file, document,
-    embedding. Order decides, so each source is one task's group; only kept vectors are compared with."""
+    embedding (of one length, without nulls).
+
+    Only the first of equal vectors can stay, so one of each goes on. Close pairs are found in blocks; then all chunks
+    without an undecided closer one before them are kept, and what is close to a kept one goes, round by round, until
+    all are decided: the same as going through each source in order, without one task per source.
+    """
+    _checkpoint_folder(chunks)
+    n = F.coalesce(F.length("document"), F.lit(0))
+    order = Window.partitionBy("source_file").orderBy(F.desc("n"), "id")
+    d = chunks.select("id", "source_file", n.alias("n"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    same = Window.partitionBy("source_file", "v").orderBy(F.desc("n"), "id")
+    d = d.withColumn("first", (F.row_number().over(same) == 1) & (F.col("n") >= least_length))
+    live = d.where("first").withColumn("place", F.row_number().over(order)).checkpoint()
+    pairs = near_pairs(live.select("source_file", "place", "v"), threshold).checkpoint()
+    state = live.select("source_file", "place", F.lit(None).cast("boolean").alias("kept")).checkpoint()
+    while True:
+        open_ = state.where("kept is null").select("source_file", F.col("place").alias("a"))
+        waits = pairs.join(open_, ["source_file", "a"]).select("source_file", F.col("b").alias("place"), F.lit(True).alias("waits")).distinct()
+        now = state.join(waits, ["source_file", "place"], "left").withColumn("kept", F.when(F.col("kept").isNull() & F.col("waits").isNull(), True).otherwise(F.col("kept"))).drop("waits").checkpoint()
+        gone = pairs.join(now.where("kept").select("source_file", F.col("place").alias("a")), ["source_file", "a"]).select("source_file", F.col("b").alias("place"), F.lit(True).alias("gone")).distinct()
+        state = now.join(gone, ["source_file", "place"], "left").withColumn("kept", F.when(F.col("gone"), False).otherwise(F.col("kept"))).drop("gone").checkpoint()
+        if state.where("kept is null").isEmpty():
+            break
+    told = live.select("id", "source_file", "place").join(state, ["source_file", "place"]).select("id", "source_file", "kept")
+    return told.unionByName(d.where("not first").select("id", "source_file", F.lit(False).alias("kept")))
 
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.assign(length=f["document"].fillna("").str.len()).sort_values(["length", "id"], ascending=[False, True], kind="stable")
-        kept, flags = np.zeros((0, len(f["embedding"].iloc[0]))), []
-        for n, v in zip(f["length"], f["embedding"]):
-            v = np.asarray(v, float)
-            v = v / max(np.linalg.norm(v), 1e-300)
-            keep = bool(n >= least_length and (not len(kept) or (1 - kept @ v).min() >= threshold))
-            kept = np.vstack([kept, v]) if keep else kept
-            flags.append(keep)
-        return pd.DataFrame({"id": f["id"], "source_file": f["source_file"], "kept": flags})
 
-    kind = chunks.schema["id"].dataType.simpleString()
-    return chunks.select("id", "source_file", "document", "embedding").groupBy("source_file").applyInPandas(run, f"id {kind}, source_file string, kept boolean")
+def dedup_totals(flags: DataFrame) -> DataFrame:
+    """(source_file, chunks, kept, deleted) of `greedy_dedup`."""
+    return flags.groupBy("source_file").agg(F.count(F.lit(1)).alias("chunks"), F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("deleted"))
 
 
 def identities(people: DataFrame) -> DataFrame:
@@ -51,8 +85,17 @@ def identities(people: DataFrame) -> DataFrame:
         label = new.select("id", F.col("next").alias("person"))
 
 
+def display_names(people: DataFrame, persons: DataFrame) -> DataFrame:
+    """(person, name): of each identity the name that most of its rows bear, then the smallest."""
+    c = people.join(persons, "id").where("name is not null").groupBy("person", "name").agg(F.count(F.lit(1)).alias("n"))
+    return c.groupBy("person").agg(F.min(F.struct((-F.col("n")).alias("n"), "name")).alias("x")).select("person", F.col("x.name").alias("name"))
+
+
 def _checkpoint_folder(df: DataFrame) -> None:
+    """A cluster names a shared folder; only a local session may fall back to a temporary one."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "lorespark-checkpoints"))

@@ -89,9 +89,9 @@ def scan_transcripts(spark: SparkSession, root: str) -> DataFrame:
 def session_roots(files: DataFrame, head: int = 20) -> DataFrame:
     """(project, sessions, cwd) of session files (path, text): one project per folder, its number of files, and the first
     working folder that the first lines of any of them tell."""
-    project = F.element_at(F.split("path", "/"), -2)
+    project = F.try_element_at(F.split("path", "/"), F.lit(-2))
     lines = F.slice(F.split("text", "\n"), 1, head)
-    told = F.filter(F.transform(lines, lambda x: F.get_json_object(x, "$.cwd")), lambda x: x.isNotNull() & (x != ""))[0]
+    told = F.get(F.filter(F.transform(lines, lambda x: F.get_json_object(x, "$.cwd")), lambda x: x.isNotNull() & (x != "")), F.lit(0))
     d = files.where(F.lower("path").endswith(".jsonl")).select(project.alias("project"), "path", told.alias("cwd"))
     return d.groupBy("project").agg(F.count(F.lit(1)).alias("sessions"), F.min_by("cwd", F.when(F.col("cwd").isNotNull(), F.col("path"))).alias("cwd"))
 

@@ -135,7 +135,7 @@ def export_turns(files: DataFrame) -> DataFrame:
     held = lambda c: F.coalesce(_list(_at(c, "$.chat_messages")), _list(_at(c, "$.messages")))
     top = F.when(F.ltrim("text").startswith("["), _list(F.col("text"))).otherwise(F.coalesce(_list(_at("text", "$.messages")), _list(_at("text", "$.chat_messages"))))
     d = files.select("path", top.alias("items")).where("size(items) > 0")
-    many = held(F.col("items")[0]).isNotNull()
+    many = held(F.get("items", F.lit(0))).isNotNull()
     convs = F.when(many, F.transform("items", held)).otherwise(F.array("items"))
     d = d.select("path", F.posexplode(convs).alias("conv", "ms")).select("path", "conv", F.posexplode("ms").alias("pos", "m"))
     who = F.coalesce(F.nullif(_at("m", "$.role"), F.lit("")), _at("m", "$.sender"))
@@ -160,7 +160,7 @@ def tree_turns(files: DataFrame) -> DataFrame:
 
     roots = F.filter(F.map_entries("nodes"), lambda x: _at(x["value"], "$.parent").isNull())
     bare = F.filter(roots, lambda x: _at(x["value"], "$.message").isNull())
-    root = F.when(F.size(bare) > 0, bare[0]["key"]).when(F.size(roots) > 0, roots[0]["key"])
+    root = F.when(F.size(bare) > 0, F.get(bare, F.lit(0))["key"]).when(F.size(roots) > 0, F.get(roots, F.lit(0))["key"])
     up = F.reverse(walk(F.col("now"), lambda n: _at(n, "$.parent")))
     down = walk(root, lambda n: _at(n, "$.children[0]"))
     known = F.coalesce(F.map_contains_key("nodes", F.col("now")), F.lit(False))
@@ -239,12 +239,12 @@ def headers(sessions: DataFrame, people: tuple[str, ...] = ()) -> DataFrame:
     the first prompt of more than five characters that is no shell command, as a file name (`session` without one)."""
     lines = F.split("text", "\n")
     time = r"⏺\s+(\d{1,2}):(\d{2})\s+([AP]M)\s+\w+,\s+(\w+)\s+(\d{1,2}),\s+(\d{4})"
-    first = F.filter(F.slice(lines, 1, 50), lambda x: x.rlike(time))[0]
+    first = F.get(F.filter(F.slice(lines, 1, 50), lambda x: x.rlike(time)), F.lit(0))
     g = lambda i: F.regexp_extract(first, time, i)
     month = F.lpad(F.array_position(F.array(*[F.lit(m) for m in MONTHS]), g(4)).cast("string"), 2, "0")
     stamp = F.when(first.isNotNull(), F.concat(g(6), F.lit("-"), month, F.lit("-"), F.lpad(g(5), 2, "0"), F.lit("_"), g(1), g(2), g(3)))
     text = F.array_join(F.slice(lines, 1, 100), "\n")
     found = F.filter(F.array(*[F.when(text.rlike(rf"(?i)\b{p}\b"), F.lit(p)) for p in sorted(people)]), lambda x: x.isNotNull()) if people else F.array().cast("array<string>")
     prompts = F.filter(F.transform(F.filter(lines, lambda x: x.startswith("> ")), lambda x: strip(F.substring(x, 3, 1 << 30))), lambda x: (F.length(x) > 5) & ~x.rlike(SHELL))
-    subject = F.regexp_replace(strip(F.regexp_replace(prompts[0], r"[^\p{L}\p{N}_\s-]", "")), r"\s+", "-")
+    subject = F.regexp_replace(strip(F.regexp_replace(F.get(prompts, F.lit(0)), r"[^\p{L}\p{N}_\s-]", "")), r"\s+", "-")
     return sessions.select("path", "session", stamp.alias("stamp"), F.array_join(found, ",").alias("people"), F.coalesce(F.substring(subject, 1, 60), F.lit("session")).alias("subject"))

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from lorespark.plans import registry
+from lorespark.plans import every as registry
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
