@@ -9,22 +9,24 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-#: Odd multipliers of the polynomial hashes; the second serves where two independent hashes are wanted.
+#: Odd multipliers of the polynomial hashes; the second, modulo 2**32, serves where two independent hashes are wanted.
 M = 0x9E3779B97F4A7C15 | 1
-M2 = 0xC2B2AE3D27D4EB4F
+M2 = 0x27D4EB4F
 Q = 0xD6E8FEB86659FD93
-_POWERS: dict[int, np.ndarray] = {}
+_POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 
-def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n; kept per worker for the usual batch size."""
-    have = _POWERS.get(base)
-    if have is None or have.shape[1] < n:
-        p = np.empty((2, max(n, 1 << 16)), U)
-        p[0], p[1] = base, pow(base, -1, 1 << 64)
-        p[:, 0] = 1
-        have = _POWERS[base] = np.cumprod(p, axis=1, dtype=U)
-    return have[0, :n], have[1, :n]
+def _powers(n: int, base: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i for i < n, modulo the kind's size; kept per worker for the usual batch size."""
+    out = []
+    for up in (True, False):
+        have = _POWERS.get((base, up))
+        if have is None or len(have) < n:
+            p = np.full(max(n, 1 << 16), base if up else pow(base, -1, 1 << 8 * np.dtype(kind).itemsize), kind)
+            p[0] = 1
+            have = _POWERS[base, up] = np.cumprod(p, dtype=kind, out=p)
+        out.append(have[:n])
+    return out[0], out[1]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -77,14 +79,15 @@ def word_spans(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return s, e, np.searchsorted(s, off)
 
 
-def span_hashes(b: np.ndarray, s: np.ndarray, e: np.ndarray, base: int = M) -> np.ndarray:
-    """A 64-bit hash of each byte span b[s:e], the same wherever the span stands; another one for another base."""
+def span_hashes(b: np.ndarray, s: np.ndarray, e: np.ndarray, base: int = M, kind: type = U) -> np.ndarray:
+    """A 64-bit hash of each byte span b[s:e], the same wherever the span stands; with M2 and uint32 another one, of 32
+    bits of the span."""
     if not len(s):
         return np.zeros(0, U)
-    up, down = _powers(len(b), base)
-    c = np.zeros(len(b) + 1, U)
-    np.cumsum((b.astype(U) + U(1)) * up, out=c[1:])
-    return mix((c[e] - c[s]) * down[s] + (e - s).astype(U))
+    up, down = _powers(len(b), base, kind)
+    c = np.zeros(len(b) + 1, kind)
+    np.cumsum((b.astype(kind) + kind(1)) * up, out=c[1:])
+    return mix(((c[e] - c[s]) * down[s] + (e - s).astype(kind)).astype(U, copy=False))
 
 
 def window_hashes(h: np.ndarray, k: int) -> np.ndarray:

@@ -89,7 +89,7 @@ def repeated_words(docs: DataFrame, window: int = 13, period: int = 7, id_col: s
             at = np.flatnonzero(starts[: len(ok)] & ok)
             if not len(at):
                 continue
-            second = (window_hashes(span_hashes(b, s, e, M2), window) >> U(32)).astype(np.uint32)
+            second = (window_hashes(span_hashes(b, s, e, M2, np.uint32), window) >> U(32)).astype(np.uint32)
             yield _ask_smallest(number, ids[row_of(first, len(h))[at]], window_hashes(h, window)[at], second[at], shards)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

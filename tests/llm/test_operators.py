@@ -33,7 +33,7 @@ def test_windows_whose_first_hashes_collide_stay_apart(spark, tmp_path):
     import lorespark.llm.substring as module
 
     real = module.span_hashes
-    module.span_hashes = lambda b, s, e, base=arrays.M: real(b, s, e, base) if base != arrays.M else real(b, s, e) * arrays.U(0)
+    module.span_hashes = lambda b, s, e, base=arrays.M, kind=arrays.U: real(b, s, e, base, kind) if base != arrays.M else real(b, s, e) * arrays.U(0)
     try:
         rng = np.random.default_rng(3)
         texts = [" ".join(str(x) for x in rng.integers(0, 10**6, 14)) for _ in range(400)]
@@ -41,7 +41,7 @@ def test_windows_whose_first_hashes_collide_stay_apart(spark, tmp_path):
         b, off = arrays.texts(__import__("pyarrow").array(texts))
         s, e, first, h = module._words(b, off)
         at = np.flatnonzero(arrays.inside(first, len(h), 13))
-        one, two = arrays.window_hashes(h, 13)[at], (arrays.window_hashes(real(b, s, e, arrays.M2), 13) >> arrays.U(32)).astype(np.uint32)[at]
+        one, two = arrays.window_hashes(h, 13)[at], (arrays.window_hashes(real(b, s, e, arrays.M2, np.uint32), 13) >> arrays.U(32)).astype(np.uint32)[at]
         doc = arrays.row_of(first, len(h))[at].astype(np.int64)
         asked = [module._ask_smallest(i, doc[part], one[part], two[part], 2) for i, part in enumerate(np.array_split(np.arange(len(at)), 3))]
         rows = [r for batch in asked for r in batch.to_pylist()]
