@@ -18,6 +18,8 @@ from .components import components
 #: result: either way a link is a pair that shares a band and is similar enough.
 LARGE_BUCKET = 16
 BLOCK = 512
+#: Bytes of text hashed at a time.
+PIECE = 1 << 20
 #: Ways that the rows of one group are dealt to tasks where each needs a figure of its group.
 SALTS = 16
 
@@ -188,7 +190,7 @@ def jaccard_join(
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE):
             gram, first = ngram_sets(*texts(batch.column("text")), n)
             size = np.diff(first)
             full = np.flatnonzero(size)
@@ -229,7 +231,7 @@ def jaccard_join(
     )
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE):
             gram, first = ngram_sets(*texts(batch.column("text")), n)
             keep = np.zeros((batch.num_rows, 2), np.int64)
             full = np.flatnonzero(np.diff(first))
