@@ -59,26 +59,3 @@ def test_identities_of_all_customers(spark, tmp_path):
             a, b = sorted((top(i), top(first.setdefault(k, i))))
             up[b] = a
     assert {r.id: r.person for r in registry.QUERIES["identity_components_all"](spark, str(tmp_path)).collect()} == {i: top(i) for i in ids}
-
-
-WHOLE = {
-    "hybrid_rank": [("vec_id % 100 = 1", "vec_id % 50 = 0"), ("substr(text, 1, 80)", "text")],
-    "closet_boost": [("vec_id % 100 = 2", "vec_id % 50 = 0")],
-    "recall_at_k": [(" AND e.vec_id % 25 = 0", "")],
-    "contradictions": [(" WHERE id % 50 = 1", "")],
-    "topic_tunnels": [(" WHERE doc_id % 3 = 0 OR lang = 'en'", "")],
-}
-
-
-@pytest.mark.parametrize("name", sorted(WHOLE))
-def test_whole_query_equals_oracle_without_filters(spark, duck, name):
-    sql = registry.ORACLES[name]
-    for part, whole in WHOLE[name]:
-        assert part in sql
-        sql = sql.replace(part, whole)
-    df = registry.QUERIES[f"{name}_all"](spark, DATA)
-    columns = sorted(df.columns)
-    result = duck.execute(sql)
-    names = [x[0] for x in result.description]
-    want = sorted((tuple(plain(r[names.index(c)]) for c in columns) for r in result.fetchall()), key=str)
-    assert sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=str) == want
