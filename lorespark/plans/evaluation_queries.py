@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, search
-from .registry import COS, TOP, _ranked, _vectors, chunk_table, query, t
+from .registry import COS, TOP, _bm25_sql, _ranked, _vectors, chunk_table, query, t
 
 STOP = ("the", "what", "who", "was")
 
@@ -139,7 +139,8 @@ def dev_split(spark, sf_dir):
     return s.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("part") == "held_out").alias("held_out"))
 
 
-@query()
+@query(f"""WITH {TOP}, q AS (SELECT doc_id AS query_id, substr(text, 1, 80) AS query FROM documents), c AS (SELECT query_id, id, text AS document FROM top JOIN documents ON id = doc_id WHERE rank <= 5),
+{_bm25_sql('c', 'q')} SELECT query_id, id, round(bm25, 6) AS score FROM bm25""")
 def two_pass_rerank(spark, sf_dir):
     """The second pass asks only the documents of the first pass's best sessions, by words."""
     c = chunk_table(spark, sf_dir)

@@ -95,7 +95,7 @@ def search_deep(spark, sf_dir):
     return search.deep_search(c, q, 5).select("query_id", F.col("rank").cast("long").alias("rank"), "id", F.abs("similarity").alias("similarity"))
 
 
-@query()
+@query(f"WITH {CHUNKS}, {_boosted('h.distance <= 0.9')}, {_ranked_sql('full_hits')}")
 def search_tool(spark, sf_dir):
     c, closets, q = _tables(spark, sf_dir)
     return _shown(search.search_tool(c, closets, q, limit=5, min_similarity=0.1))
