@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -128,3 +133,41 @@ def transformed(c: Column, names: list[str]) -> Column:
             raise ValueError(f"no transform is called {name}")
         c = TRANSFORMS[name](c)
     return c
+
+
+# --- functions that a user may bring ------------------------------------------------------------------------------------
+
+
+def hashed_vectors(texts: pd.Series, dim: int) -> pd.Series:
+    """Unit vectors of hashed word counts, the same on every machine; zeros for a text without words."""
+    out = []
+    for text in texts:
+        v = np.bincount([zlib.crc32(w.encode()) % dim for w in (text or "").lower().split()], minlength=dim).astype(float)
+        out.append((v / max(float(np.linalg.norm(v)), 1e-300)).tolist())
+    return pd.Series(out)
+
+
+def embedded(c: Column, dim: int = 64, model: Callable[[pd.Series], pd.Series] | None = None) -> Column:
+    """The vector (array<double>) of a text by `model`, which takes and gives a pandas series; hashed words without one."""
+
+    @F.pandas_udf("array<double>")
+    def run(texts: pd.Series) -> pd.Series:
+        return model(texts) if model else hashed_vectors(texts, dim)
+
+    return run(c)
+
+
+def spellchecked(c: Column, speller: Callable[[str], str] | None = None) -> Column:
+    """A text with each plain word as `speller` spells it; words with digits, capitals or marks inside, and short ones,
+    stay, as does everything without a speller."""
+    if speller is None:
+        return c
+
+    def word(w: str) -> str:
+        return speller(w) if len(w) > 3 and w.isalpha() and w.islower() else w
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t if t is None else " ".join(map(word, t.split(" "))))
+
+    return run(c)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import snippet
+from ..functions.text import blockquote, snippet
 
 
 def status(chunks: DataFrame) -> DataFrame:
@@ -111,3 +111,13 @@ def wake_up(chunks: DataFrame, scan: int = 2000, top: int = 15, length: int = 20
     d = d.select("id", "room", "importance", snippet(F.regexp_replace("document", r"\s+", " "), length).alias("snippet"))
     w = Window.orderBy("room", F.desc("importance"), "id")  # at most `top` rows
     return d.withColumn("used", F.sum(F.length("snippet")).over(w)).where(F.col("used") <= budget)
+
+
+def export_markdown(chunks: DataFrame, folder: str) -> DataFrame:
+    """Write chunks (id, wing, room, document) as Markdown, a folder per wing and room in which chunks follow by id, each
+    as a heading and a quotation; returns `export_index`."""
+    named = chunks.select(F.coalesce("wing", F.lit("unknown")).alias("wing"), F.coalesce("room", F.lit("general")).alias("room"), "id", "document")
+    text = F.concat(F.lit("## "), F.col("id").cast("string"), F.lit("\n\n"), blockquote(F.coalesce("document", F.lit(""))), F.lit("\n"))
+    out = named.repartition("wing", "room").sortWithinPartitions("wing", "room", "id").select("wing", "room", text.alias("value"))
+    out.write.mode("overwrite").partitionBy("wing", "room").text(folder)
+    return export_index(named)

@@ -225,3 +225,14 @@ def human_messages(spark, sf_dir):
 SELECT conv_id, CAST(place AS INTEGER) AS place, word, n FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n DESC, word) AS place FROM g) WHERE place <= 3""")
 def theme_words(spark, sf_dir):
     return catalog.theme_words(t(spark, sf_dir, "conversations"), ("that", "with"))
+
+
+@query(r"""WITH p AS (SELECT doc_id AS id, lang || ' ' || source || '-x' AS name, ' -' || text || '! ' AS label, lang || '/' || source || '/f.' || doc_id || '.tar.gz' AS path, text FROM documents)
+SELECT id, lower(translate(name, ' -', '__')) AS slug, md5(regexp_replace(regexp_replace(lower(label), '[^\p{L}\p{N}]+', '_', 'g'), '^_+|_+$', '', 'g')) AS label, string_split(path, '/')[3] AS base, regexp_replace(string_split(path, '/')[3], '\.[^.]+$', '') AS stem,
+md5('> ' || replace(text, chr(10), chr(10) || '> ')) AS quote, substr(sha256(text), 1, 24) AS hex, CAST((length(text) - length(replace(text, 'the', ''))) / 3 AS INTEGER) AS n FROM p""")
+def text_scalars(spark, sf_dir):
+    i, doc = F.col("id").cast("string"), F.col("document")
+    path = F.concat_ws("/", "wing", "room", F.concat(F.lit("f."), i, F.lit(".tar.gz")))
+    name = F.concat("wing", F.lit(" "), "room", F.lit("-x"))
+    label = text.label_slug(F.concat(F.lit(" -"), doc, F.lit("! ")))
+    return chunk_table(spark, sf_dir).select("id", text.scope_slug(name).alias("slug"), F.md5(label).alias("label"), text.basename(path).alias("base"), text.stem(path).alias("stem"), F.md5(text.blockquote(doc)).alias("quote"), text.hex_id(doc).alias("hex"), text.occurrences(doc, "the").alias("n"))

@@ -280,3 +280,40 @@ def test_vector_topk_in_pairs_of_blocks(spark, monkeypatch):
     monkeypatch.setattr(search, "ROW_BLOCK", 64)
     monkeypatch.setattr(search, "QUERY_BLOCK", 16)
     assert run() == one and len(one) == 200 and all(x[2] < 900 for x in one)
+
+
+def test_session_messages_as_a_data_source(spark, tmp_path):
+    import json as j
+
+    from lorespark.sources import plugin
+
+    (tmp_path / "p").mkdir()
+    line = lambda u, role, text: j.dumps({"type": role, "sessionId": "s", "uuid": u, "timestamp": "1", "message": {"content": text}})
+    (tmp_path / "p" / "a.jsonl").write_text("\n".join([line("1", "user", "hi"), "broken", line("2", "assistant", " "), line("3", "assistant", "yo")]))
+    (tmp_path / "b.jsonl").write_text(line("4", "user", "there"))
+    plugin.register(spark)
+    got = spark.read.format(plugin.resolved()).load(str(tmp_path)).select("message_uuid", "role", "text").collect()
+    assert sorted(map(tuple, got)) == [("1", "user", "hi"), ("3", "assistant", "yo"), ("4", "user", "there")]
+    assert spark.read.format("session_messages").option("since", "9e12").load(str(tmp_path)).count() == 0
+    assert plugin.resolved(None, "session_messages") == "session_messages"
+    with pytest.raises(ValueError):
+        plugin.resolved("nothing")
+
+
+def test_markdown_export(spark, tmp_path):
+    from lorespark.operators import catalog
+
+    d = spark.createDataFrame([(2, "w", "r", "b\nc"), (1, "w", "r", "a"), (3, "w", None, None), (4, None, "x", "d")], "id int, wing string, room string, document string")
+    index = {r.wing: (r.rooms, r.chunks) for r in catalog.export_markdown(d, str(tmp_path / "out")).collect()}
+    assert index == {"w": (2, 3), "unknown": (1, 1)}
+    text_ = "\n".join(r.value for r in spark.read.text(str(tmp_path / "out" / "wing=w" / "room=r")).collect())
+    assert text_.strip() == "## 1\n\n> a\n\n## 2\n\n> b\n> c"
+
+
+def test_functions_a_user_may_bring(spark):
+    d = spark.createDataFrame([("teh cat Teh t3h",), (None,)], "t string")
+    assert [r[0] for r in d.select(text.spellchecked(F.col("t"))).collect()] == ["teh cat Teh t3h", None]
+    longer = spark.createDataFrame([("thier cat Thier th1er",)], "t string")
+    assert longer.select(text.spellchecked(F.col("t"), lambda w: {"thier": "their"}.get(w, w))).first()[0] == "their cat Thier th1er"
+    v = [r[0] for r in d.select(text.embedded(F.col("t"), 16)).collect()]
+    assert len(v[0]) == 16 and abs(sum(x * x for x in v[0]) - 1) < 1e-9 and set(v[1]) == {0.0}
