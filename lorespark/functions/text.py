@@ -64,16 +64,23 @@ def entity_id(c: Column) -> Column:
     return F.replace(F.replace(F.lower(c), F.lit(" "), F.lit("_")), F.lit("'"), F.lit(""))
 
 
+def bound(c: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(c)` with c computed once, also where `use` reads it inside of lambdas."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def keyword_hits(c: Column, keywords: list[str]) -> Column:
     """How many of the keywords occur as substrings."""
-    return F.size(F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(c, k)))
+    return sum((F.contains(c, F.lit(k)).cast("int") for k in keywords), F.lit(0))
 
 
 def best_label(c: Column, lists: dict[str, list[str]], default: str) -> Column:
     """The label whose keywords hit most often; the first declared one of equals; `default` without hits."""
-    scored = F.array(*[F.struct(keyword_hits(c, ks).alias("s"), F.lit(-i).alias("p"), F.lit(name).alias("n")) for i, (name, ks) in enumerate(lists.items())])
-    top = F.array_max(scored)
-    return F.when(top["s"] > 0, top["n"]).otherwise(F.lit(default))
+
+    def best(text: Column) -> Column:
+        return F.array_max(F.array(*[F.struct(keyword_hits(text, ks).alias("s"), F.lit(-i).alias("p"), F.lit(name).alias("n")) for i, (name, ks) in enumerate(lists.items())]))
+
+    return bound(bound(F.coalesce(c, F.lit("")), best), lambda top: F.when(top["s"] > 0, top["n"]).otherwise(F.lit(default)))
 
 
 # --- reserved transforms: what a source may declare that it does to a text, by name -------------------------------------

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import bound, keyword_hits
+
 
 def recall_at_k(ranked: DataFrame, relevant: DataFrame, k: int) -> DataFrame:
     """Per query of `relevant` (query_id, id): whether any and whether all relevant ids are among the first k of
@@ -45,7 +47,7 @@ def overlap(text: Column, keywords: list[str]) -> Column:
     """The share of the keywords that occur in a text as substrings."""
     if not keywords:
         return F.lit(0.0)
-    return F.size(F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(F.lower(text), k))) / float(len(keywords))
+    return bound(F.lower(text), lambda x: keyword_hits(x, keywords)) / float(len(keywords))
 
 
 def boosted(distance: Column, signals: list[tuple[Column, float]]) -> Column:
@@ -98,8 +100,7 @@ def quoted(text: Column) -> Column:
 
 def share_found(needles: Column, text: Column) -> Column:
     """The share of the strings that occur in a text, without case; 0 for none."""
-    low = F.lower(text)
-    n = F.size(F.filter(needles, lambda x: F.contains(low, F.lower(x))))
+    n = bound(F.lower(text), lambda low: F.size(F.filter(needles, lambda x: F.contains(low, F.lower(x)))))
     return F.when(F.size(needles) > 0, n / F.size(needles)).otherwise(0.0)
 
 

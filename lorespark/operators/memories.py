@@ -102,9 +102,9 @@ def segments(text: Column) -> Column:
     return F.when(F.size(F.filter(lines, turn)) >= 3, by_turn).otherwise(paragraph_parts(text))
 
 
-def marker_score(text: Column, markers: list[str]) -> Column:
-    """How often the markers occur in a text, without case."""
-    return sum((F.regexp_count(F.lower(text), F.lit(m)) for m in markers), F.lit(0))
+def marker_score(low: Column, markers: list[str]) -> Column:
+    """How often the markers occur in a lower-case text."""
+    return sum((F.regexp_count(low, F.lit(m)) for m in markers), F.lit(0))
 
 
 def sentiment(text: Column) -> Column:
@@ -123,8 +123,11 @@ def memories(docs: DataFrame, least: float = 0.3) -> DataFrame:
     has marks of.
     """
     d = docs.select("id", F.posexplode(segments(F.coalesce("document", F.lit("")))).alias("part", "segment"))
-    d = d.where(F.length(strip(F.col("segment"))) >= 20).withColumn("prose", prose(F.col("segment")))
-    d = d.select("id", "part", "segment", "prose", *[marker_score(F.col("prose"), ms).alias(k) for k, ms in MARKERS.items()])
+    d = d.where(F.length(strip(F.col("segment"))) >= 20)
+    # Exploding one-element arrays keeps the scores from being computed again in the conditions on them.
+    both = F.transform(F.array(prose(F.col("segment"))), lambda p: F.struct(p.alias("prose"), F.lower(p).alias("low")))
+    d = d.select("id", "part", "segment", F.explode(both).alias("b")).select("id", "part", "segment", F.explode(F.transform(F.array("b"), lambda x: F.struct(x["prose"].alias("prose"), *[marker_score(x["low"], ms).alias(k) for k, ms in MARKERS.items()]))).alias("x"))
+    d = d.select("id", "part", "segment", "x.*")
     top = F.greatest(*MARKERS)
     d = d.withColumn("top", top).where("top > 0").withColumn("kind", F.coalesce(*[F.when(F.col(k) == F.col("top"), F.lit(k)) for k in MARKERS]))
     bonus = F.when(F.length("segment") > 500, 2).when(F.length("segment") > 200, 1).otherwise(0)

@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.sanitize import clean_query
-from ..functions.text import basename, tokens
+from ..functions.text import basename, bound, tokens
 
 # BM25 and ranking constants.
 K1, B = 1.5, 0.75
@@ -213,7 +213,7 @@ def keyword_hits(chunks: DataFrame, queries: DataFrame, n: int, most: int = 500)
     asked = q.where(F.size("ws") > 0).select("query_id", F.explode("ws").alias("w"))
     every = asked.select("w").distinct().agg(F.collect_set("w").alias("all_words"))  # words of the queries: one row
     low = chunks.select("id", F.lower(F.coalesce("document", F.lit(""))).alias("low")).join(F.broadcast(every))
-    held = low.select("id", F.explode(F.filter("all_words", lambda w: F.contains("low", w))).alias("w")).join(asked, "w").select("query_id", "id").distinct()
+    held = low.select("id", F.explode(bound(F.col("low"), lambda x: F.filter("all_words", lambda w: F.contains(x, w)))).alias("w")).join(asked, "w").select("query_id", "id").distinct()
     first = F.row_number().over(Window.partitionBy("query_id").orderBy("id"))
     held = held.withColumn("n", first).where(F.col("n") <= most).select("query_id", "id")
     bare = q.where(F.size("ws") == 0).select("query_id")
@@ -231,7 +231,7 @@ def hydrated(hits: DataFrame, chunks: DataFrame, queries: DataFrame, most: int =
     asked = hits.select("query_id", "source_file").distinct().join(queries.select("query_id", F.array_distinct(tokens(F.col("query"))).alias("ws")), "query_id")
     c = asked.join(chunks.select("source_file", "chunk_index", "document", F.col("id").alias("cid")), "source_file")
     order = Window.partitionBy("query_id", "source_file").orderBy("chunk_index", "cid")
-    score = F.size(F.filter("ws", lambda t: F.contains(F.lower("document"), t)))
+    score = bound(F.lower("document"), lambda x: F.size(F.filter("ws", lambda t: F.contains(x, t))))
     c = c.withColumn("at", F.row_number().over(order) - 1).withColumn("score", score)
     near = F.array_join(F.collect_list("document").over(order.rowsBetween(-1, 1)), "\n\n")
     c = c.withColumn("near", near)
