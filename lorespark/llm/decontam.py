@@ -38,7 +38,7 @@ def words(text: str | None) -> list[str]:
 class WordIds(dict):
     """Raw token to word number; -1 for other words, -2 for bare punctuation. Remembers what it has seen, boundedly."""
 
-    def __init__(self, vocabulary: dict[str, int], most: int = 400_000):
+    def __init__(self, vocabulary: dict[str, int], most: int = 150_000):
         super().__init__()
         self.vocabulary, self.most = vocabulary, most
 

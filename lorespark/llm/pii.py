@@ -163,14 +163,14 @@ def revealing_terms(docs: DataFrame, disclose: float = 0.8, support: int = 2) ->
                     here = {w.lower() for w in TERM.findall(text) if len(w) <= LONGEST} if text else ()
                     for w in here:
                         if w not in wanted:
-                            if len(wanted) > 500_000:
+                            if len(wanted) > 150_000:
                                 wanted.clear()
                             wanted[w] = bool(word_bits[zlib.crc32(w.encode("utf-8", "surrogatepass")) % BITS])
                         if wanted[w]:
                             words[w] += 1
                     for kept in KEPT:
                         words.update({f"{w[:kept]}*" for w in here})
-            if len(words) > 200_000:
+            if len(words) > 100_000:
                 yield counted(words)
                 words = Counter()
         words[""] = docs_here

@@ -31,7 +31,7 @@ MAX_GAP = 2
 LONGEST = 24
 SENTENCE = re.compile(r"[.!?\n]+")
 EDGES = "\"'.,;:!?()[]{}<>*_-~`|/\\"
-CACHE = 400_000
+CACHE = 150_000
 #: Odd multiplier of the 64-bit code of a subsequence, whatever its characters.
 CODE = U(0x9E3779B97F4A7C15)
 
@@ -175,8 +175,8 @@ class ToxicityModel:
         if len(known) + len(new) > CACHE:
             known.clear()
             new = list(set().union(*sets))
-        for i in range(0, len(new), 50_000):
-            known.update(zip(new[i : i + 50_000], self.units(new[i : i + 50_000]).tolist()))
+        for i in range(0, len(new), 10_000):
+            known.update(zip(new[i : i + 10_000], self.units(new[i : i + 10_000]).tolist()))
         return np.array([max(map(known.__getitem__, s), default=self.bias) for s in sets])
 
     def witnesses(self, sentences: list[str], known: dict[str, float]) -> list[tuple[float, str]]:
