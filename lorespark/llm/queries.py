@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, jaccard, packing, pii, sharding, substring, suffix, tokens, toxicity
+from . import ann, closeness, clustering, decontam, jaccard, oracles, packing, pii, sharding, substring, suffix, tokens, toxicity
 from .common import table
 
 
@@ -69,6 +69,15 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centroids = clustering.cluster_vectors(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64)
+    return clustering.with_inertia(found, centroids)
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return closeness.near_copies(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -80,5 +89,10 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
+}
+ORACLES: dict[str, str] = {
+    "op12_centroid_clustering": oracles.clusters(),
+    "op13_embedding_near_dedup": oracles.near_vectors(),
 }
-ORACLES: dict[str, str] = {}
