@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, closeness, clustering, decontam, jaccard, oracles, packing, pii, sharding, substring, suffix, tokens, toxicity
+from . import ann, closeness, clustering, decontam, jaccard, oracles, packing, pii, sharding, structure, substring, suffix, tokens, toxicity
 from .common import table
 
 
@@ -69,6 +69,15 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = structure.repair(structure.damaged(table(spark, sf_dir, "conversations")))
+    digest = F.sha2(structure.lines(F.col("turns")).cast("binary"), 256).alias("repaired_sha256")
+    columns = ["conv_id", *structure.COUNTS, "audit", "repaired_sha256"]
+    sealed = structure.sealed(found.pieces).withColumnRenamed("conv_id", "sealed_id")
+    split = found.split.join(sealed, F.col("conv_id").eqNullSafe(F.col("sealed_id"))).select(columns)
+    return found.whole.select("conv_id", *structure.COUNTS, "audit", digest).unionByName(split)
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, centroids = clustering.cluster_vectors(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64)
     return clustering.with_inertia(found, centroids)
@@ -89,10 +98,12 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_structure_repair": op11_structure_repair,
     "op12_centroid_clustering": op12_centroid_clustering,
     "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op11_structure_repair": oracles.repaired_conversations(),
     "op12_centroid_clustering": oracles.clusters(),
     "op13_embedding_near_dedup": oracles.near_vectors(),
 }
