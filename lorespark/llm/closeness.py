@@ -30,6 +30,7 @@ class Plan(NamedTuple):
     """How vectors of one length are dealt and counted: numbers that follow from how many there are."""
 
     dim: int
+    block: int  # vectors compared at once
     cells: int  # projections that name a bucket
     tables: int
     half: float  # half a window
@@ -43,19 +44,19 @@ def same_cell(distance: float, cell: float = CELL) -> float:
     return erf(r / sqrt(2)) - 2 / (sqrt(2 * pi) * r) * (1 - exp(-r * r / 2))
 
 
-def plan(dim: int, n: int, threshold: float, recall: float) -> Plan:
-    """Enough cells that unrelated vectors share a bucket with about BLOCK others, and enough tables and collisions that a
+def plan(dim: int, n: int, threshold: float, recall: float, block: int = BLOCK) -> Plan:
+    """Enough cells that unrelated vectors share a bucket with about `block` others, and enough tables and collisions that a
     pair of exactly the threshold is found with probability `recall`; nearer pairs are found more often."""
     distance = sqrt(2 - 2 * threshold)
     near, far = same_cell(distance), same_cell(sqrt(2))
-    cells = max(0, ceil(log(max(n, 1) / BLOCK) / -log(far)))
+    cells = max(0, ceil(log(max(n, 1) / block) / -log(far)))
     missed = (1 - recall) / 2  # half of it by the tables, half by the count
     tables = 1 if not cells else max(1, ceil(log(missed) / log(1 - near**cells)))
     needed, below = 0, 0.0
     while below + (p := comb(PROJECTIONS, needed) * COLLIDES**needed * (1 - COLLIDES) ** (PROJECTIONS - needed)) <= missed:
         needed, below = needed + 1, below + p
     width = next(x for x in np.arange(0.0, 6.0, 0.001) if erf(x / sqrt(2)) >= COLLIDES)
-    return Plan(dim, cells, tables, float(width) * distance, max(1, needed), threshold)
+    return Plan(dim, block, cells, tables, float(width) * distance, max(1, needed), threshold)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -197,8 +198,8 @@ def _packed(batch: pa.RecordBatch, of: Block, dim: int, t: int, key: int, part:
 def _compared(rows: DataFrame, plans: dict[int, Plan]) -> DataFrame:
     """Links inside the blocks of every bucket, and the blocks of buckets that have several.
 
-    Classes are sorted by table, bucket and number over range partitions, so a bucket of any size is cut into blocks of
-    BLOCK without a task for it alone. Only a bucket at a partition's edge or over BLOCK rows can have other blocks.
+    Classes are sorted by table, bucket and number over range partitions, so a bucket of any size is cut into blocks
+    without a task for it alone. Only a bucket at a partition's edge or over a block's rows can have other blocks.
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,10 +235,11 @@ def _compared(rows: DataFrame, plans: dict[int, Plan]) -> DataFrame:
                         first = False
                     bucket, number, held, have = here, 0, [], 0
                 while i < j:
-                    if have == BLOCK:
+                    most = plans[here[0]].block
+                    if have == most:
                         yield flush(True)
                         number, held, have = number + 1, [], 0
-                    take = min(j - i, BLOCK - have)
+                    take = min(j - i, most - have)
                     held.append((ids[i : i + take], copies[i : i + take], np.frombuffer(b"".join(x.slice(i, take).to_pylist())).reshape(-1, here[0])))
                     i, have = i + take, have + take
         if have:
@@ -269,7 +271,7 @@ def _across(found: DataFrame, plans: dict[int, Plan]) -> DataFrame:
     return met.select("dim", "t", "ids", "copies", "body", "ids_b", "copies_b", "body_b").mapInArrow(compare, LINKS)
 
 
-def near_copies(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.99, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def near_copies(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.99, block: int = BLOCK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Links between all vectors whose cosine (double precision) is at least `threshold`, as far as they are found: a pair
     of exactly the threshold with probability `recall` or more, nearer ones more surely, equal vectors always.
 
@@ -301,7 +303,7 @@ def near_copies(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.99
     by = rows.where("x is not null").groupBy("digest").agg(F.min("row").alias("class"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"), F.first("dim").alias("dim"), F.first("x").alias("x"))
     classes = reread(by)
     sizes = classes.groupBy("dim").count().collect()  # one row per vector length
-    plans = {r["dim"]: plan(r["dim"], r["count"], threshold, recall) for r in sizes}
+    plans = {r["dim"]: plan(r["dim"], r["count"], threshold, recall, block) for r in sizes}
     found = reread(_compared(classes.select("dim", "class", "copies", "x"), plans))
     links = reread(found.where("class is not null").select("class", "links", "root").unionByName(_across(found, plans)))
     joined = components(links.select(F.col("class").alias("a"), F.col("root").alias("b")))

@@ -231,7 +231,7 @@ class Repaired(NamedTuple):
     pieces: DataFrame
 
 
-def repair(rows: DataFrame) -> Repaired:
+def repair(rows: DataFrame, piece_rows: int = PIECE_ROWS, fan: int = FAN) -> Repaired:
     """Repair every conversation of `rows` (conv_id, turn: long, role, text, live, times; see `damaged`) at least cost.
 
     Rows are taken by turn, nulls first, and rows of one turn by role, then by text (by its first 64 characters and a hash).
@@ -242,21 +242,21 @@ def repair(rows: DataFrame) -> Repaired:
     Rows are sorted over range partitions by conversation and turn, once. A conversation inside a partition is repaired
     there; one that a partition's edge may cut, or that is longer than a piece, is put together from pieces: each piece
     says, for every state of what follows (`profiles`) and every state of what precedes, what it costs and where it
-    leads; pieces are joined in a tree with FAN children a node, which tells each its place on the way back. So no task
+    leads; pieces are joined in a tree with `fan` children a node, which tells each its place on the way back. So no task
     holds a conversation, however long.
     """
     kind = dict(rows.dtypes)["conv_id"]
     order = ["conv_id", "turn", "role", F.substring("text", 1, 64), F.xxhash64("text")]
     # Equal rows stand together but may lie in two partitions.
     dealt = rows.select("conv_id", "turn", "role", "text", "live", "times").repartitionByRange(shuffle_partitions(rows.sparkSession), *order, F.monotonically_increasing_id()).sortWithinPartitions(*order)
-    table = reread(dealt.mapInArrow(_by_conversation, f"conv_id {kind}, whole boolean, part int, number int, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, turns array<struct<role: string, text: string>>, seen array<long>"))
+    table = reread(dealt.mapInArrow(functools.partial(_by_conversation, most=piece_rows), f"conv_id {kind}, whole boolean, part int, number int, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, turns array<struct<role: string, text: string>>, seen array<long>"))
     whole = table.where("whole").select("conv_id", *COUNTS, "audit", "turns")
     rest = table.where("not whole").select("conv_id", "part", "number", "turns", "seen")
-    split, pieces = _joined(rest, kind)
+    split, pieces = _joined(rest, kind, fan)
     return Repaired(whole, split, pieces)
 
 
-def _by_conversation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_conversation(batches: Iterator[pa.RecordBatch], most: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
     """Sorted rows: conversations that lie inside the partition repaired, other ones in pieces."""
     part, number, first = TaskContext.get().partitionId(), 0, True
     conv, turns, seen, chars, pieces, started = None, [], [], 0, 0, False
@@ -299,7 +299,7 @@ def _by_conversation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 first, pieces = False, 0
             conv, started = i, True
             for _ in range(times if live else 0):
-                if len(turns) == PIECE_ROWS or chars and chars + len(text) > PIECE_CHARS:
+                if len(turns) == most or chars and chars + len(text) > PIECE_CHARS:
                     close(True)
                     pieces += 1
                 turns.append((role, text))
@@ -334,7 +334,7 @@ def _ways(codes: bytes) -> tuple[list[int], list[int], list[int]]:
     return ends, costs, states
 
 
-def _joined(rest: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+def _joined(rest: DataFrame, kind: str, fan: int) -> tuple[DataFrame, DataFrame]:
     """(split, pieces) of conversations in pieces, see `Repaired`."""
     turns = rest.select("conv_id", "part", "number", F.posexplode("turns").alias("at", "turn"))
     text = F.sha2(F.concat(F.octet_length("turn.role").cast("string"), F.lit(":"), "turn.role", "turn.text").cast("binary"), 256)
@@ -384,10 +384,10 @@ def _joined(rest: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
 
     top = rest.agg(F.max("part")).first()[0] or 0
     levels = [leaves.select("conv_id", "part", "number", *NAMES)]
-    while True:  # nodes of one partition each, then of FAN partitions, of FAN * FAN, until all partitions are in one
-        levels[-1] = levels[-1].withColumn("under", F.col("part") if len(levels) == 1 else F.floor(F.col("part") / FAN).cast("int"))
+    while True:  # nodes of one partition each, then of `fan` partitions, of fan * fan, until all partitions are in one
+        levels[-1] = levels[-1].withColumn("under", F.col("part") if len(levels) == 1 else F.floor(F.col("part") / fan).cast("int"))
         levels.append(reread(levels[-1].groupBy("conv_id", "under").applyInArrow(joined, f"conv_id {kind}, part int, number int, {FACTS}, {WAYS}")))
-        if top < FAN ** (len(levels) - 2):
+        if top < fan ** (len(levels) - 2):
             break
     known = levels[-1].select("conv_id", "part", F.lit(0).alias("after"), F.lit(0).alias("state"), F.lit(True).alias("last"))
     for level in reversed(levels[:-1]):
