@@ -70,7 +70,7 @@ def pack(
 ) -> DataFrame:
     """Pack every document, ended by id 1, into sequences of at most `sequence_length` ids.
 
-    A document is cut at multiples of `sequence_length`; whole pieces fill a sequence each, and the rest is packed
+    A document is cut at multiples of `sequence_length`; whole pieces fill a sequence each, outside all groups, and the rest is packed
     first-fit decreasing inside random groups of about `group_pieces` pieces. The pieces are written once, so that their
     number, and with it the number of groups, is known whatever Spark's settings; each then draws its group, so copies
     and neighbours spread. A task holds one group at a time and groups are independent.
@@ -93,8 +93,8 @@ def pack(
                     piece = a[s : s + sequence_length]
                     doc.append(i), start.append(s), length.append(len(piece)), crc.append(crc32_of(piece)), total.append(len(a))
                     if raw:
-                        body.append(piece.astype("<u4").tobytes())
-            columns = [pa.array(x, pa.int64()) for x in (doc, start, length, crc, total)] + [pa.array(body, pa.binary())] * raw
+                        body.append(piece.astype(np.int32))
+            columns = [pa.array(x, pa.int64()) for x in (doc, start, length, crc, total)] + [pa.array(body, pa.list_(pa.int32()))] * raw
             yield pa.RecordBatch.from_arrays(columns, ["id", "start", "length", "crc", "total", *["body"] * raw])
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
@@ -120,17 +120,19 @@ def pack(
             yield from pa.table(out, ["id", "start", "length", "load", "doc_tokens", "sequence_id", "offset", "sequence_tokens"]).to_batches(2048)
 
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    pieces = d.mapInArrow(cut, "id long, start long, length long, crc long, total long" + ", body binary" * raw)
+    pieces = d.mapInArrow(cut, "id long, start long, length long, crc long, total long" + ", body array<int>" * raw)
     pieces = cut_lineage(pieces)
     partial = pieces.where(F.col("length") < sequence_length)
+    full = pieces.where(F.col("length") == sequence_length)
     n_groups = max(1, -(-partial.count() // group_pieces))
     tasks = max(1, min(n_groups, max(shuffle_partitions(docs.sparkSession), -(-n_groups // 64))))
     # Drawn on the written pieces, the group of a row stays the same when its task runs again.
-    dealt = pieces.withColumn("g", F.floor(F.rand(seed) * n_groups))
-    pieces = dealt.repartition(tasks, "g").sortWithinPartitions("g", "id", "start", "crc", "total")
-    load = "binary" if raw else "long"
-    placed = pieces.mapInArrow(place, f"id long, start long, length long, load {load}, doc_tokens long, sequence_id long, offset long, sequence_tokens long")
-    if raw:
-        unpack = F.udf(lambda b: np.frombuffer(b, "<u4").tolist(), "array<int>")
-        placed = placed.withColumn("load", unpack("load"))
+    dealt = partial.withColumn("g", F.floor(F.rand(seed) * n_groups))
+    dealt = dealt.repartition(tasks, "g").sortWithinPartitions("g", "id", "start", "crc", "total")
+    load = "array<int>" if raw else "long"
+    placed = dealt.mapInArrow(place, f"id long, start long, length long, load {load}, doc_tokens long, sequence_id long, offset long, sequence_tokens long")
+    # A whole piece is a sequence of its own, numbered beyond all groups: no task gathers them.
+    own = F.monotonically_increasing_id().bitwiseOR(F.lit(1 << 62))
+    alone = full.select("id", "start", "length", F.col("body" if raw else "crc").alias("load"), F.col("total").alias("doc_tokens"), own.alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.col("length").alias("sequence_tokens"))
+    placed = placed.unionByName(alone)
     return placed.withColumnsRenamed({"id": id_col, "load": "ids" if raw else "ids_crc32"})
