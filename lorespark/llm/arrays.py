@@ -13,6 +13,8 @@ U = np.uint64
 M = 0x9E3779B97F4A7C15 | 1
 M2 = 0x27D4EB4F
 Q = 0xD6E8FEB86659FD93
+#: Bytes of text that workers turn into Python objects at once.
+PIECE = 1 << 20
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import binary_rows
+from .arrays import PIECE, binary_rows, pieces
 from .common import cut_lineage, shuffle_partitions
 
 BLOCK = 16
@@ -162,9 +162,9 @@ def lcs(masks: dict[int, int], length: int, sequence: list[int]) -> int:
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut by the bytes of their second column, the text or its word numbers."""
     for b in batches:
-        for i in range(0, b.num_rows, 512):
-            yield b.slice(i, 512)
+        yield from pieces([b], b.schema.names[1], PIECE)
 
 
 def numbered_words(d: DataFrame, vocabulary: dict[str, int]) -> DataFrame:

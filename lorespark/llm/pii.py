@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
+from .arrays import PIECE, pieces
 from .common import reread, unused
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -134,7 +135,7 @@ def revealing_terms(docs: DataFrame, disclose: float = 0.8, support: int = 2) ->
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pa.struct([("entity", pa.string()), ("context", pa.int64()), ("term", pa.string())])
-        for b in batches:
+        for b in pieces(batches, "text", PIECE):
             rows = []
             for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 if i is not None and text and (spans := base_spans(text)):
@@ -156,7 +157,7 @@ def revealing_terms(docs: DataFrame, disclose: float = 0.8, support: int = 2) ->
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted: dict[str, bool] = {}
         docs_here, words = 0, Counter()
-        for b in batches:
+        for b in pieces(batches, "text", PIECE):
             docs_here += b.num_rows
             if word_bits.any():
                 for text in b.column("text").to_pylist():
@@ -231,22 +232,20 @@ def sanitise(docs: DataFrame, disclose: float = 0.8, support: int = 2, id_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("degree", pa.float64()), ("replacement", pa.string())])
-        for whole in batches:
-            for i in range(0, whole.num_rows, 512):
-                b = whole.slice(i, 512)
-                spans, clean = [], []
-                for text, told in zip(b.column(body).to_pylist(), b.column(len(names)).to_pylist()):
-                    base = base_spans(text) if text else []
-                    found = [(s, k, e, 1.0, f"<{KINDS[k].upper()}>") for s, k, e in base]
-                    if told and text:
-                        known = dict(told)
-                        for m in free_terms(text, base):
-                            if (t := known.get(m[0].lower())) is not None:
-                                found.append((m.start(), 4, m.end(), t["degree"], t["class"]))
-                        found.sort()
-                    spans.append([{"kind": KINDS[k], "start": s, "end": e, "degree": g, "replacement": r} for s, k, e, g, r in found])
-                    clean.append(None if text is None else masked(text, found))
-                yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(spans, pa.list_(kind)), pa.array(clean, pa.string())], [*names, *own])
+        for b in pieces(batches, names[body], PIECE):
+            spans, clean = [], []
+            for text, told in zip(b.column(body).to_pylist(), b.column(len(names)).to_pylist()):
+                base = base_spans(text) if text else []
+                found = [(s, k, e, 1.0, f"<{KINDS[k].upper()}>") for s, k, e in base]
+                if told and text:
+                    known = dict(told)
+                    for m in free_terms(text, base):
+                        if (t := known.get(m[0].lower())) is not None:
+                            found.append((m.start(), 4, m.end(), t["degree"], t["class"]))
+                    found.sort()
+                spans.append([{"kind": KINDS[k], "start": s, "end": e, "degree": g, "replacement": r} for s, k, e, g, r in found])
+                clean.append(None if text is None else masked(text, found))
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(spans, pa.list_(kind)), pa.array(clean, pa.string())], [*names, *own])
 
     span = StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("degree", DoubleType()), StructField("replacement", StringType())])
     return joined.mapInArrow(run, StructType([*d.schema.fields, StructField("spans", ArrayType(span)), StructField("sanitised", StringType())]))

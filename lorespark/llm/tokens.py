@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .arrays import PIECE, pieces
 from .common import cut_lineage
 
 #: The vocabulary's only special token; the reference encoder recognises its string in a text.
@@ -53,16 +54,14 @@ def encode(text: str, path: str) -> list[int]:
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, text_col: str) -> Iterator[tuple[pa.RecordBatch, list[list[int]]]]:
-    """Each batch, in slices of a few hundred rows, with the ids of its texts; copies in a slice are encoded once."""
-    for whole in batches:
-        for i in range(0, whole.num_rows, 512):
-            batch = whole.slice(i, 512)
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            known: dict[str, list[int]] = {}
-            for t in texts:
-                if t not in known:
-                    known[t] = encode(t, path)
-            yield batch, [known[t] for t in texts]
+    """Each batch, in pieces of about a megabyte of text, with the ids of its texts; copies in a piece are encoded once."""
+    for batch in pieces(batches, text_col, PIECE):
+        texts = [t or "" for t in batch.column(text_col).to_pylist()]
+        known: dict[str, list[int]] = {}
+        for t in texts:
+            if t not in known:
+                known[t] = encode(t, path)
+        yield batch, [known[t] for t in texts]
 
 
 def token_lengths(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

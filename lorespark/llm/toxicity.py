@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .arrays import U, member, runs
+from .arrays import PIECE, U, member, pieces, runs
 from .common import cut_lineage
 
 ORDER = 4
@@ -204,7 +204,7 @@ def _calibrate(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[f
     return float(b[0]), float(b[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, clean_label: int = 8000, landmarks: int = 256, per_round: int = 4000, rounds: int = 3, hold_out: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, clean_label: int = 8000, landmarks: int = 256, rounds: int = 3, hold_out: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Fit the machine on labelled sentences of at most `per_label` toxic and `clean_label` other documents.
 
     Documents whose crc32(id as text) is divisible by `hold_out` are never used (0: all may be). The sample is the ids
@@ -213,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, clean_label
     fragments of clean sentences; landmarks are chosen among both. Then, in each round, every toxic document names the
     worst fragment of its worst sentence (dropped if the machine finds it clean: labels may be wrong) and every clean
     sentence its worst fragment, and the machine is fitted again, on disguised forms of the toxic witnesses too. Of each
-    kind of clean witness the `per_round` heaviest are kept, a bound on labelled rows as `clean_label` is.
+    kind of clean witness as many are kept as there may be toxic documents in the sample: one for each of `per_label`.
 
     Rows with null ids or labels are left out; a document labelled twice counts as toxic if one label says so. Without
     labels of both kinds, or without sentences under them, every score is the share of toxic labels.
@@ -260,8 +260,8 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, clean_label
     # A pair says nothing new if one of its words tells as much.
     first = {u: c for u, c in told.items() if " " not in u or not any(w in told for w in u.split())}
     clean = counts.where(F.col("b") > 0).where(rate < 1.5).where(~F.contains("unit", F.lit(" ")))
-    negative = {r["unit"]: r["b"] for r in clean.orderBy(F.desc("b"), "unit").limit(per_round).collect()}
-    negative |= {r["unit"]: r["b"] for r in clean.orderBy(F.xxhash64("unit"), "unit").limit(per_round).collect()}
+    negative = {r["unit"]: r["b"] for r in clean.orderBy(F.desc("b"), "unit").limit(per_label).collect()}
+    negative |= {r["unit"]: r["b"] for r in clean.orderBy(F.xxhash64("unit"), "unit").limit(per_label).collect()}
     if not first or not negative:
         return prior
     marks = list(first)[: 3 * landmarks // 4]
@@ -293,7 +293,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, clean_label
 
         def testify(batches: Iterator[pa.RecordBatch], m: ToxicityModel = model) -> Iterator[pa.RecordBatch]:
             known: dict[str, float] = {}
-            for b in batches:
+            for b in pieces(batches, "text", PIECE):
                 rows = []
                 for y, t in zip(b.column("y").to_pylist(), b.column("text").to_pylist()):
                     named = m.witnesses([s for s in SENTENCE.split(t or "") if s.strip()], known)
@@ -305,16 +305,14 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, clean_label
         # At most a witness per toxic document, of which there are at most `per_label`.
         toxic = said.where("y = 1 and m > 0").join(counts.select("unit", "b"), "unit", "left").where("c > coalesce(b, 0)")
         positive = first | {r["unit"]: r["c"] for r in toxic.collect()}
-        worst = said.where("y = 0 and m > -1").orderBy(F.desc("m"), "unit").limit(per_round).collect()
+        worst = said.where("y = 0 and m > -1").orderBy(F.desc("m"), "unit").limit(per_label).collect()
         negative |= {r["unit"]: 4 * r["c"] for r in worst if r["unit"] not in positive}
         model = fit(positive)
 
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, float] = {}
-        for b in batches:
-            for i in range(0, b.num_rows, 256):
-                c = b.slice(i, 256)
-                yield pa.RecordBatch.from_arrays([c.column("y"), pa.array(model.texts(c.column("text").to_pylist(), cache))], ["y", "m"])
+        for c in pieces(batches, "text", PIECE):
+            yield pa.RecordBatch.from_arrays([c.column("y"), pa.array(model.texts(c.column("text").to_pylist(), cache))], ["y", "m"])
 
     got = sample.select(F.col("y").cast("long").alias("y"), "text").mapInArrow(margins, "y long, m double").collect()  # bounded as the sample
     yy, mm = np.array([r["y"] for r in got], float), np.array([r["m"] for r in got])
@@ -334,10 +332,8 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, float] = {}
-        for b in batches:
-            for i in range(0, b.num_rows, 256):
-                c = b.slice(i, 256)
-                p = model.probability(model.texts(c.column(names.index(text_col)).to_pylist(), cache))
-                yield pa.RecordBatch.from_arrays([*c.columns, pa.array(p)], [*names, "toxicity"])
+        for c in pieces(batches, text_col, PIECE):
+            p = model.probability(model.texts(c.column(names.index(text_col)).to_pylist(), cache))
+            yield pa.RecordBatch.from_arrays([*c.columns, pa.array(p)], [*names, "toxicity"])
 
     return d.mapInArrow(run, StructType([*d.schema.fields, StructField("toxicity", DoubleType())]))

@@ -610,3 +610,30 @@ def test_hashes_do_not_depend_on_place():
     s, e, first = arrays.word_spans(*one)
     h = arrays.span_hashes(one[0], s, e)
     assert first.tolist() == [0, 2, 2, 2, 3] and h[1] == h[2] != h[0]
+
+
+def test_whole_pieces_stay_out_of_groups(spark):
+    """A few very long documents: their whole pieces are sequences of their own, and only remainders meet in groups."""
+    rows = [(i, "one two three four five " * 3000) for i in range(6)] + [(6, "short")]
+    out = packing.pack(frame(spark, rows), sequence_length=256, group_pieces=4)
+    got = out.collect()
+    whole = [r for r in got if r.length == 256]
+    assert len(whole) > 300 and len({r.sequence_id for r in whole}) == len(whole) and all(r.offset == 0 and r.sequence_tokens == 256 for r in whole)
+    assert not {r.sequence_id for r in whole} & {r.sequence_id for r in got if r.length < 256}
+    for i, text in rows:
+        mine = sorted((r for r in got if r.doc_id == i), key=lambda r: r.start)
+        assert sum((r.ids for r in mine), []) == [*tokens.encode(text, tokens.default_vocabulary()), 1]
+
+
+def test_long_texts_beside_many_short_ones(spark):
+    """Texts of several pieces' size, in one batch with short ones, through every operator that cuts batches by bytes."""
+    long = "write to someone@example.org now " * 40_000
+    rows = [(i, long if i in (3, 7) else f"word{i} other") for i in range(12)] + [(20, None), (21, "")]
+    d = frame(spark, rows)
+    spans = {r.doc_id: len(r.spans) for r in pii.sanitise(d).select("doc_id", "spans").collect()}
+    assert spans[3] == spans[7] >= 40_000 and spans[0] == spans[20] == 0
+    counts = {r.doc_id: r.n_tokens for r in tokens.token_lengths(d).collect()}
+    assert counts[3] == counts[7] > 200_000 and counts[20] == counts[21] == 0
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu")], "item_id long, text string")
+    planted = frame(spark, [(30, long + "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"), *rows])
+    assert [(r.doc_id, r.item_id) for r in decontam.find_leaks(planted, bench).collect()] == [(30, 1)]
