@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.shared import shared_folder
+
 
 def near_pairs(rows: DataFrame, threshold: float, block: int = 2048) -> DataFrame:
     """(a, b): rows of one source (source_file, place, v) closer than `threshold` in cosine distance, a before b by place.
@@ -39,7 +38,7 @@ def greedy_dedup(chunks: DataFrame, threshold: float = 0.15, least_length: int =
     without an undecided closer one before them are kept, and what is close to a kept one goes, round by round, until
     all are decided: the same as going through each source in order, without one task per source.
     """
-    _checkpoint_folder(chunks)
+    shared_folder(chunks.sparkSession)
     n = F.coalesce(F.length("document"), F.lit(0))
     order = Window.partitionBy("source_file").orderBy(F.desc("n"), "id")
     d = chunks.select("id", "source_file", n.alias("n"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
@@ -71,7 +70,7 @@ def identities(people: DataFrame) -> DataFrame:
     Labels travel from rows to names and addresses and back, by their minimum, until nothing changes; every round is one
     aggregate per side and is written to the checkpoint folder.
     """
-    _checkpoint_folder(people)
+    shared_folder(people.sparkSession)
     links = people.select("id", F.explode(F.array(F.concat(F.lit("n:"), F.lower("name")), F.concat(F.lit("e:"), F.lower("email")))).alias("k")).where("k is not null").checkpoint()
     label = people.select("id", F.col("id").alias("person")).checkpoint()
     while True:
@@ -89,13 +88,3 @@ def display_names(people: DataFrame, persons: DataFrame) -> DataFrame:
     """(person, name): of each identity the name that most of its rows bear, then the smallest."""
     c = people.join(persons, "id").where("name is not null").groupBy("person", "name").agg(F.count(F.lit(1)).alias("n"))
     return c.groupBy("person").agg(F.min(F.struct((-F.col("n")).alias("n"), "name")).alias("x")).select("person", F.col("x.name").alias("name"))
-
-
-def _checkpoint_folder(df: DataFrame) -> None:
-    """A cluster names a shared folder; only a local session may fall back to a temporary one."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "lorespark-checkpoints"))
