@@ -47,6 +47,14 @@ def reread(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def modest_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Hand rows to workers in batches of at most `most` bytes, unless the session has a bound below Spark's own 64 MB:
+    a batch stands in the executor's and in the worker's memory at once, and stages follow each other in one executor."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) in ("67108864b", "67108864", "64m", "64MB"):
+        spark.conf.set(key, most)
+
+
 def unused(names: list[str], wish: str) -> str:
     """`wish`, lengthened until no column has that name in any case."""
     taken = {n.lower() for n in names}
