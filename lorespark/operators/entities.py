@@ -198,64 +198,6 @@ def metadata_names(text: Column, found: Column, known: tuple[str, ...] = (), mos
     return F.array_join(F.slice(F.array_sort(F.array_union(seen, own)), 1, most), ";")
 
 
-#: Weights of the signs that a name is a person's or a project's, and words that make them.
-PERSON_VERBS = ("said", "asked", "told", "replied", "laughed", "smiled", "cried", "felt", "thinks?", "wants?", "loves?", "hates?", "knows?", "decided", "pushed", "wrote")
-PROJECT_VERBS = ("building", "built", "ship(?:ping|ped)?", "launch(?:ing|ed)?", "deploy(?:ing|ed)?", "install(?:ing|ed)?")
-PRONOUNS = ("she", "her", "hers", "he", "him", "his", "they", "them", "their")
-
-
-def scored_names(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """(name, n, person, project, kinds, pronouns): points of each candidate name (name) over the lines of (id, document).
-
-    Dialogue (`> Name`, `Name:`, `"Name said`) counts 3, an address (`hey Name`) 4, a person's verb after it 2, a pronoun
-    within two lines 2; a project's verb before it 2, a version 3, a code file 3. Lines are cut once; they meet the names
-    they hold by equality of words, not by comparison of all pairs.
-    """
-    lines = docs.select("id", F.posexplode(F.split(F.coalesce("document", F.lit("")), "\n")).alias("pos", "line"))
-    near = Window.partitionBy("id").orderBy("pos").rowsBetween(-2, 2)
-    said = F.lower("line").rlike(r"\b(?:%s)\b" % "|".join(PRONOUNS)).cast("int")
-    lines = lines.withColumn("pronoun", F.max(said).over(near))
-    words = F.array_distinct(F.regexp_extract_all("line", F.lit(WORD), 0))
-    met = lines.select("id", "pos", "line", "pronoun", F.explode(words).alias("name")).join(names.select("name").distinct(), "name")
-    low, n = F.lower("line"), F.lower("name")
-
-    def times(pattern: list) -> Column:
-        return F.regexp_count(low, F.concat(*[F.lit(x) if isinstance(x, str) else x for x in pattern]))
-
-    dialogue = times([r"(?m)(?:^>\s*|^\[?)", n, r"\b\]?[:\s]|\"", n, r"\s+said"])
-    address = times([r"\b(?:hey|thanks?|hi|dear)\s+", n, r"\b"])
-    verb = times([r"\b", n, r"\s+(?:%s)\b" % "|".join(PERSON_VERBS)])
-    made = times([r"\b(?:%s)\s+(?:the\s+)?" % "|".join(PROJECT_VERBS), n, r"\b"])
-    version = times([r"\b", n, r"[\s-]v?\d+(?:\.\d+)*\b"])
-    code = times([r"\b", n, r"\.(?:py|js|ts|yaml|yml|json|sh)\b"])
-    g = met.groupBy("name").agg(
-        F.sum(F.regexp_count(F.col("line"), F.concat(F.lit(r"\b"), F.col("name"), F.lit(r"\b")))).alias("n"),
-        F.sum(dialogue).alias("d"), F.sum(address).alias("a"), F.sum(verb).alias("v"), F.sum("pronoun").alias("p"),
-        F.sum(made).alias("m"), F.sum(version).alias("r"), F.sum(code).alias("c"),
-    )
-    kinds = sum((F.when(F.col(x) > 0, 1).otherwise(0) for x in "davp"), F.lit(0))
-    return g.select("name", "n", (3 * F.col("d") + 4 * F.col("a") + 2 * F.col("v") + 2 * F.col("p")).alias("person"), (2 * F.col("m") + 3 * F.col("r") + 3 * F.col("c")).alias("project"), kinds.alias("kinds"), F.col("p").alias("pronouns"))
-
-
-def classified(scores: DataFrame) -> DataFrame:
-    """`scored_names` with type: person if at least 0.7 of the points say so, by two kinds of signs and five points;
-    project if at most 0.3; else uncertain, as are names without points."""
-    total = F.col("person") + F.col("project")
-    ratio = F.col("person") / F.nullif(total, F.lit(0))
-    sure = (F.col("kinds") >= 2) & (F.col("person") >= 5)
-    kind = F.when(total == 0, "uncertain").when((ratio >= 0.7) & sure, "person").when(ratio <= 0.3, "project").otherwise("uncertain")
-    return scores.withColumn("type", kind)
-
-
-def detected(docs: DataFrame, least: int = 3, caps: tuple[int, int, int] = (15, 10, 8)) -> DataFrame:
-    """Candidates of (id, document), scored and classified, the most frequent of each type up to its cap (people,
-    projects, uncertain)."""
-    c = classified(scored_names(docs, candidates(docs, least, tuple(x.lower() for x in NO_NAMES))))
-    cap = F.when(F.col("type") == "person", caps[0]).when(F.col("type") == "project", caps[1]).otherwise(caps[2])
-    nth = F.row_number().over(Window.partitionBy("type").orderBy(F.desc("n"), "name"))
-    return c.withColumn("place", nth).where(F.col("place") <= cap)
-
-
 def looked_up(words: DataFrame, people: DataFrame, projects: DataFrame, confirmed: DataFrame) -> DataFrame:
     """(word, type): each word against people and their aliases, then projects, then confirmed findings, without case;
     else unknown. people: name, aliases (array<string>); projects: name; confirmed: name, type."""

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +41,7 @@ MARKERS = {
     "emotional": [
         r"\blove\b", r"\bscared\b", r"\bafraid\b", r"\bproud\b", r"\bhurt\b", r"\bhappy\b", r"\bsad\b", r"\bcry\b", r"\bcrying\b", r"\bmiss\b", r"\bsorry\b", r"\bgrateful\b",
         r"\bangry\b", r"\bworried\b", r"\blonely\b", r"\bbeautiful\b", r"\bamazing\b", r"\bwonderful\b", r"i feel", r"i'm scared", r"i love you", r"i'm sorry", r"i can't",
-        r"i wish", r"i miss", r"i need", r"never told anyone", r"nobody knows", r"\*[^*]+\*", r"\*[^*]+\*",
+        r"i wish", r"i miss", r"i need", r"never told anyone", r"nobody knows", r"\*[^*]+\*",
     ],
 }
 #: Words of good and bad news.
@@ -102,9 +105,51 @@ def segments(text: Column) -> Column:
     return F.when(F.size(F.filter(lines, turn)) >= 3, by_turn).otherwise(paragraph_parts(text))
 
 
-def marker_score(low: Column, markers: list[str]) -> Column:
-    """How often the markers occur in a lower-case text."""
-    return sum((F.regexp_count(low, F.lit(m)) for m in markers), F.lit(0))
+def anchors(pattern: str) -> list[str]:
+    """Literals of which a pattern needs at least one: the longest one outside of groups, or, if there is none, the
+    alternatives of its group. Only for patterns as simple as the markers: no nested groups, no alternatives outside."""
+    plain = re.sub(r"\\b|\\d[+*]?|\.\*|\[[^\]]*\][+*]?|(?<!\\)\\(?=[*.])", "\0", pattern).replace("\0*", "\0\1").replace("\0.", "\0\2")
+    outside = re.sub(r".\?", "\0", re.sub(r"\([^)]*\)\??", "\0", plain))
+    longest = max(outside.split("\0"), key=len).replace("\1", "*").replace("\2", ".")
+    if longest.strip():
+        return [longest]
+    group = re.search(r"\(([^)]*)\)(?!\?)", plain)
+    return [max(re.sub(r".\?", "\0", x).split("\0"), key=len) for x in group[1].split("|")]
+
+
+@functools.cache
+def _scorer() -> tuple[ahocorasick.Automaton, list[list[tuple[int, re.Pattern]]]]:
+    """The automaton over all markers' anchors, and for each anchor the (kind, marker) it lets in; per worker."""
+    gated: dict[str, list[tuple[int, re.Pattern]]] = {}
+    for kind, markers in enumerate(MARKERS.values()):
+        for m in markers:
+            for a in anchors(m):
+                gated.setdefault(a, []).append((kind, re.compile(m)))
+    automaton = ahocorasick.Automaton()
+    for n, a in enumerate(gated):
+        automaton.add_word(a, n)
+    automaton.make_automaton()
+    return automaton, list(gated.values())
+
+
+def scores(text: str) -> list[int]:
+    """How often the markers of each kind occur in a lower-case text. One pass finds the anchors; only markers that one
+    of them lets in are searched for, each once."""
+    automaton, gated = _scorer()
+    out = [0] * len(MARKERS)
+    for kind, marker in {x for n in {n for _, n in automaton.iter(text)} for x in gated[n]}:
+        out[kind] += sum(1 for _ in marker.finditer(text))
+    return out
+
+
+def marker_scores(low: Column) -> Column:
+    """The scores of a lower-case text as a struct with a field for each kind."""
+
+    @F.pandas_udf(", ".join(f"{k} int" for k in MARKERS))
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([scores(t or "") for t in texts], columns=list(MARKERS))
+
+    return run(low)
 
 
 def sentiment(text: Column) -> Column:
@@ -124,10 +169,8 @@ def memories(docs: DataFrame, least: float = 0.3) -> DataFrame:
     """
     d = docs.select("id", F.posexplode(segments(F.coalesce("document", F.lit("")))).alias("part", "segment"))
     d = d.where(F.length(strip(F.col("segment"))) >= 20)
-    # Exploding one-element arrays keeps the scores from being computed again in the conditions on them.
-    both = F.transform(F.array(prose(F.col("segment"))), lambda p: F.struct(p.alias("prose"), F.lower(p).alias("low")))
-    d = d.select("id", "part", "segment", F.explode(both).alias("b")).select("id", "part", "segment", F.explode(F.transform(F.array("b"), lambda x: F.struct(x["prose"].alias("prose"), *[marker_score(x["low"], ms).alias(k) for k, ms in MARKERS.items()]))).alias("x"))
-    d = d.select("id", "part", "segment", "x.*")
+    d = d.withColumn("prose", prose(F.col("segment"))).withColumn("scores", marker_scores(F.lower("prose")))
+    d = d.select("id", "part", "segment", "prose", "scores.*")
     top = F.greatest(*MARKERS)
     d = d.withColumn("top", top).where("top > 0").withColumn("kind", F.coalesce(*[F.when(F.col(k) == F.col("top"), F.lit(k)) for k in MARKERS]))
     bonus = F.when(F.length("segment") > 500, 2).when(F.length("segment") > 200, 1).otherwise(0)

@@ -149,10 +149,6 @@ def metadata_names(spark, sf_dir):
     return d.select("id", entities.metadata_names(F.col("document"), F.col("found"), KNOWN).alias("names"))
 
 
-@query()
-def detected_names(spark, sf_dir):
-    return entities.detected(chunk_table(spark, sf_dir), least=5).select("name", "n", "person", "project", "type", "place")
-
 
 @query(r"""WITH l AS (SELECT doc_id AS id, string_split(text, chr(10)) AS ls FROM documents), u AS (SELECT id, trim(unnest(ls)) AS line, generate_subscripts(ls, 1) AS pos FROM l),
 m AS (SELECT DISTINCT id, pos, line, unnest(regexp_extract_all(line, '[\p{L}\p{N}_]+')) AS name FROM u), f AS (SELECT name, line, min({'id': id, 'pos': pos}) AS a FROM m WHERE name IN ('The', 'Und', 'La') GROUP BY 1, 2)

@@ -237,14 +237,8 @@ def test_memories_prose_and_segments(spark):
 
 def test_names_and_shorthand(spark):
     d = spark.createDataFrame([(1, "Marta said hello. Marta laughed and she smiled.\nhey Marta, thanks Marta!\nMarta: yes\nshipping Zephyr v2.1, Zephyr.py was deployed; building Zephyr and launch Zephyr")], "id int, document string")
-    got = {r.name: r for r in entities.detected(d, least=3).collect()}
-    assert got["Marta"].type == "person" and got["Zephyr"].type == "project" and got["Marta"].n == 5
-    c = entities.classified(spark.createDataFrame([("a", 9, 20, 0, 1, 0), ("b", 3, 0, 0, 0, 0), ("c", 3, 10, 10, 3, 1)], "name string, n int, person int, project int, kinds int, pronouns int"))
-    assert {r.name: r.type for r in c.collect()} == {"a": "uncertain", "b": "uncertain", "c": "uncertain"}
     line = entities.shorthand(spark.createDataFrame([(1, "We met Anna there. It was decided because of the big_plan. Nothing."), (2, None)], "id int, document string"), {"decided": "determ"}, {"because": "DECISION"})
     assert {r.id: r.line for r in line.collect()} == {1: '0:ANN+IT+NOT|anna_big_plan_nothing|"It was decided because of the big_plan"|determ|DECISION', 2: "0:???|misc"}
-    found = entities.learned(entities.classified(spark.createDataFrame([("New", 9, 20, 0, 2, 1), ("Old", 9, 20, 0, 2, 1)], "name string, n int, person int, project int, kinds int, pronouns int")), spark.createDataFrame([("old",)], "name string"))
-    assert [r.name for r in found.collect()] == ["New"]
 
 
 def test_overlap_cuts(spark):
