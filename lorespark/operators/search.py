@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -202,20 +203,60 @@ def union_candidates(vector: DataFrame, keyword: DataFrame, max_distance: float
 STRATEGIES = ("vector", "union")
 
 
-def keyword_hits(chunks: DataFrame, queries: DataFrame, n: int, most: int = 500) -> DataFrame:
+class KeywordIndex(NamedTuple):
+    """Where words stand: `postings` (token, id), of each token the first ids, and `grams` (gram, token), the pieces of
+    three letters of every token. Both may be written and read again."""
+
+    postings: DataFrame
+    grams: DataFrame
+    most: int
+
+
+def keyword_index(chunks: DataFrame, most: int = 500) -> KeywordIndex:
+    """The index of chunks (id, document) for searches that look at no more than `most` chunks a query.
+
+    A word of letters, digits and underscores stands in a text exactly if it stands in one of its tokens. Of each token
+    the `most` smallest ids are enough: a chunk among the first `most` of a query is among those of any token that brings
+    it. So a token that a third of all chunks hold has a short list too, cut before the shuffle.
+    """
+    found = F.array_distinct(F.filter(F.regexp_extract_all(F.lower(F.coalesce("document", F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), 0), lambda x: F.length(x) >= 3))
+    postings = chunks.select("id", F.explode(found).alias("token")).withColumn("n", F.row_number().over(Window.partitionBy("token").orderBy("id"))).where(F.col("n") <= most).select("token", "id")
+    grams = postings.select("token").distinct().select("token", F.explode(_grams("token")).alias("gram"))
+    return KeywordIndex(postings, grams, most)
+
+
+def _grams(c: str) -> Column:
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substr(F.col(c), i, F.lit(3))))
+
+
+def tokens_with(words: DataFrame, index: KeywordIndex) -> DataFrame:
+    """(w, token): the index's tokens that hold each word (w, of three letters or more). A word meets tokens by the rarest
+    of its pieces; a word with a piece that no token has meets none."""
+    pieces = words.select("w", F.explode(_grams("w")).alias("gram"))
+    often = index.grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rare = pieces.join(often, "gram", "left").groupBy("w").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("x")).where("x.n > 0").select("w", F.col("x.gram").alias("gram"))
+    return rare.join(index.grams, "gram").where(F.contains("token", F.col("w"))).select("w", "token")
+
+
+def keyword_hits(chunks: DataFrame, queries: DataFrame, n: int, most: int = 500, index: KeywordIndex | None = None) -> DataFrame:
     """(query_id, id, source_file, chunk_index, document, score, rank): the n best chunks by words alone.
 
     Candidates hold a query word of at least three letters as a substring, at most `most` per query by id; a query
-    without such words takes the last `most` chunks by id; one whose words occur nowhere finds nothing.
+    without such words takes the last `most` chunks by id; one whose words occur nowhere finds nothing. Candidates come
+    from `index` (of these chunks, for at least `most`), or from one made here.
     """
+    index = index or keyword_index(chunks, most)
+    if index.most < most:
+        raise ValueError(f"the index holds {index.most} chunks a token")
     words = F.filter(F.array_distinct(tokens(F.col("query"))), lambda t: F.length(t) >= 3)
     q = queries.select("query_id", "query", words.alias("ws"))
     asked = q.where(F.size("ws") > 0).select("query_id", F.explode("ws").alias("w"))
-    every = asked.select("w").distinct().agg(F.collect_set("w").alias("all_words"))  # words of the queries: one row
-    low = chunks.select("id", F.lower(F.coalesce("document", F.lit(""))).alias("low")).join(F.broadcast(every))
-    held = low.select("id", F.explode(bound(F.col("low"), lambda x: F.filter("all_words", lambda w: F.contains(x, w)))).alias("w")).join(asked, "w").select("query_id", "id").distinct()
-    first = F.row_number().over(Window.partitionBy("query_id").orderBy("id"))
-    held = held.withColumn("n", first).where(F.col("n") <= most).select("query_id", "id")
+
+    def first(d: DataFrame, key: str) -> DataFrame:
+        return d.withColumn("n", F.row_number().over(Window.partitionBy(key).orderBy("id"))).where(F.col("n") <= most).drop("n")
+
+    by_word = first(tokens_with(asked.select("w").distinct(), index).join(index.postings, "token").select("w", "id").distinct(), "w")
+    held = first(asked.join(by_word, "w").select("query_id", "id").distinct(), "query_id")
     bare = q.where(F.size("ws") == 0).select("query_id")
     recent = chunks.select("id").orderBy(F.desc("id")).limit(most)
     held = held.unionByName(bare.join(F.broadcast(recent)).select("query_id", "id"))  # at most `most` rows

@@ -134,3 +134,30 @@ def test_staged_tables_are_bounded_to_their_run(spark, store):
     mining.mine_files(store, files(spark, [("p/a.md", 1.0, TEXT)]), "w", ROOMS)
     plan = store.chunks()._jdf.queryExecution().toString()
     assert "LeftSemi" in plan and store.chunks().agg(F.count("*")).first()[0] == store.sources().first().chunks
+
+
+def test_keyword_candidates_equal_a_test_of_all_texts(spark):
+    import random
+
+    from lorespark.operators import search
+
+    rng = random.Random(2)
+    vocabulary = ["".join(rng.choice("abcdé_1") for _ in range(rng.randrange(1, 7))) for _ in range(200)] + ["common"]
+    chunks = [(i, "f", i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(0, 30))) + (" Common" if i % 2 else "")) for i in range(300)] + [(900, "f", 0, None), (901, "f", 0, "")]
+    queries = [(q, " ".join(rng.choice(vocabulary + ["nowhere"]) for _ in range(4))) for q in range(40)] + [(50, "common"), (51, "ab"), (52, None), (53, "nowhere at")]
+    c = spark.createDataFrame(chunks, "id long, source_file string, chunk_index int, document string")
+    q = spark.createDataFrame(queries, "query_id long, query string")
+    got = {}
+    for r in search.keyword_hits(c, q, 1000, most=25).collect():
+        got.setdefault(r.query_id, set()).add(r.id)
+    import re
+
+    want = {}
+    for i, text in queries:
+        ws = {w for w in re.findall(r"\w{2,}", (text or "").lower()) if len(w) >= 3}
+        ids = [x for x, _, _, d in sorted(chunks, key=lambda x: x[0]) if any(w in (d or "").lower() for w in ws)][:25] if ws else sorted((x[0] for x in chunks), reverse=True)[:25]
+        if ids:
+            want[i] = set(ids)
+    assert got == want
+    with pytest.raises(ValueError):
+        search.keyword_hits(c, q, 10, most=500, index=search.keyword_index(c, 25))
