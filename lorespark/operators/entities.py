@@ -209,13 +209,6 @@ def looked_up(words: DataFrame, people: DataFrame, projects: DataFrame, confirme
     return out.select("word", F.coalesce("person", "project", "found", F.lit("unknown")).alias("type"))
 
 
-def learned(found: DataFrame, people: DataFrame, least: float = 0.75) -> DataFrame:
-    """Names of `classified` people that are not known yet, with at least that share of a person's points."""
-    share = F.col("person") / F.nullif(F.col("person") + F.col("project"), F.lit(0))
-    new = found.where((F.col("type") == "person") & (share >= least)).withColumn("k", F.lower("name"))
-    return new.join(people.select(F.lower("name").alias("k")), "k", "left_anti").select("name", share.alias("share"))
-
-
 def reclassified(found: DataFrame, personas: DataFrame) -> DataFrame:
     """People and uncertain names that are personas of the dialogue's software (name) become `persona`."""
     p = personas.select(F.lower("name").alias("k"), F.lit(True).alias("is_persona")).distinct()
