@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blockquote, snippet
@@ -113,6 +113,51 @@ def wake_up(chunks: DataFrame, scan: int = 2000, top: int = 15, length: int = 20
     return d.withColumn("used", F.sum(F.length("snippet")).over(w)).where(F.col("used") <= budget)
 
 
+def importance(*keys: Column) -> Column:
+    """The first of several weights that is there, as a number; 3 if none is, or if that one is no number."""
+    return F.coalesce(F.coalesce(*[k.cast("string") for k in keys]).try_cast("double"), F.lit(3.0))
+
+
+def essential_story(chunks: DataFrame, wing: str | None = None, scan: int = 2000, top: int = 15, length: int = 200, budget: int = 3200) -> DataFrame:
+    """One row: the text that a session wakes up with. chunks: id, wing, room, source_file, document and importance (see
+    `importance`; null counts as 3).
+
+    Of the first `scan` chunks by id the `top` most important ones, by room and importance, each as a line of at most
+    `length` characters with its file's name, until `budget` characters are used; a last line says if some were left out.
+    The rows that are put in order here are at most `top`.
+    """
+    d = chunks if wing is None else chunks.where(F.col("wing") == wing)
+    d = d.orderBy("id").limit(scan).withColumn("importance", F.coalesce(F.col("importance").cast("double"), F.lit(3.0)))
+    d = d.orderBy(F.desc("importance"), "id").limit(top).withColumn("room", F.coalesce("room", F.lit("general")))
+    text = F.replace(F.regexp_replace(F.coalesce("document", F.lit("")), r"^\s+|\s+$", ""), F.lit("\n"), F.lit(" "))
+    d = d.withColumn("text", F.when(F.length(text) > length, F.concat(F.substring(text, 1, length - 3), F.lit("..."))).otherwise(text))
+    file = F.element_at(F.split("source_file", "/"), -1)
+    line = F.concat(F.lit("  - "), F.col("text"), F.when(F.coalesce(file, F.lit("")) != "", F.concat(F.lit("  ("), file, F.lit(")"))).otherwise(""))
+    w = Window.orderBy("room", F.desc("importance"), "id")
+    d = d.withColumn("line", line).withColumn("first", F.row_number().over(Window.partitionBy("room").orderBy(F.desc("importance"), "id")) == 1)
+    head = F.when(F.col("first"), F.concat(F.lit("\n\n["), "room", F.lit("]"))).otherwise("")
+    d = d.withColumn("head", head).withColumn("used", F.sum(F.length("line") + F.greatest(F.length("head") - 1, F.lit(0))).over(w)).withColumn("at", F.row_number().over(w))
+    d = d.withColumn("before", F.lag("used", 1, 0).over(w))  # the first row beyond the budget still names its room
+    kept = F.when(F.col("used") <= budget, F.concat("head", F.lit("\n"), "line")).when(F.col("before") <= budget, F.concat("head", F.lit("\n  ... (more in L3 search)")))
+    said = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", kept.alias("kept")))), lambda x: x["kept"]), "")
+    return d.agg(F.count(F.lit(1)).alias("n"), said.alias("said")).select(F.when(F.col("n") == 0, "## L1 — No memories yet.").otherwise(F.concat(F.lit("## L1 — ESSENTIAL STORY"), "said")).alias("text"))
+
+
+def wake_up_text(identity: str, chunks: DataFrame, wing: str | None = None) -> DataFrame:
+    """One row: who is asked, then the essential story."""
+    return essential_story(chunks, wing).select(F.concat(F.lit(identity.strip() + "\n\n"), "text").alias("text"))
+
+
+def diary_last(entries: DataFrame, n: int = 10, wing: str | None = None) -> DataFrame:
+    """(agent, place, at, document): the last n diary entries (agent, wing, room, at, document) of each agent, newest first;
+    n from 1 to 100. Agents are compared in lower case."""
+    d = entries.where(F.col("room") == "diary")
+    d = d if wing is None else d.where(F.col("wing") == wing)
+    w = Window.partitionBy("agent").orderBy(F.desc("at"), "document")
+    d = d.withColumn("agent", F.lower("agent")).withColumn("place", F.row_number().over(w))
+    return d.where(F.col("place") <= max(1, min(100, n))).select("agent", "place", "at", "document")
+
+
 def export_markdown(chunks: DataFrame, folder: str) -> DataFrame:
     """Write chunks (id, wing, room, document) as Markdown, a folder per wing and room in which chunks follow by id, each
     as a heading and a quotation; returns `export_index`."""

@@ -66,6 +66,16 @@ def suggest(node: DataFrame, query: str, n: int = 5) -> DataFrame:
     return node.select("room", score.alias("score")).where("score is not null").orderBy(F.desc("score"), "room").limit(n)
 
 
+def traverse_or_suggest(node: DataFrame, start: str, max_hops: int = 2, limit: int = 50, most: int = 5) -> DataFrame:
+    """`traverse` with `suggested` = false; where no room is called `start`, rooms like it instead, with hop, n and via null
+    and `suggested` = true."""
+    there = node.where(F.col("room") == start).limit(1).select(F.lit(True).alias("there"))
+    walked = traverse(node, start, max_hops, limit).select("room", "hop", "n", "via", F.lit(False).alias("suggested"), F.lit(None).cast("double").alias("score"))
+    like = suggest(node, start, most).join(F.broadcast(there), how="left_anti")  # one row, or none
+    empty = [F.lit(None).cast(k).alias(c) for c, k in walked.dtypes if c in ("hop", "n", "via")]
+    return walked.unionByName(like.select("room", *empty, F.lit(True).alias("suggested"), "score"))
+
+
 def topic_tunnels(topics: DataFrame, least: int = 1) -> DataFrame:
     """Pairs of wings (a < b) that share at least `least` topics (compared in lower case), one row per shared topic,
     spelled as in the first wing's smallest spelling."""
@@ -132,11 +142,6 @@ def topic_tunnels_for(topics: DataFrame, wing: str, least: int = 1) -> DataFrame
     return topic_tunnels(near, least).where((F.col("wing_a") == wing) | (F.col("wing_b") == wing))
 
 
-def rooms_per_wing(node: DataFrame) -> DataFrame:
-    """(wing, rooms) of nodes (room, wings)."""
-    return node.select("room", F.explode("wings").alias("wing")).groupBy("wing").agg(F.count(F.lit(1)).alias("rooms"))
-
-
 def top_tunnels(node: DataFrame, n: int = 10) -> DataFrame:
     """The rooms of at least two wings with most wings, then by name: room, wings, count."""
     d = node.where(F.size("wings") >= 2).select("room", F.array_join(F.array_sort("wings"), ",").alias("wings"), F.size("wings").alias("n_wings"), "count")

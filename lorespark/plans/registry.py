@@ -147,11 +147,6 @@ def hybrid_rank(spark, sf_dir):
     return _listed(_hybrid(spark, sf_dir))
 
 
-@query(HYBRID)
-def hybrid_rank_all(spark, sf_dir):
-    return hybrid_rank(spark, sf_dir)
-
-
 def _listed(ranked: DataFrame) -> DataFrame:
     return ranked.select("query_id", F.col("rank").cast("long").alias("rank"), "id", "bm25", F.round("score", 5).alias("score"))
 
@@ -171,11 +166,6 @@ def closet_boost(spark, sf_dir):
     return _closet_boost(spark, sf_dir, "id % 50 = 0")
 
 
-@query(CLOSET_BOOST)
-def closet_boost_all(spark, sf_dir):
-    return closet_boost(spark, sf_dir)
-
-
 def _closet_boost(spark, sf_dir, asked):
     d = t(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("source_file"))
     v = _vectors(spark, sf_dir).join(d, "id")
@@ -310,11 +300,6 @@ def contradictions(spark, sf_dir):
     return _contradictions(spark, sf_dir, "true")
 
 
-@query(CONTRADICTIONS)
-def contradictions_all(spark, sf_dir):
-    return contradictions(spark, sf_dir)
-
-
 def _contradictions(spark, sf_dir, claimed):
     tr, _ = fact_tables(spark, sf_dir)
     claims = tr.where(claimed).select("subject", F.lit("f").alias("predicate"), "object").distinct()
@@ -385,11 +370,6 @@ def topic_tunnels(spark, sf_dir):
     return _topic_tunnels(t(spark, sf_dir, "documents"))
 
 
-@query(TOPIC_TUNNELS)
-def topic_tunnels_all(spark, sf_dir):
-    return topic_tunnels(spark, sf_dir)
-
-
 def _topic_tunnels(docs):
     d = docs.select(F.col("lang").alias("wing"), F.col("source").alias("topic")).distinct()
     return graph.topic_tunnels(d)
@@ -548,11 +528,6 @@ def identity_components(spark, sf_dir):
     return neardup.identities(_people(t(spark, sf_dir, "customer")))
 
 
-@query()
-def identity_components_all(spark, sf_dir):
-    return neardup.identities(_people(t(spark, sf_dir, "customer")))
-
-
 def _people(customers: DataFrame) -> DataFrame:
     i = F.col("c_custkey")
     block = F.floor(i / 24).cast("string")
@@ -580,11 +555,6 @@ def recall_at_k(spark, sf_dir):
     return _recall_at_k(spark, sf_dir, "true")
 
 
-@query(RECALL)
-def recall_at_k_all(spark, sf_dir):
-    return recall_at_k(spark, sf_dir)
-
-
 def _recall_at_k(spark, sf_dir, counted):
     e = t(spark, sf_dir, "embeddings").select("vec_id", "label")
     q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "label")

@@ -19,6 +19,14 @@ class FilePart(InputPartition):
         self.path = path
 
 
+def flat(content: object) -> str:
+    """The text of a message: itself, or that of its blocks by line, blocks of other types as their JSON in full."""
+    if isinstance(content, list):
+        text = lambda b: b.get("text") if isinstance(b, dict) and b.get("type") == "text" else json.dumps(b, ensure_ascii=False, separators=(",", ":"))
+        return "\n".join(t for t in map(text, content) if isinstance(t, str))
+    return content if isinstance(content, str) else ""
+
+
 class MessageReader(DataSourceReader):
     """One partition per file, read line by line when its task runs. `since` (a time in seconds) leaves older files out."""
 
@@ -36,8 +44,8 @@ class MessageReader(DataSourceReader):
             for pos, line in enumerate(f):
                 try:
                     m = json.loads(line)
-                    content = m["message"]["content"]
-                    if m["type"] in ("user", "assistant") and isinstance(content, str) and content.strip():
+                    content = flat(m["message"]["content"])
+                    if m["type"] in ("user", "assistant") and content.strip():
                         yield partition.path, pos, m["sessionId"], m["uuid"], m["timestamp"], m["type"], content
                 except (ValueError, KeyError, TypeError):
                     continue

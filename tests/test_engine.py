@@ -284,10 +284,10 @@ def test_session_messages_as_a_data_source(spark, tmp_path):
     (tmp_path / "p").mkdir()
     line = lambda u, role, text: j.dumps({"type": role, "sessionId": "s", "uuid": u, "timestamp": "1", "message": {"content": text}})
     (tmp_path / "p" / "a.jsonl").write_text("\n".join([line("1", "user", "hi"), "broken", line("2", "assistant", " "), line("3", "assistant", "yo")]))
-    (tmp_path / "b.jsonl").write_text(line("4", "user", "there"))
+    (tmp_path / "b.jsonl").write_text(line("4", "user", "there") + "\n" + line("5", "user", [{"type": "text", "text": "two"}, {"type": "text", "text": "blocks"}, {"type": "image", "id": 1}]) + "\n" + line("6", "user", []))
     plugin.register(spark)
     got = spark.read.format(plugin.resolved()).load(str(tmp_path)).select("message_uuid", "role", "text").collect()
-    assert sorted(map(tuple, got)) == [("1", "user", "hi"), ("3", "assistant", "yo"), ("4", "user", "there")]
+    assert sorted(map(tuple, got)) == [("1", "user", "hi"), ("3", "assistant", "yo"), ("4", "user", "there"), ("5", "user", 'two\nblocks\n{"type":"image","id":1}')]
     assert spark.read.format("session_messages").option("since", "9e12").load(str(tmp_path)).count() == 0
     assert plugin.resolved(None, "session_messages") == "session_messages"
     with pytest.raises(ValueError):

@@ -58,4 +58,4 @@ def test_identities_of_all_customers(spark, tmp_path):
         for k in (("n", i // 24, i // 3), ("e", i // 24, (i + 1) // 4)):
             a, b = sorted((top(i), top(first.setdefault(k, i))))
             up[b] = a
-    assert {r.id: r.person for r in registry.QUERIES["identity_components_all"](spark, str(tmp_path)).collect()} == {i: top(i) for i in ids}
+    assert {r.id: r.person for r in registry.QUERIES["identity_components"](spark, str(tmp_path)).collect()} == {i: top(i) for i in ids}
