@@ -177,7 +177,19 @@ def with_unranked(ranked: DataFrame, corpus: DataFrame) -> DataFrame:
     return ranked.select("query_id", "id", "rank").unionByName(rest)
 
 
-def preference_documents(turns: DataFrame, patterns: tuple[str, ...], most: int = 10) -> DataFrame:
+#: How a user tells of preferences, worries and plans.
+PREFERENCES = (
+    r"i(?:'ve been| have been) having (?:trouble|issues?|problems?) with ([^,\.!?]{5,80})", r"i(?:'ve been| have been) feeling ([^,\.!?]{5,60})",
+    r"i(?:'ve been| have been) (?:struggling|dealing) with ([^,\.!?]{5,80})", r"i(?:'ve been| have been) (?:worried|concerned) about ([^,\.!?]{5,80})",
+    r"i(?:'m| am) (?:worried|concerned) about ([^,\.!?]{5,80})", r"i prefer ([^,\.!?]{5,60})", r"i usually ([^,\.!?]{5,60})",
+    r"i(?:'ve been| have been) (?:trying|attempting) to ([^,\.!?]{5,80})", r"i(?:'ve been| have been) (?:considering|thinking about) ([^,\.!?]{5,80})",
+    r"lately[,\s]+(?:i've been|i have been|i'm|i am) ([^,\.!?]{5,80})", r"recently[,\s]+(?:i've been|i have been|i'm|i am) ([^,\.!?]{5,80})",
+    r"i(?:'ve been| have been) (?:working on|focused on|interested in) ([^,\.!?]{5,80})", r"i want to ([^,\.!?]{5,60})", r"i(?:'m| am) looking (?:to|for) ([^,\.!?]{5,60})",
+    r"i(?:'m| am) thinking (?:about|of) ([^,\.!?]{5,60})", r"i(?:'ve been| have been) (?:noticing|experiencing) ([^,\.!?]{5,80})",
+)
+
+
+def preference_documents(turns: DataFrame, patterns: tuple[str, ...] = PREFERENCES, most: int = 10) -> DataFrame:
     """(conv_id, document): what user turns say of preferences, as one synthetic document per conversation of at most
     `most` distinct statements of 5 to 80 characters, in order. Patterns have one group."""
     text = F.lower("text")

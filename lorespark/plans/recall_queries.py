@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import catalog, chunks, entities, notes
-from .registry import chunk_table, query, t
+from ..operators import catalog, chunks, entities, halls, notes
+from .registry import COS, chunk_table, query, t
 
 _KEYS = "CASE WHEN doc_id % 4 = 0 THEN CAST(doc_id % 9 AS VARCHAR) END, CASE WHEN doc_id % 3 = 0 THEN CASE WHEN doc_id % 2 = 0 THEN 'high' ELSE CAST(doc_id % 7 AS VARCHAR) END END, CASE WHEN doc_id % 5 = 0 THEN '4.5' END"
 
@@ -58,3 +58,36 @@ def notes_round_trip(spark, sf_dir):
     )
     p = notes.parsed(notes.encoded(n)).where("kind = 'note'")
     return p.select("number", F.array_join("people", "+").alias("people"), F.array_join("topics", "_").alias("topics"), "quote", "weight", F.array_join("emotions", "+").alias("emotions"), F.array_join("flags", "+").alias("flags"))
+
+
+def _any_sql(text: str, signals: tuple[str, ...]) -> str:
+    return "(" + " + ".join("CASE WHEN contains(%s, '%s') THEN 1 ELSE 0 END" % (text, s.replace("'", "''")) for s in signals) + ")"
+
+
+# Sessions say, beside what they hold, something of one of the halls; so do the questions.
+_SESSION = ["i prefer tea", "option 1: here are", "she moved", "the city and the company", ""]
+_QUESTION = ["you said", "i usually", "when did", "which job", ""]
+_PICK = lambda of, by: "CASE " + " ".join(f"WHEN {by} % 5 = {i} THEN '{x}'" for i, x in enumerate(of)) + " END"
+
+
+@query(f"""WITH s AS (SELECT conv_id AS id, lower(coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role = 'user'), '') || CASE WHEN conv_id % 5 = 1 THEN '' ELSE {_PICK(_SESSION, 'conv_id')} END) AS u,
+  lower(coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role = 'assistant'), '') || CASE WHEN conv_id % 5 = 1 THEN {_PICK(_SESSION, 'conv_id')} ELSE '' END) AS a FROM conversations GROUP BY 1),
+h AS (SELECT id, CASE WHEN {_any_sql('u', halls.SESSION_PREFERENCES)} >= 1 THEN 'hall_preferences' WHEN {_any_sql('a', halls.SESSION_ADVICE)} >= 2 THEN 'hall_assistant_advice' WHEN {_any_sql('u || a', halls.SESSION_EVENTS)} >= 1 THEN 'hall_events' WHEN {_any_sql('u || a', halls.SESSION_FACTS)} >= 2 THEN 'hall_facts' ELSE 'hall_general' END AS hall, embedding FROM s JOIN embeddings ON vec_id = id),
+w AS (SELECT id AS query_id, lower({_PICK(_QUESTION, '(conv.id // 20)')}) AS q, embedding AS qe FROM h conv WHERE id % 20 = 0),
+k AS (SELECT query_id, qe, CASE WHEN {_any_sql('q', halls.QUESTION_ADVICE)} >= 1 THEN ['hall_assistant_advice', 'hall_general'] WHEN {_any_sql('q', halls.QUESTION_PREFERENCES)} >= 1 THEN ['hall_preferences', 'hall_general'] WHEN {_any_sql('q', halls.QUESTION_EVENTS)} >= 1 THEN ['hall_events', 'hall_facts', 'hall_general'] WHEN {_any_sql('q', halls.QUESTION_FACTS)} >= 1 THEN ['hall_facts', 'hall_general'] ELSE ['hall_general'] END AS hs FROM w),
+d AS (SELECT query_id, hs, id, hall, 1 - {COS.format('embedding', 'qe')} AS distance FROM k, h),
+v AS (SELECT query_id, id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 12), id) AS r FROM d WHERE hall = hs[1] AND hs[1] <> 'hall_general') WHERE r <= 10),
+n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 12), id) AS r FROM d) WHERE r <= 50),
+f AS (SELECT n.query_id, n.id, hall, distance * CASE WHEN hall = hs[1] THEN 0.75 WHEN list_contains(hs, hall) THEN 0.9 ELSE 1.0 END * CASE WHEN v.id IS NULL THEN 1.0 ELSE 0.85 END AS adjusted FROM n LEFT JOIN v ON v.query_id = n.query_id AND v.id = n.id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(adjusted, 12), id) AS INTEGER) AS rank, id, hall, abs(round(adjusted, 6)) AS adjusted FROM f""")
+def navigated_sessions(spark, sf_dir):
+    """Sessions of all conversations, classified by what was said; every twentieth asks."""
+    i = F.col("conv_id")
+    pick = lambda of, by: F.element_at(F.array(*[F.lit(x) for x in of]), (by % 5 + 1).cast("int"))
+    s = halls.session_texts(t(spark, sf_dir, "conversations"))
+    extra = pick(_SESSION, i)
+    s = s.withColumn("user", F.concat("user", F.when(i % 5 == 1, "").otherwise(extra))).withColumn("assistant", F.concat("assistant", F.when(i % 5 == 1, extra).otherwise("")))
+    s = s.select(i.alias("id"), halls.session_hall(F.col("user"), F.col("assistant")).alias("hall")).join(t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding"), "id")
+    q = s.where("id % 20 = 0").select(F.col("id").alias("query_id"), halls.question_halls(pick(_QUESTION, F.floor(F.col("id") / 20))).alias("halls"), "embedding")
+    out = halls.navigate(s, q).join(s.select("id", "hall"), "id")
+    return out.select("query_id", "rank", "id", "hall", F.abs(F.round("adjusted", 6)).alias("adjusted"))

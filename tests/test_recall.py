@@ -82,3 +82,16 @@ def test_unknown_rooms_are_suggested(spark):
     assert [(r.room, r.hop, r.suggested) for r in got] == [("cat-care", 0, False), ("dog-care", 1, False)]
     got = graph.traverse_or_suggest(node, "care").collect()
     assert sorted((r.room, r.hop, r.suggested, r.score) for r in got) == [("cat-care", None, True, 1.0), ("dog-care", None, True, 1.0)]
+
+
+def test_halls_of_sessions_and_questions(spark):
+    from lorespark.operators import evaluate, halls
+
+    turns = [(1, 1, "user", "I prefer tea"), (1, 2, "assistant", "1. here are"), (2, 1, "user", "hi"), (2, 2, "assistant", "Here are: 1. a"), (3, 1, "user", "She moved"), (4, 1, "assistant", "the City and a job"), (5, 1, "user", "a job"), (6, 1, "user", None)]
+    t = spark.createDataFrame(turns, "conv_id int, turn int, role string, text string")
+    got = {r.conv_id: r.hall for r in halls.session_texts(t).select("conv_id", halls.session_hall(F.col("user"), F.col("assistant")).alias("hall")).collect()}
+    assert got == {1: halls.PREFERENCES, 2: halls.ADVICE, 3: halls.EVENTS, 4: halls.FACTS, 5: halls.GENERAL, 6: halls.GENERAL}
+    q = spark.createDataFrame([("What was it You suggested?",), ("lately it fails",), ("When did she leave",), ("which school",), ("hm",), (None,)], "q string")
+    assert [r[0][0] for r in q.select(halls.question_halls(F.col("q"))).collect()] == [halls.ADVICE, halls.PREFERENCES, halls.EVENTS, halls.FACTS, halls.GENERAL, halls.GENERAL]
+    said = spark.createDataFrame([(1, 1, "user", "Lately, I've been tired of it. I want to leave soon! I have been having issues with my phone battery"), (1, 2, "assistant", "i prefer nothing at all"), (2, 1, "user", "nothing")], "conv_id int, turn int, role string, text string")
+    assert {r.conv_id: r.document for r in evaluate.preference_documents(said).collect()} == {1: "User has mentioned: my phone battery; tired of it; leave soon"}

@@ -51,3 +51,24 @@ def test_diaries_grow_by_their_new_entries(spark, tmp_path):
     want += [("01", "rebuild", 0, "Morning", "rose"), ("01", "rebuild", 1, "Noon", "fed"), ("01", "rebuild", 2, "Night", "slept")]
     want += [("02", "tail", 0, "Two", "second"), ("02", "tail", 1, "Three", "third")]
     assert got == sorted(want)
+
+
+def test_messages_stream_keeps_blocks_and_resumes(spark, tmp_path):
+    import json
+
+    from lorespark.sources import transcripts
+
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+    (source / "project").mkdir(parents=True)
+    line = lambda u, content, role="user": json.dumps({"type": role, "sessionId": "s", "uuid": u, "timestamp": "2024", "message": {"role": role, "content": content}})
+
+    def go():
+        q = transcripts.session_message_stream(spark, str(source), 1).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        return sorted((r.message_uuid, r.role, r.text) for r in spark.read.parquet(out).collect())
+
+    (source / "project" / "a.jsonl").write_text("\n".join([line("1", "hi"), "broken", line("2", [{"type": "text", "text": "two"}, {"type": "text", "text": "blocks"}], "assistant"), line("3", " ")]))
+    (source / "notes.txt").write_text(line("9", "no session file"))
+    assert go() == [("1", "user", "hi"), ("2", "assistant", "two\nblocks")]
+    (source / "b.jsonl").write_text(line("4", "later"))
+    assert [u for u, _, _ in go()] == ["1", "2", "4"] and len(go()) == 3
