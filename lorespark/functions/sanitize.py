@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
+from .text import bound, strip
 
 # Lengths that a query, a part of it, a name and a content may have.
 SAFE, LONGEST, SHORTEST = 200, 250, 10
@@ -22,32 +22,44 @@ def unquoted(c: Column) -> Column:
 
 def _fitting(c: Column) -> Column:
     """A candidate of at most LONGEST characters: itself, the last of its sentences that fits, or its end."""
-    c = unquoted(c)
-    parts = F.transform(F.filter(F.split(c, SENTENCES), lambda x: x.rlike(r"\S")), unquoted)
-    fit = F.filter(parts, lambda x: F.length(x).between(SHORTEST, LONGEST))
-    end = strip(F.substring(c, -LONGEST, LONGEST))
-    return F.when(F.length(c) <= LONGEST, c).when(F.size(fit) > 0, F.element_at(fit, -1)).otherwise(end)
+
+    def cut(c: Column) -> Column:
+        parts = F.transform(F.filter(F.split(c, SENTENCES), lambda x: x.rlike(r"\S")), unquoted)
+        fit = bound(F.filter(parts, lambda x: F.length(x).between(SHORTEST, LONGEST)), lambda f: F.when(F.size(f) > 0, F.element_at(f, -1)))
+        return F.when(F.length(c) <= LONGEST, c).otherwise(F.coalesce(fit, strip(F.substring(c, -LONGEST, LONGEST))))
+
+    return bound(unquoted(c), cut)
 
 
 def clean_query(raw: Column) -> Column:
     """struct<clean_query, was_sanitized, original_length, clean_length, method> of a query that may have prompt text
     before it: short ones pass; else the last line that asks, or sentence with a question mark; else the last line long
-    enough; else the end."""
+    enough; else the end. The text, its lines and the candidates are computed once each."""
     text = F.coalesce(raw, F.lit(""))
-    blank = ~text.rlike(r"\S")
-    q = F.when(blank, text).otherwise(strip(text))
-    lines = F.filter(F.transform(F.split(q, "\n"), strip), lambda x: x != "")
-    asking = F.filter(lines, lambda x: x.rlike(ASKS))
-    # Sentences lose their marks when they are cut, so only lines can ask with one inside.
-    question = F.when(F.size(asking) > 0, F.element_at(asking, -1))
-    question = F.when(F.length(question) >= SHORTEST, F.when(F.length(question) > LONGEST, _fitting(question)).otherwise(question))
-    tails = F.filter(F.transform(F.filter(lines, lambda x: F.length(x) >= SHORTEST), _fitting), lambda x: F.length(x) >= SHORTEST)
-    tail = F.when(F.size(tails) > 0, F.element_at(tails, -1))
-    end = strip(F.substring(q, -LONGEST, LONGEST))
+    bare = strip(text)
+    return bound(F.struct(F.when(bare == "", text).otherwise(bare).alias("q"), (bare == "").alias("blank")), lambda x: _cleaned(x["q"], x["blank"]))
+
+
+def _cleaned(q: Column, blank: Column) -> Column:
     short = blank | (F.length(q) <= SAFE)
-    clean = F.when(short, q).otherwise(F.coalesce(question, tail, end))
-    method = F.when(short, "passthrough").when(question.isNotNull(), "question_extraction").when(tail.isNotNull(), "tail_sentence").otherwise("tail_truncation")
-    return F.struct(clean.alias("clean_query"), (~short).alias("was_sanitized"), F.length(q).alias("original_length"), F.length(clean).alias("clean_length"), method.alias("method"))
+
+    def candidates(lines: Column) -> Column:
+        asking = F.filter(lines, lambda x: x.rlike(ASKS))
+        # Sentences lose their marks when they are cut, so only lines can ask with one inside.
+        last = lambda found: F.when(F.size(found) > 0, F.element_at(found, -1))
+        question = bound(bound(asking, last), lambda x: F.when(F.length(x) >= SHORTEST, F.when(F.length(x) > LONGEST, _fitting(x)).otherwise(x)))
+        tails = F.filter(F.transform(F.filter(lines, lambda x: F.length(x) >= SHORTEST), _fitting), lambda x: F.length(x) >= SHORTEST)
+        return F.struct(question.alias("question"), bound(tails, last).alias("tail"))
+
+    def told(found: Column) -> Column:
+        question, tail = found["question"], found["tail"]
+        clean = F.coalesce(question, tail, strip(F.substring(q, -LONGEST, LONGEST)))
+        method = F.when(question.isNotNull(), "question_extraction").when(tail.isNotNull(), "tail_sentence").otherwise("tail_truncation")
+        return bound(clean, lambda c: F.struct(c.alias("clean_query"), F.lit(True).alias("was_sanitized"), F.length(q).alias("original_length"), F.length(c).alias("clean_length"), method.alias("method")))
+
+    as_is = F.struct(q.alias("clean_query"), F.lit(False).alias("was_sanitized"), F.length(q).alias("original_length"), F.length(q).alias("clean_length"), F.lit("passthrough").alias("method"))
+    lines = F.filter(F.transform(F.split(q, "\n"), strip), lambda x: x != "")
+    return F.when(short, as_is).otherwise(bound(bound(lines, candidates), told))
 
 
 def name_error(c: Column, what: str = "name") -> Column:

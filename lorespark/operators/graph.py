@@ -47,7 +47,8 @@ def traverse(node: DataFrame, start: str, max_hops: int = 2, limit: int = 50) ->
     seen = node.where(F.col("room") == start).select("room", F.lit(0).alias("hop"), F.lit("").alias("via"))
     frontier = seen
     for hop in range(1, max_hops + 1):
-        wings = frontier.select(F.col("room").alias("parent")).join(pairs, F.col("parent") == pairs.room).select("parent", "wing")
+        # The smallest parent of a room is the smallest of one of its wings, so a wing keeps one parent.
+        wings = frontier.select(F.col("room").alias("parent")).join(pairs, F.col("parent") == pairs.room).groupBy("wing").agg(F.min("parent").alias("parent"))
         met = wings.join(pairs, "wing").join(seen.select("room"), "room", "left_anti")
         parent = F.min("parent").over(Window.partitionBy("room"))
         met = met.withColumn("best", parent).where(F.col("parent") == F.col("best"))
