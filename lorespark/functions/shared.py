@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,3 +23,17 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, kind: str) -> str:
     """A name, not used before, for a folder below the shared one."""
     return f"{shared_folder(spark)}/{kind}/{uuid.uuid4().hex}"
+
+
+def rewritten(df: DataFrame, *old: DataFrame) -> DataFrame:
+    """`df`, written as Parquet in the shared folder and read back; the tables `old`, which came from here and nothing
+    reads any more, are deleted then. Rounds go on from what this returns: unlike a checkpoint, a table's size estimate
+    is that of its files, and doesn't grow with the number of rounds."""
+    spark = df.sparkSession
+    path = new_folder(spark, "tables")
+    df.write.parquet(path)
+    for o in old:
+        for folder in {f.rsplit("/", 1)[0] for f in o.inputFiles()}:
+            where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""Greedy near-duplicate removal inside sources, and identities from shared names or addresses."""
+"""Greedy near-duplicate removal inside sources."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.shared import shared_folder
+from ..functions.shared import rewritten
 
 
 def near_pairs(rows: DataFrame, threshold: float, block: int = 2048) -> DataFrame:
@@ -38,21 +38,20 @@ def greedy_dedup(chunks: DataFrame, threshold: float = 0.15, least_length: int =
     without an undecided closer one before them are kept, and what is close to a kept one goes, round by round, until
     all are decided: the same as going through each source in order, without one task per source.
     """
-    shared_folder(chunks.sparkSession)
     n = F.coalesce(F.length("document"), F.lit(0))
     order = Window.partitionBy("source_file").orderBy(F.desc("n"), "id")
     d = chunks.select("id", "source_file", n.alias("n"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     same = Window.partitionBy("source_file", "v").orderBy(F.desc("n"), "id")
     d = d.withColumn("first", (F.row_number().over(same) == 1) & (F.col("n") >= least_length))
-    live = d.where("first").withColumn("place", F.row_number().over(order)).checkpoint()
-    pairs = near_pairs(live.select("source_file", "place", "v"), threshold).checkpoint()
-    state = live.select("source_file", "place", F.lit(None).cast("boolean").alias("kept")).checkpoint()
+    live = rewritten(d.where("first").withColumn("place", F.row_number().over(order)))
+    pairs = rewritten(near_pairs(live.select("source_file", "place", "v"), threshold))
+    state = rewritten(live.select("source_file", "place", F.lit(None).cast("boolean").alias("kept")))
     while True:
         open_ = state.where("kept is null").select("source_file", F.col("place").alias("a"))
         waits = pairs.join(open_, ["source_file", "a"]).select("source_file", F.col("b").alias("place"), F.lit(True).alias("waits")).distinct()
-        now = state.join(waits, ["source_file", "place"], "left").withColumn("kept", F.when(F.col("kept").isNull() & F.col("waits").isNull(), True).otherwise(F.col("kept"))).drop("waits").checkpoint()
+        now = rewritten(state.join(waits, ["source_file", "place"], "left").withColumn("kept", F.when(F.col("kept").isNull() & F.col("waits").isNull(), True).otherwise(F.col("kept"))).drop("waits"), state)
         gone = pairs.join(now.where("kept").select("source_file", F.col("place").alias("a")), ["source_file", "a"]).select("source_file", F.col("b").alias("place"), F.lit(True).alias("gone")).distinct()
-        state = now.join(gone, ["source_file", "place"], "left").withColumn("kept", F.when(F.col("gone"), False).otherwise(F.col("kept"))).drop("gone").checkpoint()
+        state = rewritten(now.join(gone, ["source_file", "place"], "left").withColumn("kept", F.when(F.col("gone"), False).otherwise(F.col("kept"))).drop("gone"), now)
         if state.where("kept is null").isEmpty():
             break
     told = live.select("id", "source_file", "place").join(state, ["source_file", "place"]).select("id", "source_file", "kept")
@@ -62,29 +61,3 @@ def greedy_dedup(chunks: DataFrame, threshold: float = 0.15, least_length: int =
 def dedup_totals(flags: DataFrame) -> DataFrame:
     """(source_file, chunks, kept, deleted) of `greedy_dedup`."""
     return flags.groupBy("source_file").agg(F.count(F.lit(1)).alias("chunks"), F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("deleted"))
-
-
-def identities(people: DataFrame) -> DataFrame:
-    """(id, person): rows (id, name, email) are one person if they share a name or an address, over any number of steps.
-
-    Labels travel from rows to names and addresses and back, by their minimum, until nothing changes; every round is one
-    aggregate per side and is written to the checkpoint folder.
-    """
-    shared_folder(people.sparkSession)
-    links = people.select("id", F.explode(F.array(F.concat(F.lit("n:"), F.lower("name")), F.concat(F.lit("e:"), F.lower("email")))).alias("k")).where("k is not null").checkpoint()
-    label = people.select("id", F.col("id").alias("person")).checkpoint()
-    while True:
-        keys = links.join(label, "id").groupBy("k").agg(F.min("person").alias("p"))
-        near = links.join(keys, "k").groupBy("id").agg(F.min("p").alias("p"))
-        new = label.join(near, "id", "left").select("id", F.least("person", F.coalesce("p", "person")).alias("next"), "person")
-        jump = new.select(F.col("id").alias("next"), F.col("next").alias("far"))
-        new = new.join(jump, "next").select("id", F.col("far").alias("next"), "person").checkpoint()
-        if new.where("next <> person").isEmpty():
-            return new.select("id", F.col("next").alias("person"))
-        label = new.select("id", F.col("next").alias("person"))
-
-
-def display_names(people: DataFrame, persons: DataFrame) -> DataFrame:
-    """(person, name): of each identity the name that most of its rows bear, then the smallest."""
-    c = people.join(persons, "id").where("name is not null").groupBy("person", "name").agg(F.count(F.lit(1)).alias("n"))
-    return c.groupBy("person").agg(F.min(F.struct((-F.col("n")).alias("n"), "name")).alias("x")).select("person", F.col("x.name").alias("name"))

@@ -522,18 +522,6 @@ def greedy_dedup(spark, sf_dir):
     return neardup.greedy_dedup(c.join(_vectors(spark, sf_dir), "id"), threshold=0.6)
 
 
-@query()
-def identity_components(spark, sf_dir):
-    """Its recursive SQL is too slow on whole tables; tests compare it with a union-find."""
-    return neardup.identities(_people(t(spark, sf_dir, "customer")))
-
-
-def _people(customers: DataFrame) -> DataFrame:
-    i = F.col("c_custkey")
-    block = F.floor(i / 24).cast("string")
-    return customers.select(i.alias("id"), F.concat_ws(".", block, F.floor(i / 3).cast("string")).alias("name"), F.concat_ws(".", block, F.floor((i + 1) / 4).cast("string")).alias("email"))
-
-
 # --- evaluation --------------------------------------------------------------------------------------------------------
 
 TOP = f"""top AS (SELECT * FROM (SELECT q.vec_id AS query_id, e.vec_id AS id, CAST(e.label = q.label AS DOUBLE) AS rel, row_number() OVER (PARTITION BY q.vec_id ORDER BY 1 - {COS.format('e.embedding', 'q.embedding')}, e.vec_id) AS rank FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0) WHERE rank <= 10)"""

@@ -112,11 +112,20 @@ def manifest_name(path: Column, text: Column) -> Column:
 BOTS = r"(?i)\[bot\]|\bbot\b|dependabot|renovate|github-actions"
 
 
+def bot(c: Column) -> Column:
+    """Whether a name or an address is that of a bot."""
+    return c.rlike(BOTS)
+
+
+def real_name(c: Column) -> Column:
+    """Whether a name has at least two words that begin with a capital."""
+    return F.size(F.filter(F.split(strip(c), r"\s+"), lambda w: w.rlike(r"^\p{Lu}"))) >= 2
+
+
 def authors(commits: DataFrame, most: int = 1000) -> DataFrame:
     """(repo, author, n, place) of commits (repo, place, name, email): real people among the first `most` commits of each
     repository, most active first."""
-    real = F.size(F.filter(F.split(strip(F.col("name")), r"\s+"), lambda w: w.rlike(r"^\p{Lu}"))) >= 2
-    c = commits.where((F.col("place") <= most) & ~F.col("name").rlike(BOTS) & ~F.coalesce(F.col("email").rlike(BOTS), F.lit(False)) & real)
+    c = commits.where((F.col("place") <= most) & ~bot(F.col("name")) & ~F.coalesce(bot(F.col("email")), F.lit(False)) & real_name(F.col("name")))
     g = c.groupBy("repo", F.col("name").alias("author")).agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("repo").orderBy(F.desc("n"), "author")
     return g.withColumn("place", F.row_number().over(w))

@@ -100,11 +100,6 @@ def test_greedy_dedup_equals_a_plain_loop(spark):
     assert got == want and 0 < sum(want.values()) < 200
 
 
-def test_identities(spark):
-    p = spark.createDataFrame([(1, "Ann", "a@x"), (2, "ann", "b@x"), (3, "Bo", "b@x"), (4, "Cy", None), (5, None, None)], "id long, name string, email string")
-    assert {r.id: r.person for r in neardup.identities(p).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
-
-
 def test_ndcg_and_f1(spark):
     r = spark.createDataFrame([(1, 1, 0.0), (1, 2, 1.0), (2, 1, 0.0)], "query_id int, rank int, rel double")
     assert {x.query_id: round(x.ndcg, 4) for x in evaluate.ndcg_at_k(r, 10).collect()} == {1: 0.6309, 2: 0.0}

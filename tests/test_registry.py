@@ -41,21 +41,3 @@ def test_query_equals_oracle(spark, duck, name):
     assert sorted(names) == columns
     want = sorted((tuple(plain(r[names.index(c)]) for c in columns) for r in result.fetchall()), key=str)
     assert got == want
-
-
-def test_identities_of_all_customers(spark, tmp_path):
-    ids = [*range(1, 600), 5000, 5001]
-    spark.createDataFrame([(i,) for i in ids], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
-    up = {i: i for i in ids}
-
-    def top(i):
-        while up[i] != i:
-            i = up[i]
-        return i
-
-    first = {}
-    for i in ids:
-        for k in (("n", i // 24, i // 3), ("e", i // 24, (i + 1) // 4)):
-            a, b = sorted((top(i), top(first.setdefault(k, i))))
-            up[b] = a
-    assert {r.id: r.person for r in registry.QUERIES["identity_components"](spark, str(tmp_path)).collect()} == {i: top(i) for i in ids}
