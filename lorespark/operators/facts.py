@@ -88,8 +88,9 @@ def contradictions(claims: DataFrame, triples: DataFrame, today: str) -> DataFra
     return wrong.unionByName(stale).select("kind", "subject", "predicate", "object", "known").distinct()
 
 
-def name_confusion(mentioned: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs of a mentioned and an unmentioned name (name) that differ by one or two edits, each pair once.
+def name_confusion(mentioned: DataFrame, known: DataFrame, apart: bool = True) -> DataFrame:
+    """Pairs of a mentioned and an unmentioned name (name) that differ by one or two edits, each pair once; if not `apart`,
+    of a mentioned and any known name.
 
     Names are blocked by length, so a name only meets those of at most two letters more or fewer that share a deletion
     variant with it: two strings within two edits share one after at most two deletions each.
@@ -104,7 +105,8 @@ def name_confusion(mentioned: DataFrame, known: DataFrame) -> DataFrame:
         return df.select(alias, F.explode(every).alias("variant"))
 
     a = mentioned.select(F.col("name").alias("a")).distinct()
-    b = known.select(F.col("name").alias("b")).distinct().join(a.withColumnRenamed("a", "b"), "b", "left_anti")
+    b = known.select(F.col("name").alias("b")).distinct()
+    b = b.join(a.withColumnRenamed("a", "b"), "b", "left_anti") if apart else b
     met = variants(a, "a").join(variants(b, "b"), "variant").select("a", "b").distinct()
     met = met.withColumn("distance", F.levenshtein(F.lower("a"), F.lower("b"), 2)).where("distance between 1 and 2")
     return met.select("a", "b", "distance")
