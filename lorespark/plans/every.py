@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import evaluation_queries, fact_check_queries, format_queries, identity_queries, mining_queries, name_queries, recall_queries, search_queries, source_queries, store_queries, text_queries  # noqa: F401  (they register themselves)
+from . import evaluation_queries, fact_check_queries, format_queries, identity_queries, mining_queries, name_queries, recall_queries, search_queries, source_queries, store_queries, text_queries, upkeep_queries  # noqa: F401  (they register themselves)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "entry"]
