@@ -54,11 +54,11 @@ def mentions(docs: DataFrame, names: DataFrame) -> DataFrame:
     return d.select("id", F.explode(F.array_distinct(runs)).alias("run")).join(n, "run").select("id", "name").distinct()
 
 
-def mixed_up(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """(id, mentioned, meant, distance): known names in a text that differ by one or two edits from a known name that the
-    text doesn't hold. The pairs of like names are found once, not once a text."""
+def mixed_up(docs: DataFrame, names: DataFrame, by_bytes: bool = False) -> DataFrame:
+    """(id, mentioned, meant, distance): known names in a text that differ by one or two edits (of characters, or of UTF-8
+    bytes) from a known name that the text doesn't hold. The pairs of like names are found once, not once a text."""
     n = names.select("name").where("name is not null").distinct()
-    like = name_confusion(n, n, apart=False).select(F.col("a").alias("mentioned"), F.col("b").alias("meant"), "distance")
+    like = name_confusion(n, n, apart=False, by_bytes=by_bytes).select(F.col("a").alias("mentioned"), F.col("b").alias("meant"), "distance")
     met = mentions(docs, n)
     asked = met.withColumnRenamed("name", "mentioned").join(like, "mentioned")
     return asked.join(met.withColumnRenamed("name", "meant"), ["id", "meant"], "left_anti").select("id", "mentioned", "meant", "distance")

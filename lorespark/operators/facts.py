@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.temporal import check_temporal, end_key, start_key, valid_at
@@ -88,17 +88,21 @@ def contradictions(claims: DataFrame, triples: DataFrame, today: str) -> DataFra
     return wrong.unionByName(stale).select("kind", "subject", "predicate", "object", "known").distinct()
 
 
-def name_confusion(mentioned: DataFrame, known: DataFrame, apart: bool = True) -> DataFrame:
+def name_confusion(mentioned: DataFrame, known: DataFrame, apart: bool = True, by_bytes: bool = False) -> DataFrame:
     """Pairs of a mentioned and an unmentioned name (name) that differ by one or two edits, each pair once; if not `apart`,
-    of a mentioned and any known name.
+    of a mentioned and any known name. Edits are of characters, or, if `by_bytes`, of the bytes of their UTF-8 form.
 
     Names are blocked by length, so a name only meets those of at most two letters more or fewer that share a deletion
     variant with it: two strings within two edits share one after at most two deletions each.
     """
 
+    def compared(alias: str) -> Column:
+        low = F.lower(F.col(alias))
+        return F.decode(F.encode(low, "UTF-8"), "ISO-8859-1") if by_bytes else low  # one character a byte
+
     def variants(df: DataFrame, alias: str) -> DataFrame:
         drop = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda i: F.concat(F.substr(c, F.lit(1), i - 1), F.substr(c, i + 1)))
-        low = F.lower(F.col(alias))
+        low = compared(alias)
         one = drop(low)
         two = F.flatten(F.transform(one, drop))
         every = F.array_distinct(F.concat(F.array(low), one, two))
@@ -108,7 +112,7 @@ def name_confusion(mentioned: DataFrame, known: DataFrame, apart: bool = True) -
     b = known.select(F.col("name").alias("b")).distinct()
     b = b.join(a.withColumnRenamed("a", "b"), "b", "left_anti") if apart else b
     met = variants(a, "a").join(variants(b, "b"), "variant").select("a", "b").distinct()
-    met = met.withColumn("distance", F.levenshtein(F.lower("a"), F.lower("b"), 2)).where("distance between 1 and 2")
+    met = met.withColumn("distance", F.levenshtein(compared("a"), compared("b"), 2)).where("distance between 1 and 2")
     return met.select("a", "b", "distance")
 
 

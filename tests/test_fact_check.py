@@ -36,3 +36,10 @@ def test_mixed_up(spark):
     assert sorted(tuple(r) for r in fact_check.mentions(d, n.where("name is not null").distinct()).collect()) == [(0, "Milla"), (1, "Mila"), (1, "Milla"), (2, "Anna Lee"), (5, "Bob")]
     assert sorted(tuple(r) for r in fact_check.mixed_up(d, n).collect()) == [(0, "Milla", "Mila", 1), (2, "Anna Lee", "Ana Lee", 1)]
     assert fact_check.mixed_up(d, n.where("false")).isEmpty()
+
+
+def test_mixed_up_by_bytes(spark):
+    n = spark.createDataFrame([("menteó",), ("menten",), ("mentçñ",)], "name string")
+    d = docs(spark, "menteó", "mentçñ", "menten")
+    assert sorted(tuple(r) for r in fact_check.mixed_up(d, n).collect()) == [(0, "menteó", "menten", 1), (0, "menteó", "mentçñ", 2), (1, "mentçñ", "menten", 2), (1, "mentçñ", "menteó", 2), (2, "menten", "menteó", 1), (2, "menten", "mentçñ", 2)]
+    assert sorted(tuple(r) for r in fact_check.mixed_up(d, n, by_bytes=True).collect()) == [(0, "menteó", "menten", 2), (2, "menten", "menteó", 2)]
