@@ -2,7 +2,7 @@
 
 import re
 
-from lorespark.operators import people
+from lorespark.operators import entities, people
 
 TEXT = "Marta said hello. Marta laughed and she smiled.\nhey Marta, thanks Marta!\nMarta: yes\nMarta: no\nGrace: so\nGrace: hm\nGrace smiled, she did\nshipping Zephyr v2, building Zephyr, import Zephyr"
 
@@ -40,3 +40,10 @@ def test_learning_twice_adds_nothing(spark):
     again = people.learned(once, projects, docs, 3)
     assert again.count() == once.count() and people.as_of(again, 1).count() == 2
     assert people.learned(known, projects, docs.limit(0), 2).count() == 3
+
+
+def test_context_lines_keep_lines_where_they_are(spark):
+    d = spark.createDataFrame([(1, "The cat\n The cat \nno the"), (2, "A The\n\nUnd The"), (2, "other"), (3, None), (4, "The end\nThe last")], "id int, document string")
+    out = entities.context_lines(d, spark.createDataFrame([("The",), ("Und",), ("The",)], "name string"))
+    assert sorted(map(tuple, out.collect())) == [("The", 1, "The cat"), ("The", 2, "A The"), ("The", 3, "Und The"), ("Und", 1, "Und The")]
+    assert "SortMergeJoin" not in out._jdf.queryExecution().toString()
