@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.locales import LOCALES, Locale
+from ..functions.shared import small
 from . import detection
 
 # Names that are also common words, and what stands around a name or around a word that is none.
@@ -49,30 +53,46 @@ def as_of(people: DataFrame, version: int) -> DataFrame:
 
 def votes(context: Column, word: Column, patterns: tuple[str, ...]) -> Column:
     """How many of the patterns the context, in lower case, matches with the word in place of {name}."""
-    low, quoted = F.lower(context), F.concat(F.lit("\\Q"), F.lower(word), F.lit("\\E"))
+    return _votes(F.lower(context), word, patterns)
+
+
+def needed(pattern: str) -> str:
+    """The longest word that each match of a pattern holds beside the name; empty if there is none."""
+    plain = re.sub(r"\(\?:[^()]*\)\??|\[[^\]]*\]|\\[a-z]|\{name\}|\w\?", " ", pattern)
+    return max(re.findall(r"\w+", plain), key=len, default="")
 
-    def one(p: str) -> Column:
-        before, after = p.split("{name}")
-        return F.rlike(low, F.concat(F.lit("(?U)" + before), quoted, F.lit(after)))
 
-    return sum((one(p).cast("int") for p in patterns), F.lit(0))
+def _votes(low: Column, word: Column, patterns: tuple[str, ...]) -> Column:
+    """`votes` of a context in lower case. A pattern holds the row's word, so each trial compiles it anew; a context
+    without the pattern's own word isn't tried."""
+    quoted = F.concat(F.lit("\\Q"), F.lower(word), F.lit("\\E"))
+    parts = [(needed(p), *p.split("{name}")) for p in patterns]
+    tried = F.array(*[F.struct(F.lit(w).alias("w"), F.lit("(?U)" + before).alias("before"), F.lit(after).alias("after")) for w, before, after in parts])
+    return F.size(F.filter(tried, lambda p: F.contains(low, p["w"]) & F.rlike(low, F.concat(p["before"], quoted, p["after"]))))
 
 
-def looked_up(words: DataFrame, people: DataFrame, projects: DataFrame, confirmed: DataFrame, ambiguous: tuple[str, ...] = COMMON_WORDS) -> DataFrame:
+def looked_up(words: DataFrame, people: DataFrame, projects: DataFrame, confirmed: DataFrame, ambiguous: tuple[str, ...] = COMMON_WORDS, unknown: bool = True) -> DataFrame:
     """Columns of `words` (word, context) with type, confidence, source, name and disambiguated.
 
     Without case: a person by name or alias (of several the one whose name comes first), else a project (name), else a
     confirmed finding (name, type, confidence), else unknown. If a person's name is ambiguous, the context votes: more
     patterns of people than of other words confirm the person, fewer make it a concept, and as many, or no context, leave
-    it a person as registered. Only rows of ambiguous names are searched for patterns.
+    it a person as registered. Only rows of ambiguous names are searched for patterns. Small tables of names go to the
+    tasks that hold the words, so contexts stay where they are. Without `unknown`, words that no table holds are dropped
+    before anything is asked of them.
     """
     called = people.select(F.explode(F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("x"), "name", "source", "confidence")
     p = called.groupBy(F.lower("x").alias("k__")).agg(F.min(F.struct("name", "source", "confidence")).alias("p__"))
     j = projects.groupBy(F.lower("name").alias("k__")).agg(F.min("name").alias("j__"))
     c = confirmed.groupBy(F.lower("name").alias("k__")).agg(F.min(F.struct("type", "confidence")).alias("c__"))
-    d = words.withColumn("k__", F.lower("word")).join(p, "k__", "left").join(j, "k__", "left").join(c, "k__", "left")
+    d = words.withColumn("k__", F.lower("word"))
+    if not unknown:
+        d = d.join(small(reduce(DataFrame.union, [x.select("k__") for x in (p, j, c)]).distinct()), "k__", "left_semi")
+    d = d.join(small(p), "k__", "left").join(small(j), "k__", "left").join(small(c), "k__", "left")
     asks = F.col("p__").isNotNull() & F.col("k__").isin(*ambiguous) & (F.coalesce("context", F.lit("")) != "")
-    d = d.withColumn("yes__", F.when(asks, votes(F.col("context"), F.col("word"), PERSON_CONTEXTS))).withColumn("no__", F.when(asks, votes(F.col("context"), F.col("word"), CONCEPT_CONTEXTS)))
+    d, low = d.withColumn("low__", F.when(asks, F.lower("context"))), F.col("low__")
+    asked = low.isNotNull()
+    d = d.withColumn("yes__", F.when(asked, _votes(low, F.col("word"), PERSON_CONTEXTS))).withColumn("no__", F.when(asked, _votes(low, F.col("word"), CONCEPT_CONTEXTS)))
     yes, no = F.col("yes__") > F.col("no__"), F.col("no__") > F.col("yes__")
     person = F.struct(F.lit("person").alias("type"), F.col("p__.confidence").alias("confidence"), F.col("p__.source").alias("source"), F.col("p__.name").alias("name"), F.lit(False).alias("disambiguated"))
     sure = F.struct(F.lit("person").alias("type"), F.least(F.lit(0.95), F.lit(0.7) + F.col("yes__") * 0.1).alias("confidence"), F.col("p__.source").alias("source"), F.col("word").alias("name"), F.lit(True).alias("disambiguated"))

@@ -42,6 +42,21 @@ def test_learning_twice_adds_nothing(spark):
     assert people.learned(known, projects, docs.limit(0), 2).count() == 3
 
 
+def test_words_that_no_table_holds_are_dropped_first(spark):
+    known = people.registry(spark.createDataFrame([("Will", []), ("Thea", ["Bo"])], "name string, aliases array<string>"))
+    none = spark.createDataFrame([], "name string, type string, confidence double")
+    rows = [(1, "will", "thanks will, will said it's will's"), (2, "bo", "not bo"), (3, "x", "x said"), (4, "Will", "will you? not will, more: will of iron")]
+    words = spark.createDataFrame(rows, "id int, word string, context string")
+    every, some = (people.looked_up(words, known, none.select("name"), none, unknown=x) for x in (True, False))
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, every.where("type <> 'unknown'").collect()))
+    got = {r.id: (r.type, round(r.confidence, 3)) for r in some.collect()}
+    assert got == {1: ("person", 0.95), 2: ("person", 1.0), 4: ("concept", 0.9)}
+    assert "SortMergeJoin" not in some._jdf.queryExecution().toString()  # contexts are not shuffled
+    for p in people.PERSON_CONTEXTS + people.CONCEPT_CONTEXTS:
+        assert people.needed(p) in p and "name" not in people.needed(p)
+    assert [people.needed(p) for p in (r"\bthanks?\s+{name}\b", r"\b{name}(?:'s|s')\b", r"^{name}[:\s]", r"\bdrop(?:ped)?\s+(?:off\s+)?{name}\b")] == ["thank", "", "", "drop"]
+
+
 def test_context_lines_keep_lines_where_they_are(spark):
     d = spark.createDataFrame([(1, "The cat\n The cat \nno the"), (2, "A The\n\nUnd The"), (2, "other"), (3, None), (4, "The end\nThe last")], "id int, document string")
     out = entities.context_lines(d, spark.createDataFrame([("The",), ("Und",), ("The",)], "name string"))
