@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 #: Rows or queries that are compared at once.
 BLOCK = 4096
+#: Queries that are copied to their cells, or compared with a block, at once.
+STEP = 256
+#: Copies of queries that leave a worker together.
+COPIES = 16_384
 
 
 class VectorIndex(NamedTuple):
@@ -117,10 +121,13 @@ def nearest(index: VectorIndex, queries: DataFrame, k: int, probes: int | None =
 
     def probe(frames):
         for f in frames:
-            if len(f):
-                u = _unit(np.stack(f["q"].to_numpy()))
-                near = np.argsort(-(u @ centres.T), axis=1, kind="stable")[:, :wanted]
-                yield pd.DataFrame({"query_id": np.repeat(f["query_id"].to_numpy(), wanted), "q": [x for x in u for _ in range(wanted)], "cell": near.ravel().astype(np.int32)})
+            for first in range(0, len(f), STEP):
+                ids, u = f["query_id"].to_numpy()[first : first + STEP], _unit(np.stack(f["q"].to_numpy()[first : first + STEP]))
+                near = np.argsort(-(u @ centres.T), axis=1, kind="stable")[:, :wanted].astype(np.int32)
+                own = np.repeat(np.arange(len(u)), wanted)
+                for at in range(0, len(own), COPIES):
+                    i = own[at : at + COPIES]
+                    yield pd.DataFrame({"query_id": ids[i], "q": list(u[i]), "cell": near.ravel()[at : at + COPIES]})
 
     asked = q.mapInPandas(probe, f"query_id {kind}, q array<double>, cell int")
     cells = sorted(r["cell"] for r in asked.select("cell").distinct().collect())  # no more than there are centres
@@ -135,11 +142,13 @@ def nearest(index: VectorIndex, queries: DataFrame, k: int, probes: int | None =
     def meet(r: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
         if not len(r) or not len(s):
             return pd.DataFrame({"query_id": [], "id": [], "distance": []})
-        x, ids = np.stack(r["v"].to_numpy()), r["id"].to_numpy()
-        d = 1 - np.stack(s["q"].to_numpy()) @ x.T
-        order = np.argsort(ids, kind="stable")
-        best = order[np.argsort(np.round(d[:, order], 12), axis=1, kind="stable")[:, :k]]
-        return pd.DataFrame({"query_id": np.repeat(s["query_id"].to_numpy(), best.shape[1]), "id": ids[best].ravel(), "distance": np.take_along_axis(d, best, 1).ravel()})
+        r = r.sort_values("id", kind="stable")
+        x, ids, q, names, out = np.stack(r["v"].to_numpy()), r["id"].to_numpy(), s["q"].to_numpy(), s["query_id"].to_numpy(), []
+        for first in range(0, len(q), STEP):
+            d = 1 - np.stack(q[first : first + STEP]) @ x.T
+            best = np.argsort(np.round(d, 12), axis=1, kind="stable")[:, :k]
+            out.append(pd.DataFrame({"query_id": np.repeat(names[first : first + STEP], best.shape[1]), "id": ids[best].ravel(), "distance": np.take_along_axis(d, best, 1).ravel()}))
+        return pd.concat(out, ignore_index=True)
 
     keys = ["cell", "rb", "qb"]
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, f"query_id {kind}, id {id_kind}, distance double")
