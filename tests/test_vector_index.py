@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lorespark.operators import vector_index
+from lorespark.operators import search, vector_index
 
 TABLE = "/root/testdata/sf0.1/embeddings.parquet"
 
@@ -45,3 +45,18 @@ def test_awkward_vectors(spark, tmp_path):
     assert [(r.query_id, r["rank"], r.id) for r in got] == [(1, 1, 1), (1, 2, 22), (1, 3, 43)]  # equal vectors, by id
     with pytest.raises(ValueError):
         vector_index.built(v.where("id >= 60 and id < 64"), str(tmp_path / "j"))
+
+
+def test_more_queries_than_one_step(spark, tmp_path):
+    """Queries are copied to cells and compared a bounded number at a time; every one of one large partition is answered."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(700, 8))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<double>").coalesce(1)
+    q = d.select(F.col("id").alias("query_id"), "embedding")
+    index = vector_index.built(d, str(tmp_path / "ix"))
+    assert vector_index.STEP < 700 and vector_index.STEP * len(index.centres) <= vector_index.COPIES
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = {(i, r + 1): int(j) for i, row in enumerate(np.argsort(-(u @ u.T), axis=1, kind="stable")[:, :2]) for r, j in enumerate(row)}
+    assert {(r.query_id, r["rank"]): r.id for r in vector_index.nearest(index, q, 2, len(index.centres)).collect()} == want
+    assert search.STEP < 700 and search.STEP * search.ROW_BLOCK * 8 <= 8 << 20
+    assert {(r.query_id, r["rank"]): r.id for r in search.vector_topk(d, q, 2).collect()} == want
