@@ -18,7 +18,7 @@ PIECE = 1 << 20
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 
-def _powers(n: int, base: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int, base: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i for i < n, modulo the kind's size; kept per worker for the usual batch size."""
     out = []
     for up in (True, False):
@@ -86,7 +86,7 @@ def span_hashes(b: np.ndarray, s: np.ndarray, e: np.ndarray, base: int = M, kind
     bits of the span."""
     if not len(s):
         return np.zeros(0, U)
-    up, down = _powers(len(b), base, kind)
+    up, down = powers(len(b), base, kind)
     c = np.zeros(len(b) + 1, kind)
     np.cumsum((b.astype(kind) + kind(1)) * up, out=c[1:])
     return mix(((c[e] - c[s]) * down[s] + (e - s).astype(kind)).astype(U, copy=False))

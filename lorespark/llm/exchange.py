@@ -21,11 +21,14 @@ from .common import shuffle_partitions
 MESSAGE = "shard int, batch long, docs binary, idx binary, keys binary, known binary"
 MESSAGE_SCHEMA = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), *((k, pa.binary()) for k in ("docs", "idx", "keys", "known"))])
 ANSWER = "batch long, docs binary, keys binary"
-SHARDS_PER_PARTITION = 1
+#: Bytes of text a shard: a task holds what its shard is sent, so the number of shards follows from the texts.
+SHARD_BYTES = 32 << 20
 
 
 def shard_count(df: DataFrame) -> int:
-    return SHARDS_PER_PARTITION * shuffle_partitions(df.sparkSession)
+    """Shards for these texts (text): as many as the session has shuffle partitions, or more for a large table."""
+    size = df.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(shuffle_partitions(df.sparkSession), -(-size // SHARD_BYTES))
 
 
 def shards_of(h: np.ndarray, shards: int) -> np.ndarray:
@@ -42,7 +45,7 @@ def tags(h: np.ndarray, shards: int) -> np.ndarray:
 
 
 def by_shard(df: DataFrame, shards: int) -> DataFrame:
-    return df.repartition(max(1, shards // SHARDS_PER_PARTITION), "shard").sortWithinPartitions("shard")
+    return df.repartition(max(1, shards), "shard").sortWithinPartitions("shard")
 
 
 def each_shard(batches: Iterator[pa.RecordBatch], key: str = "shard") -> Iterator[tuple[int, list[dict]]]:

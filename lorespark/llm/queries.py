@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, closeness, clustering, decontam, jaccard, oracles, packing, pii, sharding, structure, substring, suffix, tokens, toxicity
-from .common import table
+from .common import modest_batches, table
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +56,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    modest_batches(spark)
     out = suffix.repeated_bytes(table(spark, sf_dir, "documents"))
     gone = F.col("n_bytes") - F.octet_length("kept")
     return out.select("doc_id", "n_bytes", gone.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

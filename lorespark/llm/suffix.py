@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrays import U, M, inside, member, mix, pieces, row_of, runs, texts
+from .arrays import U, M, binary_rows, member, mix, pieces, powers, runs, texts
 from .common import cut_lineage, reread, shuffle_partitions
 from .exchange import ANSWER, answer_arrays, by_shard, each_shard, gather, ids_of, known_already, numbered, packed, passed_on, per_batch, shard_count, shards_of
 
@@ -32,55 +32,111 @@ KEY = U((1 << 62) - 1)
 TAG = U(0xFFFFFF)
 
 
+#: Bytes of whole rows that are hashed at once, so that temporaries stay in a core's cache.
+BLOCK = 1 << 17
+LOW = U(0xFFFFFFFF)
+
+
 def gram_hashes(b: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the k bytes from each position, by doubling."""
+    """Hash of the k bytes from each position."""
     n = len(b) - k + 1
     if n <= 0:
         return np.zeros(0, U)
-    out, have, at = np.zeros(n, U), b.astype(U) + U(1), 0
-    size, shift = 1, 1
-    while True:
-        if k & size:
-            out += have[at : at + n] * U(shift)
-            shift = shift * pow(M, size, 1 << 64) % (1 << 64)
-            at += size
-        if 2 * size > k:
-            return mix(out)
-        have = have[: len(have) - size] + have[size:] * U(pow(M, size, 1 << 64))
-        size *= 2
+    c, down = prefix_sums(b)
+    return mix((c[k:] - c[:n]) * down[:n])
 
 
-def leftmost_minima(h: np.ndarray, w: int) -> np.ndarray:
-    """For each window of w values, the position of its smallest value (the leftmost of equal ones)."""
-    n = len(h) - w + 1
-    best, at, size = h, np.arange(len(h), dtype=np.int32), 1
+def prefix_sums(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums c of the bytes, plus 1, times powers of M, and the inverse powers: (c[j] - c[i]) * down[i] is a hash of the bytes
+    from i to j that is the same wherever they stand."""
+    up, down = powers(len(b), M, U)
+    c = np.zeros(len(b) + 1, U)
+    np.cumsum((b.astype(U) + U(1)) * up, out=c[1:])
+    return c, down
+
+
+def window_minima(h: np.ndarray, w: int) -> np.ndarray:
+    """For each window of w hashes, the high half of the smallest with its position below (the leftmost of equal halves)."""
+    best = (h & ~LOW) | np.arange(len(h), dtype=U)
+    size = 1
     while 2 * size <= w:
-        m = len(best) - size
-        right = best[size:] < best[:m]
-        best, at = np.where(right, best[size:], best[:m]), np.where(right, at[size:], at[:m])
+        best = np.minimum(best[size:], best[:-size])
         size *= 2
     rest = w - size
-    if rest:
-        right = best[rest : rest + n] < best[:n]
-        at = np.where(right, at[rest : rest + n], at[:n])
-    return at[:n]
+    return np.minimum(best[rest:], best[: len(best) - rest]) if rest else best
 
 
 def segments(b: np.ndarray, off: np.ndarray, width: int, k: int):
-    """Row, first window, number of windows and minimiser hash of each run of windows with one minimiser position."""
-    z = np.zeros(0, np.int64)
-    ok = inside(off, len(b), width)
-    if not ok.any():
-        return z, z, z, np.zeros(0, U)
-    h = gram_hashes(b, k)
-    at = leftmost_minima(h, width - k + 1)
-    row = row_of(off, len(b))[: len(ok)]
-    w = np.flatnonzero(ok)
-    change = np.ones(len(w), bool)
-    change[1:] = (at[w[1:]] != at[w[:-1]]) | (row[w[1:]] != row[w[:-1]])
-    first = np.flatnonzero(change)
-    count = np.diff(np.append(first, len(w)))
-    return row[w[first]], w[first], count, h[at[w[first]]]
+    """Row, first window, number of windows, minimiser hash and content hash of each run of windows with one minimiser
+    position. The content hash is of the run's first and last windows (which cover it) and its length, whatever its
+    minimiser, so that the many texts around one minimiser are told apart by all of them."""
+    found, r = [], 0
+    while r < len(off) - 1:
+        lo, first = off[r], r
+        r = max(r + 1, int(np.searchsorted(off, lo + BLOCK, "right")) - 1)
+        here, x = off[first : r + 1] - lo, b[lo : off[r]]
+        fits = here[:-1][np.diff(here) >= width]
+        if not len(fits):
+            continue
+        c, down = prefix_sums(x)
+        n = len(x) - k + 1
+        h = mix((c[k:] - c[:n]) * down[:n])
+        best = window_minima(h, width - k + 1)
+        change = np.ones(len(best), bool)
+        change[1:] = best[1:] != best[:-1]
+        change[fits] = True
+        start = np.flatnonzero(change)
+        row = np.searchsorted(here, start, "right") - 1
+        end = np.minimum(np.append(start[1:], len(best)), here[row + 1] - width + 1)
+        some = start < end  # other windows reach over a row's end
+        start, row, end = start[some], row[some], end[some]
+        last = end - 1
+        key = mix((c[start + width] - c[start]) * down[start]) * U(0x9FB21C651E98DF25) + mix((c[last + width] - c[last]) * down[last])
+        count = end - start
+        found.append((row + first, start + lo, count, h[(best[start] & LOW).astype(np.int64)], mix(key + count.astype(U))))
+    if not found:
+        z = np.zeros(0, np.int64)
+        return z, z, z, np.zeros(0, U), np.zeros(0, U)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def flattened(answers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' answers one after the other, and the row of each."""
+    return np.repeat(np.arange(len(answers)), [len(a) for a in answers]), np.concatenate(answers)
+
+
+def told_masks(row: np.ndarray, key: np.ndarray, of: np.ndarray, keys: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """For each segment (row, key) the bits of all masks that its row (`of`) was told for its key."""
+    out = np.zeros(len(row), U)
+    if not len(row) or not len(of):
+        return out
+    known = np.unique(keys)
+    pair = of * len(known) + np.searchsorted(known, keys)
+    order = np.argsort(pair, kind="stable")
+    first = runs(pair[order])
+    pair, masks = pair[order][first], np.bitwise_or.reduceat(masks[order], first)
+    at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+    mine = np.flatnonzero(known[at] == key)
+    want = row[mine] * len(known) + at[mine]
+    at = np.minimum(np.searchsorted(pair, want), len(pair) - 1)
+    out[mine] = np.where(pair[at] == want, masks[at], U(0))
+    return out
+
+
+def covered(n: int, start: np.ndarray, count: np.ndarray, mask: np.ndarray, width: int) -> np.ndarray:
+    """Which of n bytes are in a window that a segment's mask marks."""
+    gone = np.zeros(n + 1, np.int32)
+    every = (U(1) << count.astype(U)) - U(1)
+    mask = mask & every
+    whole, some = mask == every, (mask > 0) & (mask < every)
+    gone[start[whole]] += 1  # segments don't share a start, nor an end
+    gone[start[whole] + count[whole] + width - 1] -= 1
+    start, count, mask = start[some], count[some], mask[some]
+    for bit in range(int(count.max()) if len(count) else 0):
+        s = start[((mask >> U(bit)) & U(1)).astype(bool)] + bit
+        gone[s] += 1  # windows are distinct, so are their starts
+        gone[s + width] -= 1
+    return np.cumsum(gone[:-1], dtype=np.int32) > 0
 
 
 class Level:
@@ -149,42 +205,94 @@ def matched_windows(body: np.ndarray, lens: np.ndarray, docs: np.ndarray, width:
         z = new_doc[j]
         n = count[a:z]
         offsets = np.repeat(starts[a:z] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        keys = windows(body, offsets, width)
-        owner = np.repeat(docs[a:z], n)
-        order = np.argsort(keys, kind="stable")  # the batch's suffix array; equal strings stay in document order
-        k, o = keys[order], owner[order]
-        first = runs(k)
-        size = np.diff(np.append(first, len(k)))
-        old = family.holds(k[first])
-        out[base : base + len(k)][order] = np.repeat(old, size) | (o > np.repeat(o[first], size))
-        fresh, lo = first[~old], starts[a]
-        family.add(Level(body[lo : ends[z - 1]], offsets[order][fresh] - lo, width, k[fresh]))
+        lo = starts[a]
+        out[base : base + len(offsets)] = scanned(family, body[lo : ends[z - 1]], offsets - lo, np.repeat(docs[a:z], n), width)
         i = j
     return out
 
 
+def scanned(family: LogarithmicFamily, body: np.ndarray, offsets: np.ndarray, owner: np.ndarray, width: int, with_text: bool = True) -> np.ndarray:
+    """Whether the family or a smaller owner holds the same bytes as each of these windows, which then join the family.
+    Owners are ascending; without its text, a level still answers which strings it holds."""
+    keys = windows(body, offsets, width)
+    order = np.argsort(keys, kind="stable")  # the batch's suffix array; equal strings stay in document order
+    k, o = keys[order], owner[order]
+    first = runs(k)
+    size = np.diff(np.append(first, len(k)))
+    old = family.holds(k[first])
+    hit = np.empty(len(keys), bool)
+    hit[order] = np.repeat(old, size) | (o > np.repeat(o[first], size))
+    fresh = first[~old]
+    family.add(Level(body if with_text else body[:0], offsets[order][fresh], width, k[fresh]))
+    return hit
+
+
+def matched_in_groups(body: np.ndarray, starts: np.ndarray, lens: np.ndarray, docs: np.ndarray, width: int, most: int = 1 << 20, batch_windows: int = 1 << 16) -> np.ndarray:
+    """As `matched_windows` with a new family, for segments at `starts` in document order, but with levels of about `most`
+    windows at a time: windows go to groups by a hash of their bytes, so equal ones share a group, and one group after the
+    other gets its family. Beside the text that takes five bytes a window."""
+    count = lens - width + 1
+    total = np.cumsum(count)
+    n = int(total[-1])
+    groups = min(-(-n // most), (1 << 16) - 1)
+    group = np.zeros(n, np.uint16)
+    out = np.zeros(n, bool)
+    seg = 0
+    while groups > 1 and seg < len(lens):
+        z = max(seg + 1, int(np.searchsorted(total, total[seg] - count[seg] + batch_windows)))
+        x, w = np.repeat(starts[seg:z] - (np.cumsum(lens[seg:z]) - lens[seg:z]), lens[seg:z]), count[seg:z]
+        c, down = prefix_sums(body[x + np.arange(len(x))])
+        at = np.repeat(np.cumsum(lens[seg:z]) - lens[seg:z] - (np.cumsum(w) - w), w) + np.arange(int(w.sum()))
+        h = mix((c[at + width] - c[at]) * down[at])
+        group[total[seg] - count[seg] : total[z - 1]] = (h >> U(32)) % U(groups)
+        seg = z
+    sizes = np.bincount(group, minlength=groups)
+    order = np.arange(n, dtype=np.uint32 if n < 1 << 32 else np.int64)
+    if groups > 1:
+        order = order[np.argsort(group, kind="stable")]
+    for end, size in zip(np.cumsum(sizes).tolist(), sizes.tolist()):
+        family, mine, i = LogarithmicFamily(width), order[end - size : end].astype(np.int64), 0
+        while i < size:
+            j = min(size, i + batch_windows)
+            of = int(docs[np.searchsorted(total, mine[j - 1], "right")])  # batches end between documents
+            after = int(np.searchsorted(docs, of, "right"))
+            j = int(np.searchsorted(mine, total[after - 1]))
+            w = mine[i:j]
+            s = np.searchsorted(total, w, "right")
+            out[w] = scanned(family, body, starts[s] + w - (total[s] - count[s]), docs[s], width, with_text=False)
+            i = j
+    return out
+
+
 def masks_of(hit: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The hits among each segment's windows as bits, lowest first."""
-    seg = np.repeat(np.arange(len(count)), count)
-    bit = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
-    mask = np.zeros(len(count), U)
-    np.bitwise_or.at(mask, seg[hit], U(1) << bit[hit].astype(U))
+    mask, first = np.zeros(len(count), U), np.cumsum(count) - count
+    for bit in range(int(count.max()) if len(count) else 0):
+        some = np.flatnonzero(count > bit)
+        mask[some] |= hit[first[some] + bit].astype(U) << U(bit)
     return mask
 
 
-def spans_of(gone: np.ndarray, off: np.ndarray) -> list[list[dict]]:
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def spans_of(gone: np.ndarray, off: np.ndarray) -> pa.Array:
     """Per row, the maximal runs of marked bytes."""
-    out = []
-    for i, j in zip(off[:-1].tolist(), off[1:].tolist()):
-        edge = np.flatnonzero(np.diff(gone[i:j].astype(np.int8), prepend=0, append=0))
-        out.append([{"start": x, "end": y} for x, y in edge.reshape(-1, 2).tolist()])
-    return out
+    before, after = np.zeros(len(gone), bool), np.zeros(len(gone), bool)
+    before[1:], after[:-1] = gone[:-1], gone[1:]
+    full = np.diff(off) > 0
+    before[off[:-1][full]] = False
+    after[off[1:][full] - 1] = False
+    s, e = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after) + 1
+    cuts = np.searchsorted(s, off)
+    base = np.repeat(off[:-1], np.diff(cuts))
+    of = pa.StructArray.from_arrays([pa.array(s - base, pa.int64()), pa.array(e - base, pa.int64())], fields=list(SPANS.value_type))
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), of, type=SPANS)
 
 
 #: Rows of a shard: segments of new documents (level null), answers to them, or a level of the index.
 SHARD = "shard int, level long, batch long, docs binary, keys binary, lens binary, body binary"
 SHARD_SCHEMA = pa.schema([("shard", pa.int32()), ("level", pa.int64()), ("batch", pa.int64()), *((k, pa.binary()) for k in ("docs", "keys", "lens", "body"))])
-SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,37 +310,35 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 20, id_col: str =
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     shards = shard_count(d)
 
-    def contents(b: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """64 bits of hash of each segment's first and last windows (which cover it) and its length, whatever its
-        minimiser, so that the many texts around one minimiser are told apart by all of them."""
-        g = gram_hashes(b, width)
-        return mix(g[start] * U(0x9FB21C651E98DF25) + g[start + count - 1] + count.astype(U))
-
     def cut_up(b: np.ndarray, off: np.ndarray):
-        row, start, count, h = segments(b, off, width, k)
-        return row, start, count, shards_of(h, shards), h & TAG, contents(b, start, count) if len(h) else h
+        row, start, count, h, key = segments(b, off, width, k)
+        return row, start, count, shards_of(h, shards), h & TAG, key
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in numbered(batches):
             ids, _ = ids_of(batch)
             row, _, _, shard, tag, key = cut_up(*texts(batch.column("text")))
-            doc = ids[row]
-            order = np.lexsort((doc, key, shard))
-            doc, key, shard, tag = doc[order], key[order], shard[order], tag[order]
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])
-            least = np.repeat(doc[new], np.diff(np.append(np.flatnonzero(new), len(key))))
-            late = doc > least
-            rows = []
-            by_doc = np.argsort(doc[new], kind="stable")
-            for s, x in packed(shard[new][by_doc], [(doc[new][by_doc], "docs"), (key[new][by_doc], "keys"), (tag[new][by_doc].astype(np.uint32), "tags")]):
+            doc, place = ids[row], np.unique(ids, return_inverse=True)[1].reshape(-1)[row]
+            order = np.argsort(key)
+            doc, place, key, shard, tag = (x[order] for x in (doc, place, key, shard, tag))
+            first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (shard[1:] != shard[:-1]))) if len(key) else row
+            least = np.minimum.reduceat(place, first) if len(key) else place
+            late = place > np.repeat(least, np.diff(np.append(first, len(key))))
+            rows, names = [], np.unique(ids)
+            order = np.argsort(shard[first] << 32 | least)  # a shard's segments by document
+            sent = ((shard[first][order]), [(names[least[order]], "docs"), (key[first][order], "keys"), (tag[first][order].astype(np.uint32), "tags")])
+            for s, x in packed(*sent):
                 d, m = np.frombuffer(x["docs"], np.int64), np.frombuffer(x["tags"], np.uint32)
                 at = runs(d)
                 body = (m & 0xFFFF).astype(np.uint16).tobytes() + (m >> 16).astype(np.uint8).tobytes()
                 lens = np.diff(np.append(at, len(d))).astype(np.uint32)
                 rows.append({"shard": s, "batch": number, "docs": d[at].tobytes(), "keys": x["keys"], "lens": lens.tobytes(), "body": body})
-            pairs = np.unique(np.stack([doc[late], (key[late] & KEY).view(np.int64)], 1), axis=0) if late.any() else np.zeros((0, 2), np.int64)
-            rows += known_already(number, pairs[:, 0].copy(), pairs[:, 1].copy().view(U) | WHOLE, shards)
+            known_docs, known_keys = doc[late], key[late] & KEY
+            order = np.lexsort((known_docs, known_keys))
+            known_docs, known_keys = known_docs[order], known_keys[order]
+            once = np.ones(len(order), bool)
+            once[1:] = (known_docs[1:] != known_docs[:-1]) | (known_keys[1:] != known_keys[:-1])
+            rows += known_already(number, known_docs[once], known_keys[once] | WHOLE, shards)
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, SEGMENT_SCHEMA)
 
@@ -275,12 +381,9 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 20, id_col: str =
             b, off = texts(batch.column("text"))
             row, start, count, shard, _, key = cut_up(b, off)
             key &= KEY
-            hit = np.zeros(len(row), bool)
-            bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            for r, a in enumerate(found):
-                i, j = bounds[r], bounds[r + 1]
-                if len(a) and i < j:
-                    hit[i:j] = member(key[i:j], np.unique(a[(a & SEND) > 0] & KEY))
+            of, told = flattened(found)
+            sent = (told & SEND) > 0
+            hit = told_masks(row, key, of[sent], told[sent] & KEY, np.ones(int(sent.sum()), U)) > 0
             row, start, count, shard, key = (x[hit] for x in (row, start, count, shard, key))
             doc = ids[row]
             order = np.lexsort((key, doc, shard))
@@ -303,40 +406,28 @@ def repeated_bytes(docs: DataFrame, width: int = 50, k: int = 20, id_col: str =
             lens = lens.astype(np.int64)
             at = np.cumsum(lens) - lens
             order = np.argsort(doc, kind="stable")
-            n = lens[order]
-            pick = np.repeat(at[order] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            hit = matched_windows(body[pick], n, doc[order], width)
+            n, names = lens[order], [r["batch"] for r in rows]
+            rows = []  # the body has their text
+            hit = matched_in_groups(body, at[order], n, doc[order], width)
             mask = masks_of(hit, n - width + 1)
             some = mask > 0
-            yield per_batch(blob[order][some], doc[order][some], np.stack([key[order][some], mask[some]], 1), [r["batch"] for r in rows])
+            yield per_batch(blob[order][some], doc[order][some], np.stack([key[order][some], mask[some]], 1), names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             b, off = texts(batch.column("text"))
-            gone = np.zeros(len(b) + 1, np.int64)
-            whole, part = answer_arrays(batch), answer_arrays(batch, U, 2, "masks")
-            if any((a & WHOLE).any() for a in whole) or any(len(a) for a in part):
+            gone = np.zeros(len(b), bool)
+            (of, whole), (part_of, part) = flattened(answer_arrays(batch)), flattened(answer_arrays(batch, U, 2, "masks"))
+            is_whole = (whole & WHOLE) > 0
+            of, whole = of[is_whole], whole[is_whole] & KEY
+            if len(whole) or len(part):
                 row, start, count, _, _, key = cut_up(b, off)
-                key &= KEY
-                bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
-                for r, (w, p) in enumerate(zip(whole, part)):
-                    i, j = bounds[r], bounds[r + 1]
-                    keys = np.concatenate([w[(w & WHOLE) > 0] & KEY, p[:, 0]])
-                    if i == j or not len(keys):
-                        continue
-                    masks = np.concatenate([np.full(len(keys) - len(p), (1 << (width - k + 1)) - 1, U), p[:, 1]])
-                    order = np.argsort(keys, kind="stable")
-                    first = runs(keys[order])
-                    keys, masks = keys[order][first], np.bitwise_or.reduceat(masks[order], first)
-                    at = np.minimum(np.searchsorted(keys, key[i:j]), len(keys) - 1)
-                    m = np.where(keys[at] == key[i:j], masks[at], U(0))
-                    for bit in range(width - k + 1):
-                        s = start[i:j][((m >> U(bit)) & U(1)).astype(bool) & (count[i:j] > bit)] + bit
-                        gone[s] += 1  # windows are distinct, so are their starts
-                        gone[s + width] -= 1
-            gone = np.cumsum(gone)[:-1] > 0
-            kept = [b[i:j][~gone[i:j]].tobytes() for i, j in zip(off[:-1].tolist(), off[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(off), pa.int64()), pa.array(spans_of(gone, off), SPANS), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+                every = np.full(len(whole), (1 << (width - k + 1)) - 1, U)
+                mask = told_masks(row, key & KEY, np.append(of, part_of), np.append(whole, part[:, 0]), np.append(every, part[:, 1]))
+                gone = covered(len(b), start, count, mask, width)
+            lost = np.append(0, np.cumsum(gone))
+            kept = binary_rows(b[~gone], np.diff(off) - np.diff(lost[off]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(off), pa.int64()), spans_of(gone, off), kept], ["doc_id", "n_bytes", "spans", "kept"])
 
     # The two joins read the same shuffle of the texts; rows with null ids go past them.
     known = d.where("doc_id is not null")
@@ -399,11 +490,8 @@ class SuffixIndex:
         new = self.steps
 
         def cut(b: np.ndarray, off: np.ndarray):
-            row, start, count, h = segments(b, off, width, k)
-            if not len(row):
-                return row, start, count, row, h
-            g = gram_hashes(b, width)  # names a segment within its document
-            return row, start, count, shards_of(h, shards), mix(g[start] * U(0x9FB21C651E98DF25) + g[start + count - 1] + count.astype(U))
+            row, start, count, h, key = segments(b, off, width, k)  # a key names a segment within its document
+            return row, start, count, shards_of(h, shards), key
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for number, batch in numbered(batches):
@@ -456,21 +544,9 @@ class SuffixIndex:
             for batch in pieces(batches, "text"):
                 b, off = texts(batch.column("text"))
                 row, start, count, _, key = cut(b, off)
-                gone, bounds = np.zeros(len(b) + 1, np.int64), np.searchsorted(row, np.arange(batch.num_rows + 1))
-                for r, told in enumerate(answer_arrays(batch, U, 2)):
-                    i, j = bounds[r], bounds[r + 1]
-                    if not len(told) or i == j:
-                        continue
-                    order = np.argsort(told[:, 0], kind="stable")
-                    first = runs(told[order, 0])
-                    keys, masks = told[order, 0][first], np.bitwise_or.reduceat(told[order, 1], first)
-                    at = np.minimum(np.searchsorted(keys, key[i:j]), len(keys) - 1)
-                    m = np.where(keys[at] == key[i:j], masks[at], U(0))
-                    for bit in range(width - k + 1):
-                        s = start[i:j][((m >> U(bit)) & U(1)).astype(bool) & (count[i:j] > bit)] + bit
-                        gone[s] += 1
-                        gone[s + width] -= 1
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(off), pa.int64()), pa.array(spans_of(np.cumsum(gone)[:-1] > 0, off), SPANS)], ["doc_id", "n_bytes", "spans"])
+                of, told = flattened(answer_arrays(batch, U, 2))
+                gone = covered(len(b), start, count, told_masks(row, key, of, told[:, 0], told[:, 1]), width)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(off), pa.int64()), spans_of(gone, off)], ["doc_id", "n_bytes", "spans"])
 
         brought = known.mapInArrow(deal, SHARD)
         for level, _ in self.levels:

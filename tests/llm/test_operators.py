@@ -106,6 +106,52 @@ def test_matched_windows_scan_several_levels(batch_windows):
     assert sum(map(len, family.levels)) == len(least)
 
 
+def test_groups_of_windows_bound_the_levels():
+    """One shard with 1.5 million windows: its levels took over 200 MB at once."""
+    import tracemalloc
+
+    rng, width = np.random.default_rng(2), 50
+    n = 50_000
+    lens, docs = np.full(n, 80), np.sort(rng.integers(0, 20_000, n))
+    body = rng.integers(97, 123, n * 80).astype(np.uint8).reshape(n, 80)
+    body[rng.integers(0, n, 9000)] = body[rng.integers(0, n, 9000)]
+    body, starts = body.ravel(), np.arange(n) * 80
+    want = suffix.matched_windows(body, lens, docs, width)
+    tracemalloc.start()
+    got = suffix.matched_in_groups(body, starts, lens, docs, width, most=1 << 17)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.any() and (got == want).all()
+    assert peak < 80e6
+
+
+def test_segments_are_runs_of_windows_with_one_minimiser():
+    rng, width, k = np.random.default_rng(4), 20, 8
+    parts = [bytes(rng.integers(97, 101, n).astype(np.uint8)) for n in (0, 5, 19, 20, 21, 300_000, 0, 64, 1000)] + [b"x" * 90]
+    b, off = np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
+    row, start, count, h, key = suffix.segments(b, off, width, k)
+    least = suffix.gram_hashes(b, k)
+    seen = np.concatenate([np.arange(s, s + c) for s, c in zip(start.tolist(), count.tolist())])
+    assert seen.tolist() == [i for r in range(len(parts)) for i in range(off[r], off[r + 1] - width + 1)]
+    for r, s, c, x in zip(row[::50].tolist(), start[::50].tolist(), count[::50].tolist(), h[::50].tolist()):
+        assert off[r] <= s and s + c + width - 1 <= off[r + 1]
+        assert all(least[i : i + width - k + 1].min() == x for i in range(s, s + c))
+    named = {}
+    for s, c, x in zip(start.tolist(), count.tolist(), key.tolist()):
+        assert named.setdefault(x, b[s : s + c + width - 1].tobytes()) == b[s : s + c + width - 1].tobytes()
+
+
+def test_shards_follow_the_bytes_of_the_texts(docs, rows, monkeypatch):
+    from lorespark.llm import exchange
+
+    monkeypatch.setattr(exchange, "SHARD_BYTES", 1000)
+    size = sum(len((t or "").encode()) for _, t in rows)
+    assert exchange.shard_count(docs.select("text")) >= size / 1000
+    out = suffix.repeated_bytes(docs, 20, 8)
+    got = out.select("doc_id", "n_bytes", F.col("n_bytes") - F.octet_length("kept"), F.size("spans"), F.sha2("kept", 256)).collect()
+    assert key(tuple(r) for r in got) == key(brute.repeated_bytes(rows, 20))
+
+
 def test_index_takes_batches_against_all_levels(spark, rows, tmp_path):
     folder, width = f"{tmp_path}/index", 20
     batches = [rows[:30], rows[30:34], [], rows[34:36], rows[36:60], rows[60:], [(5000, rows[12][1]), (5001, "a short one")]]
