@@ -161,3 +161,27 @@ def test_keyword_candidates_equal_a_test_of_all_texts(spark):
     assert got == want
     with pytest.raises(ValueError):
         search.keyword_hits(c, q, 10, most=500, index=search.keyword_index(c, 25))
+
+
+def test_chunks_of_a_batch_come_in_pieces(spark, monkeypatch):
+    """A worker held the chunks of a whole batch of rows at once."""
+    from lorespark.operators import chunks
+
+    monkeypatch.setattr(chunks, "PIECE", 1000)
+    docs = [(i, None if i == 7 else f"{i} word " * (i % 90)) for i in range(200)]
+    d = spark.createDataFrame(docs, "id int, document string").coalesce(1)
+    out = chunks.chunk_overlap(d, 200, 20, 30, 3)
+    cut = {i: chunks.split_overlapping(x, 200, 20, 30) for i, x in docs}
+    assert sorted(map(tuple, out.collect())) == [(i, n, c) for i, cs in cut.items() if len(cs) <= 3 for n, c in enumerate(cs)]
+
+
+def test_repeated_names_are_counted_in_one_pass(spark):
+    from pyspark.sql import functions as F
+
+    from lorespark.operators import entities
+
+    found = ["Zoe", "Bob", "The", "Bob", "The", "Ann", "Zoe", "Bob", "Zed", "Ann", "Zoe"]
+    r = spark.createDataFrame([(found,), ([],)], "f array<string>").select(
+        entities.repeated_names(F.col("f")).alias("a"), entities.repeated_names(F.col("f"), 3, ()).alias("b"), entities.frequent_names(F.col("f"), 2, 2).alias("c"), entities.frequent_names(F.col("f"), 1, 9).alias("d")
+    ).collect()
+    assert [tuple(x) for x in r] == [(["Ann", "Bob", "Zoe"], ["Bob", "Zoe"], ["Zoe", "Bob"], ["Zoe", "Bob", "Ann", "Zed"]), ([], [], [], [])]
