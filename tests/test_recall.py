@@ -95,3 +95,25 @@ def test_halls_of_sessions_and_questions(spark):
     assert [r[0][0] for r in q.select(halls.question_halls(F.col("q"))).collect()] == [halls.ADVICE, halls.PREFERENCES, halls.EVENTS, halls.FACTS, halls.GENERAL, halls.GENERAL]
     said = spark.createDataFrame([(1, 1, "user", "Lately, I've been tired of it. I want to leave soon! I have been having issues with my phone battery"), (1, 2, "assistant", "i prefer nothing at all"), (2, 1, "user", "nothing")], "conv_id int, turn int, role string, text string")
     assert {r.conv_id: r.document for r in evaluate.preference_documents(said).collect()} == {1: "User has mentioned: my phone battery; tired of it; leave soon"}
+
+
+def test_texts_do_not_travel_once_a_query(spark):
+    """The tokens of every candidate were dealt by query, and its text by query and id."""
+    import random
+
+    from lorespark.operators import search
+
+    rng = random.Random(1)
+    docs = [(i, "f", i, "common " + " ".join(f"{rng.randrange(10**9):x}" for _ in range(2000))) for i in range(60)]
+    chunks = spark.createDataFrame(docs, "id int, source_file string, chunk_index int, document string")
+    queries = spark.createDataFrame([(q, f"common word{q}") for q in range(40)], "query_id int, query string")
+    written = lambda: spark._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+    before_join = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        before = written()
+        got = search.keyword_hits(chunks, queries, 2).select("query_id", "id", "rank").collect()
+        assert len(got) == 80
+        assert written() - before < 20e6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before_join)
