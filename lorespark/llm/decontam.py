@@ -67,14 +67,26 @@ def blocks(off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(first[:-1], n) + place // BLOCK, first
 
 
-def add_rows(out: np.ndarray, key: np.ndarray, rows: np.ndarray, pick: np.ndarray, factor: np.ndarray, at_once: int = 1024) -> np.ndarray:
-    """Adds factor * rows[pick] to out[key]; keys are sorted. A thousand rows at a time stay in the processor's cache."""
+def add_rows(out: np.ndarray, key: np.ndarray, rows: np.ndarray, pick: np.ndarray, factor: np.ndarray, at_once: int = 1024, short: int = 64) -> np.ndarray:
+    """Adds factor * rows[pick] to out[key]; keys are sorted. A thousand rows at a time stay in the processor's cache.
+    Keys of few rows each are added up side by side, first rows, second rows and so on; the longest keys lead."""
     edge = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    size = np.diff(np.append(edge, len(key)))
     i = 0
     while i < len(edge):
         j = max(i + 1, int(np.searchsorted(edge, edge[i] + at_once)))
-        lo, hi = edge[i], edge[j] if j < len(edge) else len(key)
-        out[key[edge[i:j]]] += np.add.reduceat(rows[pick[lo:hi]] * factor[lo:hi, None], edge[i:j] - lo, axis=0)
+        n = size[i:j]
+        if n.max() <= short:
+            longest = np.argsort(-n, kind="stable")
+            at, n = edge[i:j][longest], n[longest]
+            total = rows[pick[at]] * factor[at, None]
+            for k, many in enumerate(len(n) - np.searchsorted(n[::-1], np.arange(1, n[0]), "right"), 1):
+                x = at[:many] + k
+                total[:many] += rows[pick[x]] * factor[x, None]
+            out[key[at]] += total
+        else:
+            lo, hi = edge[i], edge[i] + n.sum()
+            out[key[edge[i:j]]] += np.add.reduceat(rows[pick[lo:hi]] * factor[lo:hi, None], edge[i:j] - lo, axis=0)
         i = j
     return out
 
@@ -149,6 +161,33 @@ def near_enough(w: np.ndarray, off: np.ndarray, first: np.ndarray, wanted: np.nd
     return total[hi] - total[lo] >= least
 
 
+def holders_of(answers: list[set[int]], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The items whose answers hold each word, word after word, and where those of each word (`size` included) begin."""
+    pairs = np.array(sorted((c, i) for i, a in enumerate(answers) for c in a), np.int64).reshape(-1, 2)
+    return pairs[:, 1], np.append(0, np.cumsum(np.bincount(pairs[:, 0], minlength=size + 1)))
+
+
+def told_at_most(w: np.ndarray, block: np.ndarray, first: np.ndarray, holders: np.ndarray, held: np.ndarray, wide: np.ndarray, passage: np.ndarray, item: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """A bound on the distinct words of each item's answer within its passage and `wide` words around it: those of each
+    block that this touches, words counted once a block. All pairs are judged by sums over blocks, none by its words."""
+    size, n_blocks = len(held) - 1, int(first[-1])
+    telling = np.diff(held)[w] > 0
+    b, c = np.divmod(np.unique(block[telling] * size + w[telling]), size)
+    n = held[c + 1] - held[c]
+    b, of = np.repeat(b, n), holders[np.repeat(held[c] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+    around = -(-wide[item] // BLOCK)
+    lo, hi = np.maximum(first[doc], passage - around), np.minimum(first[doc + 1], passage + 2 + around)
+    out, step = np.zeros(len(item), np.int64), max(1, (1 << 22) // (n_blocks + 1))
+    words_by_item, pairs_by_item = np.argsort(of, kind="stable"), np.argsort(item, kind="stable")
+    for i in range(0, len(wide), step):  # as many items at a time as 4 million sums hold
+        some, pairs = (order[slice(*np.searchsorted(x[order], (i, i + step)))] for order, x in ((words_by_item, of), (pairs_by_item, item)))
+        total = np.zeros((n_blocks + 1, min(step, len(wide) - i)), np.int32)
+        np.add.at(total, (b[some] + 1, of[some] - i), 1)
+        np.cumsum(total, axis=0, out=total)
+        out[pairs] = total[hi[pairs], item[pairs] - i] - total[lo[pairs], item[pairs] - i]
+    return out
+
+
 def lcs(masks: dict[int, int], length: int, sequence: list[int]) -> int:
     """Length of the longest common subsequence with an item, given where each word stands in it, bit by bit."""
     full = (1 << length) - 1
@@ -329,6 +368,10 @@ def _find(d: DataFrame, items: list[tuple[int, list[str]]], rank: int, cosine: f
     least_known = min(int(np.ceil(least_lcs * n - 1e-9)) for n in lengths)
     least_telling = min(int(np.ceil(least_answer * len(a) - 1e-9)) for a in answers)
 
+    holders, held = holders_of(answers, size)
+    enough_told = np.array([int(np.ceil(least_answer * len(a) - 1e-9)) for a in answers])
+    around = np.array(lengths) + np.array(strides)
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             w, off = unpacked(b, size)
@@ -350,9 +393,10 @@ def _find(d: DataFrame, items: list[tuple[int, list[str]]], rank: int, cosine: f
                 best_first = np.argsort(-cos[p, i], kind="stable")
                 p, i = p[best_first], i[best_first]
                 doc = np.searchsorted(first, some[p], "right") - 1
+                told_enough = told_at_most(w, block, first, holders, held, around, some[p], i, doc) >= enough_told[i]
                 best: dict[tuple[int, int], tuple] = {}
                 looked: dict[tuple[int, int], list[int]] = {}
-                for x, item, r, c in zip(some[p].tolist(), i.tolist(), doc.tolist(), cos[p, i].tolist()):
+                for x, item, r, c, enough in zip(some[p].tolist(), i.tolist(), doc.tolist(), cos[p, i].tolist(), told_enough.tolist()):
                     start, wide = int(off[r] + (x - first[r]) * BLOCK), lengths[item] + strides[item]
                     # What is around a passage less than a stride away has been looked at.
                     seen = looked.setdefault((r, item), [])
@@ -360,6 +404,8 @@ def _find(d: DataFrame, items: list[tuple[int, list[str]]], rank: int, cosine: f
                     if (at_ and start - seen[at_ - 1] < strides[item]) or (at_ < len(seen) and seen[at_] - start < strides[item]):
                         continue
                     seen.insert(at_, start)
+                    if not enough:
+                        continue
                     near = w[max(int(off[r]), start - wide) : min(int(off[r + 1]), start + 2 * BLOCK + wide)].tolist()
                     told = len(answers[item].intersection(near)) / len(answers[item])
                     if told < least_answer:

@@ -575,6 +575,36 @@ def test_leaks_equal_comparing_everything(spark, lengths, monkeypatch):
     assert verbatim <= got <= want and len(got & planted) >= 0.9 * len(planted) and len(got) >= 0.95 * len(want)
 
 
+def test_told_at_most_bounds_what_answers_tell():
+    """Never less than the distinct answer words around a passage, for any number of items at a time, and no more than
+    those of the blocks around: passages far from all answers are ruled out without a look at their words."""
+    rng = np.random.default_rng(26)
+    size, lengths = 90, [10, 50, 200, 31]
+    answers = [set(rng.choice(size, n).tolist()) for n in (3, 8, 20, 5)]
+    w = np.concatenate([rng.integers(0, size + 1, n) for n in (700, 1, 40, 333)] + [np.full(3000, size)])
+    off = np.array([0, 700, 700, 701, 741, 1074, 4074])
+    block, first = decontam.blocks(off)
+    around = np.array([n + max(decontam.BLOCK, n // 4) for n in lengths])
+    passage, item = (x.ravel() for x in np.meshgrid(np.arange(first[-1]), np.arange(len(lengths)), indexing="ij"))
+    doc = np.searchsorted(first, passage, "right") - 1
+    got = decontam.told_at_most(w, block, first, *decontam.holders_of(answers, size), around, passage, item, doc)
+    for p, i, r, n in zip(passage.tolist(), item.tolist(), doc.tolist(), got.tolist()):
+        start = int(off[r]) + (p - int(first[r])) * decontam.BLOCK
+        near = w[max(int(off[r]), start - around[i]) : min(int(off[r + 1]), start + 2 * decontam.BLOCK + around[i])].tolist()
+        assert len(answers[i].intersection(near)) <= n and (r < 5 or n == 0)
+
+
+def test_added_rows_equal_a_plain_sum():
+    rng = np.random.default_rng(27)
+    for many in (0, 1, 50, 5000):  # few and many rows a key
+        key, rows = np.sort(rng.integers(0, 40, many)), rng.standard_normal((30, 5))
+        pick, factor = rng.integers(0, 30, many), rng.random(many)
+        want = np.zeros((40, 5))
+        np.add.at(want, key, rows[pick] * factor[:, None])
+        for at_once in (3, 1024):
+            assert np.allclose(decontam.add_rows(np.zeros((40, 5)), key, rows, pick, factor, at_once), want)
+
+
 def test_lcs_bits():
     rng = np.random.default_rng(8)
     for _ in range(200):
