@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import bound, strip
 from .chunks import paragraph_parts
 
 #: What marks each kind of memory, in order of precedence.
@@ -53,7 +53,8 @@ NEGATIVE = (
     "bug", "error", "crash", "crashing", "crashed", "fail", "failed", "failing", "failure", "broken", "broke", "breaking", "breaks", "issue", "problem", "wrong",
     "stuck", "blocked", "unable", "impossible", "missing", "terrible", "horrible", "awful", "worse", "worst", "panic", "disaster", "mess",
 )
-#: How a solved problem, a line of code, a speaker's turn and a line of noise look.
+#: How a solved problem, a line of code, a speaker's turn and a line of noise look. Those of code and turns all
+#: begin at a line's start, which one mark before all of them tells at once.
 RESOLVED = r"\bfixed\b|\bsolved\b|\bresolved\b|\bpatched\b|\bgot it working\b|\bit works\b|\bnailed it\b|\bfigured (it )?out\b|\bthe (fix|answer|solution)\b"
 CODE_LINES = (
     r"^[\$#]\s", r"^(cd|source|echo|export|pip|npm|git|python|bash|curl|wget|mkdir|rm|cp|mv|ls|cat|grep|find|chmod|sudo|brew|docker)\s", r"^```",
@@ -84,23 +85,23 @@ def without_noise(text: Column, lines: tuple[str, ...] = NOISE_LINES) -> Column:
 
 def is_code(line: Column) -> Column:
     """Whether a stripped line looks like code: by its beginning, or because fewer than two fifths are letters."""
-    letters = F.length(F.regexp_replace(line, r"[^\p{L}]", ""))
+    letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))
     sparse = (F.length(line) > 10) & (letters < 0.4 * F.length(line))
-    return (line != "") & (line.rlike("|".join(f"(?:{p})" for p in CODE_LINES)) | sparse)
+    return (line != "") & (line.rlike(f"^(?:{'|'.join(CODE_LINES)})") | sparse)
 
 
 def prose(text: Column) -> Column:
     """A text without fenced blocks and code lines; the text itself if nothing else is left."""
     open_text = F.regexp_replace(text, r"(?ms)^[^\S\n]*```.*?(?:^[^\S\n]*```[^\n]*(?:\n|\z)|\z)", "")
-    kept = strip(F.array_join(F.filter(F.split(open_text, "\n"), lambda x: ~is_code(strip(x))), "\n"))
-    return F.when(kept != "", kept).otherwise(text)
+    kept = strip(F.array_join(F.filter(F.split(open_text, "\n"), lambda x: ~bound(strip(x), is_code)), "\n"))
+    return F.coalesce(F.nullif(kept, F.lit("")), text)
 
 
 def segments(text: Column) -> Column:
     """A text by speakers' turns, if it has at least three; else by paragraphs, or groups of lines without any."""
     lines = F.split(text, "\n")
-    turn = lambda x: strip(x).rlike(TURNS)
-    marked = F.transform(lines, lambda x, i: F.when(turn(x) & (i > 0), F.concat(F.lit("\u0001"), x)).otherwise(x))
+    turn = lambda x: strip(x).rlike(f"^(?:{TURNS})")
+    marked = F.transform(lines, lambda x, i: F.when((i > 0) & turn(x), F.concat(F.lit("\u0001"), x)).otherwise(x))
     by_turn = F.split(F.array_join(marked, "\n"), "\n\u0001")
     return F.when(F.size(F.filter(lines, turn)) >= 3, by_turn).otherwise(paragraph_parts(text))
 
@@ -165,9 +166,11 @@ def memories(docs: DataFrame, least: float = 0.3) -> DataFrame:
     A segment of at least 20 stripped characters takes the kind with most marks in its prose (the first of equals). Its
     confidence is a fifth of the marks, and of one more for over 200 characters and two for over 500, at most 1. A
     problem that is solved is a milestone, or emotional if it was glad news; one told as good news becomes what else it
-    has marks of.
+    has marks of. Texts are dealt by id first, so that a file's large row group is not one task's work.
     """
-    d = docs.select("id", F.posexplode(segments(F.coalesce("document", F.lit("")))).alias("part", "segment"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = docs.select("id", "document").repartition(tasks, "id")
+    d = d.select("id", F.posexplode(segments(F.coalesce("document", F.lit("")))).alias("part", "segment"))
     d = d.where(F.length(strip(F.col("segment"))) >= 20)
     d = d.withColumn("prose", prose(F.col("segment"))).withColumn("scores", marker_scores(F.lower("prose")))
     d = d.select("id", "part", "segment", "prose", "scores.*")

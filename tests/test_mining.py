@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lorespark.operators import entities, mining
+from lorespark.operators import entities, memories, mining
 from lorespark.sources.store import LINES, MemoryStore
 
 ROOMS = {"backend": ["server", "database"], "planning": ["roadmap"]}
@@ -185,3 +185,15 @@ def test_repeated_names_are_counted_in_one_pass(spark):
         entities.repeated_names(F.col("f")).alias("a"), entities.repeated_names(F.col("f"), 3, ()).alias("b"), entities.frequent_names(F.col("f"), 2, 2).alias("c"), entities.frequent_names(F.col("f"), 1, 9).alias("d")
     ).collect()
     assert [tuple(x) for x in r] == [(["Ann", "Bob", "Zoe"], ["Bob", "Zoe"], ["Zoe", "Bob"], ["Zoe", "Bob", "Ann", "Zed"]), ([], [], [], [])]
+
+
+TOLD = "We decided to go with the new framework because the old approach was slow.\n\nIt works! We fixed and solved it: a breakthrough.\n\n```\nlet's use code\n```"
+
+
+def test_memories_are_read_where_their_texts_were_dealt(spark):
+    """One large file is not one task's work."""
+    docs = spark.createDataFrame([(i, TOLD) for i in range(40)], "id int, document string").coalesce(1)
+    found = memories.memories(docs)
+    kinds = {(r.id, r.chunk_index): (r.memory_type, r.document) for r in found.collect()}
+    assert len(kinds) == 40 * 2 and {k[1] for k in kinds} == {0, 1} and len(set(kinds.values())) == 2
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
