@@ -49,9 +49,10 @@ def reread(df: DataFrame) -> DataFrame:
 
 def modest_batches(spark: SparkSession, most: int = 4 << 20) -> None:
     """Hand rows to workers in batches of at most `most` bytes, unless the session has a bound below Spark's own 64 MB:
-    a batch stands in the executor's and in the worker's memory at once, and stages follow each other in one executor."""
+    a batch stands in the executor's and in the worker's memory at once, and stages follow each other in one executor.
+    A session that never set the bound has Spark's own, which `get` without a default would name."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, None) in ("67108864b", "67108864", "64m", "64MB"):
+    if spark.conf.get(key, "64m") in ("67108864b", "67108864", "64m", "64MB"):
         spark.conf.set(key, most)
 
 

@@ -3,11 +3,14 @@
 import zlib
 
 import brute
+import pyarrow as pa
 from conftest import frame
+from pyspark.sql import functions as F
 from test_operators import plain_spans, toxic_sample
 
 import corpus_pipeline as pipeline
 from lorespark.llm import tokens
+from lorespark.llm.common import modest_batches
 
 
 def test_stages_in_order():
@@ -66,3 +69,23 @@ def test_stages_on_empty_tables(spark, tmp_path):
     spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     frame(spark, []).select(*pipeline.COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_workers_get_modest_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    texts = spark.range(0, 9000, 1, 1).select(F.repeat(F.lit("word "), 400).alias("text"))
+    try:
+        spark.conf.unset(key)
+        modest_batches(spark)
+        assert texts.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 5 << 20
+        spark.conf.set(key, "1m")
+        modest_batches(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
