@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.shared import small
 from ..functions.text import entity_id
-from .facts import name_confusion, named
+from .facts import name_confusion
 
 #: Fixed values: "X is Y's role" and "Y's role is X", with capitalised names and roles of 3 to 20 small letters.
 NAME, ROLE = r"([A-Z][\w-]+)", r"([a-z]{3,20})"
@@ -30,15 +31,18 @@ def contradicted(docs: DataFrame, triples: DataFrame, entities: DataFrame, today
 
     `relationship_mismatch`: a current fact of the same two says another role (`known`). `stale_fact`: the claim itself was
     a fact until `valid_to`, before today. Subjects meet by their ids, objects by their names in any case of letters. Only
-    claims are joined, never texts; each answer stands once a text.
+    claims are joined, never texts; each answer stands once a text. Many facts may share few objects: what is looked up
+    is the name of each object, not of each fact, and a small table of names goes to the facts, which stay where they are.
     """
-    t = named(triples, entities, "object", "object_name").select(F.col("subject").alias("sid"), F.lower(F.trim("object_name")).alias("oid"), F.lower("predicate").alias("known"), "valid_to").distinct()
-    c = claims_in(docs).withColumn("sid", entity_id(F.col("subject"))).withColumn("oid", F.lower("object"))
+    asked = triples.select(F.col("object").alias("id")).distinct()
+    names = small(entities.join(asked, "id").select(F.col("id").alias("object"), F.lower(F.trim("name")).alias("oid")).distinct())
+    t = triples.join(names, "object").select(F.col("subject").alias("sid"), "oid", F.lower("predicate").alias("known"), "valid_to").distinct()
+    c = claims_in(docs).distinct().withColumn("sid", entity_id(F.col("subject"))).withColumn("oid", F.lower("object"))
     met = c.join(t, ["sid", "oid"])
     other = F.col("valid_to").isNull() & (F.col("known") != "") & (F.col("known") != F.col("predicate"))
     stale = (F.col("valid_to") < today) & (F.col("known") == F.col("predicate"))
     kind = F.when(other, "relationship_mismatch").when(stale, "stale_fact")
-    return met.withColumn("kind", kind).where("kind is not null").select("id", "kind", "subject", "predicate", "object", "known", "valid_to").distinct()
+    return met.withColumn("kind", kind).where("kind is not null").select("id", "kind", "subject", "predicate", "object", "known", "valid_to")  # distinct claims met distinct facts
 
 
 def mentions(docs: DataFrame, names: DataFrame) -> DataFrame:

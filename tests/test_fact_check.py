@@ -43,3 +43,13 @@ def test_mixed_up_by_bytes(spark):
     d = docs(spark, "menteó", "mentçñ", "menten")
     assert sorted(tuple(r) for r in fact_check.mixed_up(d, n).collect()) == [(0, "menteó", "menten", 1), (0, "menteó", "mentçñ", 2), (1, "mentçñ", "menten", 2), (1, "mentçñ", "menteó", 2), (2, "menten", "menteó", 1), (2, "menten", "mentçñ", 2)]
     assert sorted(tuple(r) for r in fact_check.mixed_up(d, n, by_bytes=True).collect()) == [(0, "menteó", "menten", 2), (2, "menten", "menteó", 2)]
+
+
+def test_claims_are_made_distinct_before_they_meet_facts(spark):
+    """Repeats were sought among all answers, in a hash table of each task; there are none if claims and facts have none."""
+    t = spark.createDataFrame([("s7", "friend", "town", None), ("s7", "friend", "town", None), ("s8", "friend", "town", None)], "subject string, predicate string, object string, valid_to string")
+    e = spark.createDataFrame([("town", "Town"), ("town", " town "), ("other", "Other")], "id string, name string")
+    d = docs(spark, "S7 is Town's owner", "S8 is Town's friend")
+    found = fact_check.contradicted(d.unionByName(d), t, e, "2025-01-01")
+    assert [tuple(r) for r in found.collect()] == [(0, "relationship_mismatch", "S7", "owner", "Town", "friend", None)]
+    assert found._jdf.queryExecution().optimizedPlan().getClass().getSimpleName() != "Aggregate"
