@@ -34,3 +34,7 @@ def equals_sql(spark, name, path):
 
 def test_fallback_finds_nothing_for_queries_of_short_words(spark, odd):
     assert equals_sql(spark, "search_bm25_fallback", odd)
+
+
+def test_union_adds_nothing_for_queries_of_short_words(spark, odd):
+    assert equals_sql(spark, "search_union", odd)
