@@ -38,3 +38,24 @@ def test_fallback_finds_nothing_for_queries_of_short_words(spark, odd):
 
 def test_union_adds_nothing_for_queries_of_short_words(spark, odd):
     assert equals_sql(spark, "search_union", odd)
+
+
+def test_union_reads_its_chunks_and_queries_once(spark):
+    """Both were computed anew for every step that reads them: texts of all chunks were joined and dealt each time."""
+    from pyspark.sql import functions as F
+
+    from lorespark.operators import search
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        read.add(1)
+        return f"the text of number {i} and more"
+
+    made = spark.range(40).select("id", (F.col("id") % 8).cast("string").alias("source_file"), (F.col("id") / 8).cast("int").alias("chunk_index"), text.asNondeterministic()("id").alias("document"), F.array(F.sin("id"), F.cos("id")).alias("embedding"))
+    closets = made.where("id % 5 = 0").select("id", "source_file", "embedding")
+    queries = made.where("id < 10").select(F.col("id").alias("query_id"), F.col("document").alias("query"), "embedding")
+    found = search.search_chunks(made, closets, queries, 3, strategy="union")
+    assert {r.query_id for r in found.collect()} == set(range(10)) and found.count() == 30
+    assert read.value <= 2 * 40
